@@ -61,6 +61,7 @@ def dropped_keys(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Dat
     """(doc_id, keys): the keys that a document loses; documents that lose none have no row."""
     held = written(document_keys(docs, min_chars).distinct(), "line-keys")
     common = held.groupBy("key").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("keeper")).where(F.col("n_docs") >= min_docs)
+    common = written(common, "line-common")  # a table of its own, so that the join below may split a hot key
     return held.join(common, "key").where("doc_id <> keeper").groupBy("doc_id").agg(F.collect_list("key").alias("keys"))
 
 
