@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from claimloom.llm import ann, bpe, language, line_dedup, mixing, quality, simhash, toxicity
+from claimloom.llm import ann, bpe, language, line_dedup, mixing, pii, quality, simhash, toxicity, url_filter
 
-MODULES = [toxicity, language, quality, bpe, simhash, ann, line_dedup, mixing]
+MODULES = [toxicity, language, quality, bpe, url_filter, pii, simhash, ann, line_dedup, mixing]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
