@@ -1,16 +1,402 @@
-"""Every query of the engine's own operators, with DuckDB SQL that returns the same rows."""
+"""Every query of the engine's own operators, with DuckDB SQL that returns the same rows.
+
+A query reads whole tables. Where rows are synthetic (image renditions made from lineitem, video urls made from page ids), both
+sides build them by the same rule. Queries without SQL need Python's HTML, URL or JSON rules; tests hold them against fixtures.
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from claimloom.functions import data as D
+from claimloom.functions import python as P
+from claimloom.functions import text as T
+from claimloom.functions import url as U
+from claimloom.operators import articles, claims, images, videos
+from claimloom.plans import records
+from claimloom.session import shared_dir, table
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+    def put(of: Query) -> Query:
+        QUERIES[name] = of
+        if sql:
+            ORACLE[name] = sql
+        return of
+
+    return put
+
+
+def over(name: str, source: str, columns: Callable[[], dict], sql: str) -> None:
+    """A projection: ``columns()`` over a table and the same in SQL. Columns are made when a session is there."""
+    QUERIES[name] = lambda spark, d: table(spark, d, source).select(*[c.alias(n) if not isinstance(c, str) else F.col(c).alias(n) for n, c in columns().items()])
+    ORACLE[name] = sql
+
+
+SITE = "regexp_replace(regexp_extract(lower(trim(url)), '^https?://([^/?#]*)', 1), '^www\\.', '')"
+TITLE_OF = "regexp_extract(html, '<title[^>]*>(.*?)</title>', 1, 'is')"
+CLEANED = "array_to_string(list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(regexp_replace(x, '\\s+', ' ', 'g'))), lambda x: x <> ''), chr(10))"
+
+
+def title() -> Column:
+    return F.regexp_extract("html", "(?is)<title[^>]*>(.*?)</title>", 1)
+
+
+@query("q_flagship", f"""
+select site, hash, title, url from (select *, row_number() over (partition by site order by page_id) as n from (
+  select page_id, url, {SITE} as site, substr(md5(url), 1, 12) as hash, {TITLE_OF} as title from pages where url <> '')) where n = 1""")
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First page of each site with its key and title."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", U.norm_site(F.col("url")).alias("site"), U.url_hash(F.col("url")).alias("hash"), title().alias("title"))
+    return claims.first_by(pages.where("url <> ''"), "site", ["page_id"]).select("site", "hash", "title", "url")
+
+
+# URL functions
+over("q_norm_site", "pages", lambda: {"page_id": "page_id", "site": U.norm_site(F.col("url"))}, f"select page_id, {SITE} as site from pages")
+over("q_publisher_key", "pages", lambda: {"page_id": "page_id", "publisher": U.publisher_key(F.col("url"))}, """select page_id, replace(regexp_replace(split_part(replace(replace(replace(lower(trim(url)), 'https://', ''), 'http://', ''), 'www.', ''), '/', 1), '\\.[^.]*$', ''), '-', '_') as publisher from pages""")
+over("q_url_hash", "pages", lambda: {"page_id": "page_id", "hash": U.url_hash(F.col("url"))}, "select page_id, substr(md5(url), 1, 12) as hash from pages")
+over("q_domain", "pages", lambda: {"page_id": "page_id", "domain": U.domain(F.col("url")), "on_org": U.is_on(F.col("url"), "example.org")}, "select page_id, lower(regexp_extract(url, '^[A-Za-z]+://([^/?#]*)', 1)) as domain, regexp_matches(lower(url), '^https?://[^/?#]*example\\.org([/?#]|$)') as on_org from pages")
+over("q_strip_qs", "pages", lambda: {"page_id": "page_id", "bare": U.strip_query(F.col("url"))}, "select page_id, regexp_replace(url, '[?#].*$', '') as bare from pages")
+over("q_safe_slug", "pages", lambda: {"page_id": "page_id", "slug": U.slug(F.col("url"), 24)}, "select page_id, right(regexp_replace(regexp_replace(regexp_replace(url, 'https?://', ''), '[^\\w.-]+', '_', 'g'), '^[._]+|[._]+$', '', 'g'), 24) as slug from pages")
+over("q_ext", "pages", lambda: {"page_id": "page_id", "ext": U.extension(F.col("url"))}, "select page_id, regexp_extract(regexp_extract(lower(url), '^[a-z]+://[^/?#]*([^?#]*)', 1), '/[^/.][^/]*?(\\.[^./]*)$', 1) as ext from pages")
+over("q_file_name", "pages", lambda: {"page_id": "page_id", "name": U.file_name(F.col("url"))}, "select page_id, regexp_replace(regexp_extract(regexp_extract(url, '^[A-Za-z]+://[^/?#]*([^?#]*)', 1), '([^/]*)$', 1), '[^\\w.-]+', '_', 'g') as name from pages")
+over("q_with_scheme", "pages", lambda: {"page_id": "page_id", "full": U.with_scheme(F.regexp_replace("url", "^https?:", ""))}, "select page_id, 'https:' || regexp_replace(url, '^https?:', '') as full from pages")
+over("q_url_decode", "pages", lambda: {"page_id": "page_id", "plain": U.unquoted(F.url_encode("url"))}, "select page_id, url as plain from pages")
+over("q_b64_json", "events", lambda: {"event_id": "event_id", "k": F.variant_get(U.b64_json(F.translate(F.base64(F.encode("props", "UTF-8")), "+/=", "-_")), "$.k", "int")}, "select event_id, cast(json_extract(props, '$.k') as int) as k from events")
+
+# Text functions
+over("q_clean_lines", "documents", lambda: {"doc_id": "doc_id", "body": T.clean_lines(F.col("text"))}, f"select doc_id, {CLEANED} as body from documents")
+over("q_clean_text", "documents", lambda: {"doc_id": "doc_id", "body": T.clean(F.col("text"))}, "select doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) as body from documents")
+PHRASES = ["license", "contact", "copyright"]
+over("q_cut_phrases", "documents", lambda: {"doc_id": "doc_id", "body": T.cut_at(F.col("text"), PHRASES, always_strip=True)}, f"""
+select doc_id, trim(case when ix is null then text else substr(text, 1, ix - 1) end, ' ' || chr(10)) as body from (
+  select doc_id, text, list_min(list_filter([{", ".join(f"instr(lower(text), '{p}')" for p in PHRASES)}], lambda x: x > 0)) as ix from documents)""")
+over("q_cut_markers", "documents", lambda: {"doc_id": "doc_id", "body": T.cut_at(F.col("text"), ["contact"], [r"licensed\s+under"], always_strip=True)}, """
+select doc_id, trim(case when ix is null then text else substr(text, 1, ix - 1) end, ' ' || chr(10)) as body from (
+  select doc_id, text, list_min(list_filter([instr(lower(text), 'contact'), instr(lower(text), 'licensed under')], lambda x: x > 0)) as ix from documents)""")
+over("q_cut_lines", "documents", lambda: {"doc_id": "doc_id", "body": T.cut_at_line(F.col("text"), ["licensed under", "copyright"])}, """
+with l as (select doc_id, string_split(text, chr(10)) as a from documents),
+b as (select doc_id, a, list_position(list_transform(a, lambda x: starts_with(lower(trim(x)), 'licensed under') or starts_with(lower(trim(x)), 'copyright')), true) as bad from l)
+select doc_id, trim(array_to_string(case when bad > 0 then a[1:bad - 1] else a end, chr(10)), ' ' || chr(10)) as body from b""")
+over("q_inline_widgets", "documents", lambda: {"doc_id": "doc_id", "body": T.drop_widgets(F.regexp_replace("text", " ", "\n"), ["the", "die", "la", "el"], ["of", "das", "le"])}, """
+with l as (select doc_id, unnest(string_split(replace(text, ' ', chr(10)), chr(10))) as x, generate_subscripts(string_split(replace(text, ' ', chr(10)), chr(10)), 1) as pos from documents),
+k as (select *, lower(trim(x)) in ('the', 'die', 'la', 'el') as m, lower(trim(x)) in ('of', 'das', 'le') as b from l),
+runs as (select *, pos - row_number() over (partition by doc_id, m order by pos) as g from k),
+r as (select *, case when m then row_number() over (partition by doc_id, m, g order by pos) % 2 = 1 else false end as fires from runs),
+s as (select *, coalesce(lag(fires) over (partition by doc_id order by pos), false) as skip from r)
+select d.doc_id, coalesce(trim(string_agg(x, chr(10) order by pos) filter (where not skip and not m and not b), ' ' || chr(10)), '') as body
+from documents d left join s on s.doc_id = d.doc_id group by d.doc_id""")
+over("q_lead_merge", "documents", lambda: {"doc_id": "doc_id", "body": T.merge_lead(F.split_part("text", F.lit("."), F.lit(2)), F.col("text"), 40)}, f"""
+with c as (select doc_id, {CLEANED} as b, trim(regexp_replace(array_to_string(list_filter(list_transform(string_split(split_part(text, '.', 2), chr(10)), lambda x: trim(regexp_replace(x, '\\s+', ' ', 'g'))), lambda x: x <> ''), chr(10)), '^$', '')) as a from documents)
+select doc_id, case when a = '' or contains(lower(substr(b, 1, 40)), lower(a)) then b when b = '' then a else a || chr(10) || b end as body from c""")
+over("q_length_gate", "documents", lambda: {"doc_id": "doc_id", "long_enough": T.is_long(F.col("text"), 200), "very_long": T.is_long(F.col("text"), 800)}, "select doc_id, length(text) >= 200 as long_enough, length(text) >= 800 as very_long from documents")
+over("q_prefer_longest", "documents", lambda: {"doc_id": "doc_id", "best": T.longer(F.split_part("text", F.lit("\n"), F.lit(1)), F.split_part("text", F.lit("\n"), F.lit(2)))}, "select doc_id, case when length(split_part(text, chr(10), 2)) > length(split_part(text, chr(10), 1)) then split_part(text, chr(10), 2) else split_part(text, chr(10), 1) end as best from documents")
+over("q_first_non_null", "documents", lambda: {"doc_id": "doc_id", "first": F.coalesce(*[F.nullif(F.regexp_extract("text", p, 1), F.lit("")) for p in ("([0-9]+[.][0-9]+)", "([0-9]{4,})", "([A-Z]{2,})")])}, "select doc_id, coalesce(nullif(regexp_extract(text, '([0-9]+[.][0-9]+)', 1), ''), nullif(regexp_extract(text, '([0-9]{4,})', 1), ''), nullif(regexp_extract(text, '([A-Z]{2,})', 1), '')) as first from documents")
+over("q_accent_fold", "documents", lambda: {"doc_id": "doc_id", "found": F.contains(F.collate("text", "UNICODE_CI_AI"), F.collate(F.lit("reaux"), "UNICODE_CI_AI"))}, "select doc_id, contains(lower(strip_accents(text)), 'reaux') as found from documents")
+over("q_caption_key", "documents", lambda: {"doc_id": "doc_id", "key": T.caption_key(F.split_part("text", F.lit("."), F.lit(1)))}, "select doc_id, lower(trim(regexp_replace(split_part(text, '.', 1), '\\s+', ' ', 'g'))) as key from documents")
+over("q_rights", "nation", lambda: {"n_nationkey": "n_nationkey", "cap": T.with_rights(F.when(F.col("n_nationkey") % 3 == 0, "").otherwise(F.col("n_name")), F.when(F.col("n_nationkey") % 2 == 0, F.col("n_name")))}, "select n_nationkey, case when n_nationkey % 2 <> 0 then case when n_nationkey % 3 = 0 then '' else n_name end when n_nationkey % 3 = 0 then '© ' || n_name else n_name || ' © ' || n_name end as cap from nation")
+over("q_title_split", "nation", lambda: {"n_nationkey": "n_nationkey", "caption": T.split_title(F.concat("n_name", F.lit(" | by "), "n_name"))["caption"], "rights": T.split_title(F.concat("n_name", F.lit(" | by "), "n_name"))["rights"]}, "select n_nationkey, n_name as caption, 'by ' || n_name as rights from nation")
+over("q_modality_parse", "conversations", lambda: {"conv_id": "conv_id", "turn": "turn", "modality": T.claim_modality(F.concat(F.lit("Answer\nClaim Type: "), F.split_part("text", F.lit("."), F.lit(1)), F.lit("\nclaim type: late")))}, "select conv_id, turn, coalesce(nullif(lower(trim(split_part(split_part(text, '.', 1), chr(10), 1))), ''), 'unknown') as modality from conversations")
+over("q_block_page", "pages", lambda: {"page_id": "page_id", "blocked": T.is_block_page(F.col("html"))}, "select page_id, html = '' or " + " or ".join(f"contains(lower(html), '{n}')" for n in T.BLOCK_PAGE) + " as blocked from pages")
+over("q_cut_html", "pages", lambda: {"page_id": "page_id", "head": F.md5(T.cut_html(F.col("html"), "(?i)<footer\\b[^>]*>"))}, "select page_id, md5(case when regexp_matches(html, '(?i)<footer\\b[^>]*>') then trim(regexp_replace(html, '(?is)<footer\\b[^>]*>.*$', ''), ' ' || chr(10)) else html end) as head from pages")
+over("q_truncate", "pages", lambda: {"page_id": "page_id", "head": T.truncate_at(F.col("html"), ["<nav", "<body"])}, "select page_id, case when instr(html, '<body') > 0 then substr(html, 1, instr(html, '<body') - 1) else html end as head from pages")
+
+# HTML by pattern
+over("q_title", "pages", lambda: {"page_id": "page_id", "title": title()}, f"select page_id, {TITLE_OF} as title from pages")
+over("q_h1", "pages", lambda: {"page_id": "page_id", "h1": T.strip_tags(F.regexp_extract("html", "(?is)<h1[^>]*>(.*?)</h1>", 1))}, "select page_id, trim(regexp_replace(regexp_replace(regexp_extract(html, '<h1[^>]*>(.*?)</h1>', 1, 'is'), '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g')) as h1 from pages")
+over("q_paragraphs", "pages", lambda: {"page_id": "page_id", "n_open": F.regexp_count("html", F.lit("(?i)<p[ >]")).cast("long"), "n_close": F.regexp_count("html", F.lit("(?i)</p>")).cast("long")}, "select page_id, len(regexp_extract_all(html, '(?i)<p[ >]'))::bigint as n_open, len(regexp_extract_all(html, '(?i)</p>'))::bigint as n_close from pages")
+
+
+@query("q_links", """select page_id, pos - 1 as pos, href from (select page_id, unnest(a) as href, generate_subscripts(a, 1) as pos from (select page_id, regexp_extract_all(html, 'href="([^"]*)"', 1) as a from pages))""")
+def links(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", F.posexplode(T.attribute_urls(F.col("html"), "href")).alias("pos", "href")).select("page_id", F.col("pos").cast("long").alias("pos"), "href")
+
+
+@query("q_harvest", """select page_id, list_sort(list_distinct(list_filter(regexp_extract_all(html, 'href="([^"]*)"', 1), lambda x: regexp_matches(x, '^/[a-c]')))) as hits from pages""")
+def harvest(spark, sf_dir):
+    found = F.filter(T.attribute_urls(F.col("html"), "href"), lambda x: x.rlike("^/[a-c]"))
+    return table(spark, sf_dir, "pages").select("page_id", T.sorted_set(found).alias("hits"))
+
+
+# Relational operators
+@query("q_claims_flatten", """
+select conv_id, coalesce(max(case when turn = 0 then text end) over (partition by conv_id), '') as claim_text, '' as claimant, 'https://' || role || '.example/' || turn as review_url,
+       coalesce(text, '') as review_title, role as publisher_name, role || '.example' as publisher_site from conversations""")
+def claims_flatten(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations")
+    site = F.concat("role", F.lit(".example"))
+    review = F.struct(F.struct(F.col("role").alias("name"), site.alias("site")).alias("publisher"), F.concat(F.lit("https://"), site, F.lit("/"), "turn").alias("url"), F.col("text").alias("title"), F.lit(None).cast("string").alias("reviewDate"), F.lit(None).cast("string").alias("textualRating"))
+    feed = turns.groupBy("conv_id").agg(F.max(F.when(F.col("turn") == 0, F.col("text"))).alias("text"), F.collect_list(review).alias("claimReview")).withColumns({"claimant": F.lit(None).cast("string"), "claimDate": F.lit(None).cast("string")})
+    return claims.flatten(feed).select("conv_id", "claim_text", "claimant", "review_url", "review_title", "publisher_name", "publisher_site")
+
+
+@query("q_publisher_filter", f"select page_id, url from pages where {SITE} = 'blog.tionsh.example.net'")
+def publisher_filter(spark, sf_dir):
+    return claims.of_publisher(table(spark, sf_dir, "pages"), "HTTPS://www.Blog.tionsh.example.net/x", "url").select("page_id", "url")
+
+
+@query("q_dedup_first", "select doc_id, text from (select *, row_number() over (partition by text order by doc_id) as n from documents where text <> '') where n = 1")
+def dedup_first(spark, sf_dir):
+    return claims.first_by(table(spark, sf_dir, "documents"), "text", ["doc_id"]).select("doc_id", "text")
+
+
+@query("q_limit_after_dedup", f"select page_id, site from (select page_id, {SITE} as site, row_number() over (partition by {SITE} order by page_id) as n from pages) where n = 1 order by page_id limit 20")
+def limit_after_dedup(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", U.norm_site(F.col("url")).alias("site"))
+    return claims.limited(claims.first_by(pages, "site", ["page_id"]), 20, ["page_id"]).select("page_id", "site")
+
+
+@query("q_label_join", """select d.doc_id, coalesce(m.label_normalized, d.label_raw) as label_normalized from (
+  select doc_id, case quality when 1 then 'good' when 0 then 'Bad ' end as label_raw from documents left join labels using (doc_id)) d
+  left join (values ('good', 'True'), ('bad', 'False')) m(label_raw, label_normalized) on lower(trim(d.label_raw)) = m.label_raw""")
+def label_join(spark, sf_dir):
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.when(F.col("quality") == 1, "good").when(F.col("quality") == 0, "Bad ").alias("label_raw"))
+    items = table(spark, sf_dir, "documents").select("doc_id").join(labels, "doc_id", "left").withColumn("publisher_id", F.lit("p"))
+    known = spark.createDataFrame([("p", "Good", "True"), ("p", "bad", "False")], "publisher_id string, label_raw string, label_normalized string")
+    return claims.with_label(items, known).select("doc_id", "label_normalized")
+
+
+@query("q_record_assembly", f"select page_id, 'demo' as publisher_id, {TITLE_OF} as title, substr(md5(url), 1, 12) as hash, case when page_id % 2 = 0 then 'demo_' || substr(md5(url), 1, 12) end as assets_dir, case when page_id % 3 = 0 then 'no page captured' end as error from pages")
+def record_assembly(spark, sf_dir):
+    none = F.lit("")
+    error = F.when(F.col("page_id") % 3 == 0, "no page captured")
+    rows = table(spark, sf_dir, "pages").withColumns({
+        "claim_text": none, "claimant": none, "claim_date": none, "review_url": F.col("url"), "review_title": none, "review_date": none, "review_label_raw": none, "publisher_name": none, "publisher_site": none, "label_normalized": none,
+        "article": F.struct(title().alias("title"), none.alias("content"), error.alias("error")), "images": F.array().cast("array<struct<image_url:string,caption:string,path:string>>"), "videos": F.when(F.col("page_id") % 2 == 0, F.array("url")).otherwise(F.array().cast("array<string>")),
+    })
+    made = rows.select("page_id", F.from_json(F.to_json(claims.record("demo", "en")), "publisher_id string, claimreview struct<review_url string>, debunk_article struct<title string>, media struct<assets_dir string>, errors struct<article string>").alias("r"))
+    return made.select("page_id", "r.publisher_id", "r.debunk_article.title", U.url_hash(F.col("r.claimreview.review_url")).alias("hash"), "r.media.assets_dir", F.col("r.errors.article").alias("error"))
+
+
+@query("q_has_media", "select page_id, page_id % 2 = 0 or page_id % 5 = 0 as has_media from pages")
+def media(spark, sf_dir):
+    some = lambda n: F.when(F.col("page_id") % n == 0, F.array("url")).otherwise(F.array().cast("array<string>"))
+    return table(spark, sf_dir, "pages").select("page_id", some(2).alias("images"), some(5).alias("videos")).select("page_id", claims.has_media().alias("has_media"))
+
+
+@query("q_join_left", "select o_orderkey, c_name, c_mktsegment from orders left join customer on o_custkey = c_custkey and c_acctbal > 0")
+def join_left(spark, sf_dir):
+    rich = table(spark, sf_dir, "customer").where("c_acctbal > 0").select("c_custkey", "c_name", "c_mktsegment")
+    return table(spark, sf_dir, "orders").join(rich, F.col("o_custkey") == F.col("c_custkey"), "left").select("o_orderkey", "c_name", "c_mktsegment")
+
+
+@query("q_join_anti", "select c_custkey, c_name from customer where not exists (select 1 from orders where o_custkey = c_custkey)")
+def join_anti(spark, sf_dir):
+    seen = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    return claims.not_seen(table(spark, sf_dir, "customer"), seen, ["c_custkey"]).select("c_custkey", "c_name")
+
+
+@query("q_join_fallback", """select a.page_id, coalesce(e.name, l.name) as name from pages a
+  left join (select url as u, 'exact ' || page_id as name from pages where page_id % 2 = 0) e on a.url = e.u
+  left join (select split_part(url, '?', 1) as v, min('loose ' || page_id) as name from pages group by 1) l on split_part(a.url, '?', 1) = l.v""")
+def join_fallback(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    exact = pages.where("page_id % 2 = 0").select(F.col("url").alias("u"), F.concat(F.lit("exact "), "page_id").alias("e"))
+    bare = F.split_part("url", F.lit("?"), F.lit(1))
+    loose = pages.groupBy(bare.alias("v")).agg(F.min(F.concat(F.lit("loose "), "page_id")).alias("l"))
+    return pages.join(exact, F.col("url") == F.col("u"), "left").join(loose, bare == F.col("v"), "left").select("page_id", F.coalesce("e", "l").alias("name"))
+
+
+@query("q_asset_join", "select a.page_id, b.page_id as other from pages a join pages b on 'demo_' || substr(md5(a.url), 1, 12) = 'demo_' || substr(md5(b.url), 1, 12)")
+def asset_join(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", F.concat(F.lit("demo_"), U.url_hash(F.col("url"))).alias("dir"))
+    return pages.join(pages.select(F.col("page_id").alias("other"), "dir"), "dir").select("page_id", "other")
+
+
+@query("q_zip_join", "select page_id, unnest(a) as href, unnest(b) as label from (select page_id, regexp_extract_all(html, '<a href=\"([^\"]*)\">([^<]*)</a>', 1) as a, regexp_extract_all(html, '<a href=\"([^\"]*)\">([^<]*)</a>', 2) as b from pages)")
+def zip_join(spark, sf_dir):
+    found = lambda k: F.regexp_extract_all("html", F.lit('<a href="([^"]*)">([^<]*)</a>'), F.lit(k))
+    return table(spark, sf_dir, "pages").select("page_id", F.explode(F.arrays_zip(found(1).alias("href"), found(2).alias("label"))).alias("z")).select("page_id", "z.href", "z.label")
+
+
+@query("q_union", "select n_name as name, 'nation' as kind from nation union all select r_name, 'region' from region")
+def union(spark, sf_dir):
+    return table(spark, sf_dir, "nation").select(F.col("n_name").alias("name"), F.lit("nation").alias("kind")).unionByName(table(spark, sf_dir, "region").select(F.col("r_name").alias("name"), F.lit("region").alias("kind")))
+
+
+@query("q_group_count", "select l_returnflag, l_linestatus, count(*) as n_rows, count(distinct l_partkey) as n_parts, min(l_shipdate) as first_ship from lineitem group by 1, 2")
+def group_count(spark, sf_dir):
+    return table(spark, sf_dir, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(F.count("*").alias("n_rows"), F.countDistinct("l_partkey").alias("n_parts"), F.min("l_shipdate").alias("first_ship"))
+
+
+@query("q_topk", "select o_orderkey, o_totalprice from orders order by o_totalprice desc, o_orderkey limit 25")
+def topk(spark, sf_dir):
+    return table(spark, sf_dir, "orders").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(25).select("o_orderkey", "o_totalprice")
+
+
+@query("q_collect_groups", "select c_nationkey, list_sort(list(distinct c_mktsegment)) as segments from customer group by 1")
+def collect_groups(spark, sf_dir):
+    return table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(F.array_sort(F.collect_set("c_mktsegment")).alias("segments"))
+
+
+# JSON
+over("q_json_props", "events", lambda: {"event_id": "event_id", "k": D.value_at(F.col("props"), "$.k", "int"), "missing": D.value_at(F.col("props"), "$.a.b")}, "select event_id, cast(json_extract(props, '$.k') as int) as k, cast(null as varchar) as missing from events")
+over("q_key_search", "events", lambda: {"event_id": "event_id", "found": D.has_key_like(F.concat(F.lit('{"a": [{"'), "event_type", F.lit('Url": 1}]}')), "click|view")}, "select event_id, contains(event_type, 'click') or contains(event_type, 'view') as found from events")
+over("q_player_streams", "events", lambda: {"event_id": "event_id", "streams": D.player_streams(F.concat(F.lit('{"_mediaArray":[{"_mediaStreamArray":[{"_stream":["a'), "event_id", F.lit('","b"]},{"_stream":"c"}]}]}')))}, "select event_id, ['a' || event_id, 'b', 'c'] as streams from events")
+over("q_video_object", "events", lambda: {"event_id": "event_id", "url": D.video_object(F.concat(F.lit('{"@type":"'), F.when(F.col("event_id") % 2 == 0, "VideoObject").otherwise("Thing"), F.lit('","contentUrl":"u'), "event_id", F.lit('"}')))}, "select event_id, case when event_id % 2 = 0 then 'u' || event_id end as url from events")
+
+# Images: renditions made from lineitem
+RENDITION = "'https://cdn.example/p' || (l_partkey % 500) || '/' || cast(l_quantity as int) * 20 || 'x9/pic-' || (l_suppkey % 7) || case l_linenumber % 4 when 0 then '.jpg' when 1 then '.png' when 2 then '.webp' else '.avif' end"
+CAP = "case when l_suppkey % 3 = 0 then '' else 'Caption ' || (l_suppkey % 5) end"
+RENDITIONS = f"""r as (select l_orderkey as article_url, l_linenumber as pos, {RENDITION} as url, cast(l_quantity as int) * 20 as w, {CAP} as cap,
+  case l_linenumber % 4 when 0 then 4 when 1 then 3 when 2 then 2 else 1 end as prio,
+  'https://cdn.example/p' || (l_partkey % 500) || '/pic-' || (l_suppkey % 7) || case l_linenumber % 4 when 0 then '.jpg' when 1 then '.png' when 2 then '.webp' else '.avif' end as asset from lineitem),
+c as (select * exclude (cap), coalesce(first_value(case when cap <> '' then cap end ignore nulls) over (partition by article_url, asset order by pos, url, cap rows between unbounded preceding and unbounded following), '') as cap from r),
+a as (select * from (select *, row_number() over (partition by article_url, asset order by w desc, prio desc, pos, url, cap) as n from c) where n = 1)"""
+
+
+def renditions(spark, sf_dir):
+    return table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("article_url"), F.col("l_linenumber").alias("pos"), F.expr(RENDITION).alias("url"), F.expr("cast(l_quantity as int) * 20").alias("w"), F.expr(CAP).alias("cap"))
+
+
+@query("q_asset_top1", f"with {RENDITIONS} select article_url, pos, url, w, cap from a")
+def asset_top1(spark, sf_dir):
+    return images.choose(renditions(spark, sf_dir), "asset", U.asset_key(F.col("url"))).select("article_url", "pos", "url", "w", "cap")
+
+
+def _captioned(key: str) -> str:
+    return f"with {RENDITIONS} select article_url, pos, url, w, cap from (select *, row_number() over (partition by article_url, {key} order by w desc, prio desc, pos, url, cap) as m from a) where m = 1"
+
+
+@query("q_caption_top1", _captioned("case when cap = '' then asset else 'cap ' || lower(cap) end"))
+def caption_top1(spark, sf_dir):
+    return images.choose(renditions(spark, sf_dir), "asset+caption", U.asset_key(F.col("url"))).select("article_url", "pos", "url", "w", "cap")
+
+
+@query("q_caption_merged_top1", _captioned("lower(cap)"))
+def caption_merged_top1(spark, sf_dir):
+    return images.choose(renditions(spark, sf_dir), "asset+merged", U.asset_key(F.col("url"))).select("article_url", "pos", "url", "w", "cap")
+
+
+@query("q_url_width", f"select l_orderkey, l_linenumber, cast(l_quantity as int) * 20 as w, case l_linenumber % 4 when 0 then 4 when 1 then 3 when 2 then 2 else 1 end as prio, true as is_image from lineitem")
+def url_width(spark, sf_dir):
+    url = F.expr(RENDITION)
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", U.width(url).alias("w"), U.extension_priority(url).alias("prio"), U.is_image(url).alias("is_image"))
+
+
+SRCSET = "'https://a/1.jpg ' || p_size * 10 || 'w, https://a/2.jpg ' || p_size * 10 || 'w, https://a/fit-in/' || p_size * 11 || 'x5/3.jpg'"
+
+
+@query("q_srcset_best", "select p_partkey, case when p_size > 0 then 'https://a/fit-in/' || p_size * 11 || 'x5/3.jpg' else 'https://a/1.jpg' end as best, 'https://a/fit-in/' || p_size * 11 || 'x5/3.jpg' as last, 3 as n_parts from part")
+def srcset_best(spark, sf_dir):
+    ss = F.expr(SRCSET)
+    return table(spark, sf_dir, "part").select("p_partkey", U.srcset_best(ss).alias("best"), U.srcset_last(ss).alias("last"), F.size(U.srcset(ss)).alias("n_parts"))
+
+
+@query("q_image_name", "select page_id, 'img_' || substr(md5(url), 1, 12) || '.jpg' as name from pages")
+def image_name(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", U.image_name(F.lit("img"), F.col("url")).alias("name"))
+
+
+# Videos
+VIDEO = "case page_id % 7 when 0 then '//www.youtube.com/embed/vid' || (1000 + page_id) || '?x=1' when 1 then 'https://youtube.com/watch?v=abc' || (1000 + page_id) when 2 then 'https://www.dailymotion.com/video/dm' || page_id when 3 then 'https://www.facebook.com/some/videos/' || page_id || '/?t=1' when 4 then 'https://www.tiktok.com/@u/video/' || page_id when 5 then 'https://x.com/u/status/' || page_id else 'https://cdn.example/v' || page_id || '.mp4?sig=1' end"
+
+
+@query("q_provider_bucket", """select page_id, case page_id % 7 when 0 then 'youtube' when 1 then 'youtube' when 2 then 'dailymotion' when 3 then 'facebook' when 4 then 'tiktok' when 5 then 'twitter' else 'raw_video' end as provider,
+  case page_id % 7 when 0 then 'https://www.youtube.com/embed/vid' || (1000 + page_id) || '?autoplay=1' when 1 then 'https://www.youtube.com/embed/abc' || (1000 + page_id) || '?autoplay=1' when 2 then 'https://www.dailymotion.com/embed/video/dm' || page_id
+  when 3 then 'https://www.facebook.com/some/videos/' || page_id when 4 then 'https://www.tiktok.com/@u/video/' || page_id when 5 then 'https://x.com/i/web/status/' || page_id else 'https://cdn.example/v' || page_id || '.mp4' end as url from pages""")
+def provider_bucket(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", videos.provider(F.expr(VIDEO)).alias("p")).select("page_id", "p.provider", "p.url")
+
+
+@query("q_prefix_dedup", f"""with u as (select distinct {SITE} as site, url from pages), k as (select * from u a where not exists (select 1 from u b where b.site = a.site and b.url <> a.url and starts_with(a.url, b.url)))
+select site, list(url order by length(url), url) as urls from k group by site""")
+def prefix_dedup(spark, sf_dir):
+    grouped = table(spark, sf_dir, "pages").groupBy(U.norm_site(F.col("url")).alias("site")).agg(F.collect_set("url").alias("a"))
+    return grouped.select("site", T.shortest_prefixes(F.col("a")).alias("urls"))
+
+
+@query("q_sorted_set", "select page_id, list_sort(list_distinct(string_split(url, '/'))) as parts from pages")
+def sorted_set(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", T.sorted_set(F.split("url", "/")).alias("parts"))
+
+
+@query("q_ordered_distinct", "select doc_id, list_aggregate(list_distinct(string_split(text, ' ')), 'count') as n_words from documents")
+def ordered_distinct(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", F.size(F.array_distinct(F.split("text", " ", -1))).cast("long").alias("n_words"))
+
+
+@query("q_poster", "select page_id, 'https://img.youtube.com/vi/v' || page_id || '/hqdefault.jpg' as poster, page_id % 60 >= 40 as visible from pages")
+def poster(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", videos.poster(F.concat(F.lit("v"), "page_id")).alias("poster"), videos.is_visible((F.col("page_id") % 60).cast("int"), F.lit(None).cast("int"), F.lit(True)).alias("visible"))
+
+
+@query("q_native_streams", "select page_id, ['https://v.rtl.de/world-' || lower(hex(page_id)) || '-progressive.mp4'] as streams from pages")
+def native_streams(spark, sf_dir):
+    at = F.concat(F.lit("https://v.rtl.de/world-"), F.lower(F.hex("page_id")))
+    urls = F.array(F.concat(at, F.lit("-hls.m3u8")), F.concat(at, F.lit("-progressive.mp4")), F.concat(at, F.lit("-x.mp4")), F.lit("https://v.rtl.de/ads/a.mp4"))
+    return table(spark, sf_dir, "pages").select("page_id", videos.native_streams(urls).alias("streams"))
+
+
+# Python on Arrow batches: HTML trees, RFC 3986, query strings, folding; no SQL says the same
+@query("q_article_extract")
+def article_extract(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", articles.article(F.col("html"), "de/rtl").alias("a")).select("page_id", "a.*")
+
+
+@query("q_article_by_spec")
+def article_by_spec(spark, sf_dir):
+    names = F.array(*[F.lit(n) for n in sorted(articles.SPECS)])
+    spec = F.element_at(names, (F.col("page_id") % len(articles.SPECS) + 1).cast("int"))
+    return table(spark, sf_dir, "pages").select("page_id", spec.alias("spec"), articles.article(F.col("html"), spec, F.col("html"), F.col("url")).alias("a")).select("page_id", "spec", "a.*")
+
+
+@query("q_images_extract")
+def images_extract(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    figure = F.concat(F.lit('<figure><img src="/img/'), "page_id", F.lit('x.jpg"><figcaption>Picture of '), "page_id", F.lit("</figcaption></figure></article>"))
+    return images.images(pages.select("url", F.replace("html", F.lit("</article>"), figure).alias("html")), "correctiv").select("article_url", F.explode("images").alias("i")).select("article_url", "i.*")
+
+
+@query("q_videos_extract")
+def videos_extract(spark, sf_dir):
+    frame = F.concat(F.lit('<iframe data-src="'), F.expr(VIDEO), F.lit('"></iframe>'))
+    return videos.of_pages(table(spark, sf_dir, "pages").select("page_id", F.concat("html", frame).alias("html")), "page_id").select("page_id", "videos")
+
+
+@query("q_absolute_url")
+def absolute_url(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", P.absolute_url(F.col("url"), F.lit("../a/b?c=1")).alias("joined"), P.add_query({"autoplay": "1"})(F.col("url")).alias("played"), P.sanitize_provider_url(F.col("url")).alias("sane"))
+
+
+@query("q_accent_cut")
+def accent_cut(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", P.accent_cut(["reaux", "heit"])(F.col("text")).alias("body"))
+
+
+@query("q_records")
+def records_plan(spark, sf_dir):
+    """The whole plan: claims made from pages, their articles, media and verdicts, as JSON lines."""
+    pages = table(spark, sf_dir, "pages")
+    site = U.norm_site(F.col("url"))
+    review = F.struct(F.struct(F.lit("P").alias("name"), site.alias("site")).alias("publisher"), F.col("url").alias("url"), title().alias("title"), F.lit("2024").alias("reviewDate"), F.lit("Falsch").alias("textualRating"))
+    feed = pages.select(F.col("page_id").alias("pos"), title().alias("text"), F.lit(None).cast("string").alias("claimant"), F.lit("2024").alias("claimDate"), F.array(review).alias("claimReview"))
+    labels = spark.createDataFrame([("rtl", "falsch", "False")], "publisher_id string, label_raw string, label_normalized string")
+    made = records.build(feed, pages.select("url", F.col("html").alias("html_static"), F.lit(None).cast("string").alias("html_rendered")), "de/rtl", labels=labels)
+    return made.select("pos", F.to_json("record").alias("record"))
+
+
+@query("q_stream_dedup", "select count(*) as n_users from (select distinct user_id from events)")
+def stream_dedup(spark, sf_dir):
+    """Incremental first-seen keys over the events table; the same keys as in batch."""
+    from claimloom.streaming import reviews
+
+    src = table(spark, sf_dir, "events")
+    stream = spark.readStream.schema(src.schema).parquet(f"{sf_dir}/events.parquet*").withColumns({"review_url": F.col("user_id").cast("string"), "ts": F.col("ts").cast("timestamp")})
+    at = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    reviews.run_once(reviews.first_reviews(stream, horizon="3650 days"), f"{at}/rows", f"{at}/state")
+    return spark.read.parquet(f"{at}/rows").agg(F.count("*").alias("n_users"))
+
+
+def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
 

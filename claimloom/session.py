@@ -31,3 +31,13 @@ def session(master: str | None = None, shuffle_partitions: int | None = None, **
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One captured table; works for a single file and for a folder of part files."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share, as the session names it; a local one only on a single machine."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if found:
+        return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return "file:///tmp/checkpoints/claimloom"
