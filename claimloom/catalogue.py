@@ -18,7 +18,7 @@ from claimloom.functions import text as T
 from claimloom.functions import url as U
 from claimloom.operators import articles, claims, images, videos
 from claimloom.plans import records
-from claimloom.session import shared_dir, table
+from claimloom.session import shared_dir, spread, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -339,19 +339,19 @@ def native_streams(spark, sf_dir):
 # Python on Arrow batches: HTML trees, RFC 3986, query strings, folding; no SQL says the same
 @query("q_article_extract")
 def article_extract(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", articles.article(F.col("html"), "de/rtl").alias("a")).select("page_id", "a.*")
+    return spread(table(spark, sf_dir, "pages")).select("page_id", articles.article(F.col("html"), "de/rtl").alias("a")).select("page_id", "a.*")
 
 
 @query("q_article_by_spec")
 def article_by_spec(spark, sf_dir):
     names = F.array(*[F.lit(n) for n in sorted(articles.SPECS)])
     spec = F.element_at(names, (F.col("page_id") % len(articles.SPECS) + 1).cast("int"))
-    return table(spark, sf_dir, "pages").select("page_id", spec.alias("spec"), articles.article(F.col("html"), spec, F.col("html"), F.col("url")).alias("a")).select("page_id", "spec", "a.*")
+    return spread(table(spark, sf_dir, "pages")).select("page_id", spec.alias("spec"), articles.article(F.col("html"), spec, F.col("html"), F.col("url")).alias("a")).select("page_id", "spec", "a.*")
 
 
 @query("q_images_extract")
 def images_extract(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages")
+    pages = spread(table(spark, sf_dir, "pages"))
     figure = F.concat(F.lit('<figure><img src="/img/'), "page_id", F.lit('x.jpg"><figcaption>Picture of '), "page_id", F.lit("</figcaption></figure></article>"))
     return images.images(pages.select("url", F.replace("html", F.lit("</article>"), figure).alias("html")), "correctiv").select("article_url", F.explode("images").alias("i")).select("article_url", "i.*")
 
@@ -359,12 +359,12 @@ def images_extract(spark, sf_dir):
 @query("q_videos_extract")
 def videos_extract(spark, sf_dir):
     frame = F.concat(F.lit('<iframe data-src="'), F.expr(VIDEO), F.lit('"></iframe>'))
-    return videos.of_pages(table(spark, sf_dir, "pages").select("page_id", F.concat("html", frame).alias("html")), "page_id").select("page_id", "videos")
+    return videos.of_pages(spread(table(spark, sf_dir, "pages")).select("page_id", F.concat("html", frame).alias("html")), "page_id").select("page_id", "videos")
 
 
 @query("q_absolute_url")
 def absolute_url(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", P.absolute_url(F.col("url"), F.lit("../a/b?c=1")).alias("joined"), P.add_query({"autoplay": "1"})(F.col("url")).alias("played"), P.sanitize_provider_url(F.col("url")).alias("sane"))
+    return spread(table(spark, sf_dir, "pages")).select("page_id", P.absolute_url(F.col("url"), F.lit("../a/b?c=1")).alias("joined"), P.add_query({"autoplay": "1"})(F.col("url")).alias("played"), P.sanitize_provider_url(F.col("url")).alias("sane"))
 
 
 @query("q_accent_cut")
@@ -375,7 +375,7 @@ def accent_cut(spark, sf_dir):
 @query("q_records")
 def records_plan(spark, sf_dir):
     """The whole plan: claims made from pages, their articles, media and verdicts, as JSON lines."""
-    pages = table(spark, sf_dir, "pages")
+    pages = spread(table(spark, sf_dir, "pages"))
     site = U.norm_site(F.col("url"))
     review = F.struct(F.struct(F.lit("P").alias("name"), site.alias("site")).alias("publisher"), F.col("url").alias("url"), title().alias("title"), F.lit("2024").alias("reviewDate"), F.lit("Falsch").alias("textualRating"))
     feed = pages.select(F.col("page_id").alias("pos"), title().alias("text"), F.lit(None).cast("string").alias("claimant"), F.lit("2024").alias("claimDate"), F.array(review).alias("claimReview"))

@@ -107,10 +107,21 @@ def page_urls(html: Column) -> Column:
     return F.concat(F.transform(attributes, T.unescape_basic), inner, streams)
 
 
-def buckets(urls: Column, providers=PROVIDERS) -> Column:
-    """Map provider -> canonical urls, shortest prefixes only; empty buckets are left out."""
-    known = F.filter(F.transform(urls, lambda u: provider(u, providers)), lambda p: p.isNotNull())
-    entries = F.array(*[F.struct(F.lit(n).alias("key"), T.shortest_prefixes(F.transform(F.filter(known, _named(n)), lambda p: p.url)).alias("value")) for n, _ in providers])
+#: Urls that no canonicaliser can know lack all of these.
+MAYBE = "(?i)youtu|dailymotion|facebook|ultimedia|tiktok|twitter|x\\.com|instagram|\\.mp4|\\.m3u8"
+
+
+def known(urls: Column, providers=PROVIDERS) -> Column:
+    """(provider, url) of the urls that some canonicaliser knows."""
+    return F.filter(F.transform(F.filter(urls, lambda u: u.rlike(MAYBE)), lambda u: provider(u, providers)), lambda p: p.isNotNull())
+
+
+def buckets(found: Column, providers=PROVIDERS) -> Column:
+    """``known`` urls as a map provider -> shortest prefixes; empty buckets are left out.
+
+    ``found`` is read once for each provider: give it as a column of its own, not as an expression.
+    """
+    entries = F.array(*[F.struct(F.lit(n).alias("key"), T.shortest_prefixes(F.transform(F.filter(found, _named(n)), lambda p: p.url)).alias("value")) for n, _ in providers])
     return F.map_from_entries(F.filter(entries, lambda e: F.size(e.value) > 0))
 
 
@@ -161,7 +172,7 @@ def of_pages(pages: DataFrame, key: str = "url", publisher: str | None = None) -
     found = page_urls(F.col("__html"))
     if publisher == "20minutes":
         found = F.filter(found, lambda u: u.rlike("(?i)instagram|twitter|x\\.com|facebook|tiktok|\\.mp4|youtube|ultimedia|dailymotion"))
-    return cut.select(key, video_list(buckets(found)).alias("videos"))
+    return cut.select(key, known(found).alias("__known")).select(key, video_list(buckets(F.col("__known"))).alias("videos"))
 
 
 def native_streams(urls: Column, host: str = "rtl.de") -> Column:

@@ -41,3 +41,12 @@ def shared_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return "file:///tmp/checkpoints/claimloom"
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A scan of fewer partitions than there are cores, dealt out evenly, for work that costs much more than moving its rows.
+
+    A large table has more partitions than cores and stays as it is: nothing is shuffled.
+    """
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
