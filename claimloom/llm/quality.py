@@ -4,7 +4,8 @@ Each rule reads counts of one text and votes 1 (good), 0 (bad) or abstains. Vote
 counted by pattern (at most 3 to the number of rules, however many documents), and expectation-maximisation over those counts
 estimates the share of good documents and, for each rule, how often it votes good for good and for bad documents. A document's
 posterior probability of being good is then a sum of the log odds of its votes, one CASE for each rule. It is kept if that
-reaches ``threshold``; the two base rules (too few words, too much repetition) reject by themselves.
+reaches ``threshold``; the two base rules (too few words, too much repetition) reject by themselves, and what they reject is not
+learned from.
 
 Everything on rows is DataFrame and SQL functions. Counts within a text are higher-order functions over its own arrays, so no
 text is exploded and nothing but pattern counts is shuffled. Repeated word windows are found by sorting 64-bit hashes of the
@@ -25,8 +26,9 @@ from pyspark.sql import functions as F
 
 from claimloom.llm.common import BLANKS, DOCUMENT, WORD, table, written
 
-#: A rule's rates stay inside these bounds and on its own side of them, so that no rule turns its meaning around.
-LEAST_RATE, MOST_RATE, MIDDLE = 0.01, 0.99, 0.5
+#: A rule's rates stay inside these bounds, and a rule votes good for good documents at least as often as for bad ones, so none
+#: turns its meaning around; one that tells nothing apart ends with equal rates and no weight.
+LEAST_RATE, MOST_RATE = 0.005, 0.995
 
 
 @dataclass(frozen=True)
@@ -42,19 +44,24 @@ class Rule:
 
 
 RULES = (
-    Rule("length", "n_words < 20", "n_words >= 100"),
-    Rule("word_length", "n_words > 0 and (word_chars < 2 * n_words or word_chars > 14 * n_words)", "word_chars between 3 * n_words and 9 * n_words"),
-    Rule("symbols", "10 * n_symbols > n_words", "100 * n_symbols <= n_words"),
+    Rule("word_length", "word_chars < 2 * n_words or word_chars > 7 * n_words", "word_chars between 3 * n_words and 65 * n_words / 10"),
+    Rule("symbols_by_word", "10 * n_symbols > n_words", "50 * n_symbols <= n_words"),
+    Rule("symbols_by_char", "50 * n_symbols > word_chars", "200 * n_symbols <= word_chars"),
     Rule("line_copies", "10 * n_dup_lines > 3 * n_lines", "20 * n_dup_lines <= n_lines"),
     Rule("repetition", "10 * n_repeat_words > 3 * n_words", "10 * n_repeat_words <= n_words"),
-    Rule("sentences", "n_stops * 60 < n_words", "n_stops * 30 >= n_words"),
+    Rule("sentences", "60 * n_stops < n_words", "30 * n_stops >= n_words"),
     Rule("digits", "5 * n_digits > word_chars", "20 * n_digits <= word_chars"),
 )
 
 
-def counts(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_stops, n_digits) of each row."""
-    text = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+def counts(docs: DataFrame, whole_rows: bool = False) -> DataFrame:
+    """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_stops, n_digits) of each row.
+
+    ``whole_rows`` adds ``row``, the row itself as a struct.
+    """
+    own = ["doc_id", "row"] if whole_rows else ["doc_id"]
+    row = [F.struct(*docs.columns).alias("row")] if whole_rows else []
+    text = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *row)
 
     def without(characters: str) -> Column:
         return F.length(F.translate("text", characters, ""))
@@ -62,7 +69,7 @@ def counts(docs: DataFrame) -> DataFrame:
     lines = F.expr("filter(split(text, '\\n', -1), l -> l rlike '[^\\\\x20\\\\x09-\\\\x0D]')")
     words = F.regexp_extract_all("text", F.lit(f"({WORD})"), 1)
     arrays = text.select(
-        "doc_id", words.alias("w"), lines.alias("l"), F.length("text").alias("chars"), without(BLANKS).alias("word_chars"), without("#*$%&|<>").alias("plain"),
+        *own, words.alias("w"), lines.alias("l"), F.length("text").alias("chars"), without(BLANKS).alias("word_chars"), without("#*$%&|<>").alias("plain"),
         F.regexp_count("text", F.lit("[.!?][\"')\\]]?(?=[\\x20\\x09-\\x0D]|$)")).alias("n_stops"), F.regexp_count("text", F.lit("[0-9]")).alias("n_digits"),
     )
     window = "case when size(w) < 3 then cast(array() as array<bigint>) else transform(slice(w, 1, size(w) - 2), (x, i) -> xxhash64(x, w[i + 1], w[i + 2])) end"
@@ -72,7 +79,7 @@ def counts(docs: DataFrame) -> DataFrame:
     repeated = f"case when s is null then 0 else size(array_distinct(flatten(transform({twice}, x -> array(x.i, x.i + 1, x.i + 2))))) end"
     long = lambda c: c.cast("long")
     return placed.select(
-        "doc_id", long(F.size("w")).alias("n_words"), long(F.col("word_chars")).alias("word_chars"), long(F.col("chars") - F.col("plain")).alias("n_symbols"),
+        *own, long(F.size("w")).alias("n_words"), long(F.col("word_chars")).alias("word_chars"), long(F.col("chars") - F.col("plain")).alias("n_symbols"),
         long(F.size("l") - F.size(F.array_distinct("l"))).alias("n_dup_lines"), long(F.expr(repeated)).alias("n_repeat_words"), long(F.size("l")).alias("n_lines"),
         long(F.col("n_stops")).alias("n_stops"), long(F.col("n_digits")).alias("n_digits"),
     )
@@ -96,21 +103,23 @@ def log_odds(vote: int, if_good: float, if_bad: float) -> float:
     return log(if_good / if_bad) if vote else log((1 - if_good) / (1 - if_bad))
 
 
-def estimate(patterns: list[tuple[list[int], int]], rounds: int = 100, close: float = 1e-7) -> Estimate:
-    """EM over (votes, documents with these votes); starts from a majority's view of each rule."""
+def estimate(patterns: list[tuple[list[int], int]], rounds: int = 200, close: float = 1e-7) -> Estimate:
+    """EM over (votes, documents with these votes). It starts from rules that mostly hold: good documents get good votes, bad ones
+    either. Without documents that is the estimate."""
     n_rules = len(patterns[0][0]) if patterns else len(RULES)
-    now = Estimate(0.8, ((0.9, 0.3),) * n_rules)
+    now = Estimate(0.9, ((0.97, 0.5),) * n_rules)
     total = sum(n for _, n in patterns)
     for _ in range(rounds if total else 0):
         weight = [(votes, n, now.posterior(votes)) for votes, n in patterns]
-        good = (sum(n * p for _, n, p in weight) + 8) / (total + 10)
+        good = (sum(n * p for _, n, p in weight) + 9) / (total + 10)
         rates = []
         for k in range(n_rules):
             voted = [(v[k], n, p) for v, n, p in weight if v[k] >= 0]
-            # a few imagined votes on each side keep rates of rare rules in place
-            a = (sum(n * p for v, n, p in voted if v) + 9) / (sum(n * p for _, n, p in voted) + 10)
-            b = (sum(n * (1 - p) for v, n, p in voted if v) + 3) / (sum(n * (1 - p) for _, n, p in voted) + 10)
-            rates.append((min(MOST_RATE, max(MIDDLE, a)), min(MIDDLE, max(LEAST_RATE, b))))
+            # a few imagined votes in each class keep rates of rare rules in place
+            a = (sum(n * p for v, n, p in voted if v) + 9.7) / (sum(n * p for _, n, p in voted) + 10)
+            b = (sum(n * (1 - p) for v, n, p in voted if v) + 5) / (sum(n * (1 - p) for _, n, p in voted) + 10)
+            a = min(MOST_RATE, max(LEAST_RATE, a))
+            rates.append((a, min(a, MOST_RATE, max(LEAST_RATE, b))))
         after = Estimate(min(0.999, max(0.001, good)), tuple(rates))
         moved = max([abs(after.good - now.good), *(abs(x - y) for r, s in zip(after.rates, now.rates, strict=True) for x, y in zip(r, s, strict=True))])
         now = after
@@ -119,25 +128,24 @@ def estimate(patterns: list[tuple[list[int], int]], rounds: int = 100, close: fl
     return now
 
 
-def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, threshold: float = 0.5, least_words: int = 50, most_repeated: int = 50) -> DataFrame:
-    """(doc_id, the counts, votes, base_failed, posterior, kept) for each row of ``docs`` (doc_id, text)."""
-    voted = written(counts(docs).select("*", *[r.vote() for r in rules]), "quality-votes")
+def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, threshold: float = 0.5, least_words: int = 50, most_repeated: int = 50, whole_rows: bool = False) -> DataFrame:
+    """(doc_id, the counts, votes, base_failed, posterior, kept) for each row of ``docs`` (doc_id, text); ``row`` as in ``counts``."""
+    voted = written(counts(docs, whole_rows).select("*", *[r.vote() for r in rules]), "quality-votes")
     names = [f"vote_{r.name}" for r in rules]
-    patterns = voted.groupBy(*names).count().collect()  # 3 to the number of rules at most
+    failed = (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > most_repeated * F.col("n_words"))
+    patterns = voted.where(~failed).groupBy(*names).count().collect()  # 3 to the number of rules at most
     model = estimate([([int(row[n]) for n in names], int(row["count"])) for row in patterns])
     odds = F.lit(log(model.good / (1 - model.good)))
     for name, rates in zip(names, model.rates, strict=True):
         odds = odds + F.when(F.col(name) == 1, log_odds(1, *rates)).when(F.col(name) == 0, log_odds(0, *rates)).otherwise(0.0)
-    failed = (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > most_repeated * F.col("n_words"))
     judged = voted.withColumn("base_failed", failed).withColumn("posterior", 1 / (1 + F.exp(-odds)))
     return judged.withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= threshold))
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the documents that the rules keep. A doc_id that repeats stays if all its rows do."""
-    docs = docs.select(*DOCUMENT)
-    kept = judge(docs).groupBy("doc_id").agg(F.min("kept").alias("kept")).where("kept").select(F.col("doc_id").alias("__kept"))
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["__kept"]), "left_semi")
+    """Pipeline stage: the rows that the rules keep. Rows are judged where they stand, so neither a missing nor a repeated
+    doc_id matters, and no text is shuffled."""
+    return judge(docs.select(*DOCUMENT), whole_rows=True).where("kept").select("row.*")
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
