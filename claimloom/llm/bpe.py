@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from claimloom.llm.common import DOCUMENT, arrow_batches, table
+from claimloom.session import spread
 
 #: The published pattern of byte-level pre-tokenization, with Unicode white space spelled out.
 SPACE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -234,7 +235,7 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return digests(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return digests(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
 QUERIES = {"op4_bpe": op4_bpe}

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimloom.llm.common import arrow_batches, table
+from claimloom.session import spread
 
 PER_LANGUAGE, SALTS, CHUNK, DICTIONARY, BLOCK, MOST_LANGUAGES = 256, 16, 1024, 128 << 10, 4096, 200
 letter = regex.compile(r"\p{L}").search
@@ -120,7 +121,7 @@ def held_out() -> Column:
 
 
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
     found = predict(docs, learn(docs.where(~held_out())))
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "margin", "rejected")
 

@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimloom.llm.common import DOCUMENT, arrow_batches, partitions, table, written
+from claimloom.session import spread
 
 #: Members of a leaf and children of an upper node.
 FANOUT = 16
@@ -264,17 +265,22 @@ def near_duplicates(docs: DataFrame, radius: int = 3, n: int = 3) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each component the document with the smallest doc_id stays, once."""
+    """Pipeline stage: of each component the document with the smallest doc_id stays, once.
+
+    Rows without a doc_id cannot name a component; of those with equal texts one stays.
+    """
     docs = docs.select(*DOCUMENT)
-    near = written(near_duplicates(docs), "simhash-components")
+    near = written(near_duplicates(docs.where("doc_id is not null")), "simhash-components")
     keep = near.where("doc_id = component_id").select(F.col("doc_id").alias("__keep")).distinct()
     kept = docs.join(keep, docs["doc_id"] == keep["__keep"], "left_semi")
     repeats = near.groupBy("doc_id").count().where("count > 1").limit(1).count()
-    return kept.dropDuplicates(["doc_id"]) if repeats else kept
+    kept = kept.dropDuplicates(["doc_id"]) if repeats else kept
+    nameless = docs.where("doc_id is null")
+    return kept.unionByName(nameless.dropDuplicates(["text"])) if nameless.limit(1).count() else kept
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return near_duplicates(docs).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 

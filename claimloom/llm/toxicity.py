@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimloom.llm.common import arrow_batches, table
+from claimloom.session import spread
 
 BITS = 20
 #: Documents to learn from, at most, and features that a document to learn from may have.
@@ -153,7 +154,7 @@ def held_out() -> Column:
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(~held_out())
     scored = score(docs, learn(labels, docs))
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
