@@ -33,10 +33,11 @@ from claimloom.session import spread
 SPACE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 #: Pieces that a worker remembers; beyond it the memory starts anew.
-MEMO = 500_000
+MEMO = 1_000_000
 #: Bytes that a vocabulary file may have to be broadcast.
 MOST_BYTES = 64 << 20
-NEVER = 1 << 60
+SHIFT, NEVER = 32, 1 << 60
+PLACE = (1 << SHIFT) - 1
 
 
 def byte_symbols() -> list[str]:
@@ -47,35 +48,37 @@ def byte_symbols() -> list[str]:
 
 
 class PairTree:
-    """Segment tree over the ranks of adjacent pairs; ``root`` is the leftmost place of the lowest rank."""
-
-    def __init__(self, ranks: list[int]):
-        self.size = 1
-        while self.size < len(ranks):
-            self.size *= 2
-        self.low = [NEVER] * self.size + ranks + [NEVER] * (self.size - len(ranks))
-        for k in range(self.size - 1, 0, -1):
-            self.low[k] = min(self.low[2 * k], self.low[2 * k + 1])
+    """Segment tree over the adjacent pairs of a piece.
+
+    A leaf is rank << SHIFT | place, or NEVER and above for a pair that cannot merge; a node is the smaller of its two children, so
+    the root names the lowest rank and, on a tie, the leftmost place. Levels are lists, leaves first.
+    """
+
+    def __init__(self, keys: list[int]):
+        self.levels = [keys]
+        while len(keys) > 1:
+            if len(keys) & 1:
+                keys.append(NEVER)
+            keys = list(map(min, keys[::2], keys[1::2]))
+            self.levels.append(keys)
+        self.steps = list(zip(self.levels, self.levels[1:], strict=False))
+        self.top = self.levels[-1]
 
     def root(self) -> int | None:
-        low = self.low
-        if low[1] == NEVER:
-            return None
-        k = 1
-        while k < self.size:
-            k = 2 * k if low[2 * k] == low[k] else 2 * k + 1
-        return k - self.size
-
-    def put(self, place: int, rank: int) -> None:
-        low, k = self.low, place + self.size
-        low[k] = rank
-        k //= 2
-        while k:
-            rank = min(low[2 * k], low[2 * k + 1])
-            if low[k] == rank:
-                break
-            low[k] = rank
-            k //= 2
+        """Place of the leftmost pair of lowest rank."""
+        return self.top[0] & PLACE if self.top[0] < NEVER else None
+
+    def put(self, place: int, key: int) -> None:
+        """Change a leaf and the nodes above it, as far as they change."""
+        self.levels[0][place] = key
+        for below, above in self.steps:
+            low, other = below[place], below[place ^ 1]
+            if other < low:
+                low = other
+            place >>= 1
+            if above[place] == low:
+                return
+            above[place] = low
 
 
 class Bpe:
@@ -87,7 +90,8 @@ class Bpe:
         symbols = byte_symbols()
         self.byte_ids = [vocab.get(s) for s in symbols]
         pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
-        self.merges = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(pairs)}
+        self.merges = {vocab[a] << SHIFT | vocab[b]: rank << SHIFT for rank, (a, b) in enumerate(pairs)}
+        self.made = [vocab[a + b] for a, b in pairs]
         value = {s: b for b, s in enumerate(symbols)}
         self.bytes_of = {i: bytes(value[c] for c in token) if all(c in value for c in token) else token.encode() for token, i in vocab.items()}
         self.special = {t["content"]: t["id"] for t in stated.get("added_tokens", [])}
@@ -101,24 +105,27 @@ class Bpe:
         ids = [self.byte_ids[b] for b in piece]
         if any(i is None for i in ids):
             raise ValueError("the vocabulary lacks a byte")
-        n, merges, none = len(ids), self.merges, (NEVER, 0)
+        n, key_of, made = len(ids), self.merges.get, self.made
         if n < 2:
             return ids
-        tree = PairTree([merges.get(pair, none)[0] for pair in zip(ids, ids[1:], strict=False)])
+        tree = PairTree([key_of(a << SHIFT | b, NEVER) | i for i, (a, b) in enumerate(zip(ids, ids[1:], strict=False))])
+        top, put = tree.top, tree.put
         after, ahead = list(range(1, n + 1)), list(range(-1, n - 1))
-        while (at := tree.root()) is not None:
+        while (low := top[0]) < NEVER:
+            at = low & PLACE
             right = after[at]
-            ids[at] = merges[ids[at], ids[right]][1]
+            ids[at] = own = made[low >> SHIFT]
             ids[right] = -1
             after[at] = follow = after[right]
             if follow < n:
                 ahead[follow] = at
-            if right < n - 1:
-                tree.put(right, NEVER)
-            if at < n - 1:
-                tree.put(at, merges.get((ids[at], ids[follow]), none)[0] if follow < n else NEVER)
-            if (left := ahead[at]) >= 0:
-                tree.put(left, merges.get((ids[left], ids[at]), none)[0])
+                put(right, NEVER)
+                put(at, key_of(own << SHIFT | ids[follow], NEVER) | at)
+            else:
+                put(at, NEVER)
+            left = ahead[at]
+            if left >= 0:
+                put(left, key_of(ids[left] << SHIFT | own, NEVER) | left)
         return [i for i in ids if i >= 0]
 
     def segments(self, text: str) -> Iterator[str]:

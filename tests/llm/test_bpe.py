@@ -39,12 +39,15 @@ def test_any_text(text):
 
 
 def test_tree_names_the_leftmost_lowest():
-    tree = bpe.PairTree([5, 3, 9, 3])
+    tree = bpe.PairTree([rank << bpe.SHIFT | place for place, rank in enumerate([5, 3, 9, 3, 8])])
     assert tree.root() == 1
     tree.put(1, bpe.NEVER)
     assert tree.root() == 3
-    tree.put(3, 7)
+    tree.put(3, 7 << bpe.SHIFT | 3)
     assert tree.root() == 0
+    for place in range(5):
+        tree.put(place, bpe.NEVER)
+    assert tree.root() is None
 
 
 def test_tables(spark):
