@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from claimloom.llm import near_copies
 from claimloom.llm.common import DOCUMENT, arrow_batches, partitions, table, written
 from claimloom.session import spread
 
@@ -264,13 +265,26 @@ def near_duplicates(docs: DataFrame, radius: int = 3, n: int = 3) -> DataFrame:
     return fps.join(named, fps["fp"] == named["__fp"]).select("doc_id", "fp", "component_id")
 
 
+def similar(docs: DataFrame) -> DataFrame:
+    """(doc_id, component_id) for each row of ``docs``: components of near copies, see ``near_copies``."""
+    signed = written(near_copies.signatures(docs), "near-signatures")
+    nodes = written(signed.groupBy("node").agg(F.min("doc_id").alias("low"), F.first("keys").alias("keys")), "near-nodes")
+    found = components(near_copies.links(docs, nodes)).withColumnRenamed("node", "__node")
+    rooted = nodes.join(found, nodes["node"] == found["__node"], "left").select("node", "low", F.coalesce("root", "node").alias("root"))
+    smallest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
+    named = rooted.join(smallest, "root").select("node", "component_id")
+    return signed.select("doc_id", "node").join(named, "node").select("doc_id", "component_id")
+
+
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each component the document with the smallest doc_id stays, once.
+    """Pipeline stage: of each component of near copies the document with the smallest doc_id stays, once.
+
+    Links follow five-word shingles at a similarity of 0.8 (``near_copies``), not op7_simhash's fingerprints at 3 bits.
 
     Rows without a doc_id cannot name a component; of those with equal texts one stays.
     """
     docs = docs.select(*DOCUMENT)
-    near = written(near_duplicates(docs.where("doc_id is not null")), "simhash-components")
+    near = written(similar(docs.where("doc_id is not null")), "simhash-components")
     keep = near.where("doc_id = component_id").select(F.col("doc_id").alias("__keep")).distinct()
     kept = docs.join(keep, docs["doc_id"] == keep["__keep"], "left_semi")
     repeats = near.groupBy("doc_id").count().where("count > 1").limit(1).count()

@@ -1,0 +1,29 @@
+import hashlib
+from collections import Counter
+
+import pytest
+
+import corpus_pipeline
+from claimloom.llm import quality
+from tests.llm.test_line_dedup import slow as slow_lines
+from tests.llm.test_near_copies import slow_keep
+from tests.llm.test_pipeline import SF, slow_mix, words
+
+
+def test_pipeline_drops_near_copies_at_a_similarity_of_four_fifths(spark):
+    tokenizers = pytest.importorskip("tokenizers")
+    from claimloom.llm.bpe import default_path
+
+    rows = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    kept = {r.doc_id for r in quality.op3_quality(spark, SF).collect() if r.kept}
+    docs = [(r.doc_id, r.text, r.source) for r in rows if r.doc_id in kept]
+    cleaned = {i: t for i, _, _, t in slow_lines([(i, t) for i, t, _ in docs])}
+    docs = [(i, cleaned[i], s) for i, _, s in docs if words(cleaned[i])]
+    keep = set(slow_keep([(i, t) for i, t, _ in docs]))
+    library = tokenizers.Tokenizer.from_file(default_path())
+    want = Counter()
+    for i, text in slow_mix([d for d in docs if d[0] in keep]):
+        ids = library.encode(text, add_special_tokens=False).ids
+        want[i, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest()] += 1
+    found = Counter((r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in corpus_pipeline.run(spark, SF).collect())
+    assert found == want and len(want) > 50
