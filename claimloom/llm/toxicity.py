@@ -8,7 +8,8 @@ broadcast, at most 2 ** BITS of them. Every whole text is then scored in one pas
 
 Labels, lang, source and doc_id are never features; doc_id only picks the sample and marks what was held out.
 
-Defined cases: null or empty text has the bias alone as its score; rows whose label is null are not learned from; a doc_id with
+Defined cases: null or empty text has the bias alone as its score; rows whose label is null are not learned from;
+a sampled document of more than MOST_FEATURES distinct features is not learned from, but scored like any other; a doc_id with
 several labels or texts gives one training row; with no labels or one class only, the score is the share of toxic labels
 (0 without labels); repeated rows score alike; extra columns are ignored; an empty table gives an empty result.
 """
