@@ -6,7 +6,7 @@ the text is marked as rejected. A long text would soon be its own dictionary, so
 are each encoded anew; sizes are summed, so the whole text counts.
 
 Learning reads a bounded sample: PER_LANGUAGE documents by the hash of their doc_id, CHUNK bytes of each at an offset that the
-hash picks. Dictionaries hold DICTIONARY bytes and languages are MOST_LANGUAGES at most, so what is broadcast is bounded. lang,
+hash picks. Dictionaries hold the first DICTIONARY bytes of that, so 128 to about 145 of those documents count (the rest is cut), and languages are MOST_LANGUAGES at most, so what is broadcast is bounded. lang,
 source and doc_id are never inputs of a prediction.
 
 Defined cases: text that is null or has no letter is ``und`` with score 0; when sizes tie, the language with more sampled bytes
