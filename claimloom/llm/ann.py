@@ -1,20 +1,26 @@
 """Approximate nearest neighbours by multi-index hashing of learned binary codes.
 
-A rotation learned on a bounded sample (principal axes, then iterative quantisation) turns a vector into a 64-bit code. The code
-is split into PIECES substrings, and each shard of the vectors has an index from substring value to rows for each of them. A
-query probes, in every index, all occupied values within radius // PIECES differing bits: by the pigeonhole principle that
-finds every code within ``radius``. Codes found are checked in full, then their vectors are ranked by the exact inner product
-in double precision. The radius comes from the sample: it holds the given share of true neighbours there, and in the whole
-table neighbours are nearer than in a sample of it. A shard with fewer than k codes in the radius is probed with a larger one
-until it has k or gives all it has, so small tables are answered completely.
+A rotation learned on a bounded sample (principal axes, then iterative quantisation; several rotations for narrow vectors) turns a
+vector into a code of BITS bits, split into PIECES substrings of 64. Each substring has its own index: postings (piece, value) ->
+vectors, dealt out by the first bits of the value, so a bucket holds neighbouring values. A query goes to those buckets of each
+index whose bits can still be within the piece's threshold, and probes there the postings of the values within it. Thresholds add
+up to radius - PIECES + 1, so by the pigeonhole principle every code within ``radius`` differs from the query by no more than the
+threshold in one piece at least, and is found; it counts in the first such piece alone, so nothing is counted twice. Codes found
+are checked in full, and those within the radius are ranked by the exact inner product in double precision.
+
+The radius comes from the table itself: PROBES queries are compared with every row, in one pass whose cost is linear, and the
+radius holds the share RECALL of their true neighbours. So it shrinks as a growing table brings neighbours nearer. Queries with
+fewer than k codes in the radius are asked again with a threshold that lets every code through one piece, which is exact search.
 
 Vectors of varying length get one more coordinate before they are encoded, sqrt(longest ** 2 - length ** 2), and queries zero
 there: the largest inner products are then the smallest angles.
 
-Work is dealt out in blocks: shards of at most SHARD vectors meet blocks of at most QUERIES_PER_BLOCK queries, so a task's
-input is bounded however many rows there are, and hashes of vec_id decide the shard, so equal or similar vectors are spread.
-Only k rows of each query and shard leave a task. Equal vectors need no care: each stands for itself and ties go to the smaller
-vec_id.
+Bounds. Of equal vectors the k + 1 smallest vec_ids alone can be among anyone's k nearest (ties go to the smaller vec_id, and a
+query leaves out itself), so the others are asked about but not posted; this is exact. Buckets of more than POSTINGS are
+dealt to several shards by the hash of vec_id, and queries of a bucket beyond QUERIES_PER_BLOCK likewise, so a task's input is bounded.
+
+On vectors without structure (directions at random) the neighbours of a query stand at 60 degrees and more; a radius that holds
+them leaves thresholds so wide that every bucket has to be visited, whatever the index. See README for measured shares.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components take no part, nor do rows with a null
 vec_id or vectors of another dimension than most; repeated rows of one vec_id count once (the smallest vector stays); with
@@ -23,40 +29,46 @@ fewer than k candidates all are returned; extra columns are ignored; an empty ta
 
 from __future__ import annotations
 
-from math import ceil
+from collections.abc import Iterator
+from dataclasses import dataclass
+from math import ceil, log2
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import table, written
+from claimloom.llm.common import arrow_batches, table, written
 
-BITS, PIECES = 64, 4
+PIECES, WIDTH = 4, 64
+BITS = PIECES * WIDTH
 SAMPLE, PROBES, RECALL = 4_096, 256, 0.97
-SHARD, LEAST_SHARDS, QUERIES_PER_BLOCK = 16_384, 16, 4_096
+#: Postings and queries of one task, at most; bits that buckets are told apart by, at least and at most.
+POSTINGS, QUERIES_PER_BLOCK, LEAST_BITS, MOST_BITS = 16_384, 8_192, 2, 16
+#: Comparisons of a query with a value that are held in memory at once.
+AT_ONCE = 2_000_000
+CODES = [f"c{i}" for i in range(PIECES)]
+RESULT = "query_id long, rank int, vec_id long, score double"
 
 
 class Coder:
-    """Learned rotation: principal axes of the centred sample, then iterative quantisation."""
+    """Learned rotations: principal axes of the centred sample, then iterative quantisation."""
 
     def __init__(self, sample: np.ndarray, longest: float, rounds: int = 30):
         self.longest = longest
         x = self.widen(sample)
         self.mean = x.mean(axis=0)
         x = x - self.mean
-        axes = np.linalg.svd(x, full_matrices=True)[2] if len(x) else np.eye(x.shape[1])
+        axes = np.linalg.eigh(x.T @ x)[1][:, ::-1][:, :BITS]
+        width = axes.shape[1]
         rng = np.random.default_rng(7)
-        width = x.shape[1]
-        copies = ceil(BITS / width)
-        parts = []
-        for _ in range(copies):  # narrow vectors get several rotations
+        at, parts = x @ axes, []
+        for _ in range(ceil(BITS / width)):  # narrow vectors get several rotations
             spin = np.linalg.qr(rng.normal(size=(width, width)))[0]
-            at = x @ axes.T
             for _ in range(rounds if len(x) > width else 0):
                 u, _, v = np.linalg.svd(np.sign(at @ spin).T @ at)
                 spin = (u @ v).T
-            parts.append(axes.T @ spin)
+            parts.append(axes @ spin)
         self.turn = np.hstack(parts)[:, :BITS]
 
     def widen(self, x: np.ndarray, query: bool = False) -> np.ndarray:
@@ -64,28 +76,63 @@ class Coder:
         return np.hstack([x, rest[:, None]])
 
     def codes(self, x: np.ndarray, query: bool = False) -> np.ndarray:
+        """One row of PIECES numbers for each vector."""
         bits = (self.widen(x, query) - self.mean) @ self.turn > 0
-        return np.packbits(bits, axis=1, bitorder="little").view(np.uint64).ravel()
-
-
-class MultiIndex:
-    """For each substring: the occupied values and each row's place among them."""
-
-    def __init__(self, codes: np.ndarray):
-        self.codes, self.width = codes, BITS // PIECES
-        self.tables = [np.unique(self.piece(codes, k), return_inverse=True) for k in range(PIECES)]
-
-    def piece(self, codes: np.ndarray, k: int) -> np.ndarray:
-        return (codes >> np.uint64(k * self.width) & np.uint64((1 << self.width) - 1)).astype(np.uint16)
-
-    def within(self, query: np.uint64, radius: int) -> np.ndarray:
-        """Rows whose code differs from ``query`` in at most ``radius`` bits; probes by pigeonhole, then checks whole codes."""
-        hit = np.zeros(len(self.codes), dtype=bool)
-        for k, (values, place) in enumerate(self.tables):
-            probed = np.bitwise_count(values ^ self.piece(query, k)) <= radius // PIECES
-            hit |= probed[place]
-        rows = np.flatnonzero(hit)
-        return rows[np.bitwise_count(self.codes[rows] ^ query) <= radius]
+        return np.packbits(bits, axis=1, bitorder="little").view(np.uint64)
+
+
+@dataclass(frozen=True)
+class Probing:
+    """``limits``: the threshold of each piece, -1 where none is probed; ``bits``: how many tell buckets apart."""
+
+    radius: int
+    limits: tuple[int, ...]
+    bits: int
+
+    @staticmethod
+    def within(radius: int, bits: int) -> Probing:
+        spare = radius - PIECES + 1
+        return Probing(radius, tuple(max(-1, spare // PIECES + (i < spare % PIECES)) for i in range(PIECES)), bits)
+
+    @staticmethod
+    def everything(bits: int) -> Probing:
+        return Probing(BITS, (WIDTH, *[-1] * (PIECES - 1)), bits)
+
+    def buckets(self, piece: int, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place among ``values``, bucket) for the buckets that may hold codes within the piece's threshold."""
+        flips = np.arange(1 << self.bits, dtype=np.uint64)
+        flips = flips[np.bitwise_count(flips) <= self.limits[piece]] if self.limits[piece] >= 0 else flips[:0]
+        own = values & np.uint64((1 << self.bits) - 1)
+        return np.repeat(np.arange(len(values)), len(flips)), (own[:, None] ^ flips).ravel().astype(np.int64)
+
+
+class Postings:
+    """One bucket of one piece's index: its values and, for each, the rows that have it."""
+
+    def __init__(self, codes: np.ndarray, piece: int):
+        self.codes, self.piece = codes, piece
+        self.values, of, self.sizes = np.unique(codes[:, piece], return_inverse=True, return_counts=True)
+        self.rows = np.argsort(of, kind="stable")
+        self.first = np.cumsum(self.sizes) - self.sizes
+
+    def found(self, asked: np.ndarray, probing: Probing) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(query, row) of the codes within the radius that this piece is the first to find, by blocks of queries."""
+        step = max(1, AT_ONCE // max(1, len(self.values)))
+        for at in range(0, len(asked), step):
+            gone = np.bitwise_count(asked[at : at + step, self.piece][:, None] ^ self.values)
+            q, value = np.nonzero(gone <= probing.limits[self.piece])
+            size = self.sizes[value]
+            row = self.rows[np.repeat(self.first[value] - np.cumsum(size) + size, size) + np.arange(size.sum())]
+            q = np.repeat(q, size) + at
+            total = np.zeros(len(q), dtype=np.int16)
+            keep = np.ones(len(q), dtype=bool)
+            for i in range(PIECES):
+                own = np.bitwise_count(asked[q, i] ^ self.codes[row, i])
+                total += own
+                if i < self.piece:
+                    keep &= own.astype(np.int16) > probing.limits[i]
+            keep &= total <= probing.radius
+            yield q[keep], row[keep]
 
 
 def products(x: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -93,75 +140,163 @@ def products(x: np.ndarray, q: np.ndarray) -> np.ndarray:
     return (x * q).sum(axis=1)
 
 
-def nearest(x: np.ndarray, ids: np.ndarray, index: MultiIndex, q: np.ndarray, q_id: int, code: np.uint64, radius: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(ids, scores) of the k best rows in the radius, without the query's own."""
-    while True:
-        rows = index.within(code, radius)
-        rows = rows[ids[rows] != q_id]
-        if len(rows) >= k or radius >= BITS:
-            break
-        radius = min(BITS, radius + 8)
-    scores = products(x[rows], q)
-    best = np.lexsort((ids[rows], -scores))[:k]
-    return ids[rows][best], scores[best]
-
-
-def radius_of(sample: np.ndarray, ids: np.ndarray, coder: Coder, k: int) -> int:
-    """Radius that holds the share RECALL of the true neighbours of PROBES sampled queries in the sample."""
-    if len(sample) <= k + 1:
-        return BITS
-    codes, far = coder.codes(sample), []
-    asked = coder.codes(sample[:PROBES], query=True)
-    for i in range(min(PROBES, len(sample))):
-        scores = products(sample, sample[i])
-        scores[i] = -np.inf
-        best = np.lexsort((ids, -scores))[:k]
-        far.append(np.bitwise_count(codes[best] ^ asked[i]))
-    return int(np.quantile(np.concatenate(far), RECALL, method="higher"))
+def vectors_of(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    flat = (column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column).flatten()
+    return flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
+
+
+def best_of(q: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k best of each query, ties to the smaller id."""
+    order = np.lexsort((ids, -scores, q))
+    own = q[order]
+    start = np.flatnonzero(np.r_[True, own[1:] != own[:-1]]) if len(own) else np.zeros(0, dtype=np.int64)
+    rank = np.arange(len(own)) - np.repeat(start, np.diff(np.r_[start, len(own)]))
+    return order[rank < k]
 
 
 def usable(vectors: DataFrame) -> DataFrame:
     """(vec_id, v): rows that take part, one for each vec_id."""
     good = "vec_id is not null and embedding is not null and size(embedding) > 0 and forall(embedding, x -> x is not null and not isnan(x) and abs(x) < double('infinity')) and exists(embedding, x -> x <> 0)"
-    rows = vectors.where(good).select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
-    return rows.groupBy("vec_id").agg(F.min("v").alias("v"))
-
-
-def search(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
+    return vectors.where(good).select("vec_id", F.col("embedding").alias("v")).groupBy("vec_id").agg(F.min("v").alias("v"))
+
+
+def encoded(rows: DataFrame, coder: Coder) -> DataFrame:
+    """``rows`` (vec_id, v) with their codes as signed longs c0, c1, ..."""
+    sent = rows.sparkSession.sparkContext.broadcast(coder)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            codes = sent.value.codes(vectors_of(batch.column("v"))).view(np.int64) if batch.num_rows else np.zeros((0, PIECES), np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(codes[:, i].copy()) for i in range(PIECES)]], [*batch.schema.names, *CODES])
+
+    return rows.mapInArrow(run, ", ".join([f"vec_id long, v {rows.schema['v'].dataType.simpleString()}", *[f"{c} long" for c in CODES]]))
+
+
+def radius_of(rows: DataFrame, probes: list, coder: Coder, k: int) -> int:
+    """Radius that holds the share RECALL of the true neighbours of ``probes``, which are compared with every row."""
+    sent = rows.sparkSession.sparkContext.broadcast((coder, np.array([p.v for p in probes], dtype=np.float64), np.array([p.vec_id for p in probes])))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder, q, q_ids = sent.value
+        asked = coder.codes(q, query=True)
+        held = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64))
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x, ids = vectors_of(batch.column("v")), batch.column("vec_id").to_numpy()
+            codes = coder.codes(x)
+            scores = np.where(q_ids[:, None] == ids, -np.inf, q @ x.T)
+            near = np.argpartition(-scores, min(k, len(ids) - 1), axis=1)[:, :k] if len(ids) > k else np.tile(np.arange(len(ids)), (len(q), 1))
+            probe, row = np.repeat(np.arange(len(q)), near.shape[1]), near.ravel()
+            other = q_ids[probe] != ids[row]
+            probe, row = probe[other], row[other]
+            gone = np.bitwise_count(asked[probe] ^ codes[row]).sum(axis=1, dtype=np.int64)
+            held = tuple(np.concatenate(pair) for pair in zip(held, (probe, ids[row], scores[probe, row], gone), strict=True))
+            best = best_of(held[0], held[1], held[2], k)
+            held = tuple(part[best] for part in held)
+        yield pa.RecordBatch.from_arrays([pa.array(part) for part in held], ["probe", "vec_id", "score", "gone"])
+
+    best = rows.select("vec_id", "v").mapInArrow(run, "probe long, vec_id long, score double, gone long")
+    best = best.withColumn("rank", F.row_number().over(Window.partitionBy("probe").orderBy(F.desc("score"), "vec_id"))).where(F.col("rank") <= k)
+    counted = sorted((r.gone, r.n) for r in best.groupBy("gone").agg(F.count("*").alias("n")).collect())  # BITS + 1 rows at most
+    enough, upto = RECALL * sum(n for _, n in counted), 0
+    for gone, n in counted:
+        upto += n
+        if upto >= enough:
+            return gone
+    return BITS
+
+
+def _lookup(index: DataFrame, asked: DataFrame, coder: Coder, probing: Probing, k: int) -> DataFrame:
+    """(query_id, vec_id, score): the best k of each query in each shard it visits."""
+    spark = index.sparkSession
+    v_type = index.schema["v"].dataType.simpleString()
+    sent = spark.sparkContext.broadcast((coder, probing))
+
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder, probing = sent.value
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            codes = coder.codes(vectors_of(batch.column("v")), query=True)
+            for piece in range(PIECES):
+                place, bucket = probing.buckets(piece, codes[:, piece])
+                for at in range(0, len(place), 4096):
+                    own = place[at : at + 4096]
+                    rows = batch.take(pa.array(own))
+                    columns = [pa.array(np.full(len(own), piece, np.int32)), pa.array(bucket[at : at + 4096]), *rows.columns, *[pa.array(codes[own, i].view(np.int64)) for i in range(PIECES)]]
+                    yield pa.RecordBatch.from_arrays(columns, ["piece", "bucket", "vec_id", "v", *CODES])
+
+    pieces = [i for i in range(PIECES) if probing.limits[i] >= 0]
+    key = F.explode(F.array(*[F.struct(F.lit(i).alias("piece"), F.col(CODES[i]).bitwiseAND(F.lit((1 << probing.bits) - 1)).alias("bucket")) for i in pieces])).alias("k")
+    posted = index.select(key, "vec_id", "v", *CODES).select("k.*", "vec_id", "v", *CODES)
+    routed = written(asked.select("vec_id", "v").mapInArrow(route, ", ".join(["piece int, bucket long, vec_id long", f"v {v_type}", *[f"{c} long" for c in CODES]])), "ann-routed")
+    held = index.select(key).select("k.*").groupBy("piece", "bucket").agg(F.count("*").alias("rows"))
+    visits = routed.groupBy("piece", "bucket").agg(F.count("*").alias("queries"))
+    shard = lambda column, most: F.ceil(F.col(column) / most).cast("int")
+    sizes = written(held.join(visits, ["piece", "bucket"]).select("piece", "bucket", shard("rows", POSTINGS).alias("shards"), shard("queries", QUERIES_PER_BLOCK).alias("blocks")), "ann-buckets")
+    own = lambda salt, of: F.pmod(F.xxhash64(F.lit(salt), "vec_id"), F.col(of)).cast("int")
+    every = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))  # noqa: E731  one but for buckets over the bounds
+    left = posted.join(sizes, ["piece", "bucket"]).withColumn("shard", own("shard", "shards")).withColumn("block", every("blocks"))
+    right = routed.join(sizes, ["piece", "bucket"]).withColumn("block", own("block", "blocks")).withColumn("shard", every("shards"))
+    keys, columns = ["piece", "bucket", "shard", "block"], ["vec_id", "v", *CODES]
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        coder, probing = sent.value
+        out = [pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.float64())]
+        if left.num_rows and right.num_rows:
+            piece = left.column("piece")[0].as_py()
+            codes, asked = (np.stack([t.column(c).to_numpy().view(np.uint64) for c in CODES], axis=1) for t in (left, right))
+            (x, ids), (q, q_ids) = ((vectors_of(t.column("v")), t.column("vec_id").to_numpy()) for t in (left, right))
+            parts = []
+            for query, row in Postings(codes, piece).found(asked, probing):
+                other = q_ids[query] != ids[row]
+                query, row = query[other], row[other]
+                scores = np.concatenate([products(x[row[at : at + 65_536]], q[query[at : at + 65_536]]) for at in range(0, len(row), 65_536)] or [np.zeros(0)])
+                best = best_of(query, ids[row], scores, k)
+                parts.append((q_ids[query[best]], ids[row[best]], scores[best]))
+            out = [pa.array(np.concatenate(column)) for column in zip(*parts, strict=True)]
+        return pa.table(dict(zip(["query_id", "vec_id", "score"], out, strict=True)))
+
+    return left.select(*keys, *columns).groupBy(*keys).cogroup(right.select(*keys, *columns).groupBy(*keys)).applyInArrow(run, "query_id long, vec_id long, score double")
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
+    by = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return found.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _posted(rows: DataFrame, k: int) -> DataFrame:
+    """Rows without those of equal vectors that nobody's k nearest can hold: all but the k + 1 smallest vec_ids."""
+    same: list[Column | str] = [F.xxhash64("v").alias("h"), "v"]
+    return rows.withColumn("__n", F.row_number().over(Window.partitionBy(*same).orderBy("vec_id"))).where(F.col("__n") <= k + 1).drop("__n")
+
+
+def search(vectors: DataFrame, k: int = 20, every: int = 20, postings: int = POSTINGS) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest of each row whose vec_id is divisible by ``every``."""
-    schema = "query_id long, vec_id long, score double"
+    spark = vectors.sparkSession
+    arrow_batches(spark, 4096)
     rows = written(usable(vectors), "ann-vectors")
-    widths = rows.groupBy(F.size("v").alias("w")).agg(F.count("*").alias("n"), F.max(F.expr("aggregate(v, 0d, (a, x) -> a + x * x)")).alias("longest")).orderBy(F.desc("n"), "w").first()
+    widths = rows.groupBy(F.size("v").alias("w")).agg(F.count("*").alias("n"), F.max(F.expr("aggregate(v, 0d, (a, x) -> a + double(x) * double(x))")).alias("longest")).orderBy(F.desc("n"), "w").first()
     if widths is None:
-        return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+        return spark.createDataFrame([], RESULT)
     rows = rows.where(F.size("v") == widths.w)
-    sample = sorted(rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect(), key=lambda r: r.vec_id * 2654435761 % 2**32)
-    sample_v, sample_ids = np.array([r.v for r in sample]), np.array([r.vec_id for r in sample])
-    coder = Coder(sample_v, float(np.sqrt(widths.longest)))
-    radius = radius_of(sample_v, sample_ids, coder, k)
-    shards = max(LEAST_SHARDS, -(-widths.n // SHARD))
     asked = rows.where(F.col("vec_id") % every == 0)
-    blocks = max(1, -(-asked.count() // QUERIES_PER_BLOCK))
-    shard = F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int")
-    block = F.pmod(F.xxhash64(F.lit("block"), "vec_id"), F.lit(blocks)).cast("int")
-    index = rows.select(shard.alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "vec_id", "v")
-    probes = asked.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), block.alias("block"), "vec_id", "v")
-    sent = rows.sparkSession.sparkContext.broadcast((coder, radius))
-
-    def run(left, right):
-        coder, radius = sent.value
-        if not left.num_rows or not right.num_rows:
-            return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
-        read = lambda t: (t.column("vec_id").to_numpy(), np.stack(t.column("v").combine_chunks().flatten().to_numpy().reshape(t.num_rows, -1)))
-        (ids, x), (q_ids, q) = read(left), read(right)
-        codes, asked = coder.codes(x), coder.codes(q, query=True)
-        index = MultiIndex(codes)
-        found = [nearest(x, ids, index, q[i], q_ids[i], asked[i], radius, k) for i in range(len(q))]
-        return pa.table({"query_id": np.repeat(q_ids, [len(f[0]) for f in found]), "vec_id": np.concatenate([f[0] for f in found]), "score": np.concatenate([f[1] for f in found])})
-
-    local = index.groupBy("shard", "block").cogroup(probes.groupBy("shard", "block")).applyInArrow(run, schema)
-    ranked = local.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    probes = asked.orderBy(F.xxhash64("vec_id"), "vec_id").limit(PROBES).collect()
+    if not probes:
+        return spark.createDataFrame([], RESULT)
+    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()
+    coder = Coder(np.array([r.v for r in sample], dtype=np.float64), float(np.sqrt(widths.longest)))
+    bits = min(MOST_BITS, max(LEAST_BITS, ceil(log2(max(1.0, widths.n / postings)))))
+    probing = Probing.within(radius_of(rows, probes, coder, k), bits)
+    index = written(encoded(_posted(rows, k), coder), "ann-codes")
+    found = written(_ranked(_lookup(index, asked, coder, probing, k), k), "ann-found")
+    enough = found.groupBy("query_id").count().where(F.col("count") >= k).select(F.col("query_id").alias("vec_id"))
+    short = written(asked.join(enough, "vec_id", "left_anti"), "ann-short")
+    if not short.limit(1).count():
+        return found
+    again = _ranked(_lookup(index, short, coder, Probing.everything(bits), k), k)
+    return found.join(short.select(F.col("vec_id").alias("query_id")), "query_id", "left_anti").select(*again.columns).unionByName(again)
 
 
 def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,14 +28,40 @@ def test_recall_and_scores(spark):
     assert hits >= 0.9 * 20 * len(found)
 
 
-def test_index_returns_every_code_in_the_radius():
+def test_index_returns_every_code_in_the_radius_once():
     rng = np.random.default_rng(4)
-    codes = rng.integers(0, 1 << 63, 500, dtype=np.uint64)
-    codes[250:] = codes[:250] ^ (np.uint64(1) << rng.integers(0, 64, 250).astype(np.uint64))
-    index = ann.MultiIndex(codes)
-    for radius in (0, 3, 9, 27, 64):
-        for q in codes[::50]:
-            assert (index.within(q, radius) == np.flatnonzero(np.bitwise_count(codes ^ q) <= radius)).all()
+    codes = rng.integers(0, 1 << 63, (500, ann.PIECES), dtype=np.uint64)
+    codes[250:] = codes[:250] ^ (np.uint64(1) << rng.integers(0, 64, (250, ann.PIECES)).astype(np.uint64))
+    codes[400:450] = codes[0]
+    asked = codes[::50]
+    whole = np.bitwise_count(asked[:, None] ^ codes).sum(axis=2)
+    for radius in (0, 1, 3, 9, 100, 120, 256):
+        probing = ann.Probing.within(radius, 3)
+        got = []
+        for piece in range(ann.PIECES):
+            place, bucket = probing.buckets(piece, asked[:, piece])
+            for q, own in zip(place, bucket, strict=True):
+                rows = np.flatnonzero(codes[:, piece] & np.uint64(7) == np.uint64(own))
+                for _, at in ann.Postings(codes[rows], piece).found(asked[q : q + 1], probing):
+                    got.extend((int(q), int(r)) for r in rows[at])
+        assert sorted(got) == [(int(q), int(r)) for q, r in zip(*np.nonzero(whole <= radius), strict=True)]
+
+
+def test_shards_and_second_round_give_the_same(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(700, 16)).round(3)
+    x[300:500] = x[0]  # a hot vector
+    x[690:] *= -30  # nobody's neighbours
+    df = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    ids = np.arange(700)
+    read = lambda found: {q: [r.vec_id for r in found if r.query_id == q] for q in {r.query_id for r in found}}
+    want = read(ann.search(df).orderBy("query_id", "rank").collect())
+    monkeypatch.setattr(ann, "POSTINGS", 40)
+    monkeypatch.setattr(ann, "QUERIES_PER_BLOCK", 3)
+    assert read(ann.search(df, postings=100).orderBy("query_id", "rank").collect()) == want
+    assert all(len(got) == 20 for got in want.values())
+    assert all(want[q] == brute(x, ids, x[q], q, 20) for q in (0, 300, 320, 480))
+    assert sum(len(set(want[q]) & set(brute(x, ids, x[q], q, 20))) for q in want) >= 0.9 * 20 * len(want)
 
 
 def test_odd_vectors_and_ties(spark):
