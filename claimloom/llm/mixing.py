@@ -2,51 +2,74 @@
 
 Targets: sources in code point order (null last) weigh 1, 2, 3, repeating, and share the sum of all sizes; a target stops at
 ``most`` times its source's size and the excess is shared again by weight until none is above. That is water-filling: the
-target is min(most * size, level * weight), and the level follows from one pass over the sources in order of size / weight.
-
-Sampling: a document's expected copies are target / size of its source. Documents of a source stand in order of
-(floor of the square root of the size, salt, size, doc_id, text digest), the expected copies are summed along that order, one
-offset for each source (from the md5 of its name, so reruns agree) is added, and a document is emitted once for each integer
-that its interval crosses. In order of size the taken words differ from the expected ones by little more than one document. So
-that one very long document cannot move a source from its target, documents of more than 1 / LARGE of their source (fewer than
-LARGE in each) are drawn first, and the rest's expected copies make up for what these took above or below their share.
-
-The running sum needs only each document's rank, found in two steps so that no source goes to one task: counts for each
-(source, size class, salt), summed up over that small table, plus the rank within the cell. Salts come from doc_id, and their
-number grows with the rows, so a cell holds a bounded share of even a single repeated document.
+target is min(most * size, level * weight), and the level rises with each pass over the sources until no more of them are full.
+
+Sampling: a document's expected copies are target / size of its source. Documents of a source stand in one order, the longest
+first: (floor of the square root of the size, descending, then a digest of doc_id and text). The expected copies are summed along
+that order, one offset for each source (from the md5 of its name, so reruns agree) is added, and a document is emitted once for
+each integer that its interval crosses. Documents of more than 1 / LARGE of their source (fewer than LARGE, and first in
+the order) are so coarse that one of them can move the source off its target; the expected copies of all after them make up for
+what these took above or below their share. It is one running sum with one offset; the order and the draw do not depend on the
+number of rows or partitions.
+
+The running sum needs only each document's rank, found in steps so that no source goes to one task: counts by (source, size
+class, first digits of the digest), summed up within the class and over the classes of a source, plus the rank within the cell.
+More rows give more digits, which cuts the same order into more cells. Rows equal in doc_id, source and text are counted before
+they are shuffled and stand for themselves again in the result. Sources are ranked by a sort over partitions and their level is
+found by aggregation, so they may be as many as web hosts; no window is without a key.
 
 Defined cases: null text has size 0; null source is a source, the last; a source of size 0 has target 0 and emits nothing;
-null doc_ids have salt 0; repeated rows are each a document; an empty table gives an empty result.
+null doc_ids are told apart by their texts; repeated rows and ties are each a document; texts of any length are counted whole;
+extra columns are kept by ``mix``, whatever their names (of rows equal in doc_id, source and text, one row's), and ignored else;
+an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+from math import ceil, log
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from claimloom.llm.common import DOCUMENT, WORD, table, written
+from claimloom.session import spread
 
-#: Salts at least, and rows for each salt.
-LEAST_SALTS, ROWS_PER_SALT = 64, 200_000
-#: A document of more than 1 / LARGE of its source is drawn first.
+#: Rows for each cell of a size class, about, and digest digits that tell cells apart, at least.
+ROWS_PER_CELL, LEAST_DIGITS = 20_000, 2
+#: What documents of more than 1 / LARGE of their source take is made up for by the others.
 LARGE = 200
 #: Offsets are multiples of 1 / STEPS, so that they stay exact beside large ranks.
 STEPS = 1024
 
 
+def _ranked(sources: DataFrame) -> DataFrame:
+    """``sources`` with ``place``, their number from 0 in code point order: places within sorted partitions plus what stands ahead."""
+    own = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    placed = written(sources.orderBy(F.col("src").asc_nulls_last()).withColumns({"part": F.spark_partition_id(), "own": own}), "mix-places")
+    counts = {r.part: r.n for r in placed.groupBy("part").agg(F.count("*").alias("n")).collect()}  # a row for each shuffle partition
+    ahead, total = [], 0
+    for part in range(max(counts, default=0) + 1):
+        ahead.append(total)
+        total += counts.get(part, 0)
+    return placed.withColumn("place", F.element_at(F.array(*[F.lit(n).cast("long") for n in ahead]), F.col("part") + 1) + F.col("own")).drop("part", "own")
+
+
 def source_targets(sizes: DataFrame, cycle: tuple[int, ...] = (1, 2, 3), most: int = 3) -> DataFrame:
-    """(src, source_size, source_rows, target) for each source of ``sizes`` (src, size). The windows are over sources, not rows."""
-    totals = sizes.groupBy("src").agg(F.sum("size").alias("source_size"), F.count("*").alias("source_rows"))
-    numbered = totals.withColumn("place", F.row_number().over(Window.orderBy(F.col("src").asc_nulls_last())) - 1)
-    weighed = numbered.withColumn("weight", F.element_at(F.array(*[F.lit(w) for w in cycle]), (F.col("place") % len(cycle) + 1).cast("int")).cast("double"))
-    rising = Window.orderBy(F.col("source_size") / F.col("weight"), "place")
-    before, every = rising.rowsBetween(Window.unboundedPreceding, -1), Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    capped = F.coalesce(F.sum("source_size").over(before), F.lit(0)) * most
-    level = (F.sum("source_size").over(every) - capped) / (F.sum("weight").over(every) - F.coalesce(F.sum("weight").over(before), F.lit(0.0)))
-    leveled = weighed.withColumn("own_level", level).withColumn("full", F.col("source_size") * most <= F.col("own_level") * F.col("weight"))
-    final = F.max(F.when(~F.col("full"), F.col("own_level"))).over(every)
-    target = F.when(F.col("full"), (F.col("source_size") * most).cast("double")).otherwise(final * F.col("weight"))
-    return leveled.withColumn("target", target).select("src", "source_size", "source_rows", "target")
+    """(src, source_size, source_rows, target) for each source of ``sizes`` (src, size, and optionally n, the rows it stands for)."""
+    n = F.col("n") if "n" in sizes.columns else F.lit(1)
+    totals = sizes.groupBy("src").agg(F.sum(F.col("size") * n).alias("source_size"), F.sum(n).cast("long").alias("source_rows"))
+    weight = F.element_at(F.array(*[F.lit(w) for w in cycle]), (F.col("place") % len(cycle) + 1).cast("int")).cast("double")
+    weighed = written(_ranked(totals).select("src", "source_size", "source_rows", weight.alias("weight")), "mix-sources")
+    level, held = 0.0, None
+    while True:
+        full = (F.col("source_size") * most <= level * F.col("weight")) if held else F.lit(False)
+        r = weighed.agg(F.sum("source_size"), F.sum("weight"), F.sum(F.when(full, F.col("source_size"))), F.sum(F.when(full, F.col("weight")))).first()
+        now = (r[2] or 0, r[3] or 0.0)
+        if not r[0] or now == held:
+            break
+        held, level = now, (r[0] - most * now[0]) / (r[1] - now[1])
+    target = F.least((F.col("source_size") * most).cast("double"), F.lit(level) * F.col("weight"))
+    return weighed.select("src", "source_size", "source_rows", target.alias("target"))
 
 
 def _crossed(start: Column, rank: Column, share: Column, most: int) -> Column:
@@ -55,53 +78,70 @@ def _crossed(start: Column, rank: Column, share: Column, most: int) -> Column:
     return F.least((F.floor(start + rank * share) - F.floor(start + (rank - 1) * share)).cast("long"), F.lit(most).cast("long"))
 
 
+def _key(source: str) -> Column:
+    """A source as a key that is never null."""
+    return F.coalesce(F.concat(F.lit("s"), F.col(source)), F.lit("n"))
+
+
+def _digest() -> Column:
+    return F.md5(F.coalesce(F.col("text"), F.lit("")))
+
+
 def with_copies(docs: DataFrame, cycle: tuple[int, ...] = (1, 2, 3), most: int = 3) -> DataFrame:
-    """(doc_id, src, digest, size, source_size, target, copies), one row for each row of ``docs`` (doc_id, text, source)."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    narrow = docs.select("doc_id", F.col("source").alias("src"), F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"), F.md5(text).alias("digest"))
-    sizes = written(narrow, "mix-sizes")
+    """(doc_id, key, digest, size, source_size, target, copies), one row for each row of ``docs`` (doc_id, text, source).
+
+    ``key`` is the source, marked so that it is never null; ``digest`` the md5 of the text.
+    """
+    size = F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD)).cast("long").alias("size")
+    narrow = docs.select("doc_id", F.col("source").alias("src"), size, _digest().alias("digest"))
+    sizes = written(narrow.groupBy("doc_id", "src", "digest", "size").agg(F.count("*").alias("n")), "mix-sizes")
     targets = written(source_targets(sizes, cycle, most), "mix-targets")
     n_rows = targets.agg(F.coalesce(F.sum("source_rows"), F.lit(0))).first()[0]
-    salts = max(LEAST_SALTS, -(-n_rows // ROWS_PER_SALT))
-    t = targets.select(F.col("src").alias("t_src"), "source_size", "target")
+    digits = max(LEAST_DIGITS, ceil(log(max(1, n_rows) / ROWS_PER_CELL, 16)) if n_rows > ROWS_PER_CELL else 0)
     start = F.conv(F.substring(F.md5(F.coalesce(F.col("src"), F.lit(""))), 1, 6), 16, 10).cast("long") % STEPS / F.lit(float(STEPS))
-    sized = sizes.join(t, sizes["src"].eqNullSafe(t["t_src"])).drop("t_src").withColumn("start", start).withColumn("large", F.col("size") * LARGE > F.col("source_size"))
-    columns = ["doc_id", "src", "digest", "size", "source_size", "target", "copies"]
-
-    by_size = ["size", F.col("doc_id").asc_nulls_first(), "digest"]
-    share = F.col("target") / F.col("source_size")
-    large = sized.where("large").withColumn("rank", F.row_number().over(Window.partitionBy("src").orderBy(*by_size))).withColumn("copies", _crossed(F.col("start"), F.col("rank"), share, most)).select(*columns)
-    met = large.groupBy("src").agg(F.sum(F.col("size") * F.col("copies")).alias("large_taken"), F.sum("size").alias("large_size"))
-    met = met.select(F.col("src").alias("m_src"), "large_taken", "large_size")
-    left = F.col("source_size") - F.coalesce("large_size", F.lit(0))
-    rate = F.when(left > 0, F.greatest(F.lit(0.0), F.least(F.lit(float(most)), (F.col("target") - F.coalesce("large_taken", F.lit(0))) / left))).otherwise(F.lit(0.0))
-    rates = t.join(met, t["t_src"].eqNullSafe(met["m_src"]), "left").select(F.col("t_src").alias("r_src"), rate.alias("rate"))
-
-    celled = sized.where("not large").withColumn("bin", F.floor(F.sqrt(F.col("size").cast("double"))).cast("long")).withColumn("salt", F.coalesce(F.pmod(F.col("doc_id"), F.lit(salts)), F.lit(0)))
-    upto = Window.partitionBy("src").orderBy("bin", "salt").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = celled.groupBy("src", "bin", "salt").agg(F.count("*").alias("rows")).withColumn("ahead", F.coalesce(F.sum("rows").over(upto), F.lit(0)))
-    o = offsets.select(F.col("src").alias("o_src"), F.col("bin").alias("o_bin"), F.col("salt").alias("o_salt"), "ahead")
-    o = o.join(rates, o["o_src"].eqNullSafe(rates["r_src"]))
-    ranked = celled.withColumn("within", F.row_number().over(Window.partitionBy("src", "bin", "salt").orderBy(*by_size)))
-    joined = ranked.join(o, ranked["src"].eqNullSafe(o["o_src"]) & (ranked["bin"] == o["o_bin"]) & (ranked["salt"] == o["o_salt"]))
-    small = joined.withColumn("copies", _crossed(F.col("start"), F.col("ahead") + F.col("within"), F.col("rate"), most))
-    return small.select(*columns).unionByName(large)
+    t = targets.select(_key("src").alias("key"), "source_size", "target", start.alias("start")).withColumn("share", F.col("target") / F.nullif(F.col("source_size"), F.lit(0)))
+    order = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("|"), F.col("digest")))
+    sized = sizes.withColumns({"key": _key("src"), "order": order}).drop("src").join(t, "key")
+    columns = ["doc_id", "key", "digest", "size", "source_size", "target", "copies"]
+    every = F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("repeat")
+    is_large = F.col("size") * LARGE > F.col("source_size")
+
+    longest_first = Window.partitionBy("key").orderBy(F.floor(F.sqrt(F.col("size").cast("double"))).desc(), "order", "repeat")
+    large = written(
+        sized.where(is_large).select("*", every).withColumn("rank", F.row_number().over(longest_first)).withColumn("copies", _crossed(F.col("start"), F.col("rank"), F.col("share"), most)).select(*columns), "mix-large"
+    )
+    met = large.groupBy("key").agg(F.sum(F.col("size") * F.col("copies")).alias("large_taken"), F.sum("size").alias("large_size"), F.count("*").alias("large_rows"))
+    none = lambda c: F.coalesce(c, F.lit(0))
+    left = F.col("source_size") - none("large_size")
+    rate = F.when(left > 0, F.greatest(F.lit(0.0), F.least(F.lit(float(most)), (F.col("target") - none("large_taken")) / left))).otherwise(F.lit(0.0))
+    rates = t.join(met, "key", "left").select("key", rate.alias("rate"), (F.col("start") + none("large_rows") * F.coalesce("share", F.lit(0.0))).alias("after"))
+
+    cell = {"bin": F.floor(F.sqrt(F.col("size").cast("double"))).cast("long"), "part": F.substring("order", 1, digits)}
+    rest = sized.where(~is_large).withColumns(cell)
+    cells = written(rest.groupBy("key", "bin", "part").agg(F.sum("n").alias("rows")), "mix-cells")
+    before = lambda by, order: F.coalesce(F.sum("rows").over(Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    bins = cells.groupBy("key", "bin").agg(F.sum("rows").alias("rows")).select("key", "bin", before(["key"], F.desc("bin")).alias("bins_ahead"))
+    ahead = cells.withColumn("parts_ahead", before(["key", "bin"], F.asc("part"))).join(bins, ["key", "bin"]).join(rates, "key")
+    ahead = written(ahead.select("key", "bin", "part", (F.col("bins_ahead") + F.col("parts_ahead")).alias("ahead"), "rate", "after"), "mix-ahead")
+    within = Window.partitionBy("key", "bin", "part").orderBy("order", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = rest.withColumn("within", F.coalesce(F.sum("n").over(within), F.lit(0))).join(ahead, ["key", "bin", "part"]).select("*", every)
+    drawn = ranked.withColumn("copies", _crossed(F.col("after"), F.col("ahead") + F.col("within") + F.col("repeat"), F.col("rate"), most))
+    return drawn.select(*columns).unionByName(large)
 
 
 def mix(docs: DataFrame, cycle: tuple[int, ...] = (1, 2, 3), most: int = 3) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it."""
-    taken = with_copies(docs, cycle, most).where("copies > 0")
-    keyed = taken.groupBy("doc_id", "src", "digest").agg(F.sum("copies").alias("__copies"), F.count("*").alias("__rows"))
-    narrow = keyed.select(F.col("doc_id").alias("__id"), F.col("src").alias("__src"), F.col("digest").alias("__digest"), "__copies")
-    with_digest = docs.withColumn("__text_md5", F.md5(F.coalesce("text", F.lit("")))).dropDuplicates(["doc_id", "source", "__text_md5"]) if _repeats(docs) else docs.withColumn("__text_md5", F.md5(F.coalesce("text", F.lit(""))))
-    on = with_digest["doc_id"].eqNullSafe(narrow["__id"]) & with_digest["source"].eqNullSafe(narrow["__src"]) & (with_digest["__text_md5"] == narrow["__digest"])
-    out = with_digest.join(narrow, on)
-    return out.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).select(*docs.columns)
+    taken = with_copies(docs.select("doc_id", "text", "source"), cycle, most).where("copies > 0")
+    taken = taken.groupBy("doc_id", "key", "digest").agg(F.sum("copies").alias("copies"))
+    whole = docs.select(F.col("doc_id").alias("id"), _key("source").alias("key"), _digest().alias("digest"), F.struct(*docs.columns).alias("row"))
+    whole = whole.dropDuplicates(["id", "key", "digest"]) if _repeats(docs) else whole
+    out = whole.join(taken.withColumnsRenamed({"key": "key_", "digest": "digest_"}), F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("key_")) & (F.col("digest") == F.col("digest_")))
+    return out.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*")
 
 
 def _repeats(docs: DataFrame) -> bool:
     """Whether a doc_id occurs twice; then copies are counted for the repeated rows together."""
-    return bool(docs.groupBy("doc_id").count().where("count > 1").limit(1).count())
+    return bool(docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").limit(1).count())
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -110,7 +150,7 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return with_copies(docs).select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
@@ -127,20 +167,19 @@ leveled as (select *, (sum(source_size) over () - 3 * coalesce(sum(source_size)
 marked as (select *, 3 * source_size <= own_level * weight as is_full from leveled),
 targets as (select src, source_size, case when is_full then (3 * source_size)::double
                    else max(case when not is_full then own_level end) over () * weight end as target from marked),
-sized as (select s.*, t.source_size, t.target, size * {LARGE} > t.source_size as is_large,
-                 (('0x' || substr(md5(coalesce(s.src, '')), 1, 6))::bigint % {STEPS}) / {STEPS}.0::double as start
+sized as (select s.*, t.source_size, t.target, t.target / nullif(t.source_size, 0) as share, size * {LARGE} > t.source_size as is_large,
+                 (('0x' || substr(md5(coalesce(s.src, '')), 1, 6))::bigint % {STEPS}) / {STEPS}.0::double as start,
+                 row_number() over (partition by s.src order by size * {LARGE} > t.source_size desc, floor(sqrt(size::double)) desc,
+                                    md5(coalesce(doc_id::varchar, '') || '|' || digest))::double as place
           from sizes s join targets t on s.src is not distinct from t.src),
-ranked as (select *, row_number() over (partition by src order by size, doc_id nulls first, digest)::double as place, target / source_size as share
-           from sized where is_large),
-large as (select *, least(floor(start + place * share) - floor(start + (place - 1) * share), 3) as copies from ranked),
-met as (select src, sum(size * copies) as large_taken, sum(size) as large_size from large group by src),
-rates as (select t.src, case when source_size > coalesce(large_size, 0) then
+large as (select *, least(floor(start + place * share) - floor(start + (place - 1) * share), 3) as copies from sized where is_large),
+met as (select src, sum(size * copies) as large_taken, sum(size) as large_size, count(*) as large_rows from large group by src),
+rates as (select s.*, coalesce(large_rows, 0) as before, case when source_size > coalesce(large_size, 0) then
                  greatest(0.0::double, least(3.0::double, (target - coalesce(large_taken, 0)) / (source_size - coalesce(large_size, 0)))) else 0.0::double end as rate
-          from targets t left join met m on t.src is not distinct from m.src),
-salts as (select greatest({LEAST_SALTS}, ceil(count(*) / {ROWS_PER_SALT}.0))::bigint as n from sizes),
-small as (select s.*, r.rate, row_number() over (partition by s.src order by floor(sqrt(size::double)), coalesce(doc_id % salts.n, 0), size,
-                 doc_id nulls first, digest)::double as place from sized s join rates r on s.src is not distinct from r.src, salts where not is_large),
-drawn as (select doc_id, size, source_size, target, least(floor(start + place * rate) - floor(start + (place - 1) * rate), 3) as copies from small
+          from sized s left join met m on s.src is not distinct from m.src where not is_large),
+summed as (select *, start + before * coalesce(share, 0.0::double) as after from rates),
+drawn as (select doc_id, size, source_size, target,
+                 least(floor(after + (place - before) * rate) - floor(after + (place - before - 1) * rate), 3) as copies from summed
           union all select doc_id, size, source_size, target, copies from large)
 select doc_id, size, source_size, target, (size * copies)::bigint as taken from drawn"""
 

@@ -1,4 +1,6 @@
-from collections import defaultdict
+from collections import Counter, defaultdict
+
+import pytest
 
 from claimloom.llm import mixing
 from tests.llm import cases
@@ -40,7 +42,7 @@ def test_mix_comes_near_its_targets(spark):
 
 
 def test_tables(spark):
-    docs = cases.documents(spark).drop("size", "score", "key")
+    docs = cases.documents(spark)  # with columns named size, score and key
     rows = mixing.with_copies(docs).collect()
     assert len(rows) == len(cases.ROWS)
     assert {r.size for r in rows if r.doc_id in (1, 2, 3)} == {0}
@@ -48,3 +50,23 @@ def test_tables(spark):
     assert out.columns == docs.columns
     assert out.count() == sum(r.copies for r in rows)
     assert mixing.with_copies(cases.empty(spark)).count() == 0 == mixing.mix(cases.empty(spark)).count()
+
+
+def test_many_sources(spark):
+    sizes = {f"host{k}.é" if k % 7 else f"Z{k}": (k * 7919) % 1000 + (5000 if k % 40 == 0 else 0) for k in range(700)} | {None: 12, "": 3}
+    found = {r.src: r.target for r in mixing.source_targets(spark.createDataFrame(list(sizes.items()), "src string, size long")).collect()}
+    want = slow_targets(sizes)
+    assert found.keys() == want.keys() and all(abs(found[s] - want[s]) < 1e-6 for s in want)
+
+
+@pytest.mark.parametrize("rows_per_cell", [20_000, 1])
+def test_mix_against_one_running_sum(spark, monkeypatch, rows_per_cell):
+    """One repeated document, rows without an id, long documents, a source of nulls; more cells leave the draw as it is."""
+    from tests.llm.test_pipeline import slow_mix
+
+    monkeypatch.setattr(mixing, "ROWS_PER_CELL", rows_per_cell)
+    rows = [(k, "w " * (k * 37 % 400), f"s{k % 5}") for k in range(600)] + [(7, "same text again", "s1")] * 300
+    rows += [(None, "no id " * (k % 9), None) for k in range(100)] + [(2000 + k, "long " * 30_000, "s2") for k in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert Counter((r.doc_id, r.text) for r in mixing.mix(docs).collect()) == Counter(slow_mix(rows))
+    assert mixing.with_copies(docs).count() == len(rows)
