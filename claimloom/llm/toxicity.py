@@ -1,17 +1,22 @@
 """Toxicity by FTRL-proximal logistic regression over hashed word n-grams and skip-grams.
 
 Features of a text are the hashes, modulo 2 ** BITS, of its words, its pairs of neighbours (n-grams) and its pairs with one word
-between them (skip-grams); each counts once however often it occurs. Training visits a bounded sample of labelled rows (SAMPLE
-documents, chosen by the hash of their doc_id, so the choice does not depend on partitions) and updates each coordinate with its
-own rate; L1 keeps a weight at zero until its gradients agree, so the model is a short list of (feature, weight) pairs that is
-broadcast, at most 2 ** BITS of them. Every whole text is then scored in one pass without a shuffle.
+between them (skip-grams); each counts once however often it occurs. Training visits a bounded sample of labelled rows and updates
+each coordinate with its own rate; L1 keeps a weight at zero until its gradients agree, so the model is a short list of (feature,
+weight) pairs that is broadcast, at most 2 ** BITS of them. Every whole text is then scored in one pass without a shuffle.
+
+The sample is taken in the order of the hash of doc_id, which does not depend on partitions: SAMPLE documents at most, and as
+many of them as have SAMPLE_CHARS characters together (the first one in any case). All features of a sampled document
+count. One executor task gets the sample's features and trains; the driver sees the weights alone. The strength of L1 is chosen
+among STRENGTHS by the loss on every FOLDS-th document of the sample, then all of it is learned from. A feature whose gradients cannot add up to L1
+(each is below one, and comes once an epoch for each document that has it) stays at zero, so it is left out from the start.
 
 Labels, lang, source and doc_id are never features; doc_id only picks the sample and marks what was held out.
 
-Defined cases: null or empty text has the bias alone as its score; rows whose label is null are not learned from;
-a sampled document of more than MOST_FEATURES distinct features is not learned from, but scored like any other; a doc_id with
-several labels or texts gives one training row; with no labels or one class only, the score is the share of toxic labels
-(0 without labels); repeated rows score alike; extra columns are ignored; an empty table gives an empty result.
+Defined cases: null or empty text has the bias alone as its score; texts of any length are scored whole; rows whose label is null
+are not learned from; a doc_id with several labels or texts gives one training row (the toxic label, the smaller text); with one
+class only, all scores are next to 0 or next to 1, and next to 0 without labels; repeated rows score alike; extra columns are
+ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,12 +32,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimloom.llm.common import arrow_batches, table
+from claimloom.llm.common import arrow_batches, table, written
 from claimloom.session import spread
 
 BITS = 20
-#: Documents to learn from, at most, and features that a document to learn from may have.
-SAMPLE, MOST_FEATURES = 16_000, 60_000
+#: Documents to learn from, and their characters, at most.
+SAMPLE, SAMPLE_CHARS = 16_000, 64 << 20
+#: Strengths of L1 to choose from, and the share of the sample (one in FOLDS) to choose by.
+STRENGTHS, FOLDS = (3.0, 6.0, 10.0), 5
 #: Words that a worker remembers the hashes of.
 MEMO = 1_000_000
 words_of = re.compile(r"[^\W\d_]+|\d+").findall
@@ -81,13 +88,18 @@ def logistic(x: float) -> float:
     return float(1 / (1 + np.exp(-min(35.0, max(-35.0, x)))))
 
 
-def ftrl(rows: list[np.ndarray], labels: list[int], alpha: float = 0.5, beta: float = 1.0, l1: float = 6.0, l2: float = 0.1, epochs: int = 5) -> Weights:
+def ftrl(rows: list[np.ndarray], labels: list[int], alpha: float = 1.0, beta: float = 1.0, l1: float = 6.0, l2: float = 0.1, epochs: int = 2) -> Weights:
     """FTRL-proximal: z and n are sums of gradients and of their squares, by coordinate."""
-    z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
     share = sum(labels) / len(labels) if labels else 0.0
     if not 0 < share < 1:
         return Weights(np.zeros(0, np.int64), np.zeros(0), 35.0 if share else -35.0)
     bias, bias_n = float(np.log(share / (1 - share))), 0.0
+    held = sum(np.bincount(r, minlength=1 << BITS) for r in rows)  # documents that have each feature
+    able = np.flatnonzero(held * epochs > l1)
+    place = np.full(1 << BITS, -1, dtype=np.int64)
+    place[able] = np.arange(len(able))
+    rows = [(own := place[r])[own >= 0] for r in rows]
+    z, n = np.zeros(len(able)), np.zeros(len(able))
 
     def weights(i):
         zi, w = z[i], np.zeros(len(i))
@@ -108,27 +120,54 @@ def ftrl(rows: list[np.ndarray], labels: list[int], alpha: float = 0.5, beta: fl
             bias_n += g * g
             bias -= alpha / (beta + bias_n**0.5) * g
     i = np.flatnonzero(np.abs(z) > l1)
-    return Weights(i, weights(i), bias)
+    return Weights(able[i], weights(i), bias)
+
+
+def loss(model: Weights, rows: list[np.ndarray], labels: list[int]) -> float:
+    """Mean logarithmic loss."""
+    w = model.dense()
+    p = np.array([logistic(model.bias + float(w[r].sum())) for r in rows])
+    return float(-np.log(np.where(np.array(labels) > 0, p, 1 - p) + 1e-12).mean()) if rows else 0.0
 
 
-def learn(labelled: DataFrame, docs: DataFrame, sample: int = SAMPLE) -> Weights:
-    """Fit on at most ``sample`` of ``labelled`` (doc_id, toxic), whose texts ``docs`` (doc_id, text) holds."""
+def chosen_fit(rows: list[np.ndarray], labels: list[int]) -> Weights:
+    """A model of all rows, with the strength of L1 that does best on a part of them after learning from the others."""
+    train, test = [[k for k in range(len(rows)) if (k % FOLDS == 0) == held] for held in (False, True)]
+    part = lambda of, keep: [of[k] for k in keep]
+    tried = {l1: loss(ftrl(part(rows, train), part(labels, train), l1=l1), part(rows, test), part(labels, test)) for l1 in STRENGTHS}
+    return ftrl(rows, labels, l1=min(STRENGTHS, key=tried.get))
+
+
+def learn(labelled: DataFrame, docs: DataFrame, sample: int = SAMPLE, chars: int = SAMPLE_CHARS) -> Weights:
+    """Fit on at most ``sample`` of ``labelled`` (doc_id, toxic), of ``chars`` characters, whose texts ``docs`` (doc_id, text) holds."""
     arrow_batches(docs.sparkSession)
     one = labelled.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     chosen = one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    texts = docs.where("text is not null").join(F.broadcast(chosen), "doc_id").select("doc_id", "toxic", "text")
+    texts = docs.where("text is not null").join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.first("toxic").alias("toxic"), F.min("text").alias("text"))
+    texts = written(texts.withColumns({"h": F.xxhash64("doc_id"), "chars": F.length("text").cast("long")}), "toxicity-sample")
+    upto, last = 0, None
+    for r in sorted(texts.select("h", "chars").collect()):  # ``sample`` pairs of numbers
+        upto += r.chars
+        if last is not None and upto > chars:
+            break
+        last = r.h
+    if last is None:
+        return ftrl([], [])
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = Hashes()
         for batch in batches:
             found = [np.unique(grams(t, memo)).astype(np.int32) for t in batch.column("text").to_pylist()]
-            fits = pa.array([len(f) <= MOST_FEATURES for f in found], pa.bool_())
-            out = pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.array(found, pa.list_(pa.int32()))], ["doc_id", "toxic", "grams"])
-            yield out.filter(fits)
+            yield pa.RecordBatch.from_arrays([batch.column("h"), batch.column("toxic"), pa.array(found, pa.list_(pa.int32()))], ["h", "toxic", "grams"])
+
+    def fit(group: pa.Table) -> pa.Table:
+        group = group.sort_by("h")
+        model = chosen_fit([g.values.to_numpy() for g in group.column("grams")], [int(x) for x in group.column("toxic").to_pylist()])
+        return pa.table({"feature": pa.array(np.r_[-1, model.features].astype(np.int64)), "weight": pa.array(np.r_[model.bias, model.values].astype(np.float64))})
 
-    schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("toxic", T.IntegerType()), T.StructField("grams", T.ArrayType(T.IntegerType()))])
-    rows = texts.mapInArrow(features, schema).groupBy("doc_id").agg(F.first("toxic").alias("toxic"), F.min("grams").alias("grams")).orderBy("doc_id").toArrow()
-    return ftrl([g.values.to_numpy() for g in rows.column("grams")], [int(x) for x in rows.column("toxic").to_pylist()])
+    rows = texts.where(F.col("h") <= last).select("h", "toxic", "text").mapInArrow(features, "h long, toxic int, grams array<int>")
+    found = sorted(rows.groupBy(F.lit("model").alias("model")).applyInArrow(fit, "feature long, weight double").collect())  # bias first, then the weights
+    return Weights(np.array([r.feature for r in found[1:]], dtype=np.int64), np.array([r.weight for r in found[1:]]), found[0].weight)
 
 
 def score(docs: DataFrame, model: Weights) -> DataFrame:
