@@ -5,9 +5,10 @@ dictionary, and the language whose dictionary makes it smallest is chosen; if th
 the text is marked as rejected. A long text would soon be its own dictionary, so texts are cut into blocks of BLOCK bytes that
 are each encoded anew; sizes are summed, so the whole text counts.
 
-Learning reads a bounded sample: PER_LANGUAGE documents by the hash of their doc_id, CHUNK bytes of each at an offset that the
-hash picks. Dictionaries hold the first DICTIONARY bytes of that, so 128 to about 145 of those documents count (the rest is cut), and languages are MOST_LANGUAGES at most, so what is broadcast is bounded. lang,
-source and doc_id are never inputs of a prediction.
+Learning reads a bounded sample: of each language PER_LANGUAGE documents by the hash of their doc_id, and CHUNK bytes of each at an
+offset that the hash picks; all of that is the language's dictionary. Where ``lang`` has more than MOST_LANGUAGES values, as a
+dirty column may, those of the most documents (ties: the smaller name) get a dictionary and the others cannot be predicted, so
+what is broadcast is bounded. lang, source and doc_id are never inputs of a prediction.
 
 Defined cases: text that is null or has no letter is ``und`` with score 0; when sizes tie, the language with more sampled bytes
 stands first, then the smaller name; with nothing to learn from, all are ``und``; a null lang is not learned from; repeated rows
@@ -30,7 +31,7 @@ from pyspark.sql import types as T
 from claimloom.llm.common import arrow_batches, table
 from claimloom.session import spread
 
-PER_LANGUAGE, SALTS, CHUNK, DICTIONARY, BLOCK, MOST_LANGUAGES = 256, 16, 1024, 128 << 10, 4096, 200
+PER_LANGUAGE, SALTS, CHUNK, BLOCK, MOST_LANGUAGES = 160, 16, 1024, 4096, 200
 letter = regex.compile(r"\p{L}").search
 between = regex.compile(r"[^\p{L}\p{M}]+").sub
 
@@ -73,13 +74,11 @@ def learn(docs: DataFrame) -> dict[str, bytes]:
     """Language -> dictionary, from ``docs`` (doc_id, text, lang)."""
     arrow_batches(docs.sparkSession)
     known = docs.where("lang is not null and doc_id is not null and text is not null and text <> ''")
-    hashed = known.select("doc_id", "lang").withColumn("h", F.xxhash64("doc_id")).withColumn("salt", F.pmod("h", F.lit(SALTS)))
+    names = [r.lang for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()]
+    hashed = known.where(F.col("lang").isin(names)).select("doc_id", "lang").withColumn("h", F.xxhash64("doc_id")).withColumn("salt", F.pmod("h", F.lit(SALTS)))
     # a fixed number for each language and salt: no language goes to one task, and partial limits keep the shuffle small
     first = Window.partitionBy("lang", "salt").orderBy("h", "doc_id")
     chosen = hashed.withColumn("n", F.row_number().over(first)).where(F.col("n") <= PER_LANGUAGE // SALTS).select("doc_id", "lang", "h").distinct()
-    names = [r.lang for r in chosen.select("lang").distinct().limit(MOST_LANGUAGES + 1).collect()]
-    if len(names) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
     texts = docs.where("text is not null").select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "lang", "h", "text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,7 +95,7 @@ def learn(docs: DataFrame) -> dict[str, bytes]:
     parts = defaultdict(list)
     for r in sorted(rows, key=lambda r: (r.lang, r.h, r.doc_id)):
         parts[r.lang].append(bytes(r.part))
-    return {name: b"\n".join(own)[:DICTIONARY] for name, own in parts.items()}
+    return {name: b"\n".join(own) for name, own in parts.items()}
 
 
 def predict(docs: DataFrame, dictionaries: dict[str, bytes], margin: float = 0.01) -> DataFrame:
