@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from claimloom.session import shared_dir
+
 #: A word is a run of anything but the six ASCII blanks.
 WORD = "[^\\x20\\x09-\\x0D]+"
 #: The characters that separate words.
@@ -29,24 +33,56 @@ def arrow_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
         spark.conf.set(key, str(rows))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share, as the session names it."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return "file:///tmp/checkpoints/claimloom"
+#: Folders that the tables of the runs going on are written to; see ``scratch``.
+_FOLDERS: list[str] = []
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage and survives lost executors."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{_FOLDERS[-1] if _FOLDERS else shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables ``written`` inside go when it ends: what is made from them has to be written outside, or used up, before."""
+    folder = f"{shared_dir(spark)}/run-{uuid.uuid4().hex}"
+    _FOLDERS.append(folder)
+    try:
+        yield
+    finally:
+        _FOLDERS.remove(folder)
+        removed(spark, folder)
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a folder, in whatever store it is."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+#: Bitmaps of a sieve, each of 32,768 bits: 8 MB of them at most, however many values are put in.
+BITMAPS, BITS = 2048, 32_768
+
+
+def sieve(values: DataFrame, column: str) -> DataFrame:
+    """(bucket, bits): bitmaps of the hashes of a column's values, bounded in size and so fit to be broadcast."""
+    place = F.pmod(F.xxhash64(column), F.lit(BITMAPS * BITS))
+    placed = values.select(F.floor(place / BITS).alias("bucket"), (place % BITS).alias("at"))
+    return written(placed.groupBy("bucket").agg(F.bitmap_construct_agg("at").alias("bits")), "sieve")
+
+
+def sifted(df: DataFrame, column: str, bitmaps: DataFrame) -> DataFrame:
+    """``df`` with ``maybe``: false only where the column's value was not put into the sieve. No row moves."""
+    place = F.pmod(F.xxhash64(column), F.lit(BITMAPS * BITS))
+    own = bitmaps.select(F.col("bucket").alias("__bucket"), F.col("bits").alias("__bits"))
+    byte = F.conv(F.hex(F.substring(F.col("__bits"), F.floor((place % BITS) / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    maybe = F.coalesce(byte.bitwiseAND(F.call_function("shiftleft", F.lit(1), (place % 8).cast("int"))) != 0, F.lit(False))
+    return df.join(F.broadcast(own), F.floor(place / BITS) == F.col("__bucket"), "left").withColumn("maybe", maybe).drop("__bucket", "__bits")
+
+
 def ascii_lower(col):
     """Lower-case A-Z alone."""
     return F.translate(col, UPPER, LOWER)

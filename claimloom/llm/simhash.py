@@ -8,7 +8,7 @@ Search. Equal fingerprints become one first, so copies never meet as pairs. Each
 its masked blocks: with ``blocks`` blocks and ``radius`` differences, some ``blocks - radius`` blocks are equal, so every
 choice of that many blocks is one table and every link is inside a bucket of one of them. ``blocks`` follows from the number
 of fingerprints, so that a bucket of unrelated ones stays small. Buckets over ``HEAVY`` fingerprints are cut again by blocks of
-their remaining bits, which loses no link by the same argument. In a bin, fingerprints are sorted by bucket and Gray rank; runs
+their remaining bits, as often as it takes, which loses no link by the same argument. In a bin, fingerprints are sorted by bucket and Gray rank; runs
 of 16 form leaves and runs of leaves upper nodes, each holding the bits its members share and its parent does not. A query goes
 down from its bucket's root, adds up differences against those bits, and leaves a node once they pass the radius.
 
@@ -23,7 +23,7 @@ smallest doc_id that is not null (null if there is none); extra columns are igno
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import combinations, count
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimloom.llm import near_copies
-from claimloom.llm.common import DOCUMENT, arrow_batches, partitions, table, written
+from claimloom.llm.common import DOCUMENT, arrow_batches, partitions, sieve, sifted, table, written
 from claimloom.session import spread
 
 #: Members of a leaf and children of an upper node.
@@ -42,6 +42,8 @@ FANOUT = 16
 HEAVY = 20_000
 #: Fingerprints, times tables, for each bin.
 BIN_ROWS = 40_000
+#: First number of rows without a doc_id in the pipeline's stage.
+UNNAMED = 1 << 62
 
 
 def fingerprint(text: str | None, n: int = 3) -> int:
@@ -202,18 +204,20 @@ def links(fps: DataFrame, radius: int = 3) -> DataFrame:
     spark = fps.sparkSession
     n = fps.count()
     masks = bucket_masks(plan_blocks(n, radius), radius)
-    tables = F.array(*[F.struct(F.lit(i).alias("t"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("bits")) for i, m in enumerate(masks)])
-    keyed = fps.select("fp", F.explode(tables).alias("key")).select("fp", F.xxhash64("key.t", "key.bits").alias("key"), F.col("key.t").alias("t"))
-    crowded = written(keyed.groupBy("key").count().where(F.col("count") > HEAVY).select("key"), "simhash-heavy")
     rows = n * len(masks)
-    if crowded.limit(1).count():
-        heavy = keyed.join(crowded, "key", "left_semi")
-        rest = [m for mask in masks for m in [_split(mask, radius)]]
-        table_of = F.array(*[F.array(*[F.lit(_signed(m)) for m in r]) for r in rest])
-        again = heavy.select("fp", "key", F.explode(F.element_at(table_of, F.col("t") + 1)).alias("mask"))
-        again = again.select("fp", F.xxhash64("key", "mask", F.col("fp").bitwiseAND(F.col("mask"))).alias("key"))
-        keyed = keyed.join(crowded, "key", "left_anti").select("fp", "key").unionByName(again)
-        rows *= 2
+    keyed, parts = _by_masks(fps.select("fp", F.lit(0).alias("t"), F.lit(0).cast("long").alias("key")), [masks]), []
+    while True:
+        counts = written(keyed.groupBy("key").count().where(F.col("count") > HEAVY).select("key"), "simhash-heavy")
+        if not counts.limit(1).count():
+            break
+        parts.append(keyed.join(counts, "key", "left_anti").select("fp", "key"))
+        # each crowded bucket is cut by blocks of the bits that are not equal in it yet; the masks of a level are known here
+        heavy, below = keyed.join(counts, "key", "left_semi"), [[mask | m for m in _split(mask, radius)] for mask in masks]
+        keyed = written(_by_masks(heavy, below), "simhash-split")
+        masks = [m for own in below for m in own]
+        rows += keyed.count()
+    for part in parts:
+        keyed = keyed.select("fp", "key").unionByName(part)
     bins = max(4 * partitions(spark), rows // BIN_ROWS)
     schema = "u long, v long"
 
@@ -226,71 +230,88 @@ def links(fps: DataFrame, radius: int = 3) -> DataFrame:
     return keyed.select("fp", "key", F.pmod("key", F.lit(bins)).alias("bin")).groupBy("bin").applyInArrow(run, schema)
 
 
+def _by_masks(keyed: DataFrame, masks: list[list[int]]) -> DataFrame:
+    """(fp, t, key): each row of ``keyed`` once for each mask that the masks' list number ``t`` holds; t then numbers all masks."""
+    table_of, number = [], 0
+    for own in masks:
+        table_of.append(F.array(*[F.struct(F.lit(number + k).alias("t"), F.lit(_signed(m)).cast("long").alias("m")) for k, m in enumerate(own)]))
+        number += len(own)
+    cut = keyed.select("fp", "key", F.explode(F.element_at(F.array(*table_of), F.col("t") + 1)).alias("own"))
+    return cut.select("fp", F.col("own.t").alias("t"), F.xxhash64("key", "own.t", F.col("fp").bitwiseAND(F.col("own.m"))).alias("key"))
+
+
 def _split(mask: int, radius: int) -> list[int]:
-    """Masks of radius + 1 blocks of the bits outside ``mask``."""
+    """Masks of radius + 1 blocks of the bits outside ``mask``; at least one is equal in fingerprints that link."""
     free = [b for b in range(64) if not mask >> b & 1]
     cuts = [round(i * len(free) / (radius + 1)) for i in range(radius + 2)]
     return [sum(1 << b for b in free[a:e]) for a, e in zip(cuts, cuts[1:], strict=False)]
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, root) for edges (u, v), u > v; alternates large-star and small-star until the edges stay the same.
 
-    Neither step gathers a node's neighbours: a minimum is summed up partly before its shuffle, then joined back.
+    Neither step gathers a node's neighbours: a minimum is summed up partly before its shuffle, written, then joined back, so
+    that the join may split the edges of a node that very many others link to. The edges' sum falls with each round that
+    changes them, so the rounds end.
     """
     edges = written(edges.distinct(), "star-0")
     before = None
-    for k in range(1, rounds + 1):
+    for k in count(1):
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if not state[0] or state == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
         before = state
         both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), f"star-large-{k}")
+        large = written(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct(), f"star-edges-{k}")
+        low = written(large.groupBy("u").agg(F.min("v").alias("m")), f"star-small-{k}")
         small = large.join(low, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
         edges = written(small.where("u <> v").distinct(), f"star-{k}")
-    raise RuntimeError("components did not settle")
+
+
+def named(nodes: DataFrame, links: DataFrame, node: str) -> DataFrame:
+    """(``node``, component_id) for ``nodes`` (``node``, low): the smallest ``low`` that links reach."""
+    found = components(links).withColumnRenamed("node", "__node")
+    rooted = written(nodes.select(node, "low").join(found, F.col(node) == F.col("__node"), "left").select(node, "low", F.coalesce("root", node).alias("root")), "component-roots")
+    smallest = written(rooted.groupBy("root").agg(F.min("low").alias("component_id")), "component-ids")
+    return rooted.join(smallest, "root").select(node, "component_id")
 
 
 def near_duplicates(docs: DataFrame, radius: int = 3, n: int = 3) -> DataFrame:
     """(doc_id, fp, component_id) for each row of ``docs``."""
     fps = written(fingerprints(docs, n), "simhash-fps")
     nodes = written(fps.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash-nodes")
-    found = components(links(nodes.select("fp"), radius))
-    rooted = nodes.join(found, nodes["fp"] == found["node"], "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
-    smallest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = rooted.join(smallest, "root").select(F.col("fp").alias("__fp"), "component_id")
-    return fps.join(named, fps["fp"] == named["__fp"]).select("doc_id", "fp", "component_id")
+    return fps.join(named(nodes, links(nodes.select("fp"), radius), "fp"), "fp").select("doc_id", "fp", "component_id")
 
 
 def similar(docs: DataFrame) -> DataFrame:
-    """(doc_id, component_id) for each row of ``docs``: components of near copies, see ``near_copies``."""
+    """(doc_id, digest, component_id) for each row of ``docs``: components of near copies, see ``near_copies``."""
     signed = written(near_copies.signatures(docs), "near-signatures")
     nodes = written(signed.groupBy("node").agg(F.min("doc_id").alias("low"), F.first("keys").alias("keys")), "near-nodes")
-    found = components(near_copies.links(docs, nodes)).withColumnRenamed("node", "__node")
-    rooted = nodes.join(found, nodes["node"] == found["__node"], "left").select("node", "low", F.coalesce("root", "node").alias("root"))
-    smallest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = rooted.join(smallest, "root").select("node", "component_id")
-    return signed.select("doc_id", "node").join(named, "node").select("doc_id", "component_id")
+    return signed.select("doc_id", "digest", "node").join(named(nodes, near_copies.links(docs, nodes), "node"), "node").select("doc_id", "digest", "component_id")
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of each component of near copies the document with the smallest doc_id stays, once.
 
-    Links follow five-word shingles at a similarity of 0.8 (``near_copies``), not op7_simhash's fingerprints at 3 bits.
-
-    Rows without a doc_id cannot name a component; of those with equal texts one stays.
+    Links follow five-word shingles at a similarity of 0.8 (``near_copies``), not op7_simhash's fingerprints at 3 bits. Rows
+    without a doc_id stand behind all others under a number made from their text (from UNNAMED on, above any doc_id in use), so
+    they meet near copies like any row. Texts that share a doc_id are documents of their own; of equal rows one stays.
     """
     docs = docs.select(*DOCUMENT)
-    near = written(similar(docs.where("doc_id is not null")), "simhash-components")
-    keep = near.where("doc_id = component_id").select(F.col("doc_id").alias("__keep")).distinct()
-    kept = docs.join(keep, docs["doc_id"] == keep["__keep"], "left_semi")
+    number = F.lit(UNNAMED) + F.shiftrightunsigned(F.xxhash64("text"), 2)
+    docs = docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), number), "__digest": F.xxhash64("text")})
+    near = written(similar(docs.select(F.col("__id").alias("doc_id"), "text")), "simhash-components")
     repeats = near.groupBy("doc_id").count().where("count > 1").limit(1).count()
-    kept = kept.dropDuplicates(["doc_id"]) if repeats else kept
-    nameless = docs.where("doc_id is null")
-    return kept.unionByName(nameless.dropDuplicates(["text"])) if nameless.limit(1).count() else kept
+    if repeats:
+        stays = written(near.where("doc_id = component_id").groupBy("component_id").agg(F.min("digest").alias("stays")), "simhash-stays")
+        near = near.join(stays, "component_id").withColumn("component_id", F.when(F.col("digest") == F.col("stays"), F.col("component_id")))
+    gone = near.where("not doc_id <=> component_id").select(F.col("doc_id").alias("__gone"), F.col("digest").alias("__of")).distinct()
+    # only texts that the sieve cannot rule out are shuffled to be looked up
+    marked = sifted(docs, "__id", sieve(gone, "__gone"))
+    looked_up = marked.where("maybe").join(gone, (F.col("__id") == F.col("__gone")) & (F.col("__digest") == F.col("__of")), "left_anti")
+    kept = marked.where("not maybe").unionByName(looked_up)
+    return (kept.dropDuplicates(["__id", "__digest"]) if repeats else kept).select(*DOCUMENT)
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from claimloom.llm import near_copies, simhash
 
@@ -54,9 +55,10 @@ def copies():
     return rows + [(1000, "one two"), (1001, "One  two"), (1002, "one two three"), (1003, ""), (1004, " \n")]
 
 
-@pytest.mark.parametrize("heavy", [near_copies.HEAVY, 1])
-def test_stage_drops_near_copies_and_only_those(spark, monkeypatch, heavy):
-    monkeypatch.setattr(near_copies, "HEAVY", heavy)
+@pytest.mark.parametrize(("chunk", "pivots"), [(near_copies.CHUNK, near_copies.PIVOTS), (1, 1), (2, 0), (2, 2)])
+def test_stage_drops_near_copies_and_only_those(spark, monkeypatch, chunk, pivots):
+    monkeypatch.setattr(near_copies, "CHUNK", chunk)
+    monkeypatch.setattr(near_copies, "PIVOTS", pivots)
     rows = copies()
     found = [jaccard(rows[k][1], rows[k + 1][1]) for k in range(0, 72, 2)]
     assert sum(0.8 <= s < 0.96 for s in found) >= 24 and sum(0.7 < s < 0.8 for s in found) >= 6
@@ -83,3 +85,31 @@ def test_forest_finds_the_exact_components_of_a_bucket():
     got = dict(zip(*(x.tolist() for x in near_copies.forest(nodes, keys, sets)), strict=True))
     assert [got.get(n, n) for n in nodes.tolist()] == [int(nodes[p]) for p in parent]
     assert 1 < len(set(parent)) < 119
+
+
+@pytest.mark.parametrize("pivots", [1, 3])
+def test_a_hot_group_over_many_chunks(spark, monkeypatch, pivots):
+    """Near copies of one text, a chain of texts that no pivot reaches, and a second group that shares buckets with the first."""
+    monkeypatch.setattr(near_copies, "CHUNK", 8)
+    monkeypatch.setattr(near_copies, "PIVOTS", pivots)
+    rng = random.Random(9)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+    rows = [(k + 1, edited(words, 1, rng)) for k in range(90)]
+    rows += [(200 + k, " ".join(words[at:] + [f"x{j}" for j in range(at)])) for k, at in enumerate(range(0, 72, 12))]
+    other = words[:100] + [f"o{rng.randrange(10**6)}" for _ in range(100)]
+    rows += [(300 + k, edited(other, 1, rng)) for k in range(40)]
+    rows += [(None, edited(words, 1, rng)), (None, edited(other, 1, rng)), (None, "a text of its own without an id"), (7, "the id of another text")]
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    want = sorted(slow_keep([(i, t) for i, t in rows[:-4]]) + [7])
+    left = simhash.stage(spark, docs, "").collect()
+    assert sorted(r.doc_id for r in left if r.doc_id is not None) == want
+    assert [r.text for r in left if r.doc_id is None] == ["a text of its own without an id"]
+
+
+def test_sieve_lets_through_all_that_it_holds(spark):
+    from claimloom.llm.common import sieve, sifted
+
+    every = spark.range(0, 40_000).select((F.col("id") * 7919 - 5).alias("id"))
+    marked = sifted(every, "id", sieve(every.where("id % 10 = 0"), "id"))
+    rows = {r.id: r.maybe for r in marked.collect()}
+    assert len(rows) == 40_000 and all(rows[i] for i in rows if i % 10 == 0) and sum(rows.values()) < 4200

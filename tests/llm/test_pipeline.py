@@ -11,7 +11,7 @@ from claimloom.llm.common import DOCUMENT
 from tests.llm import cases
 from tests.llm.test_line_dedup import slow as slow_lines
 from tests.llm.test_mixing import slow_targets
-from tests.llm.test_simhash import slow_components, slow_fingerprint
+from tests.llm.test_near_copies import slow_keep
 
 SF = "/root/testdata/sf0.001"
 
@@ -21,7 +21,7 @@ def words(text):
 
 
 def slow_mix(docs):
-    """(doc_id, text) as often as the mix takes them, from rows (doc_id, text, source)."""
+    """(doc_id, text) as often as the mix takes them, from rows (doc_id, text, source): one running sum for each source."""
     sizes = defaultdict(int)
     for _, text, source in docs:
         sizes[source] += words(text)
@@ -29,21 +29,17 @@ def slow_mix(docs):
     out = []
     for source, size in sizes.items():
         start = int(hashlib.md5((source or "").encode()).hexdigest()[:6], 16) % mixing.STEPS / mixing.STEPS
-        own = [(words(t), i, hashlib.md5((t or "").encode()).hexdigest(), t) for i, t, s in docs if s == source]
-
-        def draw(rows, share, start=start):
-            taken = 0
-            for k, (n, i, _, t) in enumerate(rows, 1):
-                copies = min(3, math.floor(start + k * share) - math.floor(start + (k - 1) * share))
-                out.extend([(i, t)] * copies)
-                taken += n * copies
-            return taken
-
-        large = sorted(r for r in own if r[0] * mixing.LARGE > size)
-        rest = sorted((r for r in own if r[0] * mixing.LARGE <= size), key=lambda r: (math.isqrt(r[0]), r[1] % mixing.LEAST_SALTS, *r[:3]))
-        took = draw(large, targets[source] / size if size else 0)
-        left = sum(r[0] for r in rest)
-        draw(rest, max(0.0, min(3.0, (targets[source] - took) / left)) if left else 0.0)
+        order = lambda i, t: hashlib.md5(f"{'' if i is None else i}|{hashlib.md5((t or '').encode()).hexdigest()}".encode()).hexdigest()
+        own = sorted((words(t) * mixing.LARGE <= size, -math.isqrt(words(t)), order(i, t), words(t), i, t) for i, t, s in docs if s == source)
+        share, taken = targets[source] / size if size else 0.0, 0
+        first, left = sum(not r[0] for r in own), sum(r[3] for r in own if r[0])
+        for k, (_, _, _, n, i, t) in enumerate(own[:first], 1):
+            copies = min(3, math.floor(start + k * share) - math.floor(start + (k - 1) * share))
+            taken += n * copies
+            out.extend([(i, t)] * copies)
+        after, rate = start + first * share, max(0.0, min(3.0, (targets[source] - taken) / left)) if left else 0.0
+        for k, (_, _, _, _, i, t) in enumerate(own[first:], 1):
+            out.extend([(i, t)] * min(3, math.floor(after + k * rate) - math.floor(after + (k - 1) * rate)))
     return out
 
 
@@ -56,15 +52,10 @@ def test_pipeline_against_brute_force(spark):
     docs = [(r.doc_id, r.text, r.source) for r in rows if r.doc_id in kept]
     cleaned = {i: t for i, _, _, t in slow_lines([(i, t) for i, t, _ in docs])}
     docs = [(i, cleaned[i], s) for i, _, s in docs if words(cleaned[i])]
-    fps = {i: slow_fingerprint(t) for i, t, _ in docs}
-    of = slow_components(sorted(set(fps.values())), 3)
-    low = defaultdict(list)
-    for i, f in fps.items():
-        low[of[f]].append(i)
-    docs = [d for d in docs if d[0] == min(low[of[fps[d[0]]]])]
+    keep = set(slow_keep([(i, t) for i, t, _ in docs]))
     library = tokenizers.Tokenizer.from_file(default_path())
     want = Counter()
-    for i, text in slow_mix(docs):
+    for i, text in slow_mix([d for d in docs if d[0] in keep]):
         ids = library.encode(text, add_special_tokens=False).ids
         want[i, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest()] += 1
     found = Counter((r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in corpus_pipeline.run(spark, SF).collect())
