@@ -57,3 +57,25 @@ def test_trees_learn_an_interaction(spark):
     wrong = df.select((F.expr(model.probability()) >= 0.5).cast("int").alias("p"), F.expr(label).cast("int").alias("y")).where("p <> y").count()
     assert wrong == 0
     assert len(boosting.fit(df.where("false"), ["a"], "1D").trees) == 0
+
+
+def test_held_out_urls(spark):
+    """Trees and shares that never saw a fifth of the labelled urls agree with the rules on it, for every rule."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("page_id", "url")
+    held = "pmod(xxhash64(url, 'held'), 5) = 0"
+    ids = {r.page_id for r in pages.where(held).collect()}
+    of = {}
+    for r in url_filter.judge(pages, taught=f"not {held}").collect():
+        if r.rule and r.page_id in ids:
+            of.setdefault(r.rule, []).append(r.method == r.verdict)
+    assert set(of) == {rule for _, rule in RULES} and sum(map(len, of.values())) > 200
+    print({rule: (len(own), sum(own)) for rule, own in of.items()})
+    assert sum(map(sum, of.values())) >= 0.95 * sum(map(len, of.values()))
+    assert all(sum(own) >= 0.9 * len(own) for own in of.values())
+
+
+def test_features_without_labels_or_with_one(spark):
+    pages = spark.createDataFrame([(k, f"http://h{k % 9}.net/a{k % 4}/{k}") for k in range(80)], "page_id long, url string")
+    assert {r.verdict for r in url_filter.judge(pages).collect()} == {"allow"}
+    blocked = pages.unionByName(spark.createDataFrame([(1000 + k, f"http://x.com/de/{k}") for k in range(40)], pages.schema))
+    assert {r.rule for r in url_filter.judge(blocked).collect()} == {None, "com/de/"}
