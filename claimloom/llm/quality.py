@@ -8,8 +8,8 @@ reaches ``threshold``; the two base rules (too few words, too much repetition) r
 learned from.
 
 Everything on rows is DataFrame and SQL functions. Counts within a text are higher-order functions over its own arrays, so no
-text is exploded and nothing but pattern counts is shuffled. Repeated word windows are found by sorting 64-bit hashes of the
-windows with their places: linear in the text but for the sort.
+text is exploded and nothing but pattern counts is shuffled. Repeated word windows are found by 64-bit hashes of the windows (made
+from 64-bit hashes of the words) alone, sorted with their places: linear in the text but for the sort.
 
 Defined cases: null text has no words and fails the base rules, as does empty text; texts of any length are counted whole;
 repeated rows are judged alike; a null doc_id is kept as it is; extra columns are ignored by ``judge``; an empty table gives an
@@ -24,7 +24,8 @@ from math import exp, log
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import BLANKS, DOCUMENT, WORD, table, written
+from claimloom.llm.common import BLANKS, DOCUMENT, table, written
+from claimloom.session import spread
 
 #: A rule's rates stay inside these bounds, and a rule votes good for good documents at least as often as for bad ones, so none
 #: turns its meaning around; one that tells nothing apart ends with equal rates and no weight.
@@ -63,23 +64,22 @@ def counts(docs: DataFrame, whole_rows: bool = False) -> DataFrame:
     row = [F.struct(*docs.columns).alias("row")] if whole_rows else []
     text = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *row)
 
-    def without(characters: str) -> Column:
-        return F.length(F.translate("text", characters, ""))
-
     lines = F.expr("filter(split(text, '\\n', -1), l -> l rlike '[^\\\\x20\\\\x09-\\\\x0D]')")
-    words = F.regexp_extract_all("text", F.lit(f"({WORD})"), 1)
+    words = F.array_remove(F.split(F.translate("text", BLANKS[1:], " " * (len(BLANKS) - 1)), " "), "")  # one blank: no pattern is compiled
     arrays = text.select(
-        *own, words.alias("w"), lines.alias("l"), F.length("text").alias("chars"), without(BLANKS).alias("word_chars"), without("#*$%&|<>").alias("plain"),
+        *own, words.alias("w"), lines.alias("l"), F.regexp_count("text", F.lit("[#*$%&|<>]")).alias("n_symbols"),
         F.regexp_count("text", F.lit("[.!?][\"')\\]]?(?=[\\x20\\x09-\\x0D]|$)")).alias("n_stops"), F.regexp_count("text", F.lit("[0-9]")).alias("n_digits"),
     )
-    window = "case when size(w) < 3 then cast(array() as array<bigint>) else transform(slice(w, 1, size(w) - 2), (x, i) -> xxhash64(x, w[i + 1], w[i + 2])) end"
-    hashed = arrays.withColumn("h", F.expr(window))
-    placed = hashed.withColumn("s", F.expr("case when size(array_distinct(h)) = size(h) then null else array_sort(transform(h, (x, i) -> struct(x as h, i as i))) end"))
-    twice = "filter(s, (x, k) -> (k > 0 and s[k - 1].h = x.h) or (k + 1 < size(s) and s[k + 1].h = x.h))"
+    hashed = arrays.withColumn("g", F.expr("transform(w, x -> xxhash64(x))"))
+    window = "case when size(g) < 3 then cast(array() as array<bigint>) else transform(slice(g, 1, size(g) - 2), (x, i) -> xxhash64(x, get(g, i + 1), get(g, i + 2))) end"
+    hashed = hashed.withColumn("h", F.expr(window)).drop("g")
+    # the natural order of structs, which sort_array uses, costs a fraction of a comparison by lambda
+    placed = hashed.withColumn("s", F.expr("case when size(array_distinct(h)) = size(h) then null else sort_array(transform(h, (x, i) -> struct(x as h, i as i))) end"))
+    twice = "filter(s, (x, k) -> get(s, k - 1).h = x.h or get(s, k + 1).h = x.h)"
     repeated = f"case when s is null then 0 else size(array_distinct(flatten(transform({twice}, x -> array(x.i, x.i + 1, x.i + 2))))) end"
     long = lambda c: c.cast("long")
     return placed.select(
-        *own, long(F.size("w")).alias("n_words"), long(F.col("word_chars")).alias("word_chars"), long(F.col("chars") - F.col("plain")).alias("n_symbols"),
+        *own, long(F.size("w")).alias("n_words"), long(F.length(F.array_join("w", ""))).alias("word_chars"), long(F.col("n_symbols")).alias("n_symbols"),
         long(F.size("l") - F.size(F.array_distinct("l"))).alias("n_dup_lines"), long(F.expr(repeated)).alias("n_repeat_words"), long(F.size("l")).alias("n_lines"),
         long(F.col("n_stops")).alias("n_stops"), long(F.col("n_digits")).alias("n_digits"),
     )
@@ -145,11 +145,11 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, threshold: float = 0
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the rows that the rules keep. Rows are judged where they stand, so neither a missing nor a repeated
     doc_id matters, and no text is shuffled."""
-    return judge(docs.select(*DOCUMENT), whole_rows=True).where("kept").select("row.*")
+    return judge(spread(docs.select(*DOCUMENT)), whole_rows=True).where("kept").select("row.*")
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    judged = judge(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "posterior")
 
 
