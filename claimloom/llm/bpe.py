@@ -4,13 +4,16 @@ A text is cut at special tokens, then by the pre-tokenizer's pattern; each piece
 have ranks (a pair that cannot merge has rank infinity) in a segment tree whose nodes hold the smaller rank of their children,
 the left one on a tie. The root names the leftmost pair of lowest rank; merging it updates two leaves at most, each in a
 logarithmic number of steps, and ends when the root is infinite. A piece of n bytes thus costs O(n log n), however long.
-Workers keep the ids of pieces they have seen, up to ``MEMO`` of them, since words repeat.
+Workers keep the ids of pieces they have seen, up to ``MEMO_CHARS`` characters of them, since words repeat.
 
 The vocabulary file's path is a parameter; the driver reads it and broadcasts its content, whose size is checked. Any style may
 be used here: the pieces need a regular expression with Unicode classes and a stateful merge, so texts go through Arrow.
 
 Defined cases: null text is empty; empty text has no tokens (the digests are those of empty strings); texts of any length are
-encoded whole; repeated rows are encoded alike; extra columns are kept by ``encode``; an empty table gives an empty result.
+encoded whole; repeated rows are encoded alike; extra columns are kept by ``encode`` and ``decode``, but one that is named like the
+result (``ids``, ``decoded``) gives way to it; null ``ids`` decode to the empty text; an empty table gives an empty result. A
+vocabulary file that asks for what is not done here (a normalizer, another pre-tokenizer or its options, dropout, prefixes,
+``ignore_merges``, added tokens that strip or match single words) is refused.
 """
 
 from __future__ import annotations
@@ -32,8 +35,9 @@ from claimloom.session import spread
 #: The published pattern of byte-level pre-tokenization, with Unicode white space spelled out.
 SPACE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
-#: Pieces that a worker remembers; beyond it the memory starts anew.
-MEMO = 1_000_000
+#: Characters of the pieces that a worker remembers, and of one such piece; beyond it the memory starts anew. A piece of the usual
+#: six characters takes about 400 bytes with its ids, so this is about 300 MB at most.
+MEMO_CHARS, MEMO_PIECE = 4_000_000, 64
 #: Bytes that a vocabulary file may have to be broadcast.
 MOST_BYTES = 64 << 20
 SHIFT, NEVER = 32, 1 << 60
@@ -81,11 +85,24 @@ class PairTree:
             above[place] = low
 
 
+def refuse(stated: dict) -> None:
+    """Raise on whatever in a tokenizers file would change the tokens and is not done here."""
+    model, before = stated["model"], stated.get("pre_tokenizer") or {}
+    odd = {
+        "normalizer": stated.get("normalizer"), "model": model.get("type", "BPE") != "BPE", "pre_tokenizer": before.get("type") != "ByteLevel", "add_prefix_space": before.get("add_prefix_space"),
+        "use_regex": not before.get("use_regex", True), "added_tokens": any(t.get(k) for t in stated.get("added_tokens", []) for k in ("lstrip", "rstrip", "single_word")),
+        **{k: model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges", "byte_fallback", "fuse_unk")},
+    }
+    if asked := sorted(k for k, v in odd.items() if v):
+        raise ValueError(f"the vocabulary file asks for what is not supported: {', '.join(asked)}")
+
+
 class Bpe:
     """Encoder and decoder of one vocabulary, as a tokenizers JSON file states it."""
 
     def __init__(self, content: str):
         stated = json.loads(content)
+        refuse(stated)
         model, vocab = stated["model"], stated["model"]["vocab"]
         symbols = byte_symbols()
         self.byte_ids = [vocab.get(s) for s in symbols]
@@ -99,6 +116,7 @@ class Bpe:
         self.cut = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self.pieces = regex.compile(PATTERN).findall
         self.memo: dict[str, tuple[str, int, bytes]] = {}
+        self.held = 0
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of one piece."""
@@ -153,12 +171,14 @@ class Bpe:
         """(ids joined by commas, their number, the bytes they decode to) of a piece, remembered."""
         found = self.memo.get(piece)
         if found is None:
-            if len(self.memo) >= MEMO:
+            if self.held >= MEMO_CHARS:
                 self.memo.clear()
+                self.held = 0
             ids = self.piece_ids(piece)
             found = (",".join(map(str, ids)), len(ids), b"".join(self.bytes_of[i] for i in ids))
-            if len(piece) <= 64:
+            if len(piece) <= MEMO_PIECE:
                 self.memo[piece] = found
+                self.held += len(piece)
         return found
 
     def digest(self, text: str | None) -> tuple[int, str, str]:
@@ -181,10 +201,10 @@ def default_path() -> str:
 
 
 def _content(spark: SparkSession, path: str | None):
-    content = Path(path or default_path()).read_text(encoding="utf-8")
-    if len(content) > MOST_BYTES:
-        raise ValueError(f"a vocabulary of {len(content)} bytes is too large to broadcast")
-    return spark.sparkContext.broadcast(content)
+    raw = Path(path or default_path()).read_bytes()
+    if len(raw) > MOST_BYTES:
+        raise ValueError(f"a vocabulary of {len(raw)} bytes is too large to broadcast")
+    return spark.sparkContext.broadcast(raw.decode("utf-8"))
 
 
 @lru_cache(maxsize=4)
@@ -195,7 +215,7 @@ def _built(content: str) -> Bpe:
 def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
     """``docs`` with ``ids`` (array of int) added; ``path`` names a tokenizers JSON file."""
     arrow_batches(docs.sparkSession)
-    content = _content(docs.sparkSession, path)
+    docs, content = docs.drop("ids"), _content(docs.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _built(content.value)
@@ -209,7 +229,7 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     """``encoded`` with ``decoded`` (string) added from its ``ids``."""
     arrow_batches(encoded.sparkSession)
-    content = _content(encoded.sparkSession, path)
+    encoded, content = encoded.drop("decoded"), _content(encoded.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _built(content.value)

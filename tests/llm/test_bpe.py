@@ -57,3 +57,29 @@ def test_tables(spark):
     assert bpe.digests(cases.empty(spark)).count() == 0
     again = bpe.decode(bpe.encode(cases.documents(spark))).collect()
     assert all(r.decoded == (r.text or "") for r in again)
+
+
+def test_clashing_columns_and_null_ids(spark):
+    from pyspark.sql import functions as F
+
+    docs = cases.documents(spark).withColumn("ids", F.lit("x")).withColumn("decoded", F.lit(1))
+    rows = bpe.decode(bpe.encode(docs)).collect()
+    assert all(r.decoded == (r.text or "") and r.key in (None, "k") for r in rows) and len(rows) == len(cases.ROWS)
+    assert bpe.decode(spark.createDataFrame([(1, None)], "doc_id long, ids array<int>")).first().decoded == ""
+
+
+def test_small_memory_and_other_vocabularies(monkeypatch):
+    import json
+
+    content = open(bpe.default_path(), encoding="utf-8").read()
+    own = bpe.Bpe(content)
+    want = [own.digest(r[1]) for r in cases.ROWS]
+    monkeypatch.setattr(bpe, "MEMO_CHARS", 5)
+    assert [bpe.Bpe(content).digest(r[1]) for r in cases.ROWS] == want
+    for change in ({"normalizer": {"type": "NFC"}}, {"pre_tokenizer": {"type": "Whitespace"}}, {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": True}}):
+        with pytest.raises(ValueError):
+            bpe.refuse(json.loads(content) | change)
+    stated = json.loads(content)
+    stated["model"]["ignore_merges"] = True
+    with pytest.raises(ValueError):
+        bpe.refuse(stated)
