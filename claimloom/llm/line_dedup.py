@@ -10,8 +10,9 @@ go back to the narrow rows (a join whose hot side adaptive execution can split),
 dropped hashes. Texts move once, in the last join by doc_id.
 
 Defined cases: null or empty text is one empty line; rows with a null doc_id count as no document and keep all lines; rows
-that repeat a doc_id are one document for the counts, and each loses the same keys; extra columns are kept as they are; an
-empty table gives an empty result.
+that repeat a doc_id are one document for the counts, and each loses the same keys; ties and texts of any length are no special
+case; extra columns are kept as they are, but one named ``n_lines`` or ``n_dropped`` gives way to the result's; an empty table gives
+an empty result.
 """
 
 from __future__ import annotations
@@ -69,6 +70,7 @@ def dropped_keys(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Dat
 def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
     """``docs`` with the kept text in ``text`` and with n_lines (before) and n_dropped added."""
     arrow_batches(docs.sparkSession)
+    docs = docs.drop("n_lines", "n_dropped")
     lost = dropped_keys(docs, min_chars, min_docs).select(F.col("doc_id").alias("__lost_id"), F.col("keys").alias("__lost_keys"))
     joined = docs.join(lost, docs["doc_id"] == lost["__lost_id"], "left").drop("__lost_id")
     kept = [f for f in docs.schema.fields]

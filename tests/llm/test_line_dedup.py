@@ -36,3 +36,9 @@ def test_query(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
     found = {(r.doc_id, r.n_lines, r.n_dropped, r.kept_sha256) for r in line_dedup.op9_line_dedup(spark, "/root/testdata/sf0.001").collect()}
     assert found == {(a, b, c, hashlib.sha256(t.encode()).hexdigest()) for a, b, c, t in slow(rows)}
+
+
+def test_clashing_columns(spark):
+    docs = spark.createDataFrame([(k, "A line that is long enough to count\nown", "x", 5.0) for k in range(4)], "doc_id long, text string, n_lines string, n_dropped double")
+    got = line_dedup.dedup_lines(docs).collect()
+    assert sorted((r.doc_id, r.n_lines, r.n_dropped) for r in got) == [(0, 2, 1), (1, 2, 1), (2, 2, 1), (3, 2, 0)]
