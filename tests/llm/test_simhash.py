@@ -88,3 +88,22 @@ def test_blocks_grow_with_the_input():
         for _ in range(300):
             flips = sum(1 << int(b) for b in rng.choice(64, 3, replace=False))
             assert any(not flips & m for m in masks)
+
+
+def test_query_against_brute_force(spark):
+    sf = "/root/testdata/sf0.001"
+    fps = {r.doc_id: slow_fingerprint(r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    of = slow_components(sorted(set(fps.values())), 3)
+    low = {}
+    for i, f in fps.items():
+        low[of[f]] = min(i, low.get(of[f], i))
+    want = {(i, f"{f:016x}", low[of[f]]) for i, f in fps.items()}
+    assert {(r.doc_id, r.fingerprint, r.component_id) for r in simhash.op7_simhash(spark, sf).collect()} == want
+
+
+def test_one_giant_component(spark):
+    """A hub that thousands link to, and a chain: neither the stars nor the rounds have a bound."""
+    edges = [(k, 0) for k in range(1, 4000)] + [(k + 1, k) for k in range(10_000, 10_400)]
+    found = {r.node: r.root for r in simhash.components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert set(found) == set(range(1, 4000)) | set(range(10_001, 10_401))
+    assert all(root == (0 if node < 4000 else 10_000) for node, root in found.items())
