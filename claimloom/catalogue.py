@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from claimloom import fixtures
 from claimloom.functions import data as D
 from claimloom.functions import python as P
 from claimloom.functions import text as T
@@ -19,6 +20,8 @@ from claimloom.functions import url as U
 from claimloom.operators import articles, claims, images, videos
 from claimloom.plans import records
 from claimloom.session import shared_dir, spread, table
+from claimloom.sources import captured
+from claimloom.streaming import reviews
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -69,7 +72,7 @@ over("q_safe_slug", "pages", lambda: {"page_id": "page_id", "slug": U.slug(F.col
 over("q_ext", "pages", lambda: {"page_id": "page_id", "ext": U.extension(F.col("url"))}, "select page_id, regexp_extract(regexp_extract(lower(url), '^[a-z]+://[^/?#]*([^?#]*)', 1), '/[^/.][^/]*?(\\.[^./]*)$', 1) as ext from pages")
 over("q_file_name", "pages", lambda: {"page_id": "page_id", "name": U.file_name(F.col("url"))}, "select page_id, regexp_replace(regexp_extract(regexp_extract(url, '^[A-Za-z]+://[^/?#]*([^?#]*)', 1), '([^/]*)$', 1), '[^\\w.-]+', '_', 'g') as name from pages")
 over("q_with_scheme", "pages", lambda: {"page_id": "page_id", "full": U.with_scheme(F.regexp_replace("url", "^https?:", ""))}, "select page_id, 'https:' || regexp_replace(url, '^https?:', '') as full from pages")
-over("q_url_decode", "pages", lambda: {"page_id": "page_id", "plain": U.unquoted(F.url_encode("url"))}, "select page_id, url as plain from pages")
+over("q_url_decode", "pages", lambda: {"page_id": "page_id", "plain": U.unquoted(F.expr("replace(replace(url, ':', '%3A'), '/', '%2f') || '+%C3%A9' || case when page_id % 4 = 0 then '%zz' else '' end"))}, "select page_id, case when page_id % 4 <> 0 then url || '+é' end as plain from pages")
 over("q_b64_json", "events", lambda: {"event_id": "event_id", "k": F.variant_get(U.b64_json(F.translate(F.base64(F.encode("props", "UTF-8")), "+/=", "-_")), "$.k", "int")}, "select event_id, cast(json_extract(props, '$.k') as int) as k from events")
 
 # Text functions
@@ -94,17 +97,17 @@ r as (select *, case when m then row_number() over (partition by doc_id, m, g or
 s as (select *, coalesce(lag(fires) over (partition by doc_id order by pos), false) as skip from r)
 select d.doc_id, coalesce(trim(string_agg(x, chr(10) order by pos) filter (where not skip and not m and not b), ' ' || chr(10)), '') as body
 from documents d left join s on s.doc_id = d.doc_id group by d.doc_id""")
-over("q_lead_merge", "documents", lambda: {"doc_id": "doc_id", "body": T.merge_lead(F.split_part("text", F.lit("."), F.lit(2)), F.col("text"), 40)}, f"""
-with c as (select doc_id, {CLEANED} as b, trim(regexp_replace(array_to_string(list_filter(list_transform(string_split(split_part(text, '.', 2), chr(10)), lambda x: trim(regexp_replace(x, '\\s+', ' ', 'g'))), lambda x: x <> ''), chr(10)), '^$', '')) as a from documents)
+over("q_lead_merge", "documents", lambda: {"doc_id": "doc_id", "body": T.merge_lead(F.expr("case when doc_id % 3 = 0 then replace(left(text, 12), chr(10), ' ') when doc_id % 3 = 1 then 'Lead  of ' || source else '' end"), F.col("text"), 40)}, f"""
+with c as (select doc_id, {CLEANED} as b, trim(regexp_replace(case when doc_id % 3 = 0 then replace(left(text, 12), chr(10), ' ') when doc_id % 3 = 1 then 'Lead  of ' || source else '' end, '\\s+', ' ', 'g')) as a from documents)
 select doc_id, case when a = '' or contains(lower(substr(b, 1, 40)), lower(a)) then b when b = '' then a else a || chr(10) || b end as body from c""")
 over("q_length_gate", "documents", lambda: {"doc_id": "doc_id", "long_enough": T.is_long(F.col("text"), 200), "very_long": T.is_long(F.col("text"), 800)}, "select doc_id, length(text) >= 200 as long_enough, length(text) >= 800 as very_long from documents")
-over("q_prefer_longest", "documents", lambda: {"doc_id": "doc_id", "best": T.longer(F.split_part("text", F.lit("\n"), F.lit(1)), F.split_part("text", F.lit("\n"), F.lit(2)))}, "select doc_id, case when length(split_part(text, chr(10), 2)) > length(split_part(text, chr(10), 1)) then split_part(text, chr(10), 2) else split_part(text, chr(10), 1) end as best from documents")
+over("q_prefer_longest", "documents", lambda: {"doc_id": "doc_id", "best": T.longer(F.col("text"), F.expr("repeat(source || ' ', 100)"))}, "select doc_id, case when length(repeat(source || ' ', 100)) > length(text) then repeat(source || ' ', 100) else text end as best from documents")
 over("q_first_non_null", "documents", lambda: {"doc_id": "doc_id", "first": F.coalesce(*[F.nullif(F.regexp_extract("text", p, 1), F.lit("")) for p in ("([0-9]+[.][0-9]+)", "([0-9]{4,})", "([A-Z]{2,})")])}, "select doc_id, coalesce(nullif(regexp_extract(text, '([0-9]+[.][0-9]+)', 1), ''), nullif(regexp_extract(text, '([0-9]{4,})', 1), ''), nullif(regexp_extract(text, '([A-Z]{2,})', 1), '')) as first from documents")
 over("q_accent_fold", "documents", lambda: {"doc_id": "doc_id", "found": F.contains(F.collate("text", "UNICODE_CI_AI"), F.collate(F.lit("reaux"), "UNICODE_CI_AI"))}, "select doc_id, contains(lower(strip_accents(text)), 'reaux') as found from documents")
-over("q_caption_key", "documents", lambda: {"doc_id": "doc_id", "key": T.caption_key(F.split_part("text", F.lit("."), F.lit(1)))}, "select doc_id, lower(trim(regexp_replace(split_part(text, '.', 1), '\\s+', ' ', 'g'))) as key from documents")
+over("q_caption_key", "documents", lambda: {"doc_id": "doc_id", "key": T.caption_key(F.col("text"))}, "select doc_id, lower(trim(regexp_replace(text, '\\s+', ' ', 'g'))) as key from documents")
 over("q_rights", "nation", lambda: {"n_nationkey": "n_nationkey", "cap": T.with_rights(F.when(F.col("n_nationkey") % 3 == 0, "").otherwise(F.col("n_name")), F.when(F.col("n_nationkey") % 2 == 0, F.col("n_name")))}, "select n_nationkey, case when n_nationkey % 2 <> 0 then case when n_nationkey % 3 = 0 then '' else n_name end when n_nationkey % 3 = 0 then '© ' || n_name else n_name || ' © ' || n_name end as cap from nation")
 over("q_title_split", "nation", lambda: {"n_nationkey": "n_nationkey", "caption": T.split_title(F.concat("n_name", F.lit(" | by "), "n_name"))["caption"], "rights": T.split_title(F.concat("n_name", F.lit(" | by "), "n_name"))["rights"]}, "select n_nationkey, n_name as caption, 'by ' || n_name as rights from nation")
-over("q_modality_parse", "conversations", lambda: {"conv_id": "conv_id", "turn": "turn", "modality": T.claim_modality(F.concat(F.lit("Answer\nClaim Type: "), F.split_part("text", F.lit("."), F.lit(1)), F.lit("\nclaim type: late")))}, "select conv_id, turn, coalesce(nullif(lower(trim(split_part(split_part(text, '.', 1), chr(10), 1))), ''), 'unknown') as modality from conversations")
+over("q_modality_parse", "conversations", lambda: {"conv_id": "conv_id", "turn": "turn", "modality": T.claim_modality(F.concat(F.lit("Answer\nClaim Type: "), F.col("text"), F.lit("\nclaim type: late")))}, "select conv_id, turn, coalesce(nullif(lower(trim(split_part(text, chr(10), 1))), ''), 'unknown') as modality from conversations")
 over("q_block_page", "pages", lambda: {"page_id": "page_id", "blocked": T.is_block_page(F.col("html"))}, "select page_id, html = '' or " + " or ".join(f"contains(lower(html), '{n}')" for n in T.BLOCK_PAGE) + " as blocked from pages")
 over("q_cut_html", "pages", lambda: {"page_id": "page_id", "head": F.md5(T.cut_html(F.col("html"), "(?i)<footer\\b[^>]*>"))}, "select page_id, md5(case when regexp_matches(html, '(?i)<footer\\b[^>]*>') then trim(regexp_replace(html, '(?is)<footer\\b[^>]*>.*$', ''), ' ' || chr(10)) else html end) as head from pages")
 over("q_truncate", "pages", lambda: {"page_id": "page_id", "head": T.truncate_at(F.col("html"), ["<nav", "<body"])}, "select page_id, case when instr(html, '<body') > 0 then substr(html, 1, instr(html, '<body') - 1) else html end as head from pages")
@@ -122,8 +125,7 @@ def links(spark, sf_dir):
 
 @query("q_harvest", """select page_id, list_sort(list_distinct(list_filter(regexp_extract_all(html, 'href="([^"]*)"', 1), lambda x: regexp_matches(x, '^/[a-c]')))) as hits from pages""")
 def harvest(spark, sf_dir):
-    found = F.filter(T.attribute_urls(F.col("html"), "href"), lambda x: x.rlike("^/[a-c]"))
-    return table(spark, sf_dir, "pages").select("page_id", T.sorted_set(found).alias("hits"))
+    return table(spark, sf_dir, "pages").select("page_id", T.harvest(F.col("html"), ["^/[a-c]", "https?://[a-z.]*never/x"]).alias("hits"))
 
 
 # Relational operators
@@ -169,7 +171,7 @@ def record_assembly(spark, sf_dir):
     none = F.lit("")
     error = F.when(F.col("page_id") % 3 == 0, "no page captured")
     rows = table(spark, sf_dir, "pages").withColumns({
-        "claim_text": none, "claimant": none, "claim_date": none, "review_url": F.col("url"), "review_title": none, "review_date": none, "review_label_raw": none, "publisher_name": none, "publisher_site": none, "label_normalized": none,
+        "claim_text": none, "claimant": none, "claim_date": none, "review_url": F.col("url"), "review_title": none, "review_date": none, "review_label_raw": none, "publisher_name": none, "publisher_site": none, "label_normalized": none, **{c: F.lit(None).cast("string") for c in ("final_url", "image_error", "video_error")},
         "article": F.struct(title().alias("title"), none.alias("content"), error.alias("error")), "images": F.array().cast("array<struct<image_url:string,caption:string,path:string>>"), "videos": F.when(F.col("page_id") % 2 == 0, F.array("url")).otherwise(F.array().cast("array<string>")),
     })
     made = rows.select("page_id", F.from_json(F.to_json(claims.record("demo", "en")), "publisher_id string, claimreview struct<review_url string>, debunk_article struct<title string>, media struct<assets_dir string>, errors struct<article string>").alias("r"))
@@ -188,21 +190,21 @@ def join_left(spark, sf_dir):
     return table(spark, sf_dir, "orders").join(rich, F.col("o_custkey") == F.col("c_custkey"), "left").select("o_orderkey", "c_name", "c_mktsegment")
 
 
-@query("q_join_anti", "select c_custkey, c_name from customer where not exists (select 1 from orders where o_custkey = c_custkey)")
+@query("q_join_anti", "select c_custkey, c_name from customer where not exists (select 1 from orders where o_custkey = c_custkey and o_totalprice < 40000)")
 def join_anti(spark, sf_dir):
-    seen = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    """Customers without a small order."""
+    seen = table(spark, sf_dir, "orders").where("o_totalprice < 40000").select(F.col("o_custkey").alias("c_custkey"))
     return claims.not_seen(table(spark, sf_dir, "customer"), seen, ["c_custkey"]).select("c_custkey", "c_name")
 
 
 @query("q_join_fallback", """select a.page_id, coalesce(e.name, l.name) as name from pages a
   left join (select url as u, 'exact ' || page_id as name from pages where page_id % 2 = 0) e on a.url = e.u
-  left join (select split_part(url, '?', 1) as v, min('loose ' || page_id) as name from pages group by 1) l on split_part(a.url, '?', 1) = l.v""")
+  left join (select split_part(url, '?', 1) as v, arg_min('exact ' || page_id, url) as name from pages where page_id % 2 = 0 group by 1) l on split_part(a.url, '?', 1) = l.v""")
 def join_fallback(spark, sf_dir):
+    """A captured response by its url, else by the url without its query."""
     pages = table(spark, sf_dir, "pages")
-    exact = pages.where("page_id % 2 = 0").select(F.col("url").alias("u"), F.concat(F.lit("exact "), "page_id").alias("e"))
-    bare = F.split_part("url", F.lit("?"), F.lit(1))
-    loose = pages.groupBy(bare.alias("v")).agg(F.min(F.concat(F.lit("loose "), "page_id")).alias("l"))
-    return pages.join(exact, F.col("url") == F.col("u"), "left").join(loose, bare == F.col("v"), "left").select("page_id", F.coalesce("e", "l").alias("name"))
+    captured = pages.where("page_id % 2 = 0").select("url", F.concat(F.lit("exact "), "page_id").alias("body"))
+    return images.reuse_captured(pages.select("page_id", F.col("url").alias("image_url")), captured).select("page_id", F.col("body").alias("name"))
 
 
 @query("q_asset_join", "select a.page_id, b.page_id as other from pages a join pages b on 'demo_' || substr(md5(a.url), 1, 12) = 'demo_' || substr(md5(b.url), 1, 12)")
@@ -276,10 +278,35 @@ def caption_merged_top1(spark, sf_dir):
     return images.choose(renditions(spark, sf_dir), "asset+merged", U.asset_key(F.col("url"))).select("article_url", "pos", "url", "w", "cap")
 
 
-@query("q_url_width", f"select l_orderkey, l_linenumber, cast(l_quantity as int) * 20 as w, case l_linenumber % 4 when 0 then 4 when 1 then 3 when 2 then 2 else 1 end as prio, true as is_image from lineitem")
+@query("q_url_width", "select l_orderkey, l_linenumber, cast(l_quantity as int) * 20 as w, case l_linenumber % 4 when 0 then 4 when 1 then 3 when 2 then 2 else 1 end as prio, l_linenumber % 3 <> 0 as is_image from lineitem")
 def url_width(spark, sf_dir):
     url = F.expr(RENDITION)
-    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", U.width(url).alias("w"), U.extension_priority(url).alias("prio"), U.is_image(url).alias("is_image"))
+    kind = F.when(F.col("l_linenumber") % 3 == 0, F.concat(url, F.lit(".html?a=.jpg"))).otherwise(F.concat(url, F.lit("?a=1")))
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", U.width(url).alias("w"), U.extension_priority(url).alias("prio"), U.is_image(kind).alias("is_image"))
+
+
+#: A url of each publisher's shape, with the width it states and the asset it belongs to.
+_N, _Q = "cast(l_quantity as int) * 20", "l_suppkey"
+LADDERS = {
+    "br": (f"'https://h/a-' || {_Q} || '-300x200.jpg?z=1&w=' || {_N} || '&a=2'", _N, f"'https://h/a-' || {_Q} || '.jpg?z=1&a=2'"),
+    "rtl": (f"'https://h/img/1/2/slug-' || {_Q} || '/' || ({_N}) || '/x.jpg?y'", _N, f"'https://h/img/1/2/slug-' || {_Q} || '/x.jpg'"),
+    "stern": (f"'https://h/P' || {_Q} || '/t/ab/v3/w' || ({_N}) || '/r1.77/-/x.jpg'", _N, f"'https://h/p' || {_Q} || '/-/x.jpg'"),
+    "query": (f"'https://h/image/11111111-2222-3333-4444-555555555555/x' || {_Q} || '.jpg?width=' || {_N}", _N, f"'11111111-2222-3333-4444-555555555555:x' || {_Q} || '.jpg'"),
+    "afp": (f"'https://h/styles/m/public/A' || {_Q} || '-' || ({_N}) || 'x5.jpg'", "0", f"'/a' || {_Q} || '.jpg'"),
+    "fit_in": (f"'https://h/p' || {_Q} || '/fit-in/' || ({_N}) || 'x/filters/x.jpg'", _N, f"'https://h/p' || {_Q}"),
+}
+
+
+@query("q_width_ladders", " union all ".join(f"select l_orderkey, l_linenumber, '{k}' as shape, {w} as w, {a} as asset, greatest({_N}, 77) as largest from lineitem" for k, (_, w, a) in LADDERS.items()))
+def width_ladders(spark, sf_dir):
+    """Width, asset and largest path number by each publisher's rules."""
+    rows, largest = table(spark, sf_dir, "lineitem"), F.expr(f"'https://h/77/' || ({_N}) || '/5/x.jpg'")
+    out = None
+    for shape, (url, _, _) in LADDERS.items():
+        rule, ladder = {"query": "tagesschau"}.get(shape, shape), shape if shape in U.WIDTH_LADDERS else "plain"
+        of = rows.select("l_orderkey", "l_linenumber", F.lit(shape).alias("shape"), U.width(F.expr(url), ladder).alias("w"), U.asset_key(F.expr(url), rule).alias("asset"), U.largest_path_number(largest).alias("largest"))
+        out = of if out is None else out.unionByName(of)
+    return out
 
 
 SRCSET = "'https://a/1.jpg ' || p_size * 10 || 'w, https://a/2.jpg ' || p_size * 10 || 'w, https://a/fit-in/' || p_size * 11 || 'x5/3.jpg'"
@@ -307,11 +334,17 @@ def provider_bucket(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", videos.provider(F.expr(VIDEO)).alias("p")).select("page_id", "p.provider", "p.url")
 
 
-@query("q_prefix_dedup", f"""with u as (select distinct {SITE} as site, url from pages), k as (select * from u a where not exists (select 1 from u b where b.site = a.site and b.url <> a.url and starts_with(a.url, b.url)))
-select site, list(url order by length(url), url) as urls from k group by site""")
+@query("q_prefix_dedup", f"""with u as (select distinct {SITE} as site, url from pages)
+select site, url from u a where not exists (select 1 from u b where b.site = a.site and b.url <> a.url and starts_with(a.url, b.url))""")
 def prefix_dedup(spark, sf_dir):
-    grouped = table(spark, sf_dir, "pages").groupBy(U.norm_site(F.col("url")).alias("site")).agg(F.collect_set("url").alias("a"))
-    return grouped.select("site", T.shortest_prefixes(F.col("a")).alias("urls"))
+    return claims.shortest_urls(table(spark, sf_dir, "pages").select(U.norm_site(F.col("url")).alias("site"), "url"), "site", "url")
+
+
+@query("q_prefix_lists", """select page_id, case when page_id % 2 = 0 then ['/a', '/b/' || page_id] else ['/a/' || page_id, '/b/' || page_id] end as urls from pages""")
+def prefix_lists(spark, sf_dir):
+    """V14 within a page."""
+    own = F.array(F.when(F.col("page_id") % 2 == 0, "/a"), F.concat(F.lit("/a/"), "page_id"), F.concat(F.lit("/b/"), "page_id", F.lit("/c")), F.concat(F.lit("/b/"), "page_id"), F.lit(""))
+    return table(spark, sf_dir, "pages").select("page_id", T.shortest_prefixes(own).alias("urls"))
 
 
 @query("q_sorted_set", "select page_id, list_sort(list_distinct(string_split(url, '/'))) as parts from pages")
@@ -319,9 +352,13 @@ def sorted_set(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", T.sorted_set(F.split("url", "/")).alias("parts"))
 
 
-@query("q_ordered_distinct", "select doc_id, list_aggregate(list_distinct(string_split(text, ' ')), 'count') as n_words from documents")
+@query("q_ordered_distinct", """with w as (select doc_id, unnest(string_split(text, ' ')) as w, generate_subscripts(string_split(text, ' '), 1) as pos from documents),
+f as (select doc_id, w, min(pos) as pos from w group by 1, 2)
+select doc_id, count(*) as n_words, md5(string_agg(w, ' ' order by pos)) as words from f group by doc_id""")
 def ordered_distinct(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", F.size(F.array_distinct(F.split("text", " ", -1))).cast("long").alias("n_words"))
+    """O3: distinct words, in the order of their first places."""
+    own = F.array_distinct(F.split("text", " ", -1))
+    return table(spark, sf_dir, "documents").select("doc_id", F.size(own).cast("long").alias("n_words"), F.md5(F.array_join(own, " ")).alias("words"))
 
 
 @query("q_poster", "select page_id, 'https://img.youtube.com/vi/v' || page_id || '/hqdefault.jpg' as poster, page_id % 60 >= 40 as visible from pages")
@@ -329,13 +366,107 @@ def poster(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", videos.poster(F.concat(F.lit("v"), "page_id")).alias("poster"), videos.is_visible((F.col("page_id") % 60).cast("int"), F.lit(None).cast("int"), F.lit(True)).alias("visible"))
 
 
-@query("q_native_streams", "select page_id, ['https://v.rtl.de/world-' || lower(hex(page_id)) || '-progressive.mp4'] as streams from pages")
+@query("q_native_streams", """select page_id, case when page_id % 2 = 0 then ['https://v.rtl.de/world-' || md5('' || page_id) || '-progressive.m3u8'] else ['https://v.rtl.de/world-' || md5('' || page_id) || '-x.mp4'] end
+  || ['https://v.rtl.de/world-12-a.m3u8', 'https://v.rtl.de/world-12-b.m3u8'] as streams from pages""")
 def native_streams(spark, sf_dir):
-    at = F.concat(F.lit("https://v.rtl.de/world-"), F.lower(F.hex("page_id")))
-    urls = F.array(F.concat(at, F.lit("-hls.m3u8")), F.concat(at, F.lit("-progressive.mp4")), F.concat(at, F.lit("-x.mp4")), F.lit("https://v.rtl.de/ads/a.mp4"))
+    """One stream of an item, a progressive one before others, an mp4 before those; short ids name no item; advertising goes."""
+    at = F.concat(F.lit("https://v.rtl.de/world-"), F.md5(F.col("page_id").cast("string")))
+    odd = F.when(F.col("page_id") % 2 == 0, F.concat(at, F.lit("-progressive.m3u8"))).otherwise(F.concat(at, F.lit("-x.mp4")))
+    urls = F.array(F.lit("https://v.rtl.de/world-12-b.m3u8"), F.concat(at, F.lit("-hls.m3u8")), odd, F.lit("https://v.rtl.de/world-12-a.m3u8"), F.lit("https://adserver.rtl.de/a.mp4"), F.lit("https://other.example/x.mp4"))
     return table(spark, sf_dir, "pages").select("page_id", videos.native_streams(urls).alias("streams"))
 
 
+# Pages of each publisher's shape
+def _values(rows: list[tuple[str, ...]]) -> str:
+    return "(values " + ", ".join("(" + ", ".join([str(k), *["'" + v.replace("'", "''") + "'" for v in row]]) + ")" for k, row in enumerate(rows)) + ")"
+
+
+def _numbered(column: str) -> str:
+    return f"replace({column}, '{{n}}', cast(page_id as varchar))"
+
+
+def _own(pages: DataFrame, texts: list[str]) -> Column:
+    """The text at page_id modulo their number, with the page's number in it."""
+    return F.replace(F.element_at(F.array(*[F.lit(t) for t in texts]), (F.col("page_id") % len(texts) + 1).cast("int")), F.lit("{n}"), F.col("page_id").cast("string"))
+
+
+_ARTICLES = sorted(fixtures.ARTICLES)
+
+
+@query("q_article_fixtures", f"""select page_id, spec, {_numbered('title')} as title, {_numbered('content')} as content from pages
+  join {_values([(k, *fixtures.ARTICLES[k][2:]) for k in _ARTICLES])} f(k, spec, title, content) on page_id % {len(_ARTICLES)} = k""")
+def article_fixtures(spark, sf_dir):
+    """Title and body of a page of each publisher's shape."""
+    pages = table(spark, sf_dir, "pages").select("page_id")
+    static, rendered = (_own(pages, [fixtures.ARTICLES[k][at] for k in _ARTICLES]) for at in (0, 1))
+    spec = F.element_at(F.array(*[F.lit(k) for k in _ARTICLES]), (F.col("page_id") % len(_ARTICLES) + 1).cast("int"))
+    rows = pages.select("page_id", spec.alias("spec"), static.alias("s"), F.nullif(rendered, F.lit("")).alias("r"))
+    return rows.select("page_id", "spec", articles.article(F.col("s"), F.col("spec"), F.col("r"), F.lit("https://www.liberation.fr/x")).alias("a")).select("page_id", "spec", "a.title", "a.content")
+
+
+def _by_publisher(pages: DataFrame, shapes: dict, of: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """``of`` (pages, publisher) over the pages that have each publisher's shape, by page_id."""
+    out = None
+    for k, publisher in enumerate(sorted(shapes)):
+        own = pages.where(F.col("page_id") % len(shapes) == k)
+        html = F.replace(F.lit(shapes[publisher][0]), F.lit("{n}"), F.col("page_id").cast("string"))
+        part = of(own.select("page_id", F.concat(F.lit(f"{fixtures.H}/p/"), "page_id").alias("url"), html.alias("html")), publisher).withColumn("publisher", F.lit(publisher))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("q_image_fixtures", f"""select page_id, publisher, {_numbered('images')} as images from pages
+  join {_values([(k, chr(10).join(f"{u} {c}" for u, c in fixtures.IMAGES[k][1])) for k in sorted(fixtures.IMAGES)])} f(k, publisher, images) on page_id % {len(fixtures.IMAGES)} = k""")
+def image_fixtures(spark, sf_dir):
+    """Pictures and captions of a page of each publisher's shape, in order."""
+
+    def of(pages: DataFrame, publisher: str) -> DataFrame:
+        found = images.images(pages, publisher)
+        listed = F.array_join(F.transform("images", lambda i: F.concat(i.image_url, F.lit(" "), i.caption)), "\n")
+        return found.select(F.regexp_extract("article_url", "([0-9]+)$", 1).cast("long").alias("page_id"), listed.alias("images"))
+
+    return _by_publisher(table(spark, sf_dir, "pages"), fixtures.IMAGES, of)
+
+
+_SORTED = {k: "sorted" if videos.SPECS.get(k, videos.ANY).order == "sorted" else "" for k in fixtures.VIDEOS}
+
+
+@query("q_video_fixtures", f"""select page_id, publisher, case when way = '' then v else array_to_string(list_sort(string_split(v, chr(10))), chr(10)) end as videos
+  from (select page_id, publisher, way, {_numbered('videos')} as v from pages
+  join {_values([(k, _SORTED[k], chr(10).join(fixtures.VIDEOS[k][1])) for k in sorted(fixtures.VIDEOS)])} f(k, publisher, way, videos) on page_id % {len(fixtures.VIDEOS)} = k)""")
+def video_fixtures(spark, sf_dir):
+    """Videos of a page of each publisher's shape, in its form and order."""
+    of = lambda pages, publisher: videos.of_pages(pages, "page_id", publisher).select("page_id", F.array_join("videos", "\n").alias("videos"))
+    return _by_publisher(table(spark, sf_dir, "pages"), fixtures.VIDEOS, of)
+
+
+_RECORD = fixtures.page("<main><article><h1>H</h1><div class='text'>" + fixtures.BODY + "</div>" + fixtures.fig("a", "Cap {n}") + "<iframe src='https://www.youtube.com/embed/vid{n}xyz'></iframe></article></main>")
+_PLAIN_RECORD = fixtures.article(fixtures.BODY)
+
+
+@query("q_record_fixtures", f"""select page_id, 'rtl' as publisher_id, url as review_url, case when page_id % 5 = 0 then '' else {_numbered("'" + fixtures.TITLE + "'")} end as title,
+  case when page_id % 5 = 0 then '' else {_numbered("'" + fixtures.TEXT + "'")} end as content, case when page_id % 3 = 0 then 'False' else 'Halb wahr' end as label,
+  case when page_id % 5 <> 0 and page_id % 2 = 0 then regexp_extract(url, '^[a-z]+://[^/?#]*') || '/a-' || page_id || '-900x600.jpg' end as image,
+  case when page_id % 5 <> 0 and page_id % 2 = 0 then 'https://www.youtube.com/watch?v=vid' || page_id || 'xyz' end as video,
+  case when page_id % 5 <> 0 and page_id % 2 = 0 then 'rtl_' || substr(md5(url), 1, 12) end as assets_dir, case when page_id % 5 = 0 then 'no page captured' end as error,
+  case when page_id % 5 = 0 then url else url || '#final' end as final_url from pages""")
+def record_fixtures(spark, sf_dir):
+    """R1 to R15 end to end: pages captured twice or not at all, with and without media, verdicts that the map has or not."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    review = F.struct(F.struct(F.lit("P").alias("name"), F.lit("rtl.de").alias("site")).alias("publisher"), F.col("url").alias("url"), F.lit("").alias("title"), F.lit("").alias("reviewDate"), F.when(F.col("page_id") % 3 == 0, " Falsch").otherwise("Halb wahr").alias("textualRating"))
+    feed = pages.select(F.col("page_id").alias("pos"), F.lit("c").alias("text"), F.lit(None).cast("string").alias("claimant"), F.lit("").alias("claimDate"), F.array(review, review).alias("claimReview"))
+    html = F.when(F.col("page_id") % 2 == 0, F.lit(_RECORD)).otherwise(F.lit(_PLAIN_RECORD))
+    last = pages.where("page_id % 5 <> 0").select("url", F.replace(html, F.lit("{n}"), F.col("page_id").cast("string")).alias("html_static"), F.lit(None).cast("string").alias("html_rendered"), F.concat("url", F.lit("#final")).alias("final_url"), F.to_timestamp(F.lit("2024-02-02")).alias("captured_at"))
+    first = last.withColumns({"html_static": F.lit("<p>an older capture</p>"), "captured_at": F.to_timestamp(F.lit("2024-01-01"))})
+    labels = spark.createDataFrame([("rtl", "falsch", "False")], "publisher_id string, label_raw string, label_normalized string")
+    made = records.build(feed, spread(last.unionByName(first)), "de/rtl", "www.rtl.de", labels)
+    r = lambda path: F.col(f"record.{path}")
+    return made.select(
+        F.col("pos").alias("page_id"), r("publisher_id"), r("claimreview.review_url"), r("debunk_article.title"), r("debunk_article.text").alias("content"), r("label_normalized").alias("label"),
+        F.get(r("media.images"), F.lit(0))["image_url"].alias("image"), F.get(r("media.videos"), F.lit(0)).alias("video"), r("media.assets_dir"), r("errors.article").alias("error"), r("debunk_article.url").alias("final_url"),
+    )
+
+
 # Python on Arrow batches: HTML trees, RFC 3986, query strings, folding; no SQL says the same
 @query("q_article_extract")
 def article_extract(spark, sf_dir):
@@ -349,25 +480,32 @@ def article_by_spec(spark, sf_dir):
     return spread(table(spark, sf_dir, "pages")).select("page_id", spec.alias("spec"), articles.article(F.col("html"), spec, F.col("html"), F.col("url")).alias("a")).select("page_id", "spec", "a.*")
 
 
-@query("q_images_extract")
+@query("q_images_extract", """select url as article_url, image_url, caption, 'img_' || substr(md5(image_url), 1, 12) || '.jpg' as path from (
+  select url, regexp_extract(url, '^[a-z]+://[^/?#]*') || '/img/' || page_id || 'x.jpg' as image_url, 'Picture of ' || page_id as caption from pages where contains(html, '</article>'))""")
 def images_extract(spark, sf_dir):
     pages = spread(table(spark, sf_dir, "pages"))
     figure = F.concat(F.lit('<figure><img src="/img/'), "page_id", F.lit('x.jpg"><figcaption>Picture of '), "page_id", F.lit("</figcaption></figure></article>"))
     return images.images(pages.select("url", F.replace("html", F.lit("</article>"), figure).alias("html")), "correctiv").select("article_url", F.explode("images").alias("i")).select("article_url", "i.*")
 
 
-@query("q_videos_extract")
+@query("q_videos_extract", """select page_id, [case page_id % 7 when 0 then 'https://www.youtube.com/embed/vid' || (1000 + page_id) || '?autoplay=1' when 1 then 'https://www.youtube.com/embed/abc' || (1000 + page_id) || '?autoplay=1' when 2 then 'https://www.dailymotion.com/embed/video/dm' || page_id
+  when 3 then 'https://www.facebook.com/some/videos/' || page_id when 4 then 'https://www.tiktok.com/@u/video/' || page_id when 5 then 'https://x.com/i/web/status/' || page_id else 'https://cdn.example/v' || page_id || '.mp4' end] as videos from pages""")
 def videos_extract(spark, sf_dir):
     frame = F.concat(F.lit('<iframe data-src="'), F.expr(VIDEO), F.lit('"></iframe>'))
     return videos.of_pages(spread(table(spark, sf_dir, "pages")).select("page_id", F.concat("html", frame).alias("html")), "page_id").select("page_id", "videos")
 
 
-@query("q_absolute_url")
+@query("q_absolute_url", """with p as (select page_id, url, regexp_extract(url, '^[a-z]+://[^/?#]*') as host, regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1) as path, regexp_extract(url, '[?]([^#]*)', 1) as query, regexp_extract(url, '(#.*)$', 1) as fragment from pages)
+select page_id, host || regexp_replace(path, '[^/]*/[^/]*$', '') || 'a/b?c=1' as joined, host || path || '?' || case when query = '' then '' else query || '&' end || 'autoplay=1' || fragment as played,
+       host || path || '?keep=' || page_id as sane from p""")
 def absolute_url(spark, sf_dir):
-    return spread(table(spark, sf_dir, "pages")).select("page_id", P.absolute_url(F.col("url"), F.lit("../a/b?c=1")).alias("joined"), P.add_query({"autoplay": "1"})(F.col("url")).alias("played"), P.sanitize_provider_url(F.col("url")).alias("sane"))
+    """U6, U9, U10."""
+    tracked = F.concat(U.strip_query(F.col("url")), F.lit("?v=1&keep="), "page_id", F.lit("&rd=x&empty=#f"))
+    return spread(table(spark, sf_dir, "pages")).select("page_id", P.absolute_url(F.col("url"), F.lit("../a/b?c=1")).alias("joined"), P.add_query({"autoplay": "1"})(F.col("url")).alias("played"), P.sanitize_provider_url(tracked).alias("sane"))
 
 
-@query("q_accent_cut")
+@query("q_accent_cut", """select doc_id, trim(case when ix is null then text else substr(text, 1, ix - 1) end, ' ' || chr(10)) as body from (
+  select doc_id, text, list_min(list_filter([instr(lower(strip_accents(text)), 'reaux'), instr(lower(strip_accents(text)), 'heit')], lambda x: x > 0)) as ix from documents)""")
 def accent_cut(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", P.accent_cut(["reaux", "heit"])(F.col("text")).alias("body"))
 
@@ -384,16 +522,106 @@ def records_plan(spark, sf_dir):
     return made.select("pos", F.to_json("record").alias("record"))
 
 
-@query("q_stream_dedup", "select count(*) as n_users from (select distinct user_id from events)")
+@query("q_stream_dedup", "select user_id, event_id from (select user_id, event_id, row_number() over (partition by user_id order by ts, event_id) as n from events) where n = 1")
 def stream_dedup(spark, sf_dir):
-    """Incremental first-seen keys over the events table; the same keys as in batch."""
-    from claimloom.streaming import reviews
-
+    """The first event of each user, incrementally; the same rows as in batch."""
     src = table(spark, sf_dir, "events")
-    stream = spark.readStream.schema(src.schema).parquet(f"{sf_dir}/events.parquet*").withColumns({"review_url": F.col("user_id").cast("string"), "ts": F.col("ts").cast("timestamp")})
+    stream = spark.readStream.schema(src.schema).parquet(f"{sf_dir}/events.parquet*").withColumn("review_url", F.col("user_id").cast("string"))
     at = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
-    reviews.run_once(reviews.first_reviews(stream, horizon="3650 days"), f"{at}/rows", f"{at}/state")
-    return spark.read.parquet(f"{at}/rows").agg(F.count("*").alias("n_users"))
+    reviews.first_in_order(stream, f"{at}/rows", f"{at}/state", "review_url", ("ts", "event_id"))
+    return spark.read.parquet(f"{at}/rows").select("user_id", "event_id")
+
+
+# Functions that publishers' rules use one by one
+over("q_cut_unstripped", "documents", lambda: {"doc_id": "doc_id", "body": T.cut_at(F.concat(F.lit(" "), "text"), PHRASES)}, f"""
+select doc_id, case when ix is null then ' ' || text else trim(substr(' ' || text, 1, ix - 1), ' ' || chr(10)) end as body from (
+  select doc_id, text, list_min(list_filter([{", ".join(f"instr(lower(' ' || text), '{p}')" for p in PHRASES)}], lambda x: x > 0)) as ix from documents)""")
+over("q_cut_footer", "pages", lambda: {"page_id": "page_id", "head": F.md5(T.cut_html(F.concat("html", F.lit("\n<footer id='f' class='x wp-block-group margin-block-start-xl y'>gone"), "url"), T.FOOTER_TAG, T.FOOTER_PHRASES)), "by_phrase": T.cut_html(F.concat(F.lit("page "), "page_id", F.lit(" get in TOUCH with")), T.FOOTER_TAG, T.FOOTER_PHRASES)}, "select page_id, md5(trim(html, ' ' || chr(10))) as head, 'page ' || page_id as by_phrase from pages")
+over("q_cut_copyright", "pages", lambda: {"page_id": "page_id", "head": F.md5(T.cut_html(F.concat("html", F.lit("<DIV id=x class='a mentions-copyright'>gone"), "url"), T.COPYRIGHT_TAG))}, "select page_id, md5(trim(html, ' ' || chr(10))) as head from pages")
+over("q_unescape", "pages", lambda: {"page_id": "page_id", "text": P.unescape(F.concat(F.lit("&eacute;&#233;&#xe9;&amp;lt; &zzz; "), "page_id"))}, "select page_id, 'ééé&lt; &zzz; ' || page_id as text from pages")
+over("q_content_type", "pages", lambda: {"page_id": "page_id", "name": U.image_name(F.lit("img"), F.concat(F.lit("https://h/i?"), "page_id"), F.expr("case page_id % 5 when 0 then 'image/PNG; q=1' when 1 then 'image/webp' when 2 then 'image/avif' when 3 then 'image/jpeg' end"))}, "select page_id, 'img_' || substr(md5('https://h/i?' || page_id), 1, 12) || case page_id % 5 when 0 then '.png' when 1 then '.webp' when 2 then '.avif' else '.jpg' end as name from pages")
+over("q_first_handle", "events", lambda: {"event_id": "event_id", "handle": P.first_handle(F.concat(F.lit('{"a": [1, {"b": "x@y", "c": ["@u'), "event_id", F.lit('"]}], "d": "@late"}')))}, "select event_id, '@u' || event_id as handle from events")
+over("q_image_rights", "events", lambda: {"event_id": "event_id", "caption": D.image_rights(F.concat(F.lit('{"caption": "c'), "event_id", F.lit('", "copyrightHolder": {"name": "h"}}')))["caption"], "rights": D.image_rights(F.concat(F.lit('{"copyrightHolder": {"name": "h'), "event_id", F.lit('"}}')))["rights"]}, "select event_id, 'c' || event_id as caption, 'h' || event_id as rights from events")
+over("q_tweet_video", "events", lambda: {"event_id": "event_id", "by_features": videos.tweet_has_video(F.concat(F.lit('{"a": {"'), F.expr("case when event_id % 2 = 0 then 'tfw_Mixed Media' else 'other' end"), F.lit('": 1}}')), F.lit("Tweet")), "by_title": videos.tweet_has_video(F.lit(None).cast("string"), F.expr("case when event_id % 3 = 0 then 'X Video player' end"))}, "select event_id, event_id % 2 = 0 as by_features, event_id % 3 = 0 as by_title from events")
+over("q_anchor", "pages", lambda: {"page_id": "page_id", "href": videos.href_from_anchor(videos.anchor(F.concat(F.lit("https://www.youtube-nocookie.com/embed/vid123"), "page_id", F.lit("?x=1")))), "none": videos.anchor(F.col("url"))}, "select page_id, 'https://www.youtube.com/embed/vid123' || page_id || '?autoplay=1' as href, cast(null as varchar) as none from pages")
+over("q_autoplay", "pages", lambda: {"page_id": "page_id", "url": videos.with_autoplay(F.expr("case page_id % 3 when 0 then 'https://y/e/' || page_id when 1 then 'https://y/e?a=' || page_id || '#f' else 'https://y/e?autoplay=0&a=' || page_id end"))}, "select page_id, case page_id % 3 when 0 then 'https://y/e/' || page_id || '?autoplay=1' when 1 then 'https://y/e?a=' || page_id || '&autoplay=1#f' else 'https://y/e?autoplay=1&a=' || page_id end as url from pages")
+over("q_screenshot_name", "pages", lambda: {"page_id": "page_id", "name": images.screenshot_name(F.col("url"), "tweet", F.col("page_id"))}, "select page_id, 'tweet_' || substr(md5(url || '#tweet#' || page_id), 1, 12) || '.png' as name from pages")
+over("q_cdn_images", "pages", lambda: {"page_id": "page_id", "urls": images.cdn_images(F.concat("html", F.lit("<img src='https://images.tagesschau.de/image/11111111-2222-3333-4444-555555555555/b"), "page_id", F.lit(".jpg'> https://images.tagesschau.de/image/11111111-2222-3333-4444-555555555555/a.webp")))}, "select page_id, ['https://images.tagesschau.de/image/11111111-2222-3333-4444-555555555555/a.webp', 'https://images.tagesschau.de/image/11111111-2222-3333-4444-555555555555/b' || page_id || '.jpg'] as urls from pages")
+over("q_embeds", "pages", lambda: {"page_id": "page_id", "found": F.transform(videos.embeds(F.concat(F.lit("<iframe src='https://www.instagram.com/p/AB"), "page_id", F.lit("/embed'></iframe><iframe src='https://www.tiktok.com/embed/v2/"), "page_id", F.lit("'></iframe><iframe src='https://maps.example/'></iframe>"))), lambda e: F.concat_ws(" ", e.platform, e.url))}, "select page_id, ['instagram https://www.instagram.com/p/AB' || page_id || '/', 'tiktok https://www.tiktok.com/embed/v2/' || page_id] as found from pages")
+over("q_usable_html", "pages", lambda: {"page_id": "page_id", "kept": captured.usable_html(F.expr("case when page_id % 4 = 1 then 'Attention Required! Cloudflare' else 'static ' || page_id end"), F.expr("'rendered ' || page_id"), F.expr("cast(case when page_id % 4 = 2 then 403 when page_id % 4 = 3 then 200 end as int)"))}, "select page_id, case when page_id % 4 in (1, 2) then 'rendered ' else 'static ' end || page_id as kept from pages")
+over("q_decoded", "documents", lambda: {"doc_id": "doc_id", "text": captured.decoded(F.expr("case when doc_id % 3 = 0 then encode(translate(text, 'ñ', 'n'), 'UTF-8') when doc_id % 3 = 1 then encode('é' || doc_id, 'ISO-8859-1') else encode(text, 'UTF-8') end"), F.expr("case doc_id % 3 when 0 then 'latin1' when 1 then 'ISO-8859-1' else 'utf-8' end"))}, "select doc_id, case when doc_id % 3 = 0 then replace(text, 'ñ', 'n') when doc_id % 3 = 1 then 'é' || doc_id else text end as text from documents")
+over("q_plug_in", "pages", lambda: {"page_id": "page_id", "title": articles.plug_in(_title_or_fail)(F.concat(F.col("page_id").cast("string")))["title"], "error": articles.plug_in(_title_or_fail)(F.col("page_id").cast("string"))["error"]}, "select page_id, case when page_id % 3 <> 0 then 'T' || page_id end as title, case when page_id % 3 = 0 then 'ValueError: no page ' || page_id end as error from pages")
+
+
+def _title_or_fail(html: str) -> dict:
+    if int(html) % 3 == 0:
+        raise ValueError(f"no page {html}")
+    return {"title": f"T{html}", "content": ""}
+
+
+@query("q_modality", "select conv_id, turn, case when contains(lower(text), 'the') then 'photo' else 'unknown' end as modality from conversations")
+def modality(spark, sf_dir):
+    """A classifier plugged in as a function of the claims' column."""
+    reply = lambda claim: F.when(F.lower(claim).contains("the"), F.lit("Sure.\nClaim Type:  PHOTO ")).otherwise(F.lit("I cannot say"))
+    return claims.with_modality(table(spark, sf_dir, "conversations"), reply, "text").select("conv_id", "turn", "modality")
+
+
+@query("q_saved", "select 'demo' as publisher_id, count(*) as n_records, count(*) filter (where page_id % 2 = 0) as n_with_media, count(*) filter (where page_id % 3 = 0) as n_with_errors from pages")
+def saved(spark, sf_dir):
+    """The report of a run."""
+    none = F.array().cast("array<string>")
+    rows = table(spark, sf_dir, "pages").select(F.struct(F.lit("demo").alias("publisher_id"), F.struct(none.alias("images"), F.when(F.col("page_id") % 2 == 0, F.array("url")).otherwise(none).alias("videos")).alias("media"), F.when(F.col("page_id") % 3 == 0, F.struct(F.lit("e").alias("article"))).alias("errors")).alias("record"))
+    return claims.saved(rows)
+
+
+def _at(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query("q_source_feed", "select '' || conv_id as claim_text, 'https://r/' || turn as review_url, coalesce(text, '') as review_title, '' as publisher_name from conversations")
+def source_feed(spark, sf_dir):
+    """A feed written as JSON pages and read again; reviews without a publisher have empty names."""
+    at, turns = _at(spark, "feed"), table(spark, sf_dir, "conversations")
+    review = F.struct(F.concat(F.lit("https://r/"), "turn").alias("url"), F.col("text").alias("title"))
+    feed = turns.groupBy("conv_id").agg(F.collect_list(review).alias("claimReview")).select(F.array(F.struct(F.col("conv_id").cast("string").alias("text"), "claimReview")).alias("claims"), F.lit("t").alias("nextPageToken"))
+    feed.write.json(at)
+    pages = spark.read.schema(claims.FEED).json(at).select(F.explode("claims").alias("c")).select("c.*")
+    return claims.flatten(pages).select("claim_text", "review_url", "review_title", "publisher_name")
+
+
+@query("q_sink_jsonl", "select page_id, url, case when page_id % 2 = 0 then 'x' end as gone from pages")
+def sink_jsonl(spark, sf_dir):
+    """Records as JSON lines, read again; null parts are left out."""
+    at = _at(spark, "jsonl")
+    captured.write_jsonl(table(spark, sf_dir, "pages").select(F.struct("page_id", "url", F.when(F.col("page_id") % 2 == 0, "x").alias("gone")).alias("record")), at)
+    lines = spark.read.text(at)
+    return lines.where(~F.col("value").contains("null")).select(F.from_json("value", "page_id long, url string, gone string").alias("r")).select("r.*")
+
+
+@query("q_sink_csv", "select 'https://h/' || page_id as image_url, case when page_id % 2 = 0 then '' else 'A \"quoted\", caption ' || page_id end as caption, 'p' || page_id as path from pages")
+def sink_csv(spark, sf_dir):
+    """Image tables written and read again; empty cells are empty strings."""
+    at = _at(spark, "csv")
+    rows = table(spark, sf_dir, "pages").select(F.concat(F.lit("https://h/"), "page_id").alias("image_url"), F.when(F.col("page_id") % 2 == 0, "").otherwise(F.concat(F.lit('A "quoted", caption '), "page_id")).alias("caption"), F.concat(F.lit("p"), "page_id").alias("path"))
+    captured.write_image_info(rows, at)
+    return captured.read_image_info(spark, at)
+
+
+@query("q_published", "select page_id, 'line' || chr(10) || '\"two\" of ' || page_id as text from pages")
+def published(spark, sf_dir):
+    """A published table with quoted line breaks."""
+    at = _at(spark, "published")
+    table(spark, sf_dir, "pages").select("page_id", F.concat(F.lit('line\n"two" of '), "page_id").alias("text")).write.option("header", True).option("escape", '"').csv(at)
+    return captured.read_published(spark, at).select(F.col("page_id").cast("long").alias("page_id"), "text")
+
+
+@query("q_image_sink", "select 'img_' || substr(md5('https://h/' || p_partkey || '.png'), 1, 12) || '.png' as path, 'png' as format, p_size + 1 as width, p_size + 2 as height from part")
+def image_sink(spark, sf_dir):
+    """Captured bytes under their derived names, read again with their headers."""
+    header = F.concat(F.lit("89504e470d0a1a0a0000000d49484452"), F.lpad(F.hex(F.col("p_size") + 1), 8, "0"), F.lpad(F.hex(F.col("p_size") + 2), 8, "0"))
+    rows = table(spark, sf_dir, "part").select(F.concat(F.lit("https://h/"), "p_partkey", F.lit(".png")).alias("image_url"), F.unhex(header).alias("body"))
+    kept = captured.write_images(rows, _at(spark, "images"), parts=4)
+    return kept.select("path", captured.image_header(F.col("content")).alias("h")).select("path", "h.*")
 
 
 def queries() -> dict[str, Query]:

@@ -16,6 +16,13 @@ def video_object(document: Column) -> Column:
     return F.when(value_at(document, "$['@type']") == "VideoObject", value_at(document, "$.contentUrl"))
 
 
+def video_objects(document: Column) -> Column:
+    """contentUrl of each VideoObject of a JSON-LD block, which may be an object or a list of them."""
+    own = F.from_json(document, "array<struct<`@type`:string,contentUrl:string>>")
+    urls = F.transform(F.filter(own, lambda o: o["@type"] == "VideoObject"), lambda o: o["contentUrl"])
+    return F.coalesce(F.filter(urls, lambda u: u.isNotNull()), F.array().cast("array<string>"))
+
+
 def image_rights(document: Column) -> Column:
     """(caption, holder) of a JSON-LD image."""
     return F.struct(F.coalesce(value_at(document, "$.caption"), F.lit("")).alias("caption"), F.coalesce(value_at(document, "$.copyrightHolder.name"), F.lit("")).alias("rights"))

@@ -95,12 +95,43 @@ class Element:
         return self
 
     def html(self) -> str:
-        """Serialized again, attributes quoted."""
-        inner = "".join(c if isinstance(c, str) else c.html() for c in self.children)
-        if self.tag == "#root":
-            return inner
-        attrs = "".join(f' {k}="{v.replace(chr(34), "&quot;")}"' for k, v in self.attrs.items())
-        return f"<{self.tag}{attrs}>" + ("" if self.tag in VOID else f"{inner}</{self.tag}>")
+        """Serialized again, attributes quoted; walks without recursion, so depth has no bound."""
+        out: list[str] = []
+        stack: list[Element | str] = [self]
+        while stack:
+            own = stack.pop()
+            if isinstance(own, str):
+                out.append(own)
+                continue
+            if own.tag != "#root":
+                attrs = "".join(f' {k}="{v.replace(chr(34), "&quot;")}"' for k, v in own.attrs.items())
+                out.append(f"<{own.tag}{attrs}>")
+                if own.tag in VOID:
+                    continue
+                stack.append(_End(f"</{own.tag}>"))
+            stack.extend(reversed(own.children))
+        return "".join(out)
+
+    def copy(self) -> Element:
+        """The same tree anew, for readers that take elements out."""
+        top = Element(self.tag, self.attrs, None)
+        top.order = self.order
+        stack = [(self, top)]
+        while stack:
+            own, made = stack.pop()
+            for c in own.children:
+                if isinstance(c, str):
+                    made.children.append(c)
+                    continue
+                child = Element(c.tag, c.attrs, made)
+                child.order = c.order
+                made.children.append(child)
+                stack.append((c, child))
+        return top
+
+
+class _End(str):
+    """A closing tag among an element's serialized parts."""
 
 
 class _Builder(HTMLParser):

@@ -1,7 +1,8 @@
 """Article extraction: one cascade of strategies, declared per publisher.
 
-A page is parsed once in an Arrow-batched function that returns a struct (title, content, strategy, error). Strategies are
-tried in the publisher's order; each rule says from which length on a result is accepted and whether the longer of two stays.
+A page is parsed once in an Arrow-batched function that returns a struct (title, content, strategy, error); each strategy reads a
+copy of its tree, since some take elements out. Strategies are tried in the publisher's order; each rule says from which length on a
+result is accepted and whether the longer of two stays.
 """
 
 from __future__ import annotations
@@ -34,6 +35,7 @@ TF1_STOP = (
     "Vous souhaitez nous poser des questions ou nous soumettre une information qui ne vous paraît pas fiable ? N'hésitez pas à nous écrire à "
     "l'adresse lesverificateurs@tf1.fr. Retrouvez-nous également sur X : notre équipe y est présente derrière le compte @verif_TF1LCI."
 )
+#: Where publishers keep titles, leads and bodies, and what is taken out of them.
 PLAIN_CONTAINERS = ("article", ".entry-content", ".post-content", ".et_pb_post_content", ".post-content-inner")
 CORRECTIV_CONTAINERS = ("article", "main article", "div.entry-content", "div.post-content", "div.wp-block-post-content", "[itemprop='articleBody']", "main")
 AFP_CONTAINERS = (
@@ -183,8 +185,9 @@ def _parts(scope: list[Element], strategy: Strategy) -> list[str]:
     return out
 
 
-def run_strategy(html: str, strategy: Strategy, spec: Spec) -> tuple[str, str]:
-    root = parse(html)
+def run_strategy(page: str | Element, strategy: Strategy, spec: Spec) -> tuple[str, str]:
+    """(title, body) by one strategy; a parsed page is left as it is."""
+    root = parse(page) if isinstance(page, str) else page.copy()
     if strategy.kind == "jsonld":
         title, body = py.jsonld_article([s.children[0] for s in root.select("script[type='application/ld+json']") if s.children and isinstance(s.children[0], str)])
         return title.strip(), trimmed(tidy(parse(body).text() if "<" in body else body), spec)
@@ -217,30 +220,33 @@ def cut_page(html: str, spec: Spec) -> str:
     return html[: min(hits)].strip() if hits else html
 
 
-def cascade(html: str, spec: Spec) -> tuple[str, str, str]:
-    """(title, body, strategy) of the best rule on one page."""
-    html = cut_page(html, spec)
+def cascade(html: str, spec: Spec, parsed: Element | None = None) -> tuple[str, str, str]:
+    """(title, body, strategy) of the best rule on one page; ``parsed`` is its tree, if it is there already."""
+    cut = cut_page(html, spec)
+    root = parsed if parsed is not None and cut is html else parse(cut)
     title = body = used = ""
     for rule in spec.rules:
         if rule.only_below is not None and len(body) >= rule.only_below:
             continue
-        t, b = run_strategy(html, rule.strategy, spec)
+        t, b = run_strategy(root, rule.strategy, spec)
         if not used or len(b) > len(body) or (rule.at_least_as_long and len(b) >= len(body)):
             title, body, used = t or title, b, rule.strategy.kind
         if rule.accept is not None and len(b) >= rule.accept:
             break
     if spec.leads:
-        root = parse(html)
         lead = next((t for s in spec.leads if (e := root.one(s)) and (t := tidy(e.text()))), "")
         if lead and lead.lower() not in body[: spec.lead_window].lower():
             body = f"{lead}\n{body}" if body else lead
     return title.strip(), body, used
 
 
-def extract(static: str | None, rendered: str | None, url: str | None, spec: Spec) -> dict:
-    """Title and content of a captured page; the rendered copy is read where the static one gives too little."""
+def extract(static: str | None, rendered: str | None, url: str | None, spec: Spec, parsed: Element | None = None) -> dict:
+    """Title and content of a captured page; the rendered copy is read where the static one gives too little.
+
+    ``parsed``: the static copy's tree, if it is there already.
+    """
     try:
-        title, body, used = cascade(static, spec) if static else ("", "", "")
+        title, body, used = cascade(static, spec, parsed) if static else ("", "", "")
         floor = max([spec.rendered_below or 0, *(n for host, n in spec.rendered_hosts if host in (url or ""))])
         if rendered and (not static or len(body) < floor):
             t, b, u = cascade(rendered, spec)
@@ -257,17 +263,21 @@ ARTICLE = "struct<title:string,content:string,strategy:string,error:string>"
 
 
 def article(html: Column, publisher: Column | str, rendered: Column | None = None, url: Column | None = None) -> Column:
-    """Struct (title, content, strategy, error) of a page by its publisher's spec; unknown publishers get the plain cascade."""
+    """Struct (title, content, strategy, error) of a page by its publisher's spec (R15); an unknown one is its row's error."""
 
     @F.pandas_udf(ARTICLE)
     def run(html: pd.Series, rendered: pd.Series, url: pd.Series, name: pd.Series) -> pd.DataFrame:
-        plain = SPECS["de/rtl"]
-        return pd.DataFrame([extract(h, r, u, SPECS.get(n, plain)) for h, r, u, n in zip(html, rendered, url, name, strict=True)], columns=["title", "content", "strategy", "error"])
+        rows = [extract(h, r, u, SPECS[n]) if n in SPECS else _unknown(n) for h, r, u, n in zip(html, rendered, url, name, strict=True)]
+        return pd.DataFrame(rows, columns=["title", "content", "strategy", "error"])
 
     none = F.lit(None).cast("string")
     return run(html, none if rendered is None else rendered, none if url is None else url, F.lit(publisher) if isinstance(publisher, str) else publisher)
 
 
+def _unknown(name: str | None) -> dict:
+    return {"title": None, "content": None, "strategy": None, "error": f"unknown publisher {name}"}
+
+
 def spec_table(spark) -> DataFrame:
     """The registry, one row for each publisher and site; small enough to broadcast by its size."""
     return spark.createDataFrame([(key, s.publisher, s.language, site) for key, s in SPECS.items() for site in s.sites], "spec string, publisher_id string, language string, site string")

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimloom.functions.text import text_or_empty
+from claimloom.functions.text import claim_modality, text_or_empty
 from claimloom.functions.url import norm_site, url_hash
+from claimloom.session import shared_dir
 
 #: One captured page of the claim feed.
 REVIEW = "struct<publisher:struct<name:string,site:string>,url:string,title:string,reviewDate:string,textualRating:string>"
@@ -31,9 +36,47 @@ def of_publisher(items: DataFrame, site: str | None, column: str = "publisher_si
 
 
 def first_by(items: DataFrame, key: str, order: list[str], desc: bool = False) -> DataFrame:
-    """The first row of each non-empty key."""
+    """The first row of each non-empty key. Keys may be long texts: rows are dealt and sorted by their digest."""
     by = [F.desc(c) if desc else F.asc(c) for c in order]
-    return items.where(text_or_empty(F.col(key)) != "").withColumn("__n", F.row_number().over(Window.partitionBy(key).orderBy(*by))).where("__n = 1").drop("__n")
+    some = items.where(text_or_empty(F.col(key)) != "").withColumn("__k", F.sha2(F.col(key), 256))
+    return some.withColumn("__n", F.row_number().over(Window.partitionBy("__k").orderBy(*by))).where("__n = 1").drop("__n", "__k")
+
+
+def shortest_urls(items: DataFrame, group: str, url: str) -> DataFrame:
+    """Distinct (group, url) without those that another url of the group is a prefix of, however large a group is.
+
+    In code point order, whatever starts with a url follows it, so a url stays unless the last that stayed is its prefix. Sorted
+    partitions are read once in that order; what a partition starts with is then held against the last url that stayed before it,
+    of which there is one for each partition.
+    """
+    kind = items.schema[group].dataType.simpleString()
+    spark = items.sparkSession
+    ordered = items.select(F.col(group).alias("g"), F.col(url).alias("u")).where("u is not null").distinct().repartitionByRange("g", "u").sortWithinPartitions("g", "u")
+
+    def stay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        g = u = None
+        for batch in batches:
+            keep = []
+            for own, text in zip(batch.column("g").to_pylist(), batch.column("u").to_pylist(), strict=True):
+                keep.append(own != g or u is None or not text.startswith(u))
+                if keep[-1]:
+                    g, u = own, text
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keep, pa.bool_())], ["g", "u", "keep"])
+
+    at = f"{shared_dir(spark)}/shortest-{uuid.uuid4().hex}"
+    ordered.mapInArrow(stay, f"g {kind}, u string, keep boolean").where("keep").select("g", "u", F.spark_partition_id().alias("part")).write.parquet(at)
+    kept = spark.read.schema(f"g {kind}, u string, part int").parquet(at)
+    last = {r.part: (r.l.g, r.l.u) for r in kept.groupBy("part").agg(F.max(F.struct("g", "u")).alias("l")).collect()}  # a row for each partition
+    carried, ahead = [], None
+    for part in sorted(last):
+        if ahead:
+            carried.append((part, *ahead))
+        # a partition whose last url was only kept for want of what stands before it hands that on
+        ahead = ahead if ahead and ahead[0] == last[part][0] and last[part][1].startswith(ahead[1]) else last[part]
+    before = spark.createDataFrame(carried, f"part int, before_g {kind}, before_u string")
+    joined = kept.join(F.broadcast(before), "part", "left")
+    gone = F.coalesce((F.col("g") == F.col("before_g")) & F.col("u").startswith(F.col("before_u")), F.lit(False))
+    return joined.where(~gone).select(F.col("g").alias(group), F.col("u").alias(url))
 
 
 def limited(items: DataFrame, n: int | None, order: list[str]) -> DataFrame:
@@ -53,17 +96,12 @@ def with_label(items: DataFrame, labels: DataFrame, publisher: str = "publisher_
     return joined.withColumn("label_normalized", F.coalesce("label_normalized", raw)).drop("__p", "__l")
 
 
-def enriched(items: DataFrame, articles: DataFrame, images: DataFrame | None = None, videos: DataFrame | None = None) -> DataFrame:
-    """Claims with what was extracted from their pages; a skipped kind of media is an empty array."""
-    none_images = F.array().cast("array<struct<image_url:string,caption:string,path:string>>")
-    out = items.join(articles.select(F.col("url").alias("__a"), "article"), F.col("review_url") == F.col("__a"), "left").drop("__a")
-    for name, table, empty in (("images", images, none_images), ("videos", videos, F.array().cast("array<string>"))):
-        if table is None:
-            out = out.withColumn(name, empty)
-        else:
-            key = table.columns[0]
-            out = out.join(table.select(F.col(key).alias("__k"), name), F.col("review_url") == F.col("__k"), "left").drop("__k").withColumn(name, F.coalesce(name, empty))
-    return out
+def enriched(items: DataFrame, pages: DataFrame) -> DataFrame:
+    """Claims with what was extracted from their pages (url, article, images, videos, image_error, video_error,
+    final_url); ``pages`` has one row for each url, and a claim without a page has no media."""
+    media = {"images": "array<struct<image_url:string,caption:string,path:string>>", "videos": "array<string>"}
+    out = items.join(pages.withColumnRenamed("url", "__url"), F.col("review_url") == F.col("__url"), "left").drop("__url")
+    return out.withColumns({name: F.coalesce(name, F.array().cast(kind)) for name, kind in media.items()})
 
 
 def has_media() -> Column:
@@ -73,12 +111,26 @@ def has_media() -> Column:
 
 def record(publisher: str, language: str) -> Column:
     """The nested record of an enriched, labelled claim; absent parts are null and vanish in JSON."""
-    errors = F.struct(F.col("article.error").alias("article"))
+    kinds = {"article": F.col("article.error"), "images": F.col("image_error"), "videos": F.col("video_error")}
+    errors = F.struct(*[error.alias(kind) for kind, error in kinds.items()])
     return F.struct(
         F.lit(publisher).alias("publisher_id"), F.lit(language).alias("language"), F.col("claim_text").alias("claim"), "claimant", "claim_date",
         F.col("review_label_raw").alias("label_raw"), "label_normalized",
         F.struct("review_url", "review_title", "review_date", "publisher_name", "publisher_site").alias("claimreview"),
-        F.struct(F.col("review_url").alias("url"), text_or_empty(F.col("article.title")).alias("title"), text_or_empty(F.col("article.content")).alias("text")).alias("debunk_article"),
+        F.struct(F.coalesce("final_url", "review_url").alias("url"), text_or_empty(F.col("article.title")).alias("title"), text_or_empty(F.col("article.content")).alias("text")).alias("debunk_article"),
         F.struct("images", "videos", F.when(has_media(), F.concat(F.lit(f"{publisher}_"), url_hash(F.col("review_url")))).alias("assets_dir")).alias("media"),
-        F.when(F.col("article.error").isNotNull(), errors).alias("errors"),
+        F.when(F.coalesce(*kinds.values()).isNotNull(), errors).alias("errors"),
     )
+
+
+def saved(records: DataFrame, column: str = "record") -> DataFrame:
+    """Rows saved for each publisher, and how many of them have media or an error of some kind."""
+    r = F.col(column)
+    some = F.size(r["media"]["images"]) + F.size(r["media"]["videos"]) > 0
+    return records.groupBy(r["publisher_id"].alias("publisher_id")).agg(F.count("*").alias("n_records"), F.count_if(some).alias("n_with_media"), F.count_if(r["errors"].isNotNull()).alias("n_with_errors"))
+
+
+def with_modality(items: DataFrame, reply: Callable[[Column], Column], column: str = "claim_text") -> DataFrame:
+    """``items`` with ``modality`` as a pluggable classifier's reply states it (T20). ``reply`` makes a column of replies from
+    one of claims: a model behind a pandas UDF, a lookup of captured replies, or rules."""
+    return items.withColumn("modality", claim_modality(reply(F.col(column))))

@@ -1,18 +1,21 @@
 """Videos and embeds: provider urls in canonical form, bucketed and deduplicated, all as Columns.
 
 A page's candidate urls are attribute values found by pattern inside generated code; only publishers whose videos stand in a
-scope parse the page first to cut that scope out.
+scope parse the page first to cut that scope out. What a publisher's page yields, in which form and order, is its ``VideoSpec``.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from claimloom.functions import data as D
 from claimloom.functions import text as T
 from claimloom.functions.url import strip_query, unquoted, with_scheme
-from claimloom.html.dom import parse
+from claimloom.html.dom import Element, parse
 
 #: The forms in which providers' players are embedded.
 YOUTUBE = r"(?i)https?://(?:www\.)?(?:youtube\.com|youtube-nocookie\.com)/embed/([A-Za-z0-9_-]{6,})"
@@ -55,6 +58,18 @@ def facebook(col: Column) -> Column:
     return F.coalesce(strip_query(_id(url, FACEBOOK)), F.when(url.rlike(FACEBOOK_PLUGIN), strip_query(inner)))
 
 
+def facebook_plugin(col: Column) -> Column:
+    """V3: the plugin's own url, as publishers that do not look into it give it."""
+    return _id(with_scheme(col), f"({FACEBOOK_PLUGIN})".replace("((?i)", "(?i)("))
+
+
+def with_autoplay(col: Column) -> Column:
+    """A url with ``autoplay=1`` in its query, in place where it is there already."""
+    bare, fragment = F.regexp_replace(col, "#.*$", ""), F.regexp_extract(col, "(#.*)$", 1)
+    put = F.when(bare.rlike("[?&]autoplay="), F.regexp_replace(bare, "([?&]autoplay=)[^&]*", "$11")).when(bare.contains("?"), F.concat(bare, F.lit("&autoplay=1"))).otherwise(F.concat(bare, F.lit("?autoplay=1")))
+    return F.concat(put, fragment)
+
+
 def tiktok(col: Column) -> Column:
     """V6."""
     url = with_scheme(col)
@@ -65,9 +80,9 @@ def tweet_id(col: Column) -> Column:
     return _id(with_scheme(col), TWEET, STATUS, r"data-tweet-id=[\"']([0-9]+)")
 
 
-def tweet(col: Column, head: str = "https://x.com/i/web/status/") -> Column:
-    """V7; some publishers use ``https://twitter.com/i/web/status/``."""
-    return F.concat(F.lit(head), tweet_id(col))
+def tweet(col: Column, head: str = "https://x.com/i/web/status/", links: bool = True) -> Column:
+    """V7; some publishers use ``https://twitter.com/i/web/status/``, and some count embedded tweets alone, no ``links``."""
+    return F.concat(F.lit(head), tweet_id(col) if links else _id(with_scheme(col), TWEET))
 
 
 def ultimedia(col: Column) -> Column:
@@ -100,11 +115,12 @@ def provider(col: Column, providers=PROVIDERS) -> Column:
 
 def page_urls(html: Column) -> Column:
     """Candidate urls of a page: attributes (facades, lazy and consent-blocked frames too), srcdoc, raw streams."""
-    attributes = T.attribute_urls(html, "src|href|data-src|data-src-cmplz|data-facadesrc|cite|data-video-url")
+    attributes = T.attribute_urls(html, "src|href|data-src|data-src-cmplz|data-facadesrc|cite|data-video-url|data-stream-url")
     documents = F.transform(T.attribute_urls(html, "srcdoc"), T.unescape_basic)
     inner = F.flatten(F.transform(documents, lambda d: T.attribute_urls(d)))
     streams = F.regexp_extract_all(T.unescape_basic(html), F.lit(RAW), F.lit(1))
-    return F.concat(F.transform(attributes, T.unescape_basic), inner, streams)
+    tweets = F.transform(T.attribute_urls(html, "data-tweet-id"), lambda i: F.concat(F.lit("https://platform.twitter.com/embed/Tweet.html?id="), i))
+    return F.concat(tweets, F.transform(attributes, T.unescape_basic), inner, streams)
 
 
 #: Urls that no canonicaliser can know lack all of these.
@@ -139,6 +155,17 @@ def poster(video_id: Column) -> Column:
     return F.concat(F.lit("https://img.youtube.com/vi/"), video_id, F.lit("/hqdefault.jpg"))
 
 
+def anchor(embed: Column) -> Column:
+    """A linked poster for an embed of YouTube, null for others."""
+    video = _id(embed, YOUTUBE)
+    return F.concat(F.lit('<a href="https://www.youtube.com/embed/'), video, F.lit('?autoplay=1"><img src="'), poster(video), F.lit('" alt=""><span>▶</span></a>'))
+
+
+def href_from_anchor(col: Column) -> Column:
+    """The first link of an anchor."""
+    return F.nullif(F.regexp_extract(col, 'href="([^"]+)"', 1), F.lit(""))
+
+
 def is_visible(width: Column, height: Column, displayed: Column, least: int = 40) -> Column:
     """V16, over captured layout; unknown layout passes."""
     return F.coalesce(displayed, F.lit(True)) & (F.coalesce(width, F.lit(least)) >= least) & (F.coalesce(height, F.lit(least)) >= least)
@@ -146,54 +173,178 @@ def is_visible(width: Column, height: Column, displayed: Column, least: int = 40
 
 def tweet_has_video(features: Column, iframe_title: Column) -> Column:
     """V8: a decoded feature document with a player's key, else a title that says video."""
-    from claimloom.functions.data import has_key_like
-
-    return has_key_like(features) | F.lower(F.coalesce(iframe_title, F.lit(""))).contains("video")
+    return D.has_key_like(features) | F.lower(F.coalesce(iframe_title, F.lit(""))).contains("video")
 
 
-#: Scopes that publishers keep their embeds in.
-SCOPES = {"defactobservatoire": "div.defacto-fact-check-body", "factuelafp": "div.g2web", "20minutes": "div[class*='EmbedInstagram__Wrapper']", "francetvinfo": "div.page-content-wrapper", "rtl": "main", "lemonde": "article"}
+@dataclass(frozen=True)
+class VideoSpec:
+    """What one publisher's pages yield.
 
+    ``providers``: buckets, in order (V15); ``youtube``: form of its urls (V1), also from ``watch`` urls; ``tweets``: head of tweets'
+    urls (V7), also of links to them (``links``); ``plugin``: Facebook's plugin urls stay as they are (V3); ``scope``: where embeds stand (V17), for the providers
+    ``scoped`` or for all; ``whole``: the page is read where the scope holds nothing (V18); ``own``: the publisher's player (V11-V13)
+    and ``own_scope`` where it stands; ``order``: one sorted list, buckets one after the other, or as the page has them;
+    ``queries``: Ultimedia's and raw urls keep theirs.
+    """
 
-def scoped_html(html: Column, selector: str, whole_if_empty: bool = True) -> Column:
-    """Outer HTML of the scopes; the page where none is found."""
+    publisher: str
+    providers: tuple[str, ...]
+    youtube: str = "autoplay"
+    watch: bool = False
+    tweets: str = "https://x.com/i/web/status/"
+    links: bool = True
+    plugin: bool = False
+    scope: str = ""
+    scoped: tuple[str, ...] = ()
+    whole: bool = False
+    own: str = ""
+    own_scope: str = ""
+    order: str = "sorted"
+    queries: bool = False
+
+    def selectors(self) -> tuple[str, str]:
+        return self.scope, self.own_scope
+
+
+_DEFACTO = ("youtube", "dailymotion", "ultimedia", "raw_video")
+_SOCIAL = "div[class*='EmbedInstagram__Wrapper']"
+ANY = VideoSpec("any", tuple(n for n, _ in PROVIDERS), watch=True)
+#: Scopes and forms of each publisher.
+SPECS = {
+    s.publisher: s
+    for s in [
+        VideoSpec("br", ("youtube", "facebook"), "watch", plugin=True, own="ard", own_scope="section[class*='ArticleModuleMedia_wrapper']", order="buckets"),
+        VideoSpec("rtl", ("youtube", "facebook"), "watch", plugin=True, scope="main", own="rtl", own_scope="main", order="buckets"),
+        VideoSpec("stern", (), own="renditions"),
+        VideoSpec("volksverpetzer", ("youtube", "facebook"), "watch", plugin=True, order="buckets"),
+        VideoSpec("factencheckafp", ("youtube", "twitter"), watch=True, tweets="https://twitter.com/i/web/status/", links=False, order="page"),
+        VideoSpec("20minutes", ("youtube", "ultimedia", "instagram", "twitter", "tiktok"), scope=_SOCIAL, scoped=("instagram",), queries=True),
+        VideoSpec("defactobservatoire", _DEFACTO, watch=True, scope="div.defacto-fact-check-body", queries=True),
+        VideoSpec("factuelafp", _DEFACTO, watch=True, scope="div#block-factuel-content div.g2web", queries=True),
+        VideoSpec("fasocheck", ("youtube", "dailymotion", "facebook", "ultimedia", "raw_video"), watch=True),
+        VideoSpec("francetvinfo", ("youtube", "dailymotion", "tiktok", "twitter", "raw_video"), links=False, scope="div.page-content-wrapper"),
+        VideoSpec("lemonde", ("youtube", "dailymotion"), "embed"),
+        VideoSpec("liberation", ("youtube", "twitter"), order="buckets"),
+        VideoSpec("numerama", ("youtube", "tiktok")),
+        VideoSpec("tf1info", ("youtube", "instagram", "tiktok", "twitter", "facebook", "raw_video"), scope=_SOCIAL, scoped=("instagram", "tiktok", "twitter", "facebook", "raw_video")),
+    ]
+}
+#: Hosts of advertising.
+ADVERTS = ("emsservice.de", "adsserver", "adserver", "doubleclick", "googlesyndication", "outbrain", "outbrainimg", "taboola")
+
+
+def canonicals(spec: VideoSpec, names: tuple[str, ...]) -> list:
+    """The spec's canonicalisers of these providers, as ``provider`` takes them."""
+    own = {
+        "youtube": lambda c: youtube(c, spec.youtube, spec.watch), "twitter": lambda c: tweet(c, spec.tweets, spec.links), "facebook": facebook_plugin if spec.plugin else facebook,
+        "ultimedia": (lambda c: with_scheme(_id(c, ULTIMEDIA))) if spec.queries else ultimedia, "raw_video": (lambda c: _id(with_scheme(c), RAW)) if spec.queries else raw_video,
+    }
+    return [(n, own.get(n, of)) for n, of in PROVIDERS if n in names]
+
+
+def scoped_html(html: Column, *selectors: str) -> Column:
+    """Struct (error, h0, h1, ...): outer HTML of the elements that each selector finds, empty without any; one parse a page.
+
+    A page that cannot be read has the reason in ``error`` (R8), not an end of the job.
+    """
+    names = [f"h{k}" for k in range(len(selectors))]
+
+    @F.pandas_udf("struct<" + ",".join(f"{n}:string" for n in ["error", *names]) + ">")
+    def run(pages: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([_scopes(p, selectors) for p in pages], columns=["error", *names])
+
+    return run(html)
+
+
+def _scopes(page: str | Element | None, selectors: tuple[str, ...]) -> list[str | None]:
+    try:
+        root = parse(page) if page is None or isinstance(page, str) else page
+        return [None, *["".join(e.html() for e in _outermost(root, s)) if s else "" for s in selectors]]
+    except Exception as error:
+        return [f"{type(error).__name__}: {error}", *["" for _ in selectors]]
+
+
+def _outermost(root: Element, selector: str) -> list[Element]:
+    """Elements found that do not stand in another one found."""
+    found = root.select(selector)
+    inside = {id(e) for e in found}
+    return [e for e in found if not any(id(a) in inside for a in e.ancestors())]
+
+
+def listed(spec: VideoSpec, whole: Column, scoped: Column, own: Column, logs: Column | None = None) -> Column:
+    """A page's videos by its publisher's spec. ``scoped`` and ``own`` are the HTML of the spec's two scopes."""
+    region = whole if not spec.scope else F.coalesce(F.nullif(scoped, F.lit("")), whole) if spec.whole else scoped
+    inside = spec.providers if spec.scope and not spec.scoped else spec.scoped
+    lists = {}
+    for names, html in ((tuple(n for n in spec.providers if n not in inside), whole), (tuple(inside), region)):
+        if names:
+            of = canonicals(spec, names)
+            found = known(page_urls(html), of)
+            lists |= {n: F.transform(F.filter(found, _named(n)), lambda p: p.url) for n in names}
+    none = F.array().cast("array<string>")
+    native = {"ard": lambda: ard_streams(whole, own), "rtl": lambda: native_streams(page_urls(own)), "renditions": lambda: F.filter(F.array(first_rendition(whole, logs)), lambda u: u.isNotNull()), "": lambda: none}[spec.own]()
+    if spec.own == "rtl":
+        lists = {n: F.filter(v, lambda u: ~_is_advert(u)) for n, v in lists.items()}
+    if spec.order == "page":
+        return F.array_distinct(F.concat(*lists.values(), native))
+    buckets_ = [T.shortest_prefixes(v) for v in lists.values()]
+    if spec.order == "sorted":
+        return F.array_sort(F.array_distinct(F.concat(none, native, *buckets_)))
+    first, last = (native, none) if spec.own == "rtl" else (none, native)
+    return F.concat(first, *[F.array_sort(b) for b in buckets_], last)
 
-    @F.pandas_udf("string")
-    def run(pages: pd.Series) -> pd.Series:
-        return pd.Series(["".join(e.html() for e in parse(p).select(selector)) for p in pages])
 
-    return F.coalesce(F.nullif(run(html), F.lit("")), html) if whole_if_empty else run(html)
+def of_pages(pages: DataFrame, key: str = "url", publisher: str | None = None) -> DataFrame:
+    """(key, videos, error): urls of each page's (key, html, and optionally log_urls) videos; pages are parsed only for a scope."""
+    spec = SPECS.get(publisher or "", ANY)
+    logs = F.col("log_urls") if "log_urls" in pages.columns else None
+    scoped = scoped_html(F.col("html"), *spec.selectors()) if any(spec.selectors()) else F.struct(F.lit(None).cast("string").alias("error"), F.lit("").alias("h0"), F.lit("").alias("h1"))
+    cut = pages.select("*", scoped.alias("__s"))
+    return cut.select(key, listed(spec, F.col("html"), F.col("__s.h0"), F.col("__s.h1"), logs).alias("videos"), F.col("__s.error").alias("error"))
 
 
-def of_pages(pages: DataFrame, key: str = "url", publisher: str | None = None) -> DataFrame:
-    """(key, videos): sorted canonical urls of each page's (key, html) videos; pages are parsed only for a scope."""
-    scope = SCOPES.get(publisher or "")
-    cut = pages.select(key, (scoped_html(F.col("html"), scope) if scope else F.col("html")).alias("__html"))
-    found = page_urls(F.col("__html"))
-    if publisher == "20minutes":
-        found = F.filter(found, lambda u: u.rlike("(?i)instagram|twitter|x\\.com|facebook|tiktok|\\.mp4|youtube|ultimedia|dailymotion"))
-    return cut.select(key, known(found).alias("__known")).select(key, video_list(buckets(F.col("__known"))).alias("videos"))
+def _is_advert(url: Column) -> Column:
+    return F.lower(url).rlike("|".join(a.replace(".", "\\.") for a in ADVERTS))
 
 
 def native_streams(urls: Column, host: str = "rtl.de") -> Column:
-    """A broadcaster's own streams: one for each ``world-<hex>`` item, progressive first, then mp4; advertising goes."""
-    own = F.filter(urls, lambda u: u.contains(f".{host}/") & u.rlike("(?i)\\.(mp4|m3u8)") & ~u.rlike("(?i)/ads?/|adserver|preroll"))
+    """A broadcaster's own streams, sorted; of those that name one item (``world-`` and 20 hexadecimal digits or more) one stays:
+    the first, given up for a progressive one if it is none, or for an mp4 if it is none. Others follow; advertising goes."""
+    own = F.filter(urls, lambda u: u.rlike("(?i)^https?://[^\"'<>\\s]*\\." + host.replace(".", "\\.") + "/") & ~u.startswith("blob:") & ~_is_advert(u))
+    sorted_ = F.array_sort(F.array_distinct(own))
+    item = lambda u: F.regexp_extract(u, "world-([a-f0-9]{20,})-", 1)
+    items = F.array_distinct(F.filter(F.transform(sorted_, item), lambda i: i != ""))
+
+    def better(held: Column, u: Column) -> Column:
+        progressive = u.contains("progressive") & ~held.contains("progressive")
+        return F.when(held.isNull() | progressive | (u.endswith(".mp4") & ~held.endswith(".mp4")), u).otherwise(held)
 
-    def item(u: Column) -> Column:
-        named = F.regexp_extract(u, "(world-[0-9a-f]+)-", 1)
-        rank = F.when(u.contains("progressive"), 0).when(strip_query(u).endswith(".mp4"), 1).otherwise(2)
-        return F.struct(F.when(named == "", strip_query(u)).otherwise(named).alias("item"), rank.alias("rank"), u.alias("url"))
+    best = F.transform(items, lambda i: F.aggregate(F.filter(sorted_, lambda u: item(u) == i), F.lit(None).cast("string"), better))
+    return F.concat(F.array_sort(best), F.filter(sorted_, lambda u: item(u) == ""))
 
-    keyed = F.array_sort(F.transform(own, item))
-    return F.transform(F.filter(keyed, lambda x, i: (i == 0) | (F.get(keyed, i - 1)["item"] != x["item"])), lambda x: x.url)
+
+def ard_streams(html: Column, player: Column) -> Column:
+    """JSON-LD videos and the player's documents of a page, and files in the player's section; a sorted set."""
+    blocks = F.regexp_extract_all(T.text_or_empty(html), F.lit("(?is)<script[^>]*type=[\"']application/ld\\+json[\"'][^>]*>(.*?)</script>"), F.lit(1))
+    stated = F.flatten(F.transform(blocks, lambda b: D.video_objects(T.unescape_basic(b))))
+    streams = F.flatten(F.transform(T.attribute_urls(html, "data-mediajson"), lambda d: D.player_streams(T.unescape_basic(d))))
+    tags = F.regexp_extract_all(T.text_or_empty(player), F.lit("(?is)<(?:video|source)\\b[^>]*>"), F.lit(0))
+    files = F.filter(F.flatten(F.transform(tags, lambda t: T.attribute_urls(t, "src"))), lambda u: ~u.startswith("blob:"))
+    every = F.transform(F.concat(F.coalesce(stated, F.array().cast("array<string>")), F.coalesce(streams, F.array().cast("array<string>")), files), lambda u: F.trim(u))
+    return F.array_sort(F.array_distinct(F.filter(every, lambda u: u.isNotNull() & (u != ""))))
+
+
+def first_rendition(html: Column, log_urls: Column | None = None) -> Column:
+    """The first progressive rendition that the page states, else the first mp4 that the captured network log shows."""
+    stated = F.transform(T.attribute_urls(html, "data-renditions"), lambda r: D.value_at(T.unescape_basic(r), "$.progressive.url"))
+    first = F.get(F.filter(stated, lambda u: u.isNotNull() & (u != "")), F.lit(0))
+    return first if log_urls is None else F.coalesce(first, F.get(F.filter(log_urls, lambda u: F.lower(u).endswith(".mp4")), F.lit(0)))
 
 
 def first_stream(renditions: Column, html: Column, log_urls: Column) -> Column:
     """A progressive rendition, else a file in the page, else the first one the captured network log shows."""
-    from claimloom.functions.data import progressive_url
-
     logged = F.get(F.filter(log_urls, lambda u: strip_query(F.lower(u)).endswith(".mp4")), F.lit(0))
-    return F.coalesce(progressive_url(renditions), F.nullif(F.regexp_extract(T.text_or_empty(html), r"(?i)(https?://[^\"'>\s]+\.mp4)", 1), F.lit("")), logged)
+    return F.coalesce(D.progressive_url(renditions), F.nullif(F.regexp_extract(T.text_or_empty(html), r"(?i)(https?://[^\"'>\s]+\.mp4)", 1), F.lit("")), logged)
 
 
 def embeds(html: Column) -> Column:

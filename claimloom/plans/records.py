@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from claimloom.operators import articles, claims
 from claimloom.operators import images as image_ops
+from claimloom.operators import pages as page_ops
 from claimloom.operators import videos as video_ops
 
 
@@ -15,21 +16,39 @@ def build(
 ) -> DataFrame:
     """(record) for the claims of one publisher.
 
-    ``feed``: raw claims (D1) with an order column ``pos``; ``pages``: captured pages (url, html_static, html_rendered). The
-    limit is applied before any page is parsed, and only pages of the remaining claims are.
+    ``feed``: raw claims (D1) with an order column ``pos``; ``pages``: captured pages (url, html_static, html_rendered, and if they
+    were kept final_url, log_urls and captured_at). Of a url that was captured more than once the last capture counts (by
+    captured_at, else by the greater texts). The limit is applied before any page is parsed, and only pages of the remaining
+    claims are, once each; what was read of them is narrow and joined once.
     """
     if spec not in articles.SPECS:
         raise ValueError(f"unknown publisher {spec}; known: {', '.join(sorted(articles.SPECS))}")
     own = articles.SPECS[spec]
     items = claims.first_by(claims.of_publisher(claims.flatten(feed), site), "review_url", ["pos"])
     items = claims.limited(items, max_items, ["pos"])
-    needed = pages.join(items.select(F.col("review_url").alias("url")).distinct(), "url", "left_semi")
-    read = needed.select("url", articles.article(F.col("html_static"), spec, F.col("html_rendered"), F.col("url")).alias("article"))
-    best = F.coalesce("html_rendered", "html_static")
-    pictures = None if skip_images or own.publisher not in image_ops.SPECS else image_ops.images(needed.select("url", best.alias("html")), own.publisher)
-    clips = None if skip_videos else video_ops.of_pages(needed.select("url", best.alias("html")), "url", own.publisher)
+    needed = _one_capture(pages.join(items.select(F.col("review_url").alias("url")).distinct(), "url", "left_semi"))
+    skip_images = skip_images or own.publisher not in image_ops.SPECS
+    read = page_ops.read(F.col("html_static"), F.col("html_rendered"), F.col("url"), spec, not skip_images, not skip_videos)
+    videos = video_ops.SPECS.get(own.publisher, video_ops.ANY)
+    parsed = needed.withColumn("r", read).withColumn("html", F.coalesce("html_rendered", "html_static"))
+    none = F.array().cast("array<string>")
+    clips = none if skip_videos else video_ops.listed(videos, F.col("html"), F.col("r.scope"), F.col("r.own_scope"), F.col("log_urls"))
+    narrow = parsed.select("url", "final_url", "r.article", "r.list", clips.alias("videos"), "r.image_error", "r.video_error")
+    if skip_images:
+        narrow = narrow.withColumn("images", F.lit(None).cast("array<struct<image_url:string,caption:string,path:string>>"))
+    else:
+        narrow = image_ops.with_choice(narrow, "list", own.publisher)
     missing = F.struct(F.lit("").alias("title"), F.lit("").alias("content"), F.lit(None).cast("string").alias("strategy"), F.lit("no page captured").alias("error"))
-    full = claims.enriched(items, read, pictures, clips).withColumn("article", F.coalesce("article", missing))
+    full = claims.enriched(items, narrow.drop("list")).withColumn("article", F.coalesce("article", missing))
     full = full.withColumn("publisher_id", F.lit(own.publisher)).withColumn("label_raw", F.col("review_label_raw"))
     full = claims.with_label(full, labels) if labels is not None else full.withColumn("label_normalized", F.col("label_raw"))
     return full.select("pos", claims.record(own.publisher, own.language).alias("record"))
+
+
+def _one_capture(pages: DataFrame) -> DataFrame:
+    """One row for each url, with all the columns that a capture may have."""
+    kinds = {"final_url": "string", "log_urls": "array<string>", "captured_at": "timestamp"}
+    full = pages.withColumns({c: F.lit(None).cast(kind) for c, kind in kinds.items() if c not in pages.columns})
+    columns = ["final_url", "html_static", "html_rendered", "log_urls"]
+    last = F.max_by(F.struct(*columns), F.struct("captured_at", "html_static", "html_rendered", "final_url")).alias("p")
+    return full.groupBy("url").agg(last).select("url", "p.*")

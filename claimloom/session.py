@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 #: Defaults that a submitted configuration overrides.
@@ -34,11 +36,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share, as the session names it; a local one only on a single machine."""
+    """The folder that the driver and all executors share, as the session names it.
+
+    A local folder is taken only where driver and executors are one process (masters ``local`` and ``local[...]``).
+    """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return "file:///tmp/checkpoints/claimloom"
 

@@ -6,12 +6,17 @@ Nothing here touches the network. Paths go to Spark's readers and writers alone,
 from __future__ import annotations
 
 import struct
+import uuid
+from collections.abc import Iterator
+from pathlib import Path
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
+from claimloom.functions.url import image_name
 from claimloom.operators.claims import FEED
 
 
@@ -99,3 +104,30 @@ def read_images(spark: SparkSession, path: str) -> DataFrame:
     """(path, sha256, format, width, height) of image files."""
     files = spark.read.format("binaryFile").load(path)
     return files.select("path", F.sha2("content", 256).alias("sha256"), image_header("content").alias("h")).select("path", "sha256", "h.*")
+
+
+def write_images(responses: DataFrame, path: str, prefix: str = "img", parts: int = 256) -> DataFrame:
+    """Captured images (image_url, body, and optionally content_type) as a table of named bytes under ``path``, in ``parts`` folders
+    by name; returns (path, image_url, content) read back. Bodies are written once, by the tasks that hold them; ``files`` makes single files."""
+    kind = F.col("content_type") if "content_type" in responses.columns else F.lit(None).cast("string")
+    named = responses.where("body is not null").select(image_name(F.lit(prefix), F.col("image_url"), kind).alias("path"), "image_url", F.col("body").cast("binary").alias("content"))
+    once = named.dropDuplicates(["path"]).withColumn("part", F.pmod(F.xxhash64("path"), F.lit(parts)))
+    once.write.mode("append").partitionBy("part").parquet(path)
+    return responses.sparkSession.read.parquet(path).select("path", "image_url", "content")
+
+
+def files(images: DataFrame, folder: str) -> int:
+    """Single files of ``write_images``' rows in ``folder``, written by the executors' own tasks through Python's file system: for a
+    folder that they all mount. Returns how many."""
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            Path(folder).mkdir(parents=True, exist_ok=True)
+            names = batch.column("path").to_pylist()
+            for name, content in zip(names, batch.column("content").to_pylist(), strict=True):
+                part = Path(folder, f".{name}.{uuid.uuid4().hex}")
+                part.write_bytes(content)
+                part.replace(Path(folder, name))  # a task that is run again replaces whole files
+            yield pa.RecordBatch.from_arrays([pa.array([len(names)], pa.int64())], ["n"])
+
+    return images.select("path", "content").mapInArrow(put, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
