@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,6 +46,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def kept(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``written`` outside of any scratch folder, and the path, for the caller to remove when the table is used up."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Tables ``written`` inside go when it ends: what is made from them has to be written outside, or used up, before."""
@@ -63,21 +72,31 @@ def removed(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
-#: Bitmaps of a sieve, each of 32,768 bits: 8 MB of them at most, however many values are put in.
-BITMAPS, BITS = 2048, 32_768
+#: Bitmaps of a sieve at most, each of BITS bits: 8 MB, however many values are put in; and bits for each value below that.
+BITMAPS, BITS, BITS_PER_VALUE = 2048, 32_768, 16
+
+
+@dataclass(frozen=True)
+class Sieve:
+    """(bucket, bits): bitmaps of the hashes of a column's values among ``places`` bits, bounded in size and so fit to be broadcast."""
+
+    bitmaps: DataFrame
+    places: int
 
 
-def sieve(values: DataFrame, column: str) -> DataFrame:
-    """(bucket, bits): bitmaps of the hashes of a column's values, bounded in size and so fit to be broadcast."""
-    place = F.pmod(F.xxhash64(column), F.lit(BITMAPS * BITS))
+def sieve(values: DataFrame, column: str) -> Sieve:
+    """A sieve of a column's values; more values than its bound has room for let more rows through, and lose none."""
+    n = values.count()
+    places = BITS * min(BITMAPS, max(1, -(-n * BITS_PER_VALUE // BITS)))
+    place = F.pmod(F.xxhash64(column), F.lit(places))
     placed = values.select(F.floor(place / BITS).alias("bucket"), (place % BITS).alias("at"))
-    return written(placed.groupBy("bucket").agg(F.bitmap_construct_agg("at").alias("bits")), "sieve")
+    return Sieve(written(placed.groupBy("bucket").agg(F.bitmap_construct_agg("at").alias("bits")), "sieve"), places)
 
 
-def sifted(df: DataFrame, column: str, bitmaps: DataFrame) -> DataFrame:
+def sifted(df: DataFrame, column: str, by: Sieve) -> DataFrame:
     """``df`` with ``maybe``: false only where the column's value was not put into the sieve. No row moves."""
-    place = F.pmod(F.xxhash64(column), F.lit(BITMAPS * BITS))
-    own = bitmaps.select(F.col("bucket").alias("__bucket"), F.col("bits").alias("__bits"))
+    place = F.pmod(F.xxhash64(column), F.lit(by.places))
+    own = by.bitmaps.select(F.col("bucket").alias("__bucket"), F.col("bits").alias("__bits"))
     byte = F.conv(F.hex(F.substring(F.col("__bits"), F.floor((place % BITS) / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     maybe = F.coalesce(byte.bitwiseAND(F.call_function("shiftleft", F.lit(1), (place % 8).cast("int"))) != 0, F.lit(False))
     return df.join(F.broadcast(own), F.floor(place / BITS) == F.col("__bucket"), "left").withColumn("maybe", maybe).drop("__bucket", "__bits")
