@@ -84,3 +84,11 @@ def test_quality_stage_judges_rows_without_an_id(spark):
     rows = [(None, good[0].text), (None, "bad"), (5, good[1].text), (5, "bad")]
     docs = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     assert {(r.doc_id, r.text) for r in quality.stage(spark, docs, SF).collect()} == {rows[0], rows[2]}
+
+
+def test_run_leaves_one_table(spark, tmp_path, monkeypatch):
+    from claimloom.llm import common
+
+    monkeypatch.setattr(common, "shared_dir", lambda spark: f"file://{tmp_path}")
+    assert corpus_pipeline.run(spark, SF).count() > 0
+    assert [p.name.split("-")[0] for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["mixing"]
