@@ -1,12 +1,14 @@
 """Approximate nearest neighbours by multi-index hashing of learned binary codes.
 
 A rotation learned on a bounded sample (principal axes, then iterative quantisation; several rotations for narrow vectors) turns a
-vector into a code of BITS bits, split into PIECES substrings of 64. Each substring has its own index: postings (piece, value) ->
-vectors, dealt out by the first bits of the value, so a bucket holds neighbouring values. A query goes to those buckets of each
+vector into a code of BITS bits, split into 4, 8 or 16 substrings, the pieces. Each piece has its own index: postings (piece,
+value) -> vectors, dealt out by bits of the value, so a bucket holds neighbouring values. A query goes to those buckets of each
 index whose bits can still be within the piece's threshold, and probes there the postings of the values within it. Thresholds add
-up to radius - PIECES + 1, so by the pigeonhole principle every code within ``radius`` differs from the query by no more than the
+up to radius - pieces + 1, so by the pigeonhole principle every code within ``radius`` differs from the query by no more than the
 threshold in one piece at least, and is found; it counts in the first such piece alone, so nothing is counted twice. Codes found
-are checked in full, and those within the radius are ranked by the exact inner product in double precision.
+are checked in full, and those within the radius are ranked by the exact inner product in double precision. More pieces mean more
+postings but narrower thresholds, by which routing leaves out more buckets; their number is planned from the radius and the
+numbers of vectors and queries (``Probing.planned``). It changes the cost, not what is found.
 
 The radius comes from the table itself: PROBES queries are compared with every row, in one pass whose cost is linear, and the
 radius holds the share RECALL of their true neighbours. So it shrinks as a growing table brings neighbours nearer. Queries with
@@ -31,7 +33,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from math import ceil, log2
+from math import ceil, comb, log2
 
 import numpy as np
 import pyarrow as pa
@@ -40,14 +42,15 @@ from pyspark.sql import functions as F
 
 from claimloom.llm.common import arrow_batches, table, written
 
-PIECES, WIDTH = 4, 64
-BITS = PIECES * WIDTH
+BITS, WORDS = 256, 4
 SAMPLE, PROBES, RECALL = 4_096, 256, 0.97
 #: Postings and queries of one task, at most; bits that buckets are told apart by, at least and at most.
 POSTINGS, QUERIES_PER_BLOCK, LEAST_BITS, MOST_BITS = 16_384, 8_192, 2, 16
 #: Comparisons of a query with a value that are held in memory at once.
 AT_ONCE = 2_000_000
-CODES = [f"c{i}" for i in range(PIECES)]
+#: Numbers of pieces to choose from, and seconds, about, that a query's look at a posting and a posting's way to a bucket take.
+PIECES, LOOK_S, WAY_S = (4, 8, 16), 1.5e-9, 2e-6
+CODES = [f"c{i}" for i in range(WORDS)]
 RESULT = "query_id long, rank int, vec_id long, score double"
 
 
@@ -76,63 +79,86 @@ class Coder:
         return np.hstack([x, rest[:, None]])
 
     def codes(self, x: np.ndarray, query: bool = False) -> np.ndarray:
-        """One row of PIECES numbers for each vector."""
+        """One row of WORDS numbers for each vector."""
         bits = (self.widen(x, query) - self.mean) @ self.turn > 0
         return np.packbits(bits, axis=1, bitorder="little").view(np.uint64)
 
 
 @dataclass(frozen=True)
 class Probing:
-    """``limits``: the threshold of each piece, -1 where none is probed; ``bits``: how many tell buckets apart."""
+    """``limits``: the threshold of each piece, -1 where none is probed; ``bits``: how many of a piece's tell buckets apart."""
 
     radius: int
     limits: tuple[int, ...]
     bits: int
 
-    @staticmethod
-    def within(radius: int, bits: int) -> Probing:
-        spare = radius - PIECES + 1
-        return Probing(radius, tuple(max(-1, spare // PIECES + (i < spare % PIECES)) for i in range(PIECES)), bits)
+    @property
+    def width(self) -> int:
+        return BITS // len(self.limits)
 
     @staticmethod
-    def everything(bits: int) -> Probing:
-        return Probing(BITS, (WIDTH, *[-1] * (PIECES - 1)), bits)
+    def within(radius: int, bits: int, pieces: int = 4) -> Probing:
+        spare = radius - pieces + 1
+        return Probing(radius, tuple(max(-1, spare // pieces + (i < spare % pieces)) for i in range(pieces)), min(bits, BITS // pieces))
 
-    def buckets(self, piece: int, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(place among ``values``, bucket) for the buckets that may hold codes within the piece's threshold."""
+    @staticmethod
+    def planned(radius: int, vectors: int, queries: int, postings: int) -> Probing:
+        """The number of pieces at which looking (queries x the share of buckets they visit) and posting cost least."""
+        bits = min(MOST_BITS, max(LEAST_BITS, ceil(log2(max(1.0, vectors / postings)))))
+        options = [Probing.within(radius, bits, m) for m in PIECES]
+        return min(options, key=lambda o: queries * LOOK_S * sum(map(o.visited, o.limits)) + WAY_S * len(o.limits))
+
+    def everything(self) -> Probing:
+        """Every code through the first piece."""
+        return Probing(BITS, (self.width, *[-1] * (len(self.limits) - 1)), self.bits)
+
+    def visited(self, limit: int) -> float:
+        """Share of buckets that a query visits at a piece's threshold."""
+        return sum(comb(self.bits, k) for k in range(min(limit, self.bits) + 1)) / 2**self.bits
+
+    def of(self, codes: np.ndarray, piece: int) -> np.ndarray:
+        """A piece of each code."""
+        word, at = divmod(piece * self.width, 64)
+        return codes[:, word] >> np.uint64(at) & np.uint64((1 << self.width) - 1)
+
+    def bucket(self, piece: int) -> Column:
+        """A posted code's bucket of a piece: the piece's low bits."""
+        word, at = divmod(piece * self.width, 64)
+        return F.shiftrightunsigned(F.col(CODES[word]), at).bitwiseAND(F.lit((1 << self.bits) - 1).cast("long"))
+
+    def buckets(self, piece: int, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place among ``codes``, bucket) for the buckets that may hold codes within the piece's threshold."""
         flips = np.arange(1 << self.bits, dtype=np.uint64)
         flips = flips[np.bitwise_count(flips) <= self.limits[piece]] if self.limits[piece] >= 0 else flips[:0]
-        own = values & np.uint64((1 << self.bits) - 1)
-        return np.repeat(np.arange(len(values)), len(flips)), (own[:, None] ^ flips).ravel().astype(np.int64)
+        own = self.of(codes, piece) & np.uint64((1 << self.bits) - 1)
+        return np.repeat(np.arange(len(codes)), len(flips)), (own[:, None] ^ flips).ravel().astype(np.int64)
 
 
 class Postings:
     """One bucket of one piece's index: its values and, for each, the rows that have it."""
 
-    def __init__(self, codes: np.ndarray, piece: int):
-        self.codes, self.piece = codes, piece
-        self.values, of, self.sizes = np.unique(codes[:, piece], return_inverse=True, return_counts=True)
+    def __init__(self, codes: np.ndarray, piece: int, probing: Probing):
+        self.codes, self.piece, self.probing = codes, piece, probing
+        self.values, of, self.sizes = np.unique(probing.of(codes, piece), return_inverse=True, return_counts=True)
         self.rows = np.argsort(of, kind="stable")
         self.first = np.cumsum(self.sizes) - self.sizes
 
-    def found(self, asked: np.ndarray, probing: Probing) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def found(self, asked: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(query, row) of the codes within the radius that this piece is the first to find, by blocks of queries."""
+        probing, own = self.probing, self.probing.of(asked, self.piece)
         step = max(1, AT_ONCE // max(1, len(self.values)))
         for at in range(0, len(asked), step):
-            gone = np.bitwise_count(asked[at : at + step, self.piece][:, None] ^ self.values)
-            q, value = np.nonzero(gone <= probing.limits[self.piece])
+            q, value = np.nonzero(np.bitwise_count(own[at : at + step, None] ^ self.values) <= probing.limits[self.piece])
             size = self.sizes[value]
             row = self.rows[np.repeat(self.first[value] - np.cumsum(size) + size, size) + np.arange(size.sum())]
             q = np.repeat(q, size) + at
-            total = np.zeros(len(q), dtype=np.int16)
-            keep = np.ones(len(q), dtype=bool)
-            for i in range(PIECES):
-                own = np.bitwise_count(asked[q, i] ^ self.codes[row, i])
-                total += own
-                if i < self.piece:
-                    keep &= own.astype(np.int16) > probing.limits[i]
-            keep &= total <= probing.radius
-            yield q[keep], row[keep]
+            gone = asked[q] ^ self.codes[row]
+            near = np.bitwise_count(gone).sum(axis=1, dtype=np.int16) <= probing.radius
+            q, row, gone = q[near], row[near], gone[near]
+            first = np.ones(len(q), dtype=bool)
+            for i in range(self.piece):
+                first &= np.bitwise_count(probing.of(gone, i)).astype(np.int16) > probing.limits[i]
+            yield q[first], row[first]
 
 
 def products(x: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -166,8 +192,8 @@ def encoded(rows: DataFrame, coder: Coder) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            codes = sent.value.codes(vectors_of(batch.column("v"))).view(np.int64) if batch.num_rows else np.zeros((0, PIECES), np.int64)
-            yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(codes[:, i].copy()) for i in range(PIECES)]], [*batch.schema.names, *CODES])
+            codes = sent.value.codes(vectors_of(batch.column("v"))).view(np.int64) if batch.num_rows else np.zeros((0, WORDS), np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(codes[:, i].copy()) for i in range(WORDS)]], [*batch.schema.names, *CODES])
 
     return rows.mapInArrow(run, ", ".join([f"vec_id long, v {rows.schema['v'].dataType.simpleString()}", *[f"{c} long" for c in CODES]]))
 
@@ -219,16 +245,18 @@ def _lookup(index: DataFrame, asked: DataFrame, coder: Coder, probing: Probing,
             if not batch.num_rows:
                 continue
             codes = coder.codes(vectors_of(batch.column("v")), query=True)
-            for piece in range(PIECES):
-                place, bucket = probing.buckets(piece, codes[:, piece])
-                for at in range(0, len(place), 4096):
-                    own = place[at : at + 4096]
-                    rows = batch.take(pa.array(own))
-                    columns = [pa.array(np.full(len(own), piece, np.int32)), pa.array(bucket[at : at + 4096]), *rows.columns, *[pa.array(codes[own, i].view(np.int64)) for i in range(PIECES)]]
-                    yield pa.RecordBatch.from_arrays(columns, ["piece", "bucket", "vec_id", "v", *CODES])
-
-    pieces = [i for i in range(PIECES) if probing.limits[i] >= 0]
-    key = F.explode(F.array(*[F.struct(F.lit(i).alias("piece"), F.col(CODES[i]).bitwiseAND(F.lit((1 << probing.bits) - 1)).alias("bucket")) for i in pieces])).alias("k")
+            for piece, limit in enumerate(probing.limits):
+                step = max(1, AT_ONCE // max(1, round(probing.visited(limit) * 2**probing.bits)))
+                for start in range(0, len(codes), step):
+                    place, bucket = probing.buckets(piece, codes[start : start + step])
+                    for at in range(0, len(place), 4096):
+                        own = place[at : at + 4096] + start
+                        rows = batch.take(pa.array(own))
+                        columns = [pa.array(np.full(len(own), piece, np.int32)), pa.array(bucket[at : at + 4096]), *rows.columns, *[pa.array(codes[own, i].view(np.int64)) for i in range(WORDS)]]
+                        yield pa.RecordBatch.from_arrays(columns, ["piece", "bucket", "vec_id", "v", *CODES])
+
+    pieces = [i for i, limit in enumerate(probing.limits) if limit >= 0]
+    key = F.explode(F.array(*[F.struct(F.lit(i).alias("piece"), probing.bucket(i).alias("bucket")) for i in pieces])).alias("k")
     posted = index.select(key, "vec_id", "v", *CODES).select("k.*", "vec_id", "v", *CODES)
     routed = written(asked.select("vec_id", "v").mapInArrow(route, ", ".join(["piece int, bucket long, vec_id long", f"v {v_type}", *[f"{c} long" for c in CODES]])), "ann-routed")
     held = index.select(key).select("k.*").groupBy("piece", "bucket").agg(F.count("*").alias("rows"))
@@ -249,7 +277,7 @@ def _lookup(index: DataFrame, asked: DataFrame, coder: Coder, probing: Probing,
             codes, asked = (np.stack([t.column(c).to_numpy().view(np.uint64) for c in CODES], axis=1) for t in (left, right))
             (x, ids), (q, q_ids) = ((vectors_of(t.column("v")), t.column("vec_id").to_numpy()) for t in (left, right))
             parts = []
-            for query, row in Postings(codes, piece).found(asked, probing):
+            for query, row in Postings(codes, piece, probing).found(asked):
                 other = q_ids[query] != ids[row]
                 query, row = query[other], row[other]
                 scores = np.concatenate([products(x[row[at : at + 65_536]], q[query[at : at + 65_536]]) for at in range(0, len(row), 65_536)] or [np.zeros(0)])
@@ -287,15 +315,14 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, postings: int = POS
         return spark.createDataFrame([], RESULT)
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()
     coder = Coder(np.array([r.v for r in sample], dtype=np.float64), float(np.sqrt(widths.longest)))
-    bits = min(MOST_BITS, max(LEAST_BITS, ceil(log2(max(1.0, widths.n / postings)))))
-    probing = Probing.within(radius_of(rows, probes, coder, k), bits)
+    probing = Probing.planned(radius_of(rows, probes, coder, k), widths.n, asked.count(), postings)
     index = written(encoded(_posted(rows, k), coder), "ann-codes")
     found = written(_ranked(_lookup(index, asked, coder, probing, k), k), "ann-found")
     enough = found.groupBy("query_id").count().where(F.col("count") >= k).select(F.col("query_id").alias("vec_id"))
     short = written(asked.join(enough, "vec_id", "left_anti"), "ann-short")
     if not short.limit(1).count():
         return found
-    again = _ranked(_lookup(index, short, coder, Probing.everything(bits), k), k)
+    again = _ranked(_lookup(index, short, coder, probing.everything(), k), k)
     return found.join(short.select(F.col("vec_id").alias("query_id")), "query_id", "left_anti").select(*again.columns).unionByName(again)
 
 

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from claimloom.llm import ann
 
@@ -28,25 +29,32 @@ def test_recall_and_scores(spark):
     assert hits >= 0.9 * 20 * len(found)
 
 
-def test_index_returns_every_code_in_the_radius_once():
+@pytest.mark.parametrize("pieces", ann.PIECES)
+def test_index_returns_every_code_in_the_radius_once(pieces):
     rng = np.random.default_rng(4)
-    codes = rng.integers(0, 1 << 63, (500, ann.PIECES), dtype=np.uint64)
-    codes[250:] = codes[:250] ^ (np.uint64(1) << rng.integers(0, 64, (250, ann.PIECES)).astype(np.uint64))
+    codes = rng.integers(0, 1 << 63, (500, ann.WORDS), dtype=np.uint64)
+    codes[250:] = codes[:250] ^ (np.uint64(1) << rng.integers(0, 64, (250, ann.WORDS)).astype(np.uint64))
     codes[400:450] = codes[0]
     asked = codes[::50]
     whole = np.bitwise_count(asked[:, None] ^ codes).sum(axis=2)
     for radius in (0, 1, 3, 9, 100, 120, 256):
-        probing = ann.Probing.within(radius, 3)
+        probing = ann.Probing.within(radius, 3, pieces)
         got = []
-        for piece in range(ann.PIECES):
-            place, bucket = probing.buckets(piece, asked[:, piece])
+        for piece in range(pieces):
+            place, bucket = probing.buckets(piece, asked)
             for q, own in zip(place, bucket, strict=True):
-                rows = np.flatnonzero(codes[:, piece] & np.uint64(7) == np.uint64(own))
-                for _, at in ann.Postings(codes[rows], piece).found(asked[q : q + 1], probing):
+                rows = np.flatnonzero(probing.of(codes, piece) & np.uint64(7) == np.uint64(own))
+                for _, at in ann.Postings(codes[rows], piece, probing).found(asked[q : q + 1]):
                     got.extend((int(q), int(r)) for r in rows[at])
         assert sorted(got) == [(int(q), int(r)) for q, r in zip(*np.nonzero(whole <= radius), strict=True)]
 
 
+def test_more_pieces_where_they_leave_buckets_out():
+    assert len(ann.Probing.planned(103, 50_000, 2_500, 16_384).limits) == 4
+    near = ann.Probing.planned(38, 10**9, 5 * 10**7, 16_384)
+    assert len(near.limits) == 16 and sum(map(near.visited, near.limits)) < 0.2
+
+
 def test_shards_and_second_round_give_the_same(spark, monkeypatch):
     rng = np.random.default_rng(5)
     x = rng.normal(size=(700, 16)).round(3)
@@ -58,7 +66,9 @@ def test_shards_and_second_round_give_the_same(spark, monkeypatch):
     want = read(ann.search(df).orderBy("query_id", "rank").collect())
     monkeypatch.setattr(ann, "POSTINGS", 40)
     monkeypatch.setattr(ann, "QUERIES_PER_BLOCK", 3)
-    assert read(ann.search(df, postings=100).orderBy("query_id", "rank").collect()) == want
+    for pieces in ((4,), (16,)):
+        monkeypatch.setattr(ann, "PIECES", pieces)
+        assert read(ann.search(df, postings=100).orderBy("query_id", "rank").collect()) == want
     assert all(len(got) == 20 for got in want.values())
     assert all(want[q] == brute(x, ids, x[q], q, 20) for q in (0, 300, 320, 480))
     assert sum(len(set(want[q]) & set(brute(x, ids, x[q], q, 20))) for q in want) >= 0.9 * 20 * len(want)
