@@ -94,7 +94,9 @@ def ftrl(rows: list[np.ndarray], labels: list[int], alpha: float = 1.0, beta: fl
     if not 0 < share < 1:
         return Weights(np.zeros(0, np.int64), np.zeros(0), 35.0 if share else -35.0)
     bias, bias_n = float(np.log(share / (1 - share))), 0.0
-    held = sum(np.bincount(r, minlength=1 << BITS) for r in rows)  # documents that have each feature
+    held = np.zeros(1 << BITS, dtype=np.int64)  # documents that have each feature; a row names a feature once
+    for r in rows:
+        held[r] += 1
     able = np.flatnonzero(held * epochs > l1)
     place = np.full(1 << BITS, -1, dtype=np.int64)
     place[able] = np.arange(len(able))
