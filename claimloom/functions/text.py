@@ -42,10 +42,18 @@ def lines(col: Column) -> Column:
 
 
 def clean_lines(col: Column, only_tabs: bool = False) -> Column:
-    """Each line cleaned, empty lines dropped; ``only_tabs`` collapses spaces and tabs alone."""
-    blank = "[ \\t]+" if only_tabs else f"(?U){BLANK}+"
-    own = F.transform(lines(F.translate(text_or_empty(col), "\u00a0", " ")), lambda x: strip(F.regexp_replace(x, blank, " ")))
-    return F.array_join(F.filter(own, lambda x: x != ""), "\n")
+    """Each line cleaned, empty lines dropped; ``only_tabs`` collapses spaces and tabs alone.
+
+    The plain form goes over the whole text, not line by line: breaks become one kind, then blanks within lines one space, then
+    what stands around breaks goes.
+    """
+    text = F.translate(text_or_empty(col), "\u00a0", " ")
+    if only_tabs:
+        own = F.transform(lines(text), lambda x: strip(F.regexp_replace(x, "[ \\t]+", " ")))
+        return F.array_join(F.filter(own, lambda x: x != ""), "\n")
+    broken = F.regexp_replace(text, BREAK, "\n")
+    spaced = F.regexp_replace(broken, "(?U)(?:[\\s&&[^\\n]]|\\x1f)+", " ")
+    return F.trim(F.regexp_replace(F.regexp_replace(spaced, " ?\\n[ \\n]*", "\n"), "^\\n|\\n$", ""))
 
 
 def first_hit(col: Column, phrases: Sequence[str], patterns: Sequence[str] = ()) -> Column:
