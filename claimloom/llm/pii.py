@@ -197,10 +197,12 @@ def learned(seen: DataFrame, sample: int = SAMPLE) -> tuple[boosting.Trees, dict
     thresholds = {}
     for k, kind in enumerate(KINDS):
         thresholds[kind], n, good = 2.0, 0, 0
-        for r in sorted((r for r in counted if r.f_kind == k), key=lambda r: -r.step):
-            n, good = n + r.n, good + r.good
-            if good + 0.5 >= PRECISION * (n + 1):
-                thresholds[kind] = r.step / 50
+        at = {r.step: r for r in counted if r.f_kind == k}
+        for step in range(50, -1, -1):
+            n, good = n + (at[step].n if step in at else 0), good + (at[step].good if step in at else 0)
+            # a gap between known candidates belongs to the better side, down to even odds
+            if good + 0.5 >= PRECISION * (n + 1) and (step in at or step >= 25):
+                thresholds[kind] = step / 50
     return model, thresholds
 
 
