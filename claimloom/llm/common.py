@@ -73,7 +73,7 @@ def removed(spark: SparkSession, path: str) -> None:
 
 
 #: Bitmaps of a sieve at most, each of BITS bits: 8 MB, however many values are put in; and bits for each value below that.
-BITMAPS, BITS, BITS_PER_VALUE = 2048, 32_768, 16
+BITMAPS, BITS, BITS_PER_VALUE = 2048, 32_768, 256
 
 
 @dataclass(frozen=True)
