@@ -1,4 +1,4 @@
-"""Queries of the ten operators: name -> function of (spark, sf_dir); SQL where it can express one."""
+"""Queries of the thirteen operators: name -> function of (spark, sf_dir); SQL where it can express one."""
 
 from __future__ import annotations
 
@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from claimloom.llm import ann, bpe, language, line_dedup, mixing, pii, quality, simhash, toxicity, url_filter
+from claimloom.llm import ann, bpe, divergence, language, line_dedup, mixing, pii, quality, simhash, toxicity, url_filter
 
-MODULES = [toxicity, language, quality, bpe, url_filter, pii, simhash, ann, line_dedup, mixing]
+MODULES = [toxicity, language, quality, bpe, url_filter, pii, simhash, ann, line_dedup, mixing, divergence]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
