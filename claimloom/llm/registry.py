@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from claimloom.llm import ann, bpe, byte_bpe, divergence, language, line_dedup, mixing, pii, quality, simhash, toxicity, url_filter
+from claimloom.llm import alignment, ann, bpe, byte_bpe, divergence, language, line_dedup, mixing, pii, quality, simhash, toxicity, url_filter
 
-MODULES = [toxicity, language, quality, bpe, url_filter, pii, simhash, ann, line_dedup, mixing, divergence, byte_bpe]
+MODULES = [toxicity, language, quality, bpe, url_filter, pii, simhash, ann, line_dedup, mixing, divergence, byte_bpe, alignment]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
