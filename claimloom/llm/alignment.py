@@ -29,30 +29,36 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimloom.llm.bpe import MOST_BYTES, Bpe, default_path
+from claimloom.llm.byte_bpe import default_pattern
 from claimloom.llm.common import arrow_batches, table, written
 from claimloom.session import spread
 
 BLOCK_TOKENS, SHARD_PAIRS = 100_000, 1_000_000
-#: Characters of the pieces that a worker remembers, and of one such piece.
-MEMO_CHARS, MEMO_PIECE = 4_000_000, 64
 #: Memory that a worker's DuckDB may use; a block takes about 50 MB.
 MEMORY = "300MB"
 #: An id pair is a * PAIR + b.
 PAIR = 1 << 31
 BLANK = "▁"
 
-#: Overlaps of the tokens of a block: the token of B that a token of A starts in, then those that start inside it.
-OVERLAPS = """
-create or replace temp table overlap as
-with first as (select a.i, a.doc, a.id, a.s, a.e, b.j, b.id as other, b.e as till from a asof join b on a.s >= b.s)
-select i, j, doc, id, other, e = till as together from first
-union all
-select f.i, b.j, f.doc, f.id, b.id, f.e = b.e from (select * from first where till < e) f join b on b.s > f.s and b.s < f.e"""
+#: Overlaps of the tokens of a block. Tokens of the same bytes overlap each other alone; of the others, the token of B that a token of
+#: A starts in, then those that start inside it. Steps are tables of their own, so that each join is planned for the rows that there are.
+OVERLAPS = [
+    "create or replace temp table a as select * from a_tokens",
+    "create or replace temp table b as select * from b_tokens",
+    "create or replace temp table same as select i, j, doc, a.id, b.id as other from a join b on a.s = b.s and a.e = b.e",
+    "create or replace temp table more_a as select * from a anti join same using (i)",
+    "create or replace temp table more_b as select * from b anti join same using (j)",
+    "create or replace temp table first as select a.i, a.doc, a.id, a.s, a.e, b.j, b.id as other, b.e as till from more_a a asof join more_b b on a.s >= b.s",
+    """create or replace temp table overlap as select i, j, doc, id, other, true as together from same
+    union all select i, j, doc, id, other, e = till from first
+    union all select f.i, b.j, f.doc, f.id, b.id, f.e = b.e from (select * from first where till < e) f join more_b b on b.s > f.s and b.s < f.e""",
+]
 GROUPS = "select i, j, sum(1) over (order by i rows between unbounded preceding and current row) as number from overlap where together order by i"
 PAIRS = f"select doc, id::bigint * {PAIR} + other as pair, count(*)::integer as n from overlap where together group by all order by all"
 TOUCHED = "select doc, count(*) as n from overlap group by doc order by doc"
@@ -67,44 +73,39 @@ def piece_bytes(piece: str) -> bytes:
     return piece.replace(BLANK, " ").encode("utf-8")
 
 
+def ranks(own: Bpe) -> dict[bytes, int]:
+    """The tokens of a byte-level vocabulary by rank, where its merges are in the order of its ids; others are refused."""
+    if own.made != sorted(own.made) or len(own.made) + 256 + len(own.special) != len(own.bytes_of):
+        raise ValueError("the merges of A are not in the order of its ids")
+    return {token: k for k, token in own.bytes_of.items() if k not in own.special.values()}
+
+
 class Aligner:
     """Both tokenizers and a DuckDB connection, in a worker."""
 
-    def __init__(self, a: str, b: bytes):
-        self.a = Bpe(a)
-        self.a.special, self.a.cut = {}, None
+    def __init__(self, a: str, b: bytes, pattern: str):
+        own = Bpe(a)
+        self.a = tiktoken.Encoding("a", pat_str=pattern, mergeable_ranks=ranks(own), special_tokens={})
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b)
-        self.a_bytes = [self.a.bytes_of.get(k, b"") for k in range(max(self.a.bytes_of) + 1)]
+        self.a_bytes = [own.bytes_of.get(k, b"") for k in range(max(own.bytes_of) + 1)]
         self.b_bytes = [piece_bytes(self.b.id_to_piece(k)) for k in range(self.b.get_piece_size())]
         self.a_sizes, self.b_sizes = (np.array(list(map(len, x)), np.int64) for x in (self.a_bytes, self.b_bytes))
         self.b_start = 2 * len(self.a_bytes)
         self.words = [f"{k}{end}" for of, ends in ((self.a_bytes, ",|"), (self.b_bytes, ",;")) for k in range(len(of)) for end in ends]
-        self.memo: dict[str, bytes] = {}
-        self.held = 0
         self.con = duckdb.connect(config={"threads": 1, "memory_limit": MEMORY})
 
-    def known(self, piece: str) -> bytes:
-        ids = np.array(self.a.merge(piece.encode("utf-8")), np.int32).tobytes()
-        if len(piece) <= MEMO_PIECE:
-            if self.held >= MEMO_CHARS:
-                self.memo.clear()
-                self.held = 0
-            self.memo[piece] = ids
-            self.held += len(piece)
-        return ids
-
     def tokens(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of A and B, none if either does not spell the text."""
         none = np.zeros(0, np.int32)
         if not text:
             return none, none
-        whole, get, known = " " + text, self.memo.get, self.known
-        a = np.frombuffer(b"".join([get(p) or known(p) for p in self.a.pieces(whole)]), np.int32)
-        b = self.b.encode(text)
+        whole = " " + text
+        a, b = self.a.encode_to_numpy(whole, disallowed_special=()), self.b.encode(text)
         raw = whole.encode("utf-8")
-        if b"".join(map(self.b_bytes.__getitem__, b)) != raw or b"".join(map(self.a_bytes.__getitem__, a.tolist())) != raw:
+        # A's tokens are the text's bytes in order, all of them if their sizes add up
+        if self.a_sizes[a].sum() != len(raw) or b"".join(map(self.b_bytes.__getitem__, b)) != raw:
             return none, none
-        return a, np.array(b, np.int32)
+        return a.astype(np.int32), np.array(b, np.int32)
 
     def segments(self, a: np.ndarray, b: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """The tokens of a text, cut where A and B meet into parts of a block's size or as little more as may be."""
@@ -127,9 +128,10 @@ class Aligner:
         a_ends, b_ends = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
         of_doc = np.repeat(np.array(doc, np.int32), [len(p[1]) for p in parts])
         con = self.con
-        con.register("a", pa.table({"i": np.arange(len(a), dtype=np.int32), "doc": of_doc, "id": a, "s": a_ends - self.a_sizes[a], "e": a_ends}))
-        con.register("b", pa.table({"j": np.arange(len(b), dtype=np.int32), "id": b, "s": b_ends - self.b_sizes[b], "e": b_ends}))
-        con.execute(OVERLAPS)
+        con.register("a_tokens", pa.table({"i": np.arange(len(a), dtype=np.int32), "doc": of_doc, "id": a, "s": a_ends - self.a_sizes[a], "e": a_ends}))
+        con.register("b_tokens", pa.table({"j": np.arange(len(b), dtype=np.int32), "id": b, "s": b_ends - self.b_sizes[b], "e": b_ends}))
+        for step in OVERLAPS:
+            con.execute(step)
         groups, pairs, touched = (con.execute(q).fetchnumpy() for q in (GROUPS, PAIRS, TOUCHED))
         i, j = groups["i"].astype(np.int64), groups["j"].astype(np.int64)
         # a group's tokens of A stand before its tokens of B, behind all of the groups before it
@@ -155,8 +157,8 @@ def default_model() -> str:
 
 
 @lru_cache(maxsize=2)
-def _built(a: str, b: bytes) -> Aligner:
-    return Aligner(a, b)
+def _built(a: str, b: bytes, pattern: str) -> Aligner:
+    return Aligner(a, b, pattern)
 
 
 class Rows:
@@ -226,7 +228,8 @@ def align(docs: DataFrame, a_path: str | None = None, b_path: str | None = None,
     raw = [Path(a_path or default_path()).read_bytes(), Path(b_path or default_model()).read_bytes()]
     if max(map(len, raw)) > MOST_BYTES:
         raise ValueError("a vocabulary is too large to broadcast")
-    content = spark.sparkContext.broadcast((raw[0].decode("utf-8"), raw[1]))
+    content = spark.sparkContext.broadcast((raw[0].decode("utf-8"), raw[1], default_pattern()))
+    ranks(Bpe(content.value[0]))
     schema = T._parse_datatype_string(ALIGNED)
     kept = [c for c in docs.columns if c not in (*schema.names, "text")]
 

@@ -63,6 +63,10 @@ def alignment_symbols():
     return byte_symbols()
 
 
+def aligner():
+    return alignment.Aligner(open(alignment.default_path(), encoding="utf-8").read(), open(alignment.default_model(), "rb").read(), alignment.default_pattern())
+
+
 def found(df):
     return {r.doc_id: (r.n_a, r.n_b, r.n_groups, r.n_links, r.n_overlaps, r.groups, r.n_best, r.count_sum) for r in df.collect()}
 
@@ -85,7 +89,7 @@ def test_small_blocks_and_shards(spark, both, monkeypatch):
     texts = [" ".join(rng.choice(words) for _ in range(rng.randint(0, 60))) for _ in range(60)]
     monkeypatch.setattr(alignment, "BLOCK_TOKENS", 7)
     monkeypatch.setattr(alignment, "SHARD_PAIRS", 5)
-    own = alignment.Aligner(open(alignment.default_path(), encoding="utf-8").read(), open(alignment.default_model(), "rb").read())
+    own = aligner()
     columns = alignment.Rows(own, True).of([own.tokens(t) for t in texts])
     want = slow(texts, both)
     assert [tuple(c[k].as_py() for c in (*columns[:5], columns[6])) for k in range(len(texts))] == [w[:6] for w in want]
@@ -105,8 +109,18 @@ def test_query(spark, both):
 
 
 def test_vocabularies_of_the_same_bytes(both):
-    own = alignment.Aligner(open(alignment.default_path(), encoding="utf-8").read(), open(alignment.default_model(), "rb").read())
+    own = aligner()
     assert alignment.piece_bytes("<0x0A>") == b"\n" and alignment.piece_bytes("▁a") == b" a" and alignment.piece_bytes("<0x0A") == b"<0x0A"
     for text in ("a\x00b", "Grüße", "x" * 5000):
         a, _ = own.tokens(text)
         assert a.tolist() == (both[0].encode(" " + text, add_special_tokens=False).ids if len(a) else [])
+
+
+def test_every_token_is_one_token(both):
+    """What the ranks give for the bytes of a token is what merging gives."""
+    own = alignment.Bpe(open(alignment.default_path(), encoding="utf-8").read())
+    ranks = alignment.ranks(own)
+    assert all(own.merge(token) == [k] for token, k in ranks.items())
+    own.made = own.made[::-1]
+    with pytest.raises(ValueError):
+        alignment.ranks(own)
