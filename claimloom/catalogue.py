@@ -630,3 +630,6 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)
+
+
+from claimloom import catalogue_sources  # noqa: E402, F401  puts its queries in QUERIES and ORACLE

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
+from claimloom.functions import charset as charsets
 from claimloom.functions.url import image_name
 from claimloom.operators.claims import FEED
 
@@ -40,11 +41,10 @@ def usable_html(static: Column, rendered: Column, status: Column) -> Column:
 
 
 def decoded(body: Column, charset: Column) -> Column:
-    """Bytes as text; a missing or Latin-1 charset is taken for UTF-8 where the bytes are valid UTF-8."""
-    vague = F.lower(F.coalesce(charset, F.lit(""))).isin("", "iso-8859-1", "latin-1", "latin1")
-    as_utf8 = F.try_validate_utf8(body.cast("string"))
-    other = F.when(F.upper(charset).isin("US-ASCII", "UTF-8", "UTF-16", "UTF-16BE", "UTF-16LE"), body.cast("string")).otherwise(F.decode(body, "ISO-8859-1"))
-    return F.when(vague, F.coalesce(as_utf8, F.decode(body, "ISO-8859-1"))).otherwise(other)
+    """Bytes as text; where the page states no charset or Latin-1, the bytes tell which it is."""
+    stated = F.lower(F.trim(F.coalesce(charset, F.lit(""))))
+    vague = stated.isin("", "iso-8859-1", "latin-1", "latin1")
+    return charsets.text_of(body, F.when(vague, charsets.detected(body)).otherwise(stated))
 
 
 def read_image_info(spark: SparkSession, path: str) -> DataFrame:
