@@ -1,7 +1,8 @@
 """Byte-level BPE by a rank file, with long texts encoded in overlapping chunks.
 
 A vocabulary is a file of (base64 token, rank) lines. A text is cut by the pre-tokenizer's pattern; a piece that is a token is
-that token, any other is merged: its adjacent pair of lowest rank, the leftmost on a tie, from a heap, until no pair has a rank.
+that token, any other is merged: its adjacent pair of lowest rank, the leftmost on a tie, until no pair has a rank (a long piece keeps its
+pairs in a heap, so that n bytes take O(n log n)).
 
 A text of at most ``chunk`` code points is encoded where it stands. A longer one is cut into chunks that overlap by ``overlap`` code
 points, and its chunks are dealt to all tasks, which pre-tokenise each from its own start, most likely in the middle of a pre-token.
@@ -24,13 +25,13 @@ null ``ids`` decode to no bytes; an id outside of the vocabulary is an error; an
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
 from itertools import accumulate
 from pathlib import Path
 
-import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -48,6 +49,8 @@ MEMO_CHARS, MEMO_PIECE = 4_000_000, 64
 #: Bytes that a vocabulary file may have to be broadcast.
 MOST_BYTES = 64 << 20
 NEVER = 1 << 60
+#: Bytes of a piece whose pairs are looked through each time.
+SHORT = 64
 
 
 def python_pattern(pattern: str) -> str:
@@ -81,6 +84,18 @@ class Ranks:
         if (whole := rank_of.get(piece)) is not None:
             return [whole]
         n = len(piece)
+        if n <= SHORT:
+            get, parts = rank_of.get, [piece[k : k + 1] for k in range(n)]
+            pair = [get(x + y, NEVER) for x, y in zip(parts, parts[1:], strict=False)]
+            while pair and (low := min(pair)) < NEVER:
+                at = pair.index(low)
+                parts[at] = own = parts[at] + parts[at + 1]
+                del pair[at], parts[at + 1]
+                if at:
+                    pair[at - 1] = get(parts[at - 1] + own, NEVER)
+                if at < len(pair):
+                    pair[at] = get(own + parts[at + 1], NEVER)
+            return [self.rank(part) for part in parts]
         after, ahead = list(range(1, n + 2)), list(range(-1, n))
         pair = [rank_of.get(piece[k : k + 2], NEVER) for k in range(n - 1)] + [NEVER, NEVER]
         heap = [(rank, at) for at, rank in enumerate(pair) if rank < NEVER]
@@ -101,16 +116,18 @@ class Ranks:
                     heappush(heap, (new, k))
         ids, at = [], 0
         while at < n:
-            token = rank_of.get(piece[at : after[at]])
-            if token is None:
-                raise ValueError("the vocabulary lacks a byte")
-            ids.append(token)
+            ids.append(self.rank(piece[at : after[at]]))
             at = after[at]
         return ids
 
+    def rank(self, token: bytes) -> int:
+        if token not in self.rank_of:
+            raise ValueError("the vocabulary lacks a byte")
+        return self.rank_of[token]
+
     def known(self, piece: str) -> bytes:
         """Ids of a piece as 32-bit integers, remembered."""
-        ids = np.array(self.merge(piece.encode("utf-8")), np.int32).tobytes()
+        ids = array("i", self.merge(piece.encode("utf-8"))).tobytes()
         if len(piece) <= MEMO_PIECE:
             if self.held >= MEMO_CHARS:
                 self.memo.clear()
@@ -271,7 +288,7 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
         ranks = get()
         for batch in batches:
             ids = batch.column("ids")
-            flat, ends, none = ids.values.to_pylist(), ids.offsets.to_pylist(), ids.is_null().to_pylist()
+            flat, ends, none = ids.values.to_numpy(zero_copy_only=False).tolist(), ids.offsets.to_pylist(), ids.is_null().to_pylist()
             out = pa.array([b"" if n else ranks.decode(flat[a:b]) for a, b, n in zip(ends, ends[1:], none, strict=False)], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, out], [*batch.schema.names, "decoded"])
 
