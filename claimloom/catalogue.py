@@ -404,6 +404,18 @@ def article_fixtures(spark, sf_dir):
     return rows.select("page_id", "spec", articles.article(F.col("s"), F.col("spec"), F.col("r"), F.lit("https://www.liberation.fr/x")).alias("a")).select("page_id", "spec", "a.title", "a.content")
 
 
+@query("q_article_arms", f"""select page_id, spec, {_numbered('title')} as title, {_numbered('content')} as content, error from pages
+  join {_values([(arm[0], *arm[4:]) for arm in fixtures.ARMS])} f(k, spec, title, content, error) on page_id % {len(fixtures.ARMS)} = k""")
+def article_arms(spark, sf_dir):
+    """Block pages, copies in another order, malformed blocks, missing containers, gates."""
+    pages = table(spark, sf_dir, "pages").select("page_id")
+    at = lambda values: F.element_at(F.array(*[F.lit(v) for v in values]), (F.col("page_id") % len(fixtures.ARMS) + 1).cast("int"))
+    static, rendered = (_own(pages, [arm[k] for arm in fixtures.ARMS]) for k in (2, 3))
+    rows = pages.select("page_id", at([a[0] for a in fixtures.ARMS]).alias("spec"), at([a[1] for a in fixtures.ARMS]).alias("url"), F.nullif(static, F.lit("")).alias("s"), F.nullif(rendered, F.lit("")).alias("r"))
+    made = rows.select("page_id", "spec", articles.article(F.col("s"), F.col("spec"), F.col("r"), F.col("url")).alias("a"))
+    return made.select("page_id", "spec", *[F.coalesce(f"a.{c}", F.lit("")).alias(c) for c in ("title", "content", "error")])
+
+
 def _by_publisher(pages: DataFrame, shapes: dict, of: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
     """``of`` (pages, publisher) over the pages that have each publisher's shape, by page_id."""
     out = None
@@ -440,6 +452,18 @@ def video_fixtures(spark, sf_dir):
     return _by_publisher(table(spark, sf_dir, "pages"), fixtures.VIDEOS, of)
 
 
+@query("q_video_arms", f"""select page_id, publisher, {_numbered('videos')} as videos from pages
+  join {_values([(publisher, chr(10).join(found)) for publisher, _, found in fixtures.VIDEO_ARMS])} f(k, publisher, videos) on page_id % {len(fixtures.VIDEO_ARMS)} = k""")
+def video_arms(spark, sf_dir):
+    """Tweets with and without a video, owners, embeds outside of frames where no frame has any."""
+    pages, out = table(spark, sf_dir, "pages").select("page_id"), None
+    for k, (publisher, html, _) in enumerate(fixtures.VIDEO_ARMS):
+        own = pages.where(F.col("page_id") % len(fixtures.VIDEO_ARMS) == k).withColumn("html", F.replace(F.lit(html), F.lit("{n}"), F.col("page_id").cast("string")))
+        part = videos.of_pages(own, "page_id", publisher).select("page_id", F.lit(publisher).alias("publisher"), F.array_join("videos", "\n").alias("videos"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 _RECORD = fixtures.page("<main><article><h1>H</h1><div class='text'>" + fixtures.BODY + "</div>" + fixtures.fig("a", "Cap {n}") + "<iframe src='https://www.youtube.com/embed/vid{n}xyz'></iframe></article></main>")
 _PLAIN_RECORD = fixtures.article(fixtures.BODY)
 

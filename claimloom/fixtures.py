@@ -57,6 +57,35 @@ ARTICLES: dict[str, tuple[str, str, str, str]] = {
     ),
 }
 
+#: What a guarded site shows in place of its article.
+DENIED = page("<h1>Access Denied</h1><p>Request blocked, verify you are human. " + "Reference number of the request that was stopped. " * 8 + "</p>")
+_LD_TEXT = " ".join(p(k) for k in range(1, 6))
+_STATIC_LD = _LD.replace("Headline", "Static")
+_ESCAPED_LD = _LD.replace('{"@graph"', "{&quot;@graph&quot;").replace('"headline": "', "&quot;headline&quot;: &quot;").replace('", "articleBody": "', "&quot;, &quot;articleBody&quot;: &quot;").replace('"}]}</script>', "&quot;}]}</script>").replace('[{"@type": "WebPage", "name": "w"}, {"@type": ["NewsArticle"], ', "[{&quot;@type&quot;: [&quot;NewsArticle&quot;], ")
+_BROKEN_LD = '<script type="application/ld+json">{"@type": "NewsArticle", "articleBody": </script>'
+_DOM = page(f"<article><h1>Head {{n}}</h1>{BODY}</article>", _BROKEN_LD)
+#: Arms of the cascades beyond the first: (spec, url, static page, rendered page, title, content, error); "" for none.
+ARMS: list[tuple[str, str, str, str, str, str, str]] = [
+    ("de/factencheckafp", "https://faktencheck.afp.com/a", DENIED, page("", _LD), "Headline {n}", _LD_TEXT, ""),  # blocked, then rendered
+    ("fr/factuelafp", "https://factuel.afp.com/a", DENIED, page("", _LD), "Headline {n}", _LD_TEXT, ""),
+    ("fr/factuelafp", "https://factuel.afp.com/a", DENIED, "", "", "", "PermissionError: access denied"),
+    ("fr/factuelafp", "https://factuel.afp.com/a", DENIED, DENIED, "", "", "PermissionError: access denied"),
+    ("de/factencheckafp", "https://faktencheck.afp.com/a", page("", _STATIC_LD), page("", _LD), "Headline {n}", _LD_TEXT, ""),  # rendered first
+    ("de/factencheckafp", "https://faktencheck.afp.com/a", page("", _STATIC_LD), DENIED, "Static {n}", _LD_TEXT, ""),
+    ("fr/factuelafp", "https://factuel.afp.com/a", page("", _STATIC_LD), page("", _LD), "Static {n}", _LD_TEXT, ""),  # static first
+    ("fr/factuelafp", "https://factuel.afp.com/a", page("", _ESCAPED_LD), "", "Headline {n}", _LD_TEXT, ""),  # entities in JSON-LD
+    ("fr/factuelafp", "https://factuel.afp.com/a", _DOM, "", "Head {n}", TEXT, ""),  # malformed JSON-LD, then the container
+    ("fr/liberation", "https://www.liberation.fr/a", article(BODY), article(BODY + BODY), TITLE, f"{TEXT}\n{TEXT}", ""),  # under 800 on its own host
+    ("fr/liberation", "https://other.example/a", article(BODY), article(BODY + BODY), TITLE, TEXT, ""),
+    ("de/dpa", "https://dpa.example/a", page(f"<p class='teaser'>{p(2)}</p><article><div class='text'>{BODY}</div></article>"), "", TITLE, TEXT, ""),  # a lead that the body has
+    ("fr/fasocheck", "https://fasocheck.org/a", page(f"<article><h1>Head {{n}}</h1>{BODY}</article>"), "", "Head {n}", f"Head {{n}}\n{TEXT}", ""),  # the second container
+    ("fr/observalgerie", "https://observalgerie.com/a", page(f"<h1>Head {{n}}</h1><div class='text'>{BODY}</div>"), "", "Head {n}", "", ""),  # no container, no other way
+    ("de/correctiv", "https://correctiv.org/a", article(BODY + "<p>Newsletter</p>"), "", TITLE, TEXT, ""),  # no container, then by score
+    ("de/rtl", "https://rtl.de/a", article(BODY + "<ul><li><p>An item {n}</p></li></ul>"), "", TITLE, f"{TEXT}\nAn item {{n}}\nAn item {{n}}", ""),  # nested tags repeat
+    ("de/rtl", "https://rtl.de/a", "", article(BODY), TITLE, TEXT, ""),  # the rendered copy alone
+    ("de/rtl", "https://rtl.de/a", "", "", "", "", "no page captured"),
+]
+
 H = "https://host.example"
 
 
@@ -195,3 +224,25 @@ VIDEOS: dict[str, tuple[str, list[str]]] = {
     "tf1info": (page(f"{_YT}<div class='EmbedInstagram__Wrapper-x'>{_IG}{_TW}</div>{_STATUS}{_MP4}"), sorted([embed("vid"), "https://www.instagram.com/p/AB{n}/", "https://x.com/i/web/status/1{n}"])),
     "any": (page(_ALL), sorted([*_EMBEDS, embed("wat"), _DM_URL, "https://www.facebook.com/p/videos/{n}", "https://x.com/i/web/status/1{n}", "https://x.com/i/web/status/2{n}", "https://www.tiktok.com/embed/v2/3{n}", _UM_URL, _RAW])),
 }
+
+
+def _features(keys: str) -> str:
+    import base64
+
+    return base64.urlsafe_b64encode(keys.encode()).decode().rstrip("=")
+
+
+def _tweet(number: str, features: str = "", title: str = "") -> str:
+    more = f"&amp;features={_features(features)}" if features else ""
+    return f"<div class='twitter-tweet'><iframe title='{title}' src='https://platform.twitter.com/embed/Tweet.html?id={number}{more}'></iframe></div>"
+
+
+#: Pages whose videos hang on V8 and V18: (publisher, page, videos).
+VIDEO_ARMS: list[tuple[str, str, list[str]]] = [
+    ("20minutes", page(_tweet("10001{n}", '{"a":{"tfw_hls_on":{"b":"x"}}}') + _tweet("10002{n}", '{"a":{"tfw_dark":1}}') + _tweet("10003{n}", title="X Post") + _tweet("10004{n}", title="A Video post")), ["https://x.com/i/web/status/10001{n}", "https://x.com/i/web/status/10004{n}"]),
+    ("20minutes", page(_tweet("10005{n}", '{"mixed_media":["@owner{}"]}'.replace("{}", "")) + _tweet("7", title="video") + "<iframe title='video' src='https://platform.twitter.com/embed/Tweet.html?id=10006{n}'></iframe>"), ["https://x.com/owner/status/10005{n}"]),
+    ("20minutes", page("<iframe src='https://www.youtube.com/embed/framed{n}'></iframe><a href='https://www.youtube.com/embed/linked{n}'>l</a>"), ["https://www.youtube.com/embed/framed{n}?autoplay=1"]),
+    ("20minutes", page("<a href='https://www.youtube.com/embed/linked{n}'>l</a><script>var v = 'https://www.youtube.com/embed/script{n}';</script>"), ["https://www.youtube.com/embed/linked{n}?autoplay=1", "https://www.youtube.com/embed/script{n}?autoplay=1"]),
+    ("lemonde", page("<iframe src='https://www.youtube.com/embed/framed{n}'></iframe><a href='https://www.youtube.com/embed/linked{n}'>l</a><script>play('//www.dailymotion.com/embed/video/dm{n}')</script>"), ["https://www.dailymotion.com/embed/video/dm{n}", "https://www.youtube.com/embed/framed{n}"]),
+    ("lemonde", page("<p>https://www.youtube.com/embed/textual{n}</p>"), ["https://www.youtube.com/embed/textual{n}"]),
+]

@@ -68,7 +68,7 @@ def _classes(charset: str, letters: str) -> str:
     rare = [c for c in letters + upper if charset in DENSE and c.lower() not in FREQUENT]
     kinds = []
     for c in high_letters(charset):
-        kinds.append(("r" if c in letters else "R") if c in rare else "g" if c in letters else "G" if c in upper else "p" if c in SIGNS else "c" if c == "\ufffd" or ord(c) < 160 else "w" if c.isalpha() else "s")
+        kinds.append(("r" if c in letters else "R") if c in rare else "g" if c in letters else "G" if c in upper else "p" if c in SIGNS else "c" if c == "\ufffd" or ord(c) < 160 or "\u2500" <= c <= "\u25ff" else "w" if c.isalpha() else "s")
     return "".join(kinds)
 
 
@@ -118,10 +118,10 @@ def detected(body: Column) -> Column:
     mark = F.hex(F.substring(body, 1, 3))
     little, big = _kept(s, UNIT_LE) / 2 / units, _kept(s, UNIT_BE) / 2 / units
     utf8 = F.try_validate_utf8(body.cast("string")).isNotNull()
-    paired = (F.length(body) >= 2) & (F.length(body) % 2 == 0) & (~utf8 | s.contains("\x00"))
+    paired = (F.length(body) >= 2) & (F.length(body) % 2 == 0) & (~utf8 | s.rlike("[\\x00-\\x08\\x0E-\\x1F]"))
     return (
         F.when(body.isNull(), F.lit(None).cast("string")).when(mark.startswith("EFBBBF"), "utf-8").when(mark.startswith("FFFE"), "utf-16le").when(mark.startswith("FEFF"), "utf-16be")
-        .when(paired & (F.greatest(little, big) > 0.6), F.when(little >= big, "utf-16le").otherwise("utf-16be"))
+        .when(paired & (F.greatest(little, big) >= 0.5), F.when(little >= big, "utf-16le").otherwise("utf-16be"))
         .when(utf8, "utf-8").otherwise(_single_byte(s))
     )
 

@@ -147,12 +147,17 @@ def unquoted(col: Column) -> Column:
     return F.try_url_decode(F.replace(col, F.lit("+"), F.lit("%2B")))
 
 
-def b64_json(col: Column) -> Column:
-    """Doubly quoted, url-safe base64 of JSON as a variant; null where any step fails."""
+def b64_text(col: Column) -> Column:
+    """The text of doubly quoted, url-safe base64; null where a step fails."""
     once = F.coalesce(unquoted(col), col)
     twice = F.translate(F.coalesce(unquoted(once), once), "-_", "+/")
     padded = F.rpad(twice, F.length(twice) + (4 - F.length(twice) % 4) % 4, F.lit("="))
-    return F.try_parse_json(F.decode(F.call_function("try_to_binary", padded, F.lit("base64")), "UTF-8"))
+    return F.decode(F.call_function("try_to_binary", padded, F.lit("base64")), "UTF-8")
+
+
+def b64_json(col: Column) -> Column:
+    """JSON in ``b64_text`` as a variant; null where any step fails."""
+    return F.try_parse_json(b64_text(col))
 
 
 def srcset(col: Column, ladder: str = "plain", density: int = 0) -> Column:

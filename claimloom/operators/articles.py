@@ -94,6 +94,8 @@ class Spec:
     fold_accents: bool = False
     rendered_below: int | None = None
     rendered_hosts: tuple[tuple[str, int], ...] = ()
+    rendered_first: tuple[str, ...] = ()
+    guarded: bool = False
     collapse_tabs_only: bool = False
     sites: tuple[str, ...] = field(default=())
 
@@ -106,7 +108,7 @@ _DEEP = ("h1", "h2", "h3", "h4", "p", "blockquote", "li")
 _PRUNED = ("script", "style", "noscript", "aside", "footer", "form")
 _AFP = Spec(
     "factencheckafp", "de", (Rule(Strategy("jsonld"), accept=400), Rule(Strategy("container", BODY_TAGS, AFP_CONTAINERS, _PRUNED), at_least_as_long=True), Rule(CONTENT, only_below=300)),
-    cut_html=T.COPYRIGHT_TAG, rendered_below=250, sites=("faktencheck.afp.com",),
+    cut_html=T.COPYRIGHT_TAG, rendered_below=250, rendered_first=("faktencheck.afp.com",), guarded=True, sites=("faktencheck.afp.com",),
 )
 _DPA = Spec("dpa", "de", CASCADE, leads=DPA_LEADS, sites=("dpa-factchecking.com",))
 SPECS = {
@@ -240,20 +242,39 @@ def cascade(html: str, spec: Spec, parsed: Element | None = None) -> tuple[str,
     return title.strip(), body, used
 
 
+def blocks(html: str | None) -> bool:
+    """S6 inside a worker: whether a copy only says that access was denied."""
+    low = (html or "").lower()
+    return not low or any(n in low for n in T.BLOCK_PAGE)
+
+
+def copies(static: str | None, rendered: str | None, url: str | None, spec: Spec) -> list[tuple[str, str]]:
+    """(kind, html) of the copies that may be read, in order (S5, H7): hosts of ``rendered_first`` show their articles in the rendered copy
+    alone; a guarded publisher's block pages are none of it."""
+    host = re.sub(r"^[a-z]+://([^/?#]*).*$", r"\1", (url or "").lower(), flags=re.DOTALL)
+    both = [("rendered", rendered), ("", static)] if any(host == h or host.endswith("." + h) for h in spec.rendered_first) else [("", static), ("rendered", rendered)]
+    return [(kind, html) for kind, html in both if html and not (spec.guarded and blocks(html))]
+
+
 def extract(static: str | None, rendered: str | None, url: str | None, spec: Spec, parsed: Element | None = None) -> dict:
-    """Title and content of a captured page; the rendered copy is read where the static one gives too little.
+    """Title and content of a captured page; the rendered copy is read where the static one gives too little or was blocked.
 
-    ``parsed``: the static copy's tree, if it is there already.
+    ``parsed``: the static copy's tree, if it is there already. A page of which only block pages were captured has that as its error.
     """
     try:
-        title, body, used = cascade(static, spec, parsed) if static else ("", "", "")
+        usable = copies(static, rendered, url, spec)
+        if not usable:
+            if static or rendered:
+                raise PermissionError("access denied")
+            return {"title": None, "content": None, "strategy": None, "error": "no page captured"}
+        (kind, html), later = usable[0], usable[1:]
+        title, body, used = cascade(html, spec, parsed if html is static else None)
+        used = f"{kind} {used}".strip()
         floor = max([spec.rendered_below or 0, *(n for host, n in spec.rendered_hosts if host in (url or ""))])
-        if rendered and (not static or len(body) < floor):
-            t, b, u = cascade(rendered, spec)
+        if later and not kind and len(body) < floor:
+            t, b, u = cascade(later[0][1], spec)
             if len(b) > len(body):
                 title, body, used = t or title, b, f"rendered {u}"
-        if not static and not rendered:
-            return {"title": None, "content": None, "strategy": None, "error": "no page captured"}
         return {"title": title, "content": body, "strategy": used, "error": None}
     except Exception as error:  # R8: the row survives with its error
         return {"title": None, "content": None, "strategy": None, "error": f"{type(error).__name__}: {error}"}

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from claimloom.functions import data as D
 from claimloom.functions import text as T
-from claimloom.functions.url import strip_query, unquoted, with_scheme
+from claimloom.functions.url import b64_text, strip_query, unquoted, with_scheme
 from claimloom.html.dom import Element, parse
 
 #: The forms in which providers' players are embedded.
@@ -27,6 +27,9 @@ FACEBOOK_PLUGIN = r"(?i)https?://(?:www\.)?facebook\.com/plugins/video\.php\?[^\
 TIKTOK = r"(?i)https?://(?:www\.)?tiktok\.com/(@[^/\"']+/video/[0-9]+)"
 TIKTOK_EMBED = r"(?i)https?://(?:www\.)?tiktok\.com/embed/(?:v2/)?([0-9]+)"
 TWEET = r"(?i)https?://platform\.twitter\.com/embed/Tweet\.html\?[^\"'>]*?\bid=([0-9]+)"
+TWEET_FRAME = r"(?i)platform\.twitter\.com/embed/Tweet\.html"
+#: Words of a key that speaks of a video.
+VIDEO_KEY = "video|hls|player|mixed[_-]?media"
 STATUS = r"(?i)https?://(?:www\.|mobile\.)?(?:twitter|x)\.com/[^/\"']+/(?:web/)?status/([0-9]+)"
 ULTIMEDIA = r"(?i)((?:https?:)?//(?:www\.)?ultimedia\.com/deliver/generic/iframe/[^\"'\s]+)"
 RAW = r"(?i)(https?://[^\"'>\s]+\.(?:mp4|m3u8)(?:\?[^\"'>\s]*)?)"
@@ -123,6 +126,40 @@ def page_urls(html: Column) -> Column:
     return F.concat(tweets, F.transform(attributes, T.unescape_basic), inner, streams)
 
 
+def frame_urls(html: Column) -> Column:
+    """Urls that a page frames: iframes' sources and what stands in their ``srcdoc``."""
+    tags = F.regexp_extract_all(T.text_or_empty(html), F.lit("(?is)<iframe\\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>"), F.lit(0))
+    sources = F.transform(F.flatten(F.transform(tags, lambda t: T.attribute_urls(t, "src"))), T.unescape_basic)
+    documents = F.transform(F.flatten(F.transform(tags, lambda t: T.attribute_urls(t, "srcdoc"))), T.unescape_basic)
+    return F.concat(sources, F.flatten(F.transform(documents, text_urls)))
+
+
+def text_urls(html: Column) -> Column:
+    """Urls of the players of YouTube and Dailymotion anywhere in a page's text, scripts too."""
+    return F.regexp_extract_all(T.unescape_basic(html), F.lit("(?i)((?:https?:)?//[a-z.]*(?:youtube|youtube-nocookie|dailymotion)\\.com/[^\"'<>\\s]+)"), F.lit(1))
+
+
+def video_tweets(html: Column, head: str = "https://x.com/") -> Column:
+    """V7, V8: urls of the embedded tweets that show a video, under their owners.
+
+    A frame whose url has a document of features that can be read shows one if a key of it says so; of other frames the title has to. The
+    owner is the first name (``@...``) among the document's values.
+    """
+    tags = F.regexp_extract_all(T.text_or_empty(html), F.lit("(?is)<iframe\\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>"), F.lit(0))
+    attribute = lambda t, name: F.get(T.attribute_urls(t, name), F.lit(0))
+
+    def of(tag: Column) -> Column:
+        src = T.unescape_basic(attribute(tag, "src"))
+        number = F.coalesce(_id(src, TWEET), F.when(src.rlike(TWEET_FRAME), attribute(tag, "data-tweet-id")))
+        stated = b64_text(F.nullif(F.regexp_extract(src, "[?&]features=([^&#]*)", 1), F.lit("")))
+        features = F.when(F.to_json(F.try_parse_json(stated)).rlike("^\\{.*[^{}]"), stated)
+        owner = F.nullif(F.regexp_extract(features, '[:\\[,]\\s*"@+([^"@]+)"', 1), F.lit(""))
+        shows = F.when(features.isNotNull(), D.has_key_like(features, VIDEO_KEY)).otherwise(F.lower(F.coalesce(attribute(tag, "title"), F.lit(""))).contains("video"))
+        return F.when(shows & number.rlike("^[0-9]{5,}$"), F.concat(F.lit(head), F.coalesce(owner, F.lit("i/web")), F.lit("/status/"), number))
+
+    return F.array_distinct(F.filter(F.transform(tags, of), lambda u: u.isNotNull()))
+
+
 #: Urls that no canonicaliser can know lack all of these.
 MAYBE = "(?i)youtu|dailymotion|facebook|ultimedia|tiktok|twitter|x\\.com|instagram|\\.mp4|\\.m3u8"
 
@@ -183,7 +220,8 @@ class VideoSpec:
     ``providers``: buckets, in order (V15); ``youtube``: form of its urls (V1), also from ``watch`` urls; ``tweets``: head of tweets'
     urls (V7), also of links to them (``links``); ``plugin``: Facebook's plugin urls stay as they are (V3); ``scope``: where embeds stand (V17), for the providers
     ``scoped`` or for all; ``whole``: the page is read where the scope holds nothing (V18); ``own``: the publisher's player (V11-V13)
-    and ``own_scope`` where it stands; ``order``: one sorted list, buckets one after the other, or as the page has them;
+    or tweets that show a video (V8), and ``own_scope`` where they stand; ``framed``: providers whose embeds count where they are framed,
+    and anywhere in the page only if none is (V18); ``order``: one sorted list, buckets one after the other, or as the page has them;
     ``queries``: Ultimedia's and raw urls keep theirs.
     """
 
@@ -199,6 +237,7 @@ class VideoSpec:
     whole: bool = False
     own: str = ""
     own_scope: str = ""
+    framed: tuple[str, ...] = ()
     order: str = "sorted"
     queries: bool = False
 
@@ -218,12 +257,12 @@ SPECS = {
         VideoSpec("stern", (), own="renditions"),
         VideoSpec("volksverpetzer", ("youtube", "facebook"), "watch", plugin=True, order="buckets"),
         VideoSpec("factencheckafp", ("youtube", "twitter"), watch=True, tweets="https://twitter.com/i/web/status/", links=False, order="page"),
-        VideoSpec("20minutes", ("youtube", "ultimedia", "instagram", "twitter", "tiktok"), scope=_SOCIAL, scoped=("instagram",), queries=True),
+        VideoSpec("20minutes", ("youtube", "ultimedia", "instagram", "tiktok"), scope=_SOCIAL, scoped=("instagram",), own="tweets", own_scope="div.twitter-tweet", framed=("youtube",), queries=True),
         VideoSpec("defactobservatoire", _DEFACTO, watch=True, scope="div.defacto-fact-check-body", queries=True),
         VideoSpec("factuelafp", _DEFACTO, watch=True, scope="div#block-factuel-content div.g2web", queries=True),
         VideoSpec("fasocheck", ("youtube", "dailymotion", "facebook", "ultimedia", "raw_video"), watch=True),
         VideoSpec("francetvinfo", ("youtube", "dailymotion", "tiktok", "twitter", "raw_video"), links=False, scope="div.page-content-wrapper"),
-        VideoSpec("lemonde", ("youtube", "dailymotion"), "embed"),
+        VideoSpec("lemonde", ("youtube", "dailymotion"), "embed", framed=("youtube", "dailymotion")),
         VideoSpec("liberation", ("youtube", "twitter"), order="buckets"),
         VideoSpec("numerama", ("youtube", "tiktok")),
         VideoSpec("tf1info", ("youtube", "instagram", "tiktok", "twitter", "facebook", "raw_video"), scope=_SOCIAL, scoped=("instagram", "tiktok", "twitter", "facebook", "raw_video")),
@@ -280,9 +319,12 @@ def listed(spec: VideoSpec, whole: Column, scoped: Column, own: Column, logs: Co
         if names:
             of = canonicals(spec, names)
             found = known(page_urls(html), of)
-            lists |= {n: F.transform(F.filter(found, _named(n)), lambda p: p.url) for n in names}
+            urls = lambda found, n: F.transform(F.filter(found, _named(n)), lambda p: p.url)
+            framed = known(frame_urls(html), of) if set(names) & set(spec.framed) else found
+            anywhere = known(F.concat(page_urls(html), text_urls(html)), of) if set(names) & set(spec.framed) else found
+            lists |= {n: F.when(F.size(urls(framed, n)) > 0, urls(framed, n)).otherwise(urls(anywhere, n)) if n in spec.framed else urls(found, n) for n in names}
     none = F.array().cast("array<string>")
-    native = {"ard": lambda: ard_streams(whole, own), "rtl": lambda: native_streams(page_urls(own)), "renditions": lambda: F.filter(F.array(first_rendition(whole, logs)), lambda u: u.isNotNull()), "": lambda: none}[spec.own]()
+    native = {"ard": lambda: ard_streams(whole, own), "rtl": lambda: native_streams(page_urls(own)), "tweets": lambda: video_tweets(own), "renditions": lambda: F.filter(F.array(first_rendition(whole, logs)), lambda u: u.isNotNull()), "": lambda: none}[spec.own]()
     if spec.own == "rtl":
         lists = {n: F.filter(v, lambda u: ~_is_advert(u)) for n, v in lists.items()}
     if spec.order == "page":

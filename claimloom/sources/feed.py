@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, EqualNullSafe, EqualTo, Filter, In, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualNullSafe, EqualTo, Filter, In, InputPartition, IsNotNull
 
 from claimloom.operators.claims import REVIEW
 
@@ -71,7 +71,9 @@ class FeedReader(DataSourceReader):
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
         for f in filters:
-            column = f.attribute[0] if isinstance(f, EqualTo | EqualNullSafe | In) and len(f.attribute) == 1 else None
+            column = f.attribute[0] if isinstance(f, EqualTo | EqualNullSafe | In | IsNotNull) and len(f.attribute) == 1 else None
+            if isinstance(f, IsNotNull) and column in ("site", "lang"):
+                continue  # they never are
             values = set(f.value) if isinstance(f, In) else {getattr(f, "value", None)}
             if column in ("site", "lang") and None not in values:
                 self.wanted[column] = self.wanted.get(column, values) & values

@@ -37,7 +37,7 @@ class First(StatefulProcessor):
         self.handle = handle
         self.best = handle.getValueState("best", StructType([StructField("at", LongType()), StructField("tie", StringType()), StructField("revision", LongType())]))
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         best = found = None
         for batch in rows:
             for at, tie, place in zip(batch.iloc[:, -2], batch.iloc[:, -1], range(len(batch)), strict=True):
@@ -55,7 +55,7 @@ class First(StatefulProcessor):
         self.handle.registerTimer(best[0] // 1000 + self.keep_ms)
         yield found.iloc[:, : len(self.columns)].set_axis(self.columns, axis=1).assign(revision=revision)
 
-    def handleExpiredTimer(self, key, timers, expired) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.best.clear()
         return iter(())
 
