@@ -38,7 +38,7 @@ HIGH = "[\\x80-\\xFF]"
 #: High bytes with the character on each side of them.
 BESIDE = f"[^\\x80-\\xFF]?{HIGH}+[^\\x80-\\xFF]?"
 #: UTF-16 units that texts are made of (Latin, Greek, Cyrillic, kana and their punctuation), low byte first and high byte first.
-UNIT_LE, UNIT_BE = "[\\t\\n\\r\\x20-\\x7E\\xA0-\\xFF]\\x00|.[\\x01\\x03\\x04\\x30]|[\\x10-\\x3F]\\x20", "\\x00[\\t\\n\\r\\x20-\\x7E\\xA0-\\xFF]|[\\x01\\x03\\x04\\x30].|\\x20[\\x10-\\x3F]"
+UNIT_LE, UNIT_BE = "[\\t\\n\\r\\x20-\\x7E\\xA0-\\xFF]\\x00|.[\\x01\\x03\\x04]|[\\x00-\\x1F\\x41-\\xFE]\\x30|[\\x10-\\x3F]\\x20", "\\x00[\\t\\n\\r\\x20-\\x7E\\xA0-\\xFF]|[\\x01\\x03\\x04].|\\x30[\\x00-\\x1F\\x41-\\xFE]|\\x20[\\x10-\\x3F]"
 #: Shift-JIS characters: kana, signs and the kanji in use; all that have its form.
 JAPANESE, DOUBLE = "\\x82[\\x4F-\\xF1]|\\x83[\\x40-\\x96]|\\x81[\\x40-\\xAC]|[\\x88-\\x97][\\x40-\\x7E\\x80-\\xFC]", "[\\x81-\\x9F\\xE0-\\xFC][\\x40-\\x7E\\x80-\\xFC]"
 
@@ -121,7 +121,7 @@ def detected(body: Column) -> Column:
     paired = (F.length(body) >= 2) & (F.length(body) % 2 == 0) & (~utf8 | s.rlike("[\\x00-\\x08\\x0E-\\x1F]"))
     return (
         F.when(body.isNull(), F.lit(None).cast("string")).when(mark.startswith("EFBBBF"), "utf-8").when(mark.startswith("FFFE"), "utf-16le").when(mark.startswith("FEFF"), "utf-16be")
-        .when(paired & (F.greatest(little, big) >= 0.5), F.when(little >= big, "utf-16le").otherwise("utf-16be"))
+        .when(paired & (F.greatest(little, big) > 0.55), F.when(little >= big, "utf-16le").otherwise("utf-16be"))
         .when(utf8, "utf-8").otherwise(_single_byte(s))
     )
 
