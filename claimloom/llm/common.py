@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,14 +35,14 @@ def arrow_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
         spark.conf.set(key, str(rows))
 
 
-#: Folders that the tables of the runs going on are written to; see ``scratch``.
-_FOLDERS: list[str] = []
+#: The folder that the tables of the run going on in this thread are written to; see ``scratch``.
+_FOLDER: ContextVar[str | None] = ContextVar("folder", default=None)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage and survives lost executors."""
     spark = df.sparkSession
-    path = f"{_FOLDERS[-1] if _FOLDERS else shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{_FOLDER.get() or shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -58,11 +59,11 @@ def kept(df: DataFrame, name: str) -> tuple[DataFrame, str]:
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Tables ``written`` inside go when it ends: what is made from them has to be written outside, or used up, before."""
     folder = f"{shared_dir(spark)}/run-{uuid.uuid4().hex}"
-    _FOLDERS.append(folder)
+    before = _FOLDER.set(folder)
     try:
         yield
     finally:
-        _FOLDERS.remove(folder)
+        _FOLDER.reset(before)
         removed(spark, folder)
 
 
