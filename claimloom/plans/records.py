@@ -2,31 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimloom.operators import articles, claims
 from claimloom.operators import images as image_ops
 from claimloom.operators import pages as page_ops
 from claimloom.operators import videos as video_ops
+from claimloom.sources import store as page_store
 
 
 def build(
-    feed: DataFrame, pages: DataFrame, spec: str, site: str | None = None, labels: DataFrame | None = None, max_items: int | None = None, skip_images: bool = False, skip_videos: bool = False,
+    feed: DataFrame, pages: DataFrame, spec: str, site: str | None = None, labels: DataFrame | None = None, max_items: int | None = None, skip_images: bool = False, skip_videos: bool = False, stored: bool = False,
 ) -> DataFrame:
     """(record) for the claims of one publisher.
 
     ``feed``: raw claims (D1) with an order column ``pos``; ``pages``: captured pages (url, html_static, html_rendered, and if they
     were kept final_url, log_urls and captured_at). Of a url that was captured more than once the last capture counts (by
     captured_at, else by the greater texts). The limit is applied before any page is parsed, and only pages of the remaining
-    claims are, once each; what was read of them is narrow and joined once.
+    claims are, once each; what was read of them is narrow and joined once. ``stored``: ``pages`` is a page store
+    (``sources.store``), which has one capture of each url and whose rows stay where they are.
     """
     if spec not in articles.SPECS:
         raise ValueError(f"unknown publisher {spec}; known: {', '.join(sorted(articles.SPECS))}")
     own = articles.SPECS[spec]
     items = claims.first_by(claims.of_publisher(claims.flatten(feed), site), "review_url", ["pos"])
     items = claims.limited(items, max_items, ["pos"])
-    needed = _one_capture(pages.join(items.select(F.col("review_url").alias("url")).distinct(), "url", "left_semi"))
+    needed = (pages if stored else page_store.whole(pages)).join(items.select(F.col("review_url").alias("url")).distinct(), "url", "left_semi")
+    if not stored:  # the join has dealt pages out by url, so nothing moves again
+        latest = Window.partitionBy("url").orderBy(*[F.desc_nulls_last(c) for c in ("captured_at", "html_static", "html_rendered", "final_url")])
+        needed = needed.withColumn("__n", F.row_number().over(latest)).where("__n = 1").drop("__n")
     skip_images = skip_images or own.publisher not in image_ops.SPECS
     read = page_ops.read(F.col("html_static"), F.col("html_rendered"), F.col("url"), spec, not skip_images, not skip_videos)
     videos = video_ops.SPECS.get(own.publisher, video_ops.ANY)
@@ -43,12 +48,3 @@ def build(
     full = full.withColumn("publisher_id", F.lit(own.publisher)).withColumn("label_raw", F.col("review_label_raw"))
     full = claims.with_label(full, labels) if labels is not None else full.withColumn("label_normalized", F.col("label_raw"))
     return full.select("pos", claims.record(own.publisher, own.language).alias("record"))
-
-
-def _one_capture(pages: DataFrame) -> DataFrame:
-    """One row for each url, with all the columns that a capture may have."""
-    kinds = {"final_url": "string", "log_urls": "array<string>", "captured_at": "timestamp"}
-    full = pages.withColumns({c: F.lit(None).cast(kind) for c, kind in kinds.items() if c not in pages.columns})
-    columns = ["final_url", "html_static", "html_rendered", "log_urls"]
-    last = F.max_by(F.struct(*columns), F.struct("captured_at", "html_static", "html_rendered", "final_url")).alias("p")
-    return full.groupBy("url").agg(last).select("url", "p.*")

@@ -155,3 +155,29 @@ def test_keyed_state_over_batches(spark, tmp_path):
     state = spark.read.format("statestore").option("path", f"{at}/state").option("stateVarName", "best").load()
     assert {r.key.k for r in state.select("key").collect()} == {"d"}
     shutil.rmtree(source)
+
+
+def test_records_from_a_store_move_no_page(spark, tmp_path):
+    from claimloom import fixtures
+    from claimloom.plans import records as plans
+
+    html = fixtures.article(fixtures.BODY).replace("{n}", "1")
+    pages = spark.createDataFrame([("https://rtl.de/1", html, "2024-01-02"), ("https://rtl.de/1", "<p>old</p>", "2024-01-01"), ("https://rtl.de/2", html, None)], "url string, html_static string, captured_at string")
+    pages = pages.select("url", "html_static", F.lit(None).cast("string").alias("html_rendered"), F.to_timestamp("captured_at").alias("captured_at"))
+    review = F.array(F.struct(F.struct(F.lit("P").alias("name"), F.lit("rtl.de").alias("site")).alias("publisher"), F.col("u").alias("url"), *[F.lit("").alias(c) for c in ("title", "reviewDate", "textualRating")]))
+    feed_ = spark.createDataFrame([(k, f"https://rtl.de/{k}") for k in (1, 2, 3)], "pos long, u string").select("pos", F.lit("c").alias("text"), *[F.lit("").alias(c) for c in ("claimant", "claimDate")], review.alias("claimReview"))
+    store.keep(pages, str(tmp_path / "s"), 4)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = plans.build(feed_, store.opened(spark, str(tmp_path / "s"), 4), "de/rtl", stored=True)
+        lines = kept._jdf.queryExecution().executedPlan().toString().splitlines()
+        assert any("Bucketed: true" in x for x in lines)
+        semi = next(k for k, x in enumerate(lines) if "LeftSemi" in x)
+        scan = next(k for k, x in enumerate(lines) if k > semi and "FileScan" in x)
+        assert not any("Exchange" in x for x in lines[semi:scan])  # pages meet their claims where they are
+        rows = {r.pos: r.record for r in kept.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    plain = {r.pos: r.record for r in plans.build(feed_, pages, "de/rtl").collect()}
+    assert rows == plain and rows[1].debunk_article.title == "A headline of page 1" and rows[3].errors.article == "no page captured"
