@@ -85,7 +85,7 @@ def extension_of_type(content_type: Column) -> Column:
     return F.when(low.contains("png"), ".png").when(low.contains("webp"), ".webp").when(low.contains("avif"), ".avif").otherwise(".jpg")
 
 
-#: U16: steps of each publisher's ladder of width patterns, tried in order.
+#: Fixed values. U16: steps of each publisher's ladder of width patterns, tried in order.
 WIDTH_LADDERS = {
     "plain": ["/fit-in/([0-9]+)x", "/([0-9]{2,5})x[0-9]{1,5}(?:/|$)", "(?<![0-9a-z])([0-9]{2,5})w(?![a-z0-9])"],
     "br": ["[?&]w=([0-9]+)", "/fit-in/([0-9]+)x", "/([0-9]{2,5})x[0-9]{1,5}(?:/|$)", "(?<![0-9a-z])([0-9]{2,5})w(?![a-z0-9])"],
@@ -107,7 +107,7 @@ def largest_path_number(col: Column) -> Column:
     return F.coalesce(F.array_max(F.transform(found, lambda x: x.cast("int"))), F.lit(0))
 
 
-#: What each publisher's image urls are rid of to name the asset, in order: (pattern, replacement).
+#: Fixed values. U19: what each publisher's image urls are rid of to name the asset, in order: (pattern, replacement).
 ASSET_RULES = {
     "plain": [("[?#].*$", ""), ("/fit-in/[0-9]+x[0-9]+", ""), ("/[0-9]+x[0-9]+(?=/)", ""), ("-[0-9]+x[0-9]+(?=\\.[A-Za-z]+$)", ""), ("-scaled(?=\\.[A-Za-z]+$)", "")],
     "br": [("#.*$", ""), ("([?&])w=[^&]*&?", "$1"), ("[?&]+$", ""), ("/fit-in/[0-9]+x[0-9]+", ""), ("/[0-9]+x[0-9]+(?=/)", ""), ("-[0-9]+x[0-9]+(?=\\.[A-Za-z]+(?:[?]|$))", ""), ("-scaled(?=\\.[A-Za-z]+(?:[?]|$))", "")],

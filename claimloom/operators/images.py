@@ -118,10 +118,14 @@ def _source(img: Element, last: bool = False) -> str:
     return next((v for a in SOURCES if (v := img.get(a).strip())), "") or _widest(img, last)
 
 
+#: How an address states its width, and numbers that stand alone in its path.
+STATED_WIDTHS, PATH_NUMBER = (r"([0-9]{3,4})w(?:\D|$)", r"/fit-in/([0-9]{3,4})x"), r"/([0-9]{3,4})(?=/|$)"
+
+
 def _score(url: str) -> int:
     """The width that an address states, else the largest number that stands alone in its path."""
-    stated = re.search(r"([0-9]{3,4})w(?:\D|$)", url) or re.search(r"/fit-in/([0-9]{3,4})x", url)
-    return int(stated[1]) if stated else max((int(n) for n in re.findall(r"/([0-9]{3,4})(?=/|$)", re.split("[?#]", url)[0])), default=0)
+    stated = next((m for p in STATED_WIDTHS if (m := re.search(p, url))), None)
+    return int(stated[1]) if stated else max((int(n) for n in re.findall(PATH_NUMBER, re.split("[?#]", url)[0])), default=0)
 
 
 def picked(holder: Element, how: str) -> list[str]:

@@ -18,13 +18,17 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from claimloom.functions import charset as charsets
 from claimloom.functions.url import image_name
-from claimloom.operators.claims import FEED
+from claimloom.operators.claims import CLAIM, FEED
 
 
 def read_feed(spark: SparkSession, path: str) -> DataFrame:
-    """Claims of all captured feed pages in a folder; malformed pages are dropped, an unknown field is ignored."""
-    pages = spark.read.schema(FEED).option("mode", "DROPMALFORMED").option("multiLine", True).json(path)
-    return pages.select(F.explode("claims").alias("c")).select("c.*")
+    """Claims of all captured feed pages in a folder, whatever their order; an unknown field is ignored. A malformed page is a row without
+    a claim and with its file in ``error``, which is null for all others. ``feed.read_claims`` follows page tokens."""
+    pages = spark.read.schema(f"{FEED}, _corrupt_record string").option("mode", "PERMISSIVE").option("multiLine", True).json(path)
+    broken = F.col("_corrupt_record").isNotNull()
+    error = F.when(broken, F.concat(F.lit("malformed page "), F.col("_metadata.file_path")))
+    rows = F.when(broken, F.array(F.lit(None).cast(CLAIM))).otherwise(F.col("claims"))
+    return pages.select(F.explode(rows).alias("c"), error.alias("error")).select("c.*", "error")
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:

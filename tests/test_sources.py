@@ -81,6 +81,14 @@ def test_feed_follows_tokens_and_takes_filters(spark, pages):
         claims.collect()
 
 
+def test_malformed_pages_are_rows_with_an_error(spark, tmp_path):
+    (tmp_path / "good.json").write_text(json.dumps({"claims": [{"text": "1"}, {"text": "2"}], "other": 1}))
+    (tmp_path / "bad.json").write_text('{"claims": [')
+    (tmp_path / "none.json").write_text("{}")
+    rows = captured.read_feed(spark, str(tmp_path)).collect()
+    assert sorted((r.text or "", (r.error or "").rsplit("/", 1)[-1]) for r in rows) == [("", "bad.json"), ("1", ""), ("2", "")]
+
+
 def records(spark, ids):
     return spark.createDataFrame([(i,) for i in ids], "id long").select(F.struct("id", F.struct(F.array().cast("array<string>").alias("images"), F.array(F.lit("v")).alias("videos")).alias("media"), F.lit(None).cast("struct<article:string>").alias("errors")).alias("record"))
 
