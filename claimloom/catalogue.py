@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from claimloom import fixtures
 from claimloom.functions import data as D
 from claimloom.functions import python as P
+from claimloom.functions import resolve as R
 from claimloom.functions import text as T
 from claimloom.functions import url as U
 from claimloom.operators import articles, claims, images, videos
@@ -525,7 +526,15 @@ select page_id, host || regexp_replace(path, '[^/]*/[^/]*$', '') || 'a/b?c=1' as
 def absolute_url(spark, sf_dir):
     """U6, U9, U10."""
     tracked = F.concat(U.strip_query(F.col("url")), F.lit("?v=1&keep="), "page_id", F.lit("&rd=x&empty=#f"))
-    return spread(table(spark, sf_dir, "pages")).select("page_id", P.absolute_url(F.col("url"), F.lit("../a/b?c=1")).alias("joined"), P.add_query({"autoplay": "1"})(F.col("url")).alias("played"), P.sanitize_provider_url(tracked).alias("sane"))
+    return table(spark, sf_dir, "pages").select("page_id", R.absolute_url(F.col("url"), F.lit("../a/b?c=1")).alias("joined"), R.add_query(F.col("url"), {"autoplay": "1"}).alias("played"), R.sanitize_provider_url(tracked).alias("sane"))
+
+
+@query("q_page_links", """select page_id, n_links, md5(array_to_string(list_transform(found, lambda h: case when h like '/%' then host || h else h end), chr(10))) as links from (
+  select page_id, regexp_extract(url, '^[a-z]+://[^/?#]*') as host, regexp_extract_all(html, ' href="([^"]*)"', 1) as found, len(found) as n_links from pages)""")
+def page_links(spark, sf_dir):
+    """Every link of a page in its order, as seen from the page."""
+    found = F.regexp_extract_all("html", F.lit(' href="([^"]*)"'), F.lit(1))
+    return table(spark, sf_dir, "pages").select("page_id", F.size(found).cast("long").alias("n_links"), F.md5(F.array_join(F.transform(found, lambda h: R.absolute_url(F.col("url"), h)), "\n")).alias("links"))
 
 
 @query("q_accent_cut", """select doc_id, trim(case when ix is null then text else substr(text, 1, ix - 1) end, ' ' || chr(10)) as body from (

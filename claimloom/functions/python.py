@@ -1,4 +1,4 @@
-"""The few functions that need Python: RFC 3986 joins, query strings, entities, folding, ordered JSON walks.
+"""The few functions that need Python: entities, folding, ordered JSON walks, and joins of urls inside a page that is parsed anyway.
 
 Each is Arrow-batched and sees whole columns; values repeat within a batch, so each distinct value is worked out once.
 """
@@ -9,7 +9,7 @@ import html
 import json
 import unicodedata
 from collections.abc import Callable, Iterator
-from urllib.parse import parse_qsl, urlencode, urljoin, urlsplit, urlunsplit
+from urllib.parse import urljoin
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -22,7 +22,7 @@ def _each(series: pd.Series, of: Callable) -> pd.Series:
 
 
 def join_url(base: str | None, url: str | None) -> str | None:
-    """Absolute url; none for empty values and data urls."""
+    """U6 for urls found while a page is parsed; ``resolve.absolute_url`` is the Column."""
     url = (url or "").strip()
     if not url or url.lower().startswith("data:"):
         return None
@@ -34,47 +34,6 @@ def join_url(base: str | None, url: str | None) -> str | None:
         return None
 
 
-@F.pandas_udf(StringType())
-def absolute_url(base: pd.Series, url: pd.Series) -> pd.Series:
-    return pd.Series([join_url(b, u) for b, u in zip(base, url, strict=True)])
-
-
-def set_query(url: str | None, more: dict[str, str], scheme: str = "") -> str:
-    """The url with ``more`` in its query: the last of repeated keys stays, blanks go."""
-    parts = urlsplit(url or "")
-    query = dict(parse_qsl(parts.query)) | more
-    return urlunsplit((parts.scheme or scheme, parts.netloc, parts.path, urlencode(query), parts.fragment))
-
-
-def add_query(more: dict[str, str], scheme: str = ""):
-    """A UDF that sets query parameters."""
-
-    @F.pandas_udf(StringType())
-    def run(url: pd.Series) -> pd.Series:
-        return _each(url, lambda u: set_query(u, more, scheme))
-
-    return run
-
-
-#: Query keys that do not name a provider's item.
-TRACKING = {"rd", "rp", "cr", "wp", "v"}
-
-
-def provider_url(url: str | None) -> str:
-    """Without tracking keys and fragment; Instagram posts end in a slash."""
-    parts = urlsplit(url or "")
-    kept = [(k, v) for k, v in parse_qsl(parts.query) if k not in TRACKING]
-    path = parts.path
-    if "instagram.com" in parts.netloc and path.startswith(("/p/", "/reel/")) and not path.endswith("/"):
-        path += "/"
-    return urlunsplit((parts.scheme, parts.netloc, path, urlencode(kept), ""))
-
-
-@F.pandas_udf(StringType())
-def sanitize_provider_url(url: pd.Series) -> pd.Series:
-    return _each(url, provider_url)
-
-
 @F.pandas_udf(StringType())
 def unescape(col: pd.Series) -> pd.Series:
     """All entities of HTML."""

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from claimloom.functions import data as D
 from claimloom.functions import text as T
+from claimloom.functions.resolve import sanitize_provider_url
 from claimloom.functions.url import b64_text, strip_query, unquoted, with_scheme
 from claimloom.html.dom import Element, parse
 
@@ -222,7 +223,7 @@ class VideoSpec:
     ``scoped`` or for all; ``whole``: the page is read where the scope holds nothing (V18); ``own``: the publisher's player (V11-V13)
     or tweets that show a video (V8), and ``own_scope`` where they stand; ``framed``: providers whose embeds count where they are framed,
     and anywhere in the page only if none is (V18); ``order``: one sorted list, buckets one after the other, or as the page has them;
-    ``queries``: Ultimedia's and raw urls keep theirs.
+    ``queries``: Ultimedia's and raw urls keep theirs; ``sane``: urls of ``scoped`` are rid of what names no item before they are compared (U10).
     """
 
     publisher: str
@@ -240,6 +241,7 @@ class VideoSpec:
     framed: tuple[str, ...] = ()
     order: str = "sorted"
     queries: bool = False
+    sane: bool = False
 
     def selectors(self) -> tuple[str, str]:
         return self.scope, self.own_scope
@@ -257,7 +259,7 @@ SPECS = {
         VideoSpec("stern", (), own="renditions"),
         VideoSpec("volksverpetzer", ("youtube", "facebook"), "watch", plugin=True, order="buckets"),
         VideoSpec("factencheckafp", ("youtube", "twitter"), watch=True, tweets="https://twitter.com/i/web/status/", links=False, order="page"),
-        VideoSpec("20minutes", ("youtube", "ultimedia", "instagram", "tiktok"), scope=_SOCIAL, scoped=("instagram",), own="tweets", own_scope="div.twitter-tweet", framed=("youtube",), queries=True),
+        VideoSpec("20minutes", ("youtube", "ultimedia", "instagram", "tiktok"), scope=_SOCIAL, scoped=("instagram",), own="tweets", own_scope="div.twitter-tweet", framed=("youtube",), queries=True, sane=True),
         VideoSpec("defactobservatoire", _DEFACTO, watch=True, scope="div.defacto-fact-check-body", queries=True),
         VideoSpec("factuelafp", _DEFACTO, watch=True, scope="div#block-factuel-content div.g2web", queries=True),
         VideoSpec("fasocheck", ("youtube", "dailymotion", "facebook", "ultimedia", "raw_video"), watch=True),
@@ -265,7 +267,7 @@ SPECS = {
         VideoSpec("lemonde", ("youtube", "dailymotion"), "embed", framed=("youtube", "dailymotion")),
         VideoSpec("liberation", ("youtube", "twitter"), order="buckets"),
         VideoSpec("numerama", ("youtube", "tiktok")),
-        VideoSpec("tf1info", ("youtube", "instagram", "tiktok", "twitter", "facebook", "raw_video"), scope=_SOCIAL, scoped=("instagram", "tiktok", "twitter", "facebook", "raw_video")),
+        VideoSpec("tf1info", ("youtube", "instagram", "tiktok", "twitter", "facebook", "raw_video"), scope=_SOCIAL, scoped=("instagram", "tiktok", "twitter", "facebook", "raw_video"), sane=True),
     ]
 }
 #: Hosts of advertising.
@@ -327,6 +329,8 @@ def listed(spec: VideoSpec, whole: Column, scoped: Column, own: Column, logs: Co
     native = {"ard": lambda: ard_streams(whole, own), "rtl": lambda: native_streams(page_urls(own)), "tweets": lambda: video_tweets(own), "renditions": lambda: F.filter(F.array(first_rendition(whole, logs)), lambda u: u.isNotNull()), "": lambda: none}[spec.own]()
     if spec.own == "rtl":
         lists = {n: F.filter(v, lambda u: ~_is_advert(u)) for n, v in lists.items()}
+    if spec.sane:
+        lists = {n: F.transform(v, sanitize_provider_url) if n in spec.scoped else v for n, v in lists.items()}
     if spec.order == "page":
         return F.array_distinct(F.concat(*lists.values(), native))
     buckets_ = [T.shortest_prefixes(v) for v in lists.values()]

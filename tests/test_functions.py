@@ -78,8 +78,6 @@ def test_urls(run):
 
 def test_python_functions(run):
     assert P.join_url("https://a.de/x/y", "../z") == "https://a.de/z" and P.join_url("https://a.de", "data:x") is None and P.join_url(None, "//b/c") == "https://b/c"
-    assert P.set_query("//a.de/x?b=1&b=2&c=", {"autoplay": "1"}, "https") == "https://a.de/x?b=2&autoplay=1"
-    assert P.provider_url("https://www.instagram.com/p/AB?rd=1&k=2#f") == "https://www.instagram.com/p/AB/?k=2"
     assert P.cut_folded("Voilà le texte. VOUS SOUHAITÉZ nous", ["vous souhaitez"]) == "Voilà le texte."
     assert run(["&eacute;&amp;", None], P.unescape) == ["é&", None]
     assert P.jsonld_article(['{"@graph": [{"@type": "Thing"}, {"@type": ["NewsArticle"], "headline": "H", "articleBody": "long body"}]}', "broken"]) == ("H", "long body")
