@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from claimloom.catalogue import query
 from claimloom.functions import charset as C
-from claimloom.operators import claims, walk
+from claimloom.html.dom import parse
+from claimloom.operators import claims, plugins, walk
 from claimloom.session import shared_dir, spread, table
-from claimloom.sources import feed, sink, store
+from claimloom.sources import captured, feed, sink, store
 from claimloom.streaming import keyed
 
 # Charsets: each document in the letters of a language and the bytes of a charset, by its number
@@ -158,3 +159,50 @@ def keyed_state(spark, sf_dir):
     stream = spark.readStream.schema(src.schema).option("maxFilesPerTrigger", 1).parquet(f"{at}/in").withColumn("ts", F.col("ts").cast("timestamp"))
     keyed.take(stream, f"{at}/rows", f"{at}/state", "user_id", late="3650 days", keep_ms=10**12)
     return keyed.current(spark, f"{at}/rows", "user_id").select("user_id", "event_id", "props")
+
+
+def _nav_links(html: str):
+    """The links of a page's navigation, as an adapter yields them."""
+    if not html:
+        raise ValueError("empty page")
+    for n, a in enumerate(parse(html).select("nav a")):
+        yield {"n": n, "href": a.attrs.get("href")}
+
+
+@query("q_table_function", """with own as (select page_id, regexp_extract_all(regexp_extract(html, '<nav>(.*?)</nav>', 1, 's'), 'href="([^"]*)"', 1) as found from pages where page_id % 3 <> 1)
+select page_id, case when page_id % 3 = 0 then 2 else 1 end as capture, n::int as n, found[n + 1] as href, cast(null as varchar) as error from (select *, unnest(range(len(found))) as n from own)
+union all select page_id, 1, null, null, 'ValueError: empty page' from pages where page_id % 3 = 1""")
+def table_functions(spark, sf_dir):
+    """§2.11: an adapter that yields rows, over captures by page: a second capture where the first cannot be read, an error where none can."""
+    pages = spread(table(spark, sf_dir, "pages"))
+    first = pages.select("page_id", F.lit(1).alias("capture"), F.when(F.col("page_id") % 3 == 2, F.col("html")).alias("html"))
+    second = pages.where("page_id % 3 = 0").select("page_id", F.lit(2).alias("capture"), "html")
+    links = plugins.table_function(_nav_links, "n int, href string")
+    return links(first.unionByName(second).asTable().partitionBy("page_id").orderBy("capture"))
+
+
+def _little(n, digits: int):
+    """The hexadecimal digits of a number, lowest byte first."""
+    whole = F.lpad(F.hex(n), digits, "0")
+    return F.concat(*[F.substring(whole, at, 2) for at in range(digits - 1, 0, -2)])
+
+
+@query("q_image_headers", """select p_partkey, case p_partkey % 6 when 0 then 'gif' when 1 then 'webp' when 2 then 'webp' when 3 then 'avif' when 4 then 'avif' else 'jpeg' end as format,
+       case when p_partkey % 6 <> 4 then p_size + 300 end::int as width, case when p_partkey % 6 <> 4 then p_size + 2 end::int as height from part""")
+def image_headers(spark, sf_dir):
+    """Sizes by header of GIF, lossy and lossless WebP, AVIF (whole and cut off) and JPEG."""
+    w, h = F.col("p_size") + 300, F.col("p_size") + 2
+    big = lambda n, digits: F.lpad(F.hex(n), digits, "0")
+    avif = F.concat(F.lit("000000146674797061766966000000006176696600000030" + b"meta".hex() + "00000000" + "00000024" + b"iprp".hex() + "0000001c" + b"ipco".hex() + "00000014" + b"ispe".hex() + "00000000"), big(w, 8), big(h, 8))
+    kinds = [
+        F.concat(F.lit(b"GIF89a".hex()), _little(w, 4), _little(h, 4)),
+        F.concat(F.lit((b"RIFF\0\0\0\0WEBPVP8 \x0a\0\0\0\x10\0\0\x9d\x01\x2a").hex()), _little(w, 4), _little(h, 4)),
+        F.concat(F.lit((b"RIFF\0\0\0\0WEBPVP8L\x05\0\0\0\x2f").hex()), _little(w - 1 + F.shiftleft(h - 1, 14), 8)),
+        avif,
+        F.substring(avif, 1, 140),
+        F.concat(F.lit("ffd8ffe000046162ffc0001108"), big(h, 4), big(w, 4)),
+    ]
+    kind = F.lit(None).cast("string")
+    for k, one in enumerate(kinds):
+        kind = F.when(F.col("p_partkey") % 6 == k, one).otherwise(kind)
+    return table(spark, sf_dir, "part").select("p_partkey", captured.image_header(F.unhex(kind)).alias("i")).select("p_partkey", "i.*")

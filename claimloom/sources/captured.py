@@ -5,7 +5,6 @@ Nothing here touches the network. Paths go to Spark's readers and writers alone,
 
 from __future__ import annotations
 
-import struct
 import uuid
 from collections.abc import Iterator
 from pathlib import Path
@@ -19,6 +18,7 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 from claimloom.functions import charset as charsets
 from claimloom.functions.url import image_name
 from claimloom.operators.claims import CLAIM, FEED
+from claimloom.sources.headers import image_size
 
 
 def read_feed(spark: SparkSession, path: str) -> DataFrame:
@@ -73,35 +73,13 @@ def write_jsonl(records: DataFrame, path: str, column: str = "record", mode: str
     records.select(F.to_json(column).alias("value")).write.mode(mode).text(path)
 
 
-def image_size(data: bytes | None) -> dict:
-    """Format, width and height by the file's header."""
-    data = data or b""
-    if data[:8] == b"\x89PNG\r\n\x1a\n" and len(data) >= 24:
-        w, h = struct.unpack(">II", data[16:24])
-        return {"format": "png", "width": w, "height": h}
-    if data[:6] in (b"GIF87a", b"GIF89a") and len(data) >= 10:
-        w, h = struct.unpack("<HH", data[6:10])
-        return {"format": "gif", "width": w, "height": h}
-    if data[:4] == b"RIFF" and data[8:16] == b"WEBPVP8X" and len(data) >= 30:
-        return {"format": "webp", "width": 1 + int.from_bytes(data[24:27], "little"), "height": 1 + int.from_bytes(data[27:30], "little")}
-    if data[:2] == b"\xff\xd8":
-        at = 2
-        while at + 9 < len(data) and data[at] == 0xFF:
-            if 0xC0 <= data[at + 1] <= 0xCF and data[at + 1] not in (0xC4, 0xC8, 0xCC):
-                h, w = struct.unpack(">HH", data[at + 5 : at + 9])
-                return {"format": "jpeg", "width": w, "height": h}
-            at += 2 + int.from_bytes(data[at + 2 : at + 4], "big")
-        return {"format": "jpeg", "width": None, "height": None}
-    return {"format": None, "width": None, "height": None}
-
-
 HEADER = StructType([StructField("format", StringType()), StructField("width", IntegerType()), StructField("height", IntegerType())])
 
 
 @F.pandas_udf(HEADER)
 def image_header(content: pd.Series) -> pd.DataFrame:
-    """S16."""
-    return pd.DataFrame([image_size(c) for c in content], columns=["format", "width", "height"])
+    """Format, width and height by the file's first bytes; see ``headers`` for its defined cases."""
+    return pd.DataFrame([image_size(c) for c in content], columns=["format", "width", "height"]).astype({"width": "Int32", "height": "Int32"})
 
 
 def read_images(spark: SparkSession, path: str) -> DataFrame:
