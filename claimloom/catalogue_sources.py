@@ -199,7 +199,7 @@ def image_headers(spark, sf_dir):
         F.concat(F.lit((b"RIFF\0\0\0\0WEBPVP8 \x0a\0\0\0\x10\0\0\x9d\x01\x2a").hex()), _little(w, 4), _little(h, 4)),
         F.concat(F.lit((b"RIFF\0\0\0\0WEBPVP8L\x05\0\0\0\x2f").hex()), _little(w - 1 + F.shiftleft(h - 1, 14), 8)),
         avif,
-        F.substring(avif, 1, 140),
+        F.substring(avif, 1, 120),
         F.concat(F.lit("ffd8ffe000046162ffc0001108"), big(h, 4), big(w, 4)),
     ]
     kind = F.lit(None).cast("string")
