@@ -4,13 +4,16 @@ Targets: sources in code point order (null last) weigh 1, 2, 3, repeating, and s
 ``most`` times its source's size and the excess is shared again by weight until none is above. That is water-filling: the
 target is min(most * size, level * weight), and the level rises with each pass over the sources until no more of them are full.
 
-Sampling: a document's expected copies are target / size of its source. Documents of a source stand in one order, the longest
-first: (floor of the square root of the size, descending, then a digest of doc_id and text). The expected copies are summed along
-that order, one offset for each source (from the md5 of its name, so reruns agree) is added, and a document is emitted once for
-each integer that its interval crosses. Documents of more than 1 / LARGE of their source (fewer than LARGE, and first in
-the order) are so coarse that one of them can move the source off its target; the expected copies of all after them make up for
-what these took above or below their share. It is one running sum with one offset; the order and the draw do not depend on the
-number of rows or partitions.
+Sampling: documents of a source stand in one order, the longest first: (floor of the square root of the size, descending, then a
+digest of doc_id and text). A document's expected copies are what its source still owes its target over what of the source is still to
+come. The expected copies are summed along that order, one offset for each source (from the md5 of its name, so reruns agree) is added,
+and a document is emitted once for each integer that its interval crosses. Two bounds keep a source near its target: a document is
+taken no oftener than fits into what is owed, and no more seldom than the documents after it, each ``most`` times, could make up for; where
+both cannot hold, the nearer of the two. So a source of few documents ends within about one of its smallest documents, whatever the
+longest would have drawn; only where two or three documents are a source, or one is most of it, no choice of copies is near.
+For documents of at most 1 / LARGE of their source the expected copies no longer change from one to the next by more than that
+share allows, so the value after the last longer one holds for all of them, and rows need no pass one by one. Fewer than LARGE rows are
+longer, so a source's fold over them is bounded by a parameter.
 
 The running sum needs only each document's rank, found in steps so that no source goes to one task: counts by (source, size
 class, first digits of the digest), summed up within the class and over the classes of a source, plus the rank within the cell.
@@ -36,7 +39,7 @@ from claimloom.session import spread
 
 #: Rows for each cell of a size class, about, and digest digits that tell cells apart, at least.
 ROWS_PER_CELL, LEAST_DIGITS = 20_000, 2
-#: What documents of more than 1 / LARGE of their source take is made up for by the others.
+#: Documents of more than 1 / LARGE of their source have expected copies of their own each; fewer than LARGE rows of a source are.
 LARGE = 200
 #: Offsets are multiples of 1 / STEPS, so that they stay exact beside large ranks.
 STEPS = 1024
@@ -78,6 +81,26 @@ def _crossed(start: Column, rank: Column, share: Column, most: int) -> Column:
     return F.least((F.floor(start + rank * share) - F.floor(start + (rank - 1) * share)).cast("long"), F.lit(most).cast("long"))
 
 
+def _drawn(most: int) -> Column:
+    """(left, taken, sum, copies) after the long documents ``rows`` of a source, one after the other."""
+    most = F.lit(float(most))
+
+    def one(at: Column, row: Column) -> Column:
+        size = row["size"].cast("double")
+        owed, left = F.col("target") - at["taken"], at["left"] - size
+        fits = F.floor(owed / size).cast("double")
+        over, under = size * (fits + 1) - owed, owed - most * left - size * fits
+        needed = F.when(under > over, fits + 1).otherwise(F.least(fits, F.ceil((owed - most * left) / size).cast("double")))
+        total = at["sum"] + F.least(most, F.greatest(F.lit(0.0), owed / at["left"]))
+        crossed = F.floor(total).cast("double")
+        copies = F.least(most, F.greatest(F.lit(0.0), needed, F.least(crossed, F.greatest(fits, needed))))
+        return F.struct(left.alias("left"), (at["taken"] + copies * size).alias("taken"), (total - crossed).alias("sum"), F.concat(at["copies"], F.array(copies.cast("long"))).alias("copies"))
+
+    none = F.array().cast("array<bigint>")
+    empty = F.struct(F.col("source_size").cast("double").alias("left"), F.lit(0.0).alias("taken"), F.col("start").alias("sum"), none.alias("copies"))
+    return F.aggregate("rows", empty, one)
+
+
 def _key(source: str) -> Column:
     """A source as a key that is never null."""
     return F.coalesce(F.concat(F.lit("s"), F.col(source)), F.lit("n"))
@@ -99,22 +122,22 @@ def with_copies(docs: DataFrame, cycle: tuple[int, ...] = (1, 2, 3), most: int =
     n_rows = targets.agg(F.coalesce(F.sum("source_rows"), F.lit(0))).first()[0]
     digits = max(LEAST_DIGITS, ceil(log(max(1, n_rows) / ROWS_PER_CELL, 16)) if n_rows > ROWS_PER_CELL else 0)
     start = F.conv(F.substring(F.md5(F.coalesce(F.col("src"), F.lit(""))), 1, 6), 16, 10).cast("long") % STEPS / F.lit(float(STEPS))
-    t = targets.select(_key("src").alias("key"), "source_size", "target", start.alias("start")).withColumn("share", F.col("target") / F.nullif(F.col("source_size"), F.lit(0)))
+    t = targets.select(_key("src").alias("key"), "source_size", "target", start.alias("start"))
     order = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("|"), F.col("digest")))
     sized = sizes.withColumns({"key": _key("src"), "order": order}).drop("src").join(t, "key")
     columns = ["doc_id", "key", "digest", "size", "source_size", "target", "copies"]
     every = F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("repeat")
     is_large = F.col("size") * LARGE > F.col("source_size")
 
-    longest_first = Window.partitionBy("key").orderBy(F.floor(F.sqrt(F.col("size").cast("double"))).desc(), "order", "repeat")
-    large = written(
-        sized.where(is_large).select("*", every).withColumn("rank", F.row_number().over(longest_first)).withColumn("copies", _crossed(F.col("start"), F.col("rank"), F.col("share"), most)).select(*columns), "mix-large"
-    )
-    met = large.groupBy("key").agg(F.sum(F.col("size") * F.col("copies")).alias("large_taken"), F.sum("size").alias("large_size"), F.count("*").alias("large_rows"))
-    none = lambda c: F.coalesce(c, F.lit(0))
-    left = F.col("source_size") - none("large_size")
-    rate = F.when(left > 0, F.greatest(F.lit(0.0), F.least(F.lit(float(most)), (F.col("target") - none("large_taken")) / left))).otherwise(F.lit(0.0))
-    rates = t.join(met, "key", "left").select("key", rate.alias("rate"), (F.col("start") + none("large_rows") * F.coalesce("share", F.lit(0.0))).alias("after"))
+    row = F.struct((-F.floor(F.sqrt(F.col("size").cast("double")))).alias("band"), "order", "repeat", "doc_id", "digest", "size")
+    longest_first = F.array_sort(F.collect_list(row)).alias("rows")  # fewer than LARGE, by the condition
+    large = sized.where(is_large).select("*", every).groupBy("key", "source_size", "target", "start").agg(longest_first)
+    large = written(large.withColumn("drawn", _drawn(most)), "mix-large")
+    met = large.select("key", F.col("drawn.left").alias("left"), F.col("drawn.taken").alias("taken"), F.col("drawn.sum").alias("sum"))
+    large = large.select("key", "source_size", "target", F.explode(F.arrays_zip("rows", F.col("drawn.copies").alias("copies"))).alias("r")).select("*", "r.rows.*", "r.copies").select(*columns)
+    left = F.coalesce("left", F.col("source_size").cast("double"))
+    rate = F.when(left > 0, F.greatest(F.lit(0.0), F.least(F.lit(float(most)), (F.col("target") - F.coalesce("taken", F.lit(0.0))) / left))).otherwise(F.lit(0.0))
+    rates = t.join(met, "key", "left").select("key", rate.alias("rate"), F.coalesce("sum", "start").alias("after"))
 
     cell = {"bin": F.floor(F.sqrt(F.col("size").cast("double"))).cast("long"), "part": F.substring("order", 1, digits)}
     rest = sized.where(~is_large).withColumns(cell)
@@ -156,7 +179,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def oracle(docs: str = "documents") -> str:
     return f"""
-with sizes as (select doc_id, source as src, md5(coalesce(text, '')) as digest,
+with recursive sizes as (select doc_id, source as src, md5(coalesce(text, '')) as digest,
                       len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::bigint as size from {docs}),
 totals as (select src, sum(size)::bigint as source_size, count(*) as source_rows from sizes group by src),
 placed as (select *, row_number() over (order by src nulls last) - 1 as place from totals),
@@ -167,20 +190,27 @@ leveled as (select *, (sum(source_size) over () - 3 * coalesce(sum(source_size)
 marked as (select *, 3 * source_size <= own_level * weight as is_full from leveled),
 targets as (select src, source_size, case when is_full then (3 * source_size)::double
                    else max(case when not is_full then own_level end) over () * weight end as target from marked),
-sized as (select s.*, t.source_size, t.target, t.target / nullif(t.source_size, 0) as share, size * {LARGE} > t.source_size as is_large,
+sized as (select s.*, t.source_size, t.target, size * {LARGE} > t.source_size as is_large,
                  (('0x' || substr(md5(coalesce(s.src, '')), 1, 6))::bigint % {STEPS}) / {STEPS}.0::double as start,
                  row_number() over (partition by s.src order by size * {LARGE} > t.source_size desc, floor(sqrt(size::double)) desc,
                                     md5(coalesce(doc_id::varchar, '') || '|' || digest))::double as place
           from sizes s join targets t on s.src is not distinct from t.src),
-large as (select *, least(floor(start + place * share) - floor(start + (place - 1) * share), 3) as copies from sized where is_large),
-met as (select src, sum(size * copies) as large_taken, sum(size) as large_size, count(*) as large_rows from large group by src),
-rates as (select s.*, coalesce(large_rows, 0) as before, case when source_size > coalesce(large_size, 0) then
-                 greatest(0.0::double, least(3.0::double, (target - coalesce(large_taken, 0)) / (source_size - coalesce(large_size, 0)))) else 0.0::double end as rate
+large as (select * from sized where is_large),
+fold as (select distinct src, source_size, target, 0::bigint as step, source_size::double as remaining, 0.0::double as taken, start as total, 0::bigint as copies from large
+         union all
+         select src, source_size, target, step, remaining, taken + copies * size, total - crossed, copies::bigint from (
+           select *, least(3.0::double, greatest(0.0::double, needed, least(crossed, greatest(fits, needed)))) as copies from (
+             select *, case when owed - 3 * remaining - size * fits > size * (fits + 1) - owed then fits + 1 else least(fits, ceil((owed - 3 * remaining) / size)) end as needed, floor(total) as crossed from (
+               select f.src, f.source_size, f.target, f.step + 1 as step, f.remaining - l.size as remaining, f.taken, l.size::double as size, f.target - f.taken as owed, floor((f.target - f.taken) / l.size) as fits,
+                      f.total + least(3.0::double, greatest(0.0::double, (f.target - f.taken) / f.remaining)) as total
+               from fold f join large l on l.src is not distinct from f.src and l.place = f.step + 1)))),
+met as (select src, max(step) as large_rows, arg_max(remaining, step) as remaining, arg_max(taken, step) as large_taken, arg_max(total, step) as total from fold group by src),
+rates as (select s.*, coalesce(large_rows, 0) as before, case when coalesce(remaining, source_size::double) > 0 then
+                 greatest(0.0::double, least(3.0::double, (target - coalesce(large_taken, 0.0::double)) / coalesce(remaining, source_size::double))) else 0.0::double end as rate, coalesce(total, start) as after
           from sized s left join met m on s.src is not distinct from m.src where not is_large),
-summed as (select *, start + before * coalesce(share, 0.0::double) as after from rates),
 drawn as (select doc_id, size, source_size, target,
-                 least(floor(after + (place - before) * rate) - floor(after + (place - before - 1) * rate), 3) as copies from summed
-          union all select doc_id, size, source_size, target, copies from large)
+                 least(floor(after + (place - before) * rate) - floor(after + (place - before - 1) * rate), 3) as copies from rates
+          union all select l.doc_id, l.size, l.source_size, l.target, f.copies from large l join fold f on l.src is not distinct from f.src and l.place = f.step)
 select doc_id, size, source_size, target, (size * copies)::bigint as taken from drawn"""
 
 

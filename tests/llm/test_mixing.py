@@ -1,5 +1,6 @@
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from claimloom.llm import mixing
@@ -70,3 +71,15 @@ def test_mix_against_one_running_sum(spark, monkeypatch, rows_per_cell):
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     assert Counter((r.doc_id, r.text) for r in mixing.mix(docs).collect()) == Counter(slow_mix(rows))
     assert mixing.with_copies(docs).count() == len(rows)
+
+
+def test_small_sources_come_near_their_targets(spark):
+    """Sources of a few dozen documents of very unlike lengths: within 2 % or one smallest document, whatever the longest would draw."""
+    rng = np.random.default_rng(11)
+    rows = [(k * 1000 + i, "w " * int(n), f"s{k:02}") for k in range(40) for i, n in enumerate(np.maximum(5, rng.lognormal(4, 1, 60)).astype(int))]
+    found = defaultdict(lambda: [0, 0.0, 10**9])
+    for r in mixing.with_copies(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect():
+        own = found[r.key]
+        own[0], own[1], own[2] = own[0] + r.size * r.copies, r.target, min(own[2], r.size)
+        assert 0 <= r.copies <= 3
+    assert len(found) == 40 and all(abs(taken - target) <= max(0.02 * target, smallest) for taken, target, smallest in found.values())

@@ -31,15 +31,21 @@ def slow_mix(docs):
         start = int(hashlib.md5((source or "").encode()).hexdigest()[:6], 16) % mixing.STEPS / mixing.STEPS
         order = lambda i, t: hashlib.md5(f"{'' if i is None else i}|{hashlib.md5((t or '').encode()).hexdigest()}".encode()).hexdigest()
         own = sorted((words(t) * mixing.LARGE <= size, -math.isqrt(words(t)), order(i, t), words(t), i, t) for i, t, s in docs if s == source)
-        share, taken = targets[source] / size if size else 0.0, 0
-        first, left = sum(not r[0] for r in own), sum(r[3] for r in own if r[0])
-        for k, (_, _, _, n, i, t) in enumerate(own[:first], 1):
-            copies = min(3, math.floor(start + k * share) - math.floor(start + (k - 1) * share))
-            taken += n * copies
-            out.extend([(i, t)] * copies)
-        after, rate = start + first * share, max(0.0, min(3.0, (targets[source] - taken) / left)) if left else 0.0
-        for k, (_, _, _, _, i, t) in enumerate(own[first:], 1):
-            out.extend([(i, t)] * min(3, math.floor(after + k * rate) - math.floor(after + (k - 1) * rate)))
+        total, taken, left, rate = start, 0, sum(r[3] for r in own), 0.0
+        for is_rest, _, _, n, i, t in own:
+            if not is_rest:
+                owed, after = targets[source] - taken, left - n
+                # the choices of copies, by how far off the source must end whatever the rest does, then by the integers crossed
+                crossed = math.floor(total + min(3.0, max(0.0, owed / left)))
+                miss = lambda k: max(0.0, k * n - owed, owed - k * n - 3 * after)  # noqa: E731, B023
+                least = min(miss(k) for k in range(4))
+                copies = min((k for k in range(4) if miss(k) <= least + 1e-9 * size), key=lambda k: (abs(k - crossed), k))
+                total, taken, left = total + min(3.0, max(0.0, owed / left)) - crossed, taken + copies * n, after
+                out.extend([(i, t)] * copies)
+        if left:
+            rate = max(0.0, min(3.0, (targets[source] - taken) / left))
+        for k, (_, _, _, _, i, t) in enumerate([r for r in own if r[0]], 1):
+            out.extend([(i, t)] * min(3, math.floor(total + k * rate) - math.floor(total + (k - 1) * rate)))
     return out
 
 
