@@ -313,10 +313,15 @@ def screenshot_name(article: Column, kind: str, index: Column) -> Column:
     return F.concat(F.lit(f"{kind}_"), F.substring(F.md5(F.concat(article, F.lit(f"#{kind}#"), index.cast("string"))), 1, 12), F.lit(".png"))
 
 
-def reuse_captured(wanted: DataFrame, captured: DataFrame) -> DataFrame:
-    """``wanted`` (image_url) with the body of a captured response: same url, else same url without its query."""
+def reuse_captured(wanted: DataFrame, captured: DataFrame, every: bool = False, order: str | None = None) -> DataFrame:
+    """``wanted`` (image_url) with the body of a captured response: same url, else same url without its query.
+
+    Of responses with equal urls the first by column ``order`` of ``captured`` counts (any without one); with ``every`` each response
+    with the wanted url gives a row.
+    """
     bare = F.split_part(F.col("image_url"), F.lit("?"), F.lit(1))
-    exact = captured.select(F.col("url").alias("__u"), F.col("body").alias("__b1")).dropDuplicates(["__u"])
-    loose = captured.groupBy(F.split_part("url", F.lit("?"), F.lit(1)).alias("__v")).agg(F.min_by("body", "url").alias("__b2"))
+    by = F.struct("url", order) if order else F.struct("url")
+    exact = captured.select(F.col("url").alias("__u"), F.col("body").alias("__b1")) if every else captured.groupBy(F.col("url").alias("__u")).agg(F.min_by("body", by).alias("__b1"))
+    loose = captured.groupBy(F.split_part("url", F.lit("?"), F.lit(1)).alias("__v")).agg(F.min_by("body", by).alias("__b2"))
     joined = wanted.join(exact, F.col("image_url") == F.col("__u"), "left").join(loose, bare == F.col("__v"), "left")
     return joined.withColumn("body", F.coalesce("__b1", "__b2")).drop("__u", "__v", "__b1", "__b2")
