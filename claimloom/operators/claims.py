@@ -35,11 +35,12 @@ def of_publisher(items: DataFrame, site: str | None, column: str = "publisher_si
     return items if not site else items.where(norm_site(F.col(column)) == norm_site(F.lit(site)))
 
 
-def first_by(items: DataFrame, key: str, order: list[str], desc: bool = False) -> DataFrame:
-    """The first row of each non-empty key. Keys may be long texts: rows are dealt and sorted by their digest."""
+def first_by(items: DataFrame, key: str, order: list[str], desc: bool = False, within: list[str] | None = None) -> DataFrame:
+    """The first row of each non-empty key, among rows that are equal in ``within``. Keys may be long texts: rows are dealt and sorted
+    by their digest."""
     by = [F.desc(c) if desc else F.asc(c) for c in order]
     some = items.where(text_or_empty(F.col(key)) != "").withColumn("__k", F.sha2(F.col(key), 256))
-    return some.withColumn("__n", F.row_number().over(Window.partitionBy("__k").orderBy(*by))).where("__n = 1").drop("__n", "__k")
+    return some.withColumn("__n", F.row_number().over(Window.partitionBy(*(within or []), "__k").orderBy(*by))).where("__n = 1").drop("__n", "__k")
 
 
 def shortest_urls(items: DataFrame, group: str, url: str) -> DataFrame:
@@ -96,11 +97,14 @@ def with_label(items: DataFrame, labels: DataFrame, publisher: str = "publisher_
     return joined.withColumn("label_normalized", F.coalesce("label_normalized", raw)).drop("__p", "__l")
 
 
-def enriched(items: DataFrame, pages: DataFrame) -> DataFrame:
+def enriched(items: DataFrame, pages: DataFrame, within: list[str] | None = None) -> DataFrame:
     """Claims with what was extracted from their pages (url, article, images, videos, image_error, video_error,
-    final_url); ``pages`` has one row for each url, and a claim without a page has no media."""
+    final_url); ``pages`` has one row for each url (and value of ``within``), and a claim without a page has no media."""
     media = {"images": "array<struct<image_url:string,caption:string,path:string>>", "videos": "array<string>"}
-    out = items.join(pages.withColumnRenamed("url", "__url"), F.col("review_url") == F.col("__url"), "left").drop("__url")
+    same, named = F.col("review_url") == F.col("__url"), {"url": "__url"} | {c: f"__of_{c}" for c in within or []}
+    for c in within or []:
+        same &= F.col(c).eqNullSafe(F.col(f"__of_{c}"))
+    out = items.join(pages.withColumnsRenamed(named), same, "left").drop(*named.values())
     return out.withColumns({name: F.coalesce(name, F.array().cast(kind)) for name, kind in media.items()})
 
 

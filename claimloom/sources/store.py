@@ -19,9 +19,9 @@ from pyspark.sql import functions as F
 CAPTURE = {"url": "string", "final_url": "string", "html_static": "string", "html_rendered": "string", "log_urls": "array<string>", "captured_at": "timestamp"}
 
 
-def whole(pages: DataFrame) -> DataFrame:
-    """``pages`` with all the columns that a capture may have."""
-    return pages.select(*[F.col(c).cast(kind) if c in pages.columns else F.lit(None).cast(kind).alias(c) for c, kind in CAPTURE.items()])
+def whole(pages: DataFrame, more: list[str] | None = None) -> DataFrame:
+    """``pages`` with all the columns that a capture may have, and those of ``more``."""
+    return pages.select(*(more or []), *[F.col(c).cast(kind) if c in pages.columns else F.lit(None).cast(kind).alias(c) for c, kind in CAPTURE.items()])
 
 
 def last_captures(pages: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ def same_as_sql(spark, folder, name):
     return sorted((tuple(r[n] for n in names) for r in own.collect()), key=str) == sorted(found.fetchall(), key=str)
 
 
-@pytest.mark.parametrize("name", ["q_join_fallback", "q_page_store"])
+@pytest.mark.parametrize("name", ["q_join_fallback", "q_page_store", "q_record_fixtures"])
 def test_pages_that_share_a_url(spark, tmp_path, name):
     con = duckdb.connect()
     con.execute(f"create table p as from '{SF}/pages.parquet'")
