@@ -189,3 +189,14 @@ def test_records_from_a_store_move_no_page(spark, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     plain = {r.pos: r.record for r in plans.build(feed_, pages, "de/rtl").collect()}
     assert rows == plain and rows[1].debunk_article.title == "A headline of page 1" and rows[3].errors.article == "no page captured"
+
+
+def test_walk_parses_a_document_once_and_moves_none(spark):
+    rows = [(1, '{"b":{"n":1.50,"a":[1e2,"\\u00e9",true,null]},"a":"{}"}'), (2, '{"a":1,"a":2}'), (3, "[" * 300 + "]" * 300), (4, '"\\ud800"'), (5, "{} x"), (6, "[NaN]")]
+    found = walk.nodes(spark.createDataFrame(rows, "k long, doc string"), ["k"], "doc")
+    plan = found._jdf.queryExecution().toString()
+    assert "Exchange" not in plan and "parquet" not in plan.lower()  # no level is written to be read again
+    got = [(".".join(map(str, r.path)), r.name, r.kind, r.value) for r in found.collect() if r.k == 1]
+    assert got[0] == ("", None, "object", '{"b":{"n":1.50,"a":[1e2,"é",true,null]},"a":"{}"}')
+    assert got[3:] == [("0.1", "a", "list", '[1e2,"é",true,null]'), ("0.1.0", None, "other", "1e2"), ("0.1.1", None, "string", "é"), ("0.1.2", None, "other", "true"), ("0.1.3", None, "null", None), ("1", "a", "string", "{}")]
+    assert {r.k for r in found.collect()} == {1, 3, 4}
