@@ -5,26 +5,35 @@ Python's notion of white space is kept: blanks are Unicode and include U+001C to
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Callable, Sequence
+from functools import lru_cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 BLANK = "[\\s\\x1c-\\x1f]"
 BREAK = "\\R|[\\x1c-\\x1e]"
+#: Breaks but for the plain one.
+OTHER_BREAK = "\\r\\n|[\\r\\x0b\\f\\x85\\u2028\\u2029\\x1c-\\x1e]"
 
 
 def _empty() -> Column:
     return F.array().cast("array<string>")
 
 
+def bound(value: Column, of: Callable[[Column], Column]) -> Column:
+    """``of`` a value that is worked out once, however often ``of`` reads it."""
+    return F.transform(F.array(value), of)[0]
+
+
 def text_or_empty(col: Column) -> Column:
     """R2: null becomes the empty string."""
     return F.coalesce(col, F.lit(""))
 
 
 def strip(col: Column) -> Column:
-    return F.regexp_replace(col, f"(?U)^{BLANK}+|{BLANK}+$", "")
+    return F.regexp_replace(col, f"(?U)^{BLANK}++|{BLANK}(?<!{BLANK}{{2}}){BLANK}*+$", "")
 
 
 def clean(col: Column) -> Column:
@@ -86,17 +95,34 @@ def _starts(low: Column, phrases: Sequence[str]) -> Column:
     return out
 
 
-def drop_widgets(col: Column, markers: Sequence[str], buttons: Sequence[str]) -> Column:
-    """Drops each marker line with the line after it, and lines that are only a button's label."""
-    own = F.transform(lines(col), lambda x: F.struct(x.alias("x"), F.lower(strip(x)).alias("k")))
-    start = F.struct(F.lit(False).alias("skip"), _empty().alias("out"))
+@lru_cache(maxsize=1)
+def _capitals() -> dict[str, str]:
+    """The characters that are written as each character in lower case, itself among them."""
+    out: dict[str, str] = {}
+    for c in map(chr, (*range(0xD800), *range(0xE000, 0x110000))):
+        out[c.lower()] = out.get(c.lower(), "") + c
+    return out
+
 
-    def step(acc: Column, x: Column) -> Column:
-        marker = x.k.isin([m.lower() for m in markers])
-        keep = ~acc.skip & ~marker & ~x.k.isin([b.lower() for b in buttons])
-        return F.struct((~acc.skip & marker).alias("skip"), F.when(keep, F.array_append(acc.out, x.x)).otherwise(acc.out).alias("out"))
+def _spelled(label: str) -> str:
+    """Pattern of the texts that ``label`` (lower-case) is the lower case of."""
+    out = ""
+    for at, c in enumerate(label):
+        own = [x for x in _capitals().get(c, "") + "Σ" if (label[:at] + x + label[at + 1 :]).lower() == label]
+        out += f"(?:{'|'.join(map(re.escape, dict.fromkeys(own)))})" if own else re.escape(c)
+    return out.replace("(?:I|i)(?:\u0307)", "(?:(?:I|i)\u0307|İ)")
 
-    return strip(F.array_join(F.aggregate(own, start, step, lambda acc: acc.out), "\n"))
+
+def drop_widgets(col: Column, markers: Sequence[str], buttons: Sequence[str]) -> Column:
+    """Drops each marker line with the line after it, and lines that are only a button's label.
+
+    One pass over the text: a match takes what goes, so a line after a marker is gone before it could be one itself.
+    """
+    text = F.concat(F.regexp_replace(text_or_empty(col), OTHER_BREAK, "\n"), F.lit("\n"))
+    beside = f"(?U:[{BLANK[1:-1]}&&[^\\n]])*+"
+    label = lambda names: f"(?:{'|'.join(_spelled(n.lower()) for n in names if len(n.splitlines()) < 2)})" if names else "(?!)"
+    gone = f"(?m)^{beside}(?:{label(markers)}{beside}\\n(?:[^\\n]*+\\n)?|{label(buttons)}{beside}\\n)"
+    return strip(F.regexp_replace(text, gone, ""))
 
 
 def cut_html(col: Column, pattern: str, phrases: Sequence[str] = ()) -> Column:
@@ -196,7 +222,10 @@ def sorted_set(values: Column) -> Column:
 
 def shortest_prefixes(values: Column) -> Column:
     """Distinct values that have no other as a prefix, by length, then by code point."""
-    own = F.array_distinct(F.filter(values, lambda x: x.isNotNull() & (x != "")))
-    kept = F.filter(own, lambda x: ~F.exists(own, lambda y: (x != y) & x.startswith(y)))
-    keyed = F.array_sort(F.transform(kept, lambda x: F.struct(F.length(x).alias("n"), x.alias("x"))))
-    return F.transform(keyed, lambda k: k.x)
+
+    def of(own: Column) -> Column:
+        kept = F.filter(own, lambda x: ~F.exists(own, lambda y: (x != y) & x.startswith(y)))
+        keyed = F.array_sort(F.transform(kept, lambda x: F.struct(F.length(x).alias("n"), x.alias("x"))))
+        return F.transform(keyed, lambda k: k.x)
+
+    return bound(F.array_distinct(F.filter(values, lambda x: x.isNotNull() & (x != ""))), of)

@@ -45,6 +45,23 @@ def test_text(run):
     assert run(["""<a href='x'><img SRC="y">"""], T.attribute_urls) == [["x", "y"]]
 
 
+def test_widgets_of_a_long_text(run):
+    """A long text of short lines takes one pass; markers behind markers, odd breaks, blanks and capitals are as by a walk of its lines."""
+
+    def slow(text):
+        out, skip = [], False
+        for x in re.split("\r\n|[\n\r\x0b\x0c\x85\u2028\u2029\x1c-\x1e]", text):
+            low = x.strip().lower()
+            if not skip and low not in ("mehr", "i\u0307 x", "οδος", "weiter"):
+                out.append(x)
+            skip = not skip and low in ("mehr", "i\u0307 x", "οδος")
+        return "\n".join(out).strip()
+
+    long = "a\nmehr\nmehr\nmehr\nb\n" * 60_000
+    texts = ["mehr", "mehr\n", "İ X\r\nMEHR\u2028b", "ΟΔΟΣ\na\n\xa0 Weiter\x1f\x0bc\nweiter d", "Mehr\x1cWeiter\x1dWeiter\x1ed\n\n", "x" + " " * 300_000 + "y", long]
+    assert run(texts, lambda c: T.drop_widgets(c, ["Mehr", "i\u0307 x", "οδος"], ["weiter"])) == [slow(t) for t in texts]
+
+
 @settings(max_examples=30, deadline=None)
 @given(st.lists(st.text(st.characters(exclude_categories=["Cs"]), max_size=40), min_size=1, max_size=8))
 def test_cleaning_is_idempotent_and_cuts_are_prefixes(spark, texts):
