@@ -10,12 +10,13 @@ Defined cases: null bytes have no charset; empty and ASCII bytes are UTF-8; bodi
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from claimloom.functions.text import bound
+
 # Letters beyond ASCII of the languages that a charset is used for.
 FRENCH, GERMAN, SPANISH, ITALIAN = "éèàêçâîôûùëïœæÿ", "äöüß", "áéíóúñü", "àèéìòùî"
 PORTUGUESE, NORDIC = "ãõáéíóúâêôçàü", "åäöøæéð"
@@ -76,11 +77,6 @@ def _classes(charset: str, letters: str) -> str:
 ASCII_LETTERS, ASCII_CLASSES = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", "l" * 26 + "L" * 26
 
 
-def _bound(value: Column, of: Callable[[Column], Column]) -> Column:
-    """``of`` a value that is worked out once."""
-    return F.transform(F.array(value), of)[0]
-
-
 def _score(t: Column, dense: Column, n_high: Column) -> Column:
     """Mean over the high bytes of how well they suit a charset and language, from their classes and those of the letters beside them."""
     n = lambda pattern: F.regexp_count(t, F.lit(pattern))
@@ -106,13 +102,13 @@ def _single_byte(s: Column) -> Column:
     def best(beside: Column) -> Column:
         def judged(p: Column) -> Column:
             t = F.call_function("translate", beside, F.lit(BYTES + ASCII_LETTERS), F.concat(p["classes"], F.lit(ASCII_CLASSES)))
-            return F.struct(_bound(t, lambda t: _score(t, p["dense"], F.regexp_count(beside, F.lit(HIGH)))).alias("score"), p["at"].alias("at"), p["name"].alias("name"))
+            return F.struct(bound(t, lambda t: _score(t, p["dense"], F.regexp_count(beside, F.lit(HIGH)))).alias("score"), p["at"].alias("at"), p["name"].alias("name"))
 
         return F.array_max(F.transform(profiles, judged))
 
     beside = F.array_join(F.regexp_extract_all(s, F.lit(BESIDE), F.lit(0)), " ")
     japanese = F.struct(_japanese(s).alias("score"), F.lit(-len(CHARSETS)).alias("at"), F.lit("shift_jis").alias("name"))
-    return F.greatest(_bound(beside, best), japanese)["name"]
+    return F.greatest(bound(beside, best), japanese)["name"]
 
 
 def detected(body: Column) -> Column:
@@ -159,6 +155,10 @@ def text_of(body: Column, charset: Column) -> Column:
     """Bytes as text by a charset's name (any of NAMES, too); unknown names are read as windows-1252, bytes that a charset lacks as U+FFFD."""
     given = F.lower(F.trim(charset))
     name = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in NAMES.items() for x in kv]), given), given)
+    return bound(F.struct(body.alias("body"), name.alias("name")), lambda b: _text(b["body"], b["name"]))
+
+
+def _text(body: Column, name: Column) -> Column:
     out = F.when(name == "utf-8", F.regexp_replace(body.cast("string"), "^\\uFEFF", "")).when(name == "utf-16le", _utf16(body, False)).when(name == "utf-16be", _utf16(body, True)).when(name == "shift_jis", _shift_jis(body))
     s = latin(body)
     single = [n for n in CHARSETS if n != "windows-1252"]

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from claimloom.functions import charset as charsets
+from claimloom.functions.text import bound
 from claimloom.functions.url import image_name
 from claimloom.operators.claims import CLAIM, FEED
 from claimloom.sources.headers import image_size
@@ -47,8 +48,12 @@ def usable_html(static: Column, rendered: Column, status: Column) -> Column:
 def decoded(body: Column, charset: Column) -> Column:
     """Bytes as text; where the page states no charset or Latin-1, the bytes tell which it is."""
     stated = F.lower(F.trim(F.coalesce(charset, F.lit(""))))
-    vague = stated.isin("", "iso-8859-1", "latin-1", "latin1")
-    return charsets.text_of(body, F.when(vague, charsets.detected(body)).otherwise(stated))
+
+    def of(b: Column) -> Column:
+        vague = b["stated"].isin("", "iso-8859-1", "latin-1", "latin1")
+        return charsets.text_of(b["body"], F.when(vague, charsets.detected(b["body"])).otherwise(b["stated"]))
+
+    return bound(F.struct(body.alias("body"), stated.alias("stated")), of)
 
 
 def read_image_info(spark: SparkSession, path: str) -> DataFrame:

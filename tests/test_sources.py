@@ -134,6 +134,13 @@ def test_pages_stay_where_they_are(spark, tmp_path):
     assert store.opened(spark, str(tmp_path / "e"), 4).count() == 0
 
 
+def test_bytes_are_made_once_however_often_they_are_looked_at(spark):
+    body = F.expr("encode(reverse(cast(id as string)), 'UTF-8')")
+    read = spark.range(20).select(captured.decoded(body, F.lit("latin1")).alias("t"))
+    assert read._jdf.queryExecution().optimizedPlan().toString().count("reverse(") == 1
+    assert [r.t for r in read.collect()] == [str(k)[::-1] for k in range(20)]
+
+
 def test_keyed_state_over_batches(spark, tmp_path):
     """Late rows correct the first, repeated rows and batches change nothing, old keys leave the state."""
     schema = "k string, ts timestamp, v string"
