@@ -1,7 +1,8 @@
 """Near copies: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
 
-A 64-bit SimHash cannot serve here: at 0.8 about 10 of 64 bits differ on average, and at such a radius masked blocks are so narrow
-that each bucket holds a fixed share of all texts. So candidates come from MinHash, and each link is checked exactly.
+A 64-bit SimHash alone cannot serve here: at 0.8 about 10 of 64 bits differ on average, and at such a radius masked blocks are so narrow
+that each bucket holds a fixed share of all texts. So SimHash gives the candidates within 3 bits (``simhash.similar``), MinHash those
+beyond, and each link is checked exactly.
 
 Texts with the same words (A-Z lower-cased) become one node first, named by 64 bits of XXH64. A node's ``BANDS`` keys each hash
 ``ROWS`` minima of its shingles' XXH64; two texts of similarity s share a key with probability 1 - (1 - s^4)^20, which is 0.99997
@@ -21,7 +22,7 @@ null, since texts are read again by it; extra columns are ignored; an empty tabl
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -74,19 +75,24 @@ def band_keys(hashes: np.ndarray) -> list[int]:
     return [xxhash.xxh64_intdigest(band.tobytes(), k) for k, band in enumerate(least.reshape(BANDS, ROWS))]
 
 
-def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, digest, node, keys) for each row; ``digest`` tells texts under one doc_id apart."""
+def signatures(docs: DataFrame, fingerprint: Callable[[np.ndarray], int]) -> DataFrame:
+    """(doc_id, digest, node, keys, fp) for each row; ``digest`` tells texts under one doc_id apart, ``fp`` is the shingles' fingerprint
+    as a signed number, null without any."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own = [words(text) for text in batch.column("text").to_pylist()]
-            keys = [np.array(band_keys(shingles(w)), dtype=np.uint64).view(np.int64) for w in own]
-            columns = [batch.column("doc_id"), batch.column("digest"), pa.array([node(w) for w in own], pa.int64()), pa.array(keys, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "digest", "node", "keys"])
+            keys, fps = [], []
+            for w in own:
+                hashes = shingles(w)
+                keys.append(np.array(band_keys(hashes), dtype=np.uint64).view(np.int64))
+                fps.append(int(np.uint64(fingerprint(hashes)).view(np.int64)) if len(hashes) else None)
+            columns = [batch.column("doc_id"), batch.column("digest"), pa.array([node(w) for w in own], pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(fps, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "digest", "node", "keys", "fp"])
 
     arrow_batches(docs.sparkSession)
     fields = [T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("digest", T.LongType()), T.StructField("node", T.LongType())]
-    schema = T.StructType([*fields, T.StructField("keys", T.ArrayType(T.LongType()))])
+    schema = T.StructType([*fields, T.StructField("keys", T.ArrayType(T.LongType())), T.StructField("fp", T.LongType())])
     return docs.select("doc_id", F.xxhash64("text").alias("digest"), "text").mapInArrow(run, schema)
 
 
@@ -148,9 +154,10 @@ def _roots(parent: np.ndarray, of: np.ndarray) -> np.ndarray:
     return out
 
 
-def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(u, v), u > v: a spanning forest of each bin. ``nodes`` has (node, low, keys); a node's text is read from row ``low`` of ``docs``."""
-    keyed = nodes.select("node", "low", F.explode("keys").alias("key"))
+def links(docs: DataFrame, nodes: DataFrame, grouped: DataFrame) -> DataFrame:
+    """(u, v), u > v: a spanning forest of each bin. ``nodes`` has (node, low, keys), ``grouped`` (node, low, key) of further buckets; a
+    node's text is read from row ``low`` of ``docs``."""
+    keyed = nodes.select("node", "low", F.explode("keys").alias("key")).unionByName(written(grouped, "near-grouped"))
     members = F.bit_xor(F.xxhash64("node")), F.bit_xor(F.xxhash64("node", F.lit(1)))
     counts = keyed.groupBy("key").agg(F.count("*").alias("count"), members[0].alias("a"), members[1].alias("b")).where("count > 1")
     counts = counts.groupBy("count", "a", "b").agg(F.min("key").alias("key"))  # the same members need one check

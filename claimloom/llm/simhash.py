@@ -59,7 +59,11 @@ def _fingerprint(words: list[bytes], n: int) -> int:
     if len(words) <= n:
         return digest(b" ".join(words), 42)
     shingles = map(b" ".join, zip(*(words[i:] for i in range(n)), strict=False))
-    hashes = np.array([digest(s, 42) for s in shingles], dtype=np.uint64)
+    return majority(np.array([digest(s, 42) for s in shingles], dtype=np.uint64))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The fingerprint of shingles' hashes, as an unsigned number: a bit is one if it is set in more than half of them."""
     total = np.zeros(64, dtype=np.int64)
     for at in range(0, len(hashes), 65_536):
         bits = np.unpackbits(hashes[at : at + 65_536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
@@ -284,17 +288,28 @@ def near_duplicates(docs: DataFrame, radius: int = 3, n: int = 3) -> DataFrame:
     return fps.join(named(nodes, links(nodes.select("fp"), radius), "fp"), "fp").select("doc_id", "fp", "component_id")
 
 
-def similar(docs: DataFrame) -> DataFrame:
-    """(doc_id, digest, component_id) for each row of ``docs``: components of near copies, see ``near_copies``."""
-    signed = written(near_copies.signatures(docs), "near-signatures")
-    nodes = written(signed.groupBy("node").agg(F.min("doc_id").alias("low"), F.first("keys").alias("keys")), "near-nodes")
-    return signed.select("doc_id", "digest", "node").join(named(nodes, near_copies.links(docs, nodes), "node"), "node").select("doc_id", "digest", "component_id")
+def similar(docs: DataFrame, radius: int = 3) -> DataFrame:
+    """(doc_id, digest, component_id) for each row of ``docs``: components of near copies, see ``near_copies``.
+
+    The SimHash step: fingerprints of the five-word shingles link at ``radius`` bits (``links``), and the texts of each component of
+    fingerprints are a bucket of candidates. MinHash adds the buckets of those pairs that differ in more bits, and each link of
+    either kind is checked exactly.
+    """
+    signed = written(near_copies.signatures(docs, majority), "near-signatures")
+    nodes = written(signed.groupBy("node").agg(F.min("doc_id").alias("low"), F.first("keys").alias("keys"), F.first("fp").alias("fp")), "near-nodes")
+    own = nodes.where("fp is not null").select("node", "low", "fp")
+    found = written(components(links(own.select("fp").distinct(), radius)), "near-fps").withColumnRenamed("node", "__fp")
+    grouped = own.join(found, F.col("fp") == F.col("__fp"), "left")
+    grouped = grouped.select("node", "low", F.xxhash64(F.lit("simhash"), F.coalesce("root", "fp")).alias("key"))
+    linked = near_copies.links(docs, nodes, grouped)
+    return signed.select("doc_id", "digest", "node").join(named(nodes, linked, "node"), "node").select("doc_id", "digest", "component_id")
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of each component of near copies the document with the smallest doc_id stays, once.
 
-    Links follow five-word shingles at a similarity of 0.8 (``near_copies``), not op7_simhash's fingerprints at 3 bits. Rows
+    Links follow five-word shingles at a similarity of 0.8: candidates are what fingerprints at 3 bits link (``similar``), and what
+    MinHash finds beyond that radius (``near_copies``). Rows
     without a doc_id stand behind all others under a number made from their text (from UNNAMED on, above any doc_id in use), so
     they meet near copies like any row. Texts that share a doc_id are documents of their own; of equal rows one stays.
     """

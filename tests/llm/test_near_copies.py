@@ -66,6 +66,19 @@ def test_stage_drops_near_copies_and_only_those(spark, monkeypatch, chunk, pivot
     assert sorted(r.doc_id for r in simhash.stage(spark, docs, "").collect()) == slow_keep(rows)
 
 
+def test_simhash_gives_candidates_of_its_own(spark, monkeypatch):
+    """Without any MinHash key the fingerprints at 3 bits still find near copies; what they link is checked exactly."""
+    monkeypatch.setattr(near_copies, "band_keys", lambda hashes: [])
+    rng = random.Random(3)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(3000)]
+    rows = [(1, " ".join(words)), (2, edited(words, 1, rng)), (3, edited(words, 2, rng)), (4, " ".join(reversed(words))), (5, "")]
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(r.doc_id for r in simhash.stage(spark, docs, "").collect()) == slow_keep(rows) == [1, 4, 5]
+    far = lambda own: 0
+    monkeypatch.setattr(simhash, "majority", far)  # fingerprints that link all texts: none that is unlike goes
+    assert sorted(r.doc_id for r in simhash.stage(spark, docs, "").collect()) == [1, 4, 5]
+
+
 def test_forest_finds_the_exact_components_of_a_bucket():
     rng = np.random.default_rng(6)
     base = rng.integers(0, 1 << 63, 100, dtype=np.uint64)
