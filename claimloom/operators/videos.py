@@ -316,15 +316,29 @@ def listed(spec: VideoSpec, whole: Column, scoped: Column, own: Column, logs: Co
     """A page's videos by its publisher's spec. ``scoped`` and ``own`` are the HTML of the spec's two scopes."""
     region = whole if not spec.scope else F.coalesce(F.nullif(scoped, F.lit("")), whole) if spec.whole else scoped
     inside = spec.providers if spec.scope and not spec.scoped else spec.scoped
-    lists = {}
-    for names, html in ((tuple(n for n in spec.providers if n not in inside), whole), (tuple(inside), region)):
-        if names:
-            of = canonicals(spec, names)
-            found = known(page_urls(html), of)
-            urls = lambda found, n: F.transform(F.filter(found, _named(n)), lambda p: p.url)
-            framed = known(frame_urls(html), of) if set(names) & set(spec.framed) else found
-            anywhere = known(F.concat(page_urls(html), text_urls(html)), of) if set(names) & set(spec.framed) else found
-            lists |= {n: F.when(F.size(urls(framed, n)) > 0, urls(framed, n)).otherwise(urls(anywhere, n)) if n in spec.framed else urls(found, n) for n in names}
+    groups = [(names, html) for names, html in ((tuple(n for n in spec.providers if n not in inside), whole), (tuple(inside), region)) if names]
+    urls_of: dict[str, Column] = {}
+    for k, (names, html) in enumerate(groups):
+        of = canonicals(spec, names)
+        urls_of[f"found{k}"] = known(page_urls(html), of)
+        if set(names) & set(spec.framed):
+            urls_of |= {f"framed{k}": known(frame_urls(html), of), f"anywhere{k}": known(F.concat(page_urls(html), text_urls(html)), of)}
+    if not groups:
+        return _in_order(spec, {}, whole, own, logs)
+
+    def taken(read: Column) -> Column:
+        lists = {}
+        urls = lambda kind, n: F.transform(F.filter(read[kind], _named(n)), lambda p: p.url)
+        for k, (names, _) in enumerate(groups):
+            lists |= {n: F.when(F.size(urls(f"framed{k}", n)) > 0, urls(f"framed{k}", n)).otherwise(urls(f"anywhere{k}", n)) if n in spec.framed else urls(f"found{k}", n) for n in names}
+        return _in_order(spec, lists, whole, own, logs)
+
+    # a page's urls are looked for once, not once for each provider
+    return T.bound(F.struct(*[urls.alias(name) for name, urls in urls_of.items()]), taken)
+
+
+def _in_order(spec: VideoSpec, lists: dict[str, Column], whole: Column, own: Column, logs: Column | None) -> Column:
+    """The urls of each provider and the publisher's own, as its spec orders them."""
     none = F.array().cast("array<string>")
     native = {"ard": lambda: ard_streams(whole, own), "rtl": lambda: native_streams(page_urls(own)), "tweets": lambda: video_tweets(own), "renditions": lambda: F.filter(F.array(first_rendition(whole, logs)), lambda u: u.isNotNull()), "": lambda: none}[spec.own]()
     if spec.own == "rtl":

@@ -38,3 +38,16 @@ def test_letters_beyond_a_charset_and_capitals(spark, tmp_path):
     con.execute("update d set text = repeat('CIÓN!! EN!! ', 200) where doc_id = 124")
     con.execute(f"copy d to '{tmp_path}/documents.parquet'")
     assert same_as_sql(spark, tmp_path, "q_charset")
+
+
+def times_in_plan(frame, text):
+    return frame._jdf.queryExecution().optimizedPlan().toString().count(text)
+
+
+def test_urls_of_a_page_are_looked_for_once(spark):
+    from pyspark.sql import functions as F
+
+    from claimloom.operators import videos
+
+    pages = spark.createDataFrame([(1, "<p>")], "url int, html string").select("url", F.concat(F.reverse("html"), F.lit("<iframe src='https://youtu.be'>")).alias("html"))
+    assert times_in_plan(videos.of_pages(pages), "srcdoc") == 1
