@@ -19,6 +19,7 @@ from claimloom.functions import url as U
 from claimloom.functions.python import join_url
 from claimloom.functions.text import caption_key, clean
 from claimloom.html.dom import Element, parse
+from claimloom.session import page_batches
 
 ALLOWED = re.compile(r"\.(jpe?g|png|webp|avif)$", re.I)
 BODY = ("article", "main", ".article", ".article-body", ".entry-content", ".post-content", ".content")
@@ -246,6 +247,7 @@ def found(page: str | Element | None, base: str | None, spec: ImageSpec) -> dict
 def candidate_images(html: Column, base: Column, publisher: str) -> Column:
     """Struct (list, error) of a page's candidates."""
     spec = SPECS[publisher]
+    page_batches()
 
     @F.pandas_udf(f"struct<list:{CANDIDATES},error:string>")
     def run(html: pd.Series, base: pd.Series) -> pd.DataFrame:

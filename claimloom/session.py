@@ -55,3 +55,14 @@ def spread(df: DataFrame) -> DataFrame:
     """
     n = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+
+
+#: Pages that one Arrow batch may hold.
+PAGES = 256
+
+
+def page_batches() -> None:
+    """Keep Arrow batches of the session small, so that a worker holds few whole pages however many its task has."""
+    spark, key = SparkSession.active(), "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= PAGES:
+        spark.conf.set(key, str(PAGES))

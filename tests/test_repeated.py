@@ -51,3 +51,9 @@ def test_urls_of_a_page_are_looked_for_once(spark):
 
     pages = spark.createDataFrame([(1, "<p>")], "url int, html string").select("url", F.concat(F.reverse("html"), F.lit("<iframe src='https://youtu.be'>")).alias("html"))
     assert times_in_plan(videos.of_pages(pages), "srcdoc") == 1
+
+
+def test_pages_come_in_small_batches(spark):
+    catalogue.queries()["q_article_by_spec"](spark, SF)
+    catalogue.queries()["q_images_extract"](spark, SF)
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 256
