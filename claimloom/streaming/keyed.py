@@ -40,20 +40,23 @@ class First(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         best = found = None
         for batch in rows:
-            for at, tie, place in zip(batch.iloc[:, -2], batch.iloc[:, -1], range(len(batch)), strict=True):
-                if best is None or (at, tie) < best:
-                    best, found = (int(at), tie), batch.iloc[[place]]
+            for place, own in enumerate(zip(batch.iloc[:, -2].tolist(), batch.iloc[:, -1].tolist(), strict=True)):
+                if best is None or own < best:
+                    best, found = own, (batch, place)
         if best is None:
             return
-        known = self.best.get() if self.best.exists() else None
+        known = self.best.get()  # None without one
         if known is not None and (known[0], known[1]) <= best:
             return
         revision = 1 if known is None else known[2] + 1
         self.best.update((best[0], best[1], revision))
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        self.handle.registerTimer(best[0] // 1000 + self.keep_ms)
-        yield found.iloc[:, : len(self.columns)].set_axis(self.columns, axis=1).assign(revision=revision)
+        timer = best[0] // 1000 + self.keep_ms
+        if known is not None and (before := known[0] // 1000 + self.keep_ms) != timer:
+            self.handle.deleteTimer(before)
+        if known is None or before != timer:
+            self.handle.registerTimer(timer)
+        batch, place = found
+        yield batch.iloc[[place], : len(self.columns)].set_axis(self.columns, axis=1).assign(revision=revision)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.best.clear()
