@@ -8,10 +8,6 @@ from pyspark.sql import functions as F
 from claimloom.functions.text import strip, text_or_empty
 
 
-def _first(*found: Column) -> Column:
-    return F.coalesce(*[F.nullif(f, F.lit("")) for f in found])
-
-
 def norm_site(col: Column) -> Column:
     """Host (with port) of a site or url, lower-case, without a leading ``www.``."""
     low = F.lower(strip(text_or_empty(col)))
@@ -85,20 +81,22 @@ def extension_of_type(content_type: Column) -> Column:
     return F.when(low.contains("png"), ".png").when(low.contains("webp"), ".webp").when(low.contains("avif"), ".avif").otherwise(".jpg")
 
 
-#: Fixed values. U16: steps of each publisher's ladder of width patterns, tried in order.
+#: Fixed values. U16: steps of each publisher's ladder of width patterns, tried in order: (a part no match is without, pattern).
+_FIT_IN, _SIZE, _WIDE = ("/fit-in/", "/fit-in/([0-9]+)x"), ("x", "/([0-9]{2,5})x[0-9]{1,5}(?:/|$)"), ("w", "(?<![0-9a-z])([0-9]{2,5})w(?![a-z0-9])")
 WIDTH_LADDERS = {
-    "plain": ["/fit-in/([0-9]+)x", "/([0-9]{2,5})x[0-9]{1,5}(?:/|$)", "(?<![0-9a-z])([0-9]{2,5})w(?![a-z0-9])"],
-    "br": ["[?&]w=([0-9]+)", "/fit-in/([0-9]+)x", "/([0-9]{2,5})x[0-9]{1,5}(?:/|$)", "(?<![0-9a-z])([0-9]{2,5})w(?![a-z0-9])"],
-    "rtl": ["/fit-in/([0-9]+)x", "/([0-9]{2,5})x[0-9]{1,5}(?:/|$)", "(?<![0-9a-z])([0-9]{2,5})w(?![a-z0-9])", "/([0-9]{2,5})/[^/]+\\.[a-z]+"],
-    "stern": ["/w([0-9]+)(?:/|$)", "/fit-in/([0-9]+)x", "(?<![0-9a-z])([0-9]{2,5})w(?![a-z0-9])"],
-    "query": ["[?&](?:width|w)=([0-9]+)"],
+    "plain": [_FIT_IN, _SIZE, _WIDE],
+    "br": [("w=", "[?&]w=([0-9]+)"), _FIT_IN, _SIZE, _WIDE],
+    "rtl": [_FIT_IN, _SIZE, _WIDE, (".", "/([0-9]{2,5})/[^/]+\\.[a-z]+")],
+    "stern": [("/w", "/w([0-9]+)(?:/|$)"), _FIT_IN, _WIDE],
+    "query": [("=", "[?&](?:width|w)=([0-9]+)")],
 }
 
 
 def width(col: Column, ladder: str = "plain") -> Column:
     """The width a url states, 0 without one."""
     low = F.lower(text_or_empty(col))
-    return F.coalesce(_first(*[F.regexp_extract(low, p, 1) for p in WIDTH_LADDERS[ladder]]).cast("int"), F.lit(0))
+    found = [F.when(low.contains(part), F.nullif(F.regexp_extract(low, p, 1), F.lit(""))) for part, p in WIDTH_LADDERS[ladder]]
+    return F.coalesce(F.coalesce(*found).cast("int"), F.lit(0))
 
 
 def largest_path_number(col: Column) -> Column:
