@@ -3,7 +3,8 @@
 A text is cut at special tokens, then by the pre-tokenizer's pattern; each piece is merged alone. The pieces' adjacent pairs
 have ranks (a pair that cannot merge has rank infinity) in a segment tree whose nodes hold the smaller rank of their children,
 the left one on a tie. The root names the leftmost pair of lowest rank; merging it updates two leaves at most, each in a
-logarithmic number of steps, and ends when the root is infinite. A piece of n bytes thus costs O(n log n), however long.
+logarithmic number of steps, and ends when the root is infinite. A piece of n bytes thus costs O(n log n), however long. Pieces of
+up to ``FLAT`` bytes, which nearly all are, have no tree: the lowest rank is looked for in a plain list, which then costs less.
 Workers keep the ids of pieces they have seen, up to ``MEMO_CHARS`` characters of them, since words repeat.
 
 The vocabulary file's path is a parameter; the driver reads it and broadcasts its content, whose size is checked. Any style may
@@ -38,6 +39,8 @@ PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{
 #: Characters of the pieces that a worker remembers, and of one such piece; beyond it the memory starts anew. A piece of the usual
 #: six characters takes about 400 bytes with its ids, so this is about 300 MB at most.
 MEMO_CHARS, MEMO_PIECE = 4_000_000, 64
+#: Bytes of the pieces that are merged without a tree.
+FLAT = 64
 #: Bytes that a vocabulary file may have to be broadcast.
 MOST_BYTES = 64 << 20
 SHIFT, NEVER = 32, 1 << 60
@@ -109,6 +112,7 @@ class Bpe:
         pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         self.merges = {vocab[a] << SHIFT | vocab[b]: rank << SHIFT for rank, (a, b) in enumerate(pairs)}
         self.made = [vocab[a + b] for a, b in pairs]
+        self.first = [self.merges.get(a << SHIFT | b, NEVER) if a is not None and b is not None else NEVER for a in self.byte_ids for b in self.byte_ids]
         value = {s: b for b, s in enumerate(symbols)}
         self.bytes_of = {i: bytes(value[c] for c in token) if all(c in value for c in token) else token.encode() for token, i in vocab.items()}
         self.special = {t["content"]: t["id"] for t in stated.get("added_tokens", [])}
@@ -124,8 +128,8 @@ class Bpe:
         if any(i is None for i in ids):
             raise ValueError("the vocabulary lacks a byte")
         n, key_of, made = len(ids), self.merges.get, self.made
-        if n < 2:
-            return ids
+        if n <= FLAT:
+            return self.merge_flat(piece, ids)
         tree = PairTree([key_of(a << SHIFT | b, NEVER) | i for i, (a, b) in enumerate(zip(ids, ids[1:], strict=False))])
         top, put = tree.top, tree.put
         after, ahead = list(range(1, n + 1)), list(range(-1, n - 1))
@@ -146,6 +150,20 @@ class Bpe:
                 put(left, key_of(ids[left] << SHIFT | own, NEVER) | left)
         return [i for i in ids if i >= 0]
 
+    def merge_flat(self, piece: bytes, ids: list[int]) -> list[int]:
+        """Ids of a short piece, from those of its bytes."""
+        first, key_of, made = self.first, self.merges.get, self.made
+        keys = [first[a << 8 | b] for a, b in zip(piece, piece[1:], strict=False)]
+        while keys and (low := min(keys)) < NEVER:
+            at = keys.index(low)
+            ids[at] = own = made[low >> SHIFT]
+            del ids[at + 1], keys[at]
+            if at < len(keys):
+                keys[at] = key_of(own << SHIFT | ids[at + 1], NEVER)
+            if at:
+                keys[at - 1] = key_of(ids[at - 1] << SHIFT | own, NEVER)
+        return ids
+
     def segments(self, text: str) -> Iterator[str]:
         """Pieces of the text, special tokens among them."""
         if self.cut is None or not any(s in text for s in self.special):

@@ -83,3 +83,21 @@ def test_small_memory_and_other_vocabularies(monkeypatch):
     stated["model"]["ignore_merges"] = True
     with pytest.raises(ValueError):
         bpe.refuse(stated)
+
+
+def test_short_pieces_need_no_tree(both, monkeypatch):
+    import random
+
+    own, library = both
+    draw = random.Random(4)
+    words = ["".join(draw.choice(letters) for _ in range(n)) for letters in ("etaoin", "aé'ß", "日本語𝒳", "ab") for n in range(1, bpe.FLAT + 1)]
+    short, long = [w for w in words if len(w.encode()) <= bpe.FLAT], [w for w in words if len(w.encode()) > bpe.FLAT]
+    want = [own.merge(w.encode()) for w in long]
+    monkeypatch.setattr(bpe, "FLAT", 1)
+    trees = [own.merge(w.encode()) for w in short]
+    monkeypatch.setattr(bpe, "FLAT", 1000)
+    assert [own.merge(w.encode()) for w in long] == want
+    monkeypatch.undo()
+    monkeypatch.setattr(bpe, "PairTree", None)
+    assert [own.merge(w.encode()) for w in short] == trees
+    assert all(own.encode(w) == library.encode(w, add_special_tokens=False).ids for w in short)
