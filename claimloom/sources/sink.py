@@ -1,6 +1,7 @@
 """Records as JSON lines that a run adds once, however often it is tried, and counts on the way.
 
-Tasks write files of their own into ``<path>/staged/<run>``. When all are done the driver writes the run's manifest, which names the files
+The driver makes the folder ``<path>/staged/<run>``, into which tasks write files of their own; a task that outlives its failed run finds no
+folder and makes none, where the store does not make folders by itself. When all are done the driver writes the run's manifest, which names the files
 that count; it is put in place whole, by one rename. Whoever reads, reads what manifests name. A run that fails leaves no manifest and
 takes its files away; one that was committed before adds nothing; files of lost or repeated tasks, and folders left empty, go.
 
@@ -64,7 +65,6 @@ class RecordWriter(DataSourceArrowWriter):
                 if not batch.num_rows:
                     continue
                 if out is None:
-                    at.create_dir(folder, recursive=True)
                     out = at.open_output_stream(f"{folder}/{name}")
                 lines = batch.column(0).to_pylist()
                 out.write(("\n".join(lines) + "\n").encode("utf-8"))
@@ -103,6 +103,8 @@ class RecordSink(DataSource):
     def writer(self, schema, overwrite: bool) -> RecordWriter:
         if overwrite or not {"path", "run"} <= set(self.options):
             raise ValueError("records are appended, to a path and by a run's name")
+        at, root = store(self.options["path"])
+        at.create_dir(f"{root}/staged/{self.options['run']}", recursive=True)
         return RecordWriter(self.options["path"], self.options["run"])
 
 
@@ -123,7 +125,11 @@ def save(records: DataFrame, path: str, run: str, column: str = "record") -> dic
     spark = records.sparkSession
     spark.dataSource.register(RecordSink)
     counted, seen = observed(records, column)
-    counted.select(F.to_json(column).alias("value")).write.format(RecordSink.name()).option("path", path).option("run", run).mode("append").save()
+    try:
+        counted.select(F.to_json(column).alias("value")).write.format(RecordSink.name()).option("path", path).option("run", run).mode("append").save()
+    except Exception:
+        RecordWriter(path, run).abort([])  # Spark aborts only writes whose tasks had started
+        raise
     return dict(seen.get)
 
 

@@ -113,6 +113,23 @@ def test_sink_adds_a_run_once(spark, tmp_path):
     assert "errors" not in sink.committed(spark, at).first().value
 
 
+def test_a_task_that_outlives_its_run_leaves_nothing(spark, tmp_path):
+    import pyarrow as pa
+
+    lines, staged = [pa.record_batch({"value": ['{"id":1}']})], tmp_path / "out/staged/a"
+    writer = sink.RecordSink({"path": f"file://{tmp_path}/out", "run": "a"}).writer(None, False)
+    writer.write(iter(lines))
+    assert len(list(staged.iterdir())) == 1
+    writer.abort([])
+    with pytest.raises(FileNotFoundError):
+        writer.write(iter(lines))
+    assert not staged.exists()
+    lost = spark.range(4).select(F.when(F.col("id") == 3, F.raise_error(F.lit("lost"))).otherwise(F.col("id")).alias("id")).repartition(2)  # before the tasks that write
+    with pytest.raises(Exception, match="lost"):
+        sink.save(lost.join(records(spark, range(4)), F.col("id") == F.col("record.id")).select("record"), f"file://{tmp_path}/out", "a")
+    assert not staged.exists()
+
+
 def test_pages_stay_where_they_are(spark, tmp_path):
     captures = [("u1", "old", "2024-01-01"), ("u1", "new", "2024-02-01"), ("u1", "new", "2024-02-01"), ("u2", "b", None), ("u2", "a", None), (None, "x", None)]
     pages = spark.createDataFrame(captures, "url string, html_static string, captured_at string").withColumn("captured_at", F.to_timestamp("captured_at"))
